@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, packing
+from . import bpe_count, packing, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +22,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.over_limit(bpe_count.token_counts(table(spark, sf_dir, "documents")), 1024)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts)}
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.quality_scores(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.toxicity_scores(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op10_toxicity)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
