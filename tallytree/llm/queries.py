@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, packing, quality, toxicity
+from . import bpe_count, chat, html_extract, packing, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,13 +30,47 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: A conversation whose texts look like the marks of turns.
+TRICKY = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string")
+    return read_back(chat.formatted(chat.events_of_rows(rows.unionByName(tricky))))
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """The digests of each conversation, from its formatted text and loss mask alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        for b in batches:
+            texts, spans = b.column("formatted").to_pylist(), b.column("loss").to_pylist()
+            turns = [chat.parse(t) for t in texts]
+            loss = [chat.loss_text(t, s) for t, s in zip(texts, spans, strict=True)]
+            digests = [sha("".join(f"{role}\n{text}\n" for role, text in t)) for t in turns]
+            ints = lambda xs: pa.array(xs, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("conv_id"), ints([len(t) for t in turns]), pa.array(digests), ints([len(x) for x in loss]), pa.array([sha(x) for x in loss]), ints([len(t) for t in texts])],
+                names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+            )
+
+    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.toxicity_scores(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
