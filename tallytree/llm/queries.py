@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, html_extract, packing, quality, toxicity
+from . import bpe_count, chat, decontaminate, html_extract, packing, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+def contaminated() -> F.Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extract.main_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -70,7 +79,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
 
 #: DuckDB's SQL of those that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bn AS (SELECT item_id, w, least(13, len(w)) AS span FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, span, array_to_string(w[p:p + span - 1], ' ') AS g FROM (SELECT item_id, w, span, unnest(range(1, len(w) - span + 2)) AS p FROM bn)),
+spans AS (SELECT DISTINCT span FROM bw),
+dw AS (SELECT doc_id, p, span, array_to_string(w[p:p + span - 1], ' ') AS g FROM (SELECT doc_id, w, span, unnest(range(1, len(w) - span + 2)) AS p FROM d, spans)),
+hit AS (SELECT doc_id, p, dw.span, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.span = bw.span),
+covered AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + span)) AS word FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
