@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, html_extract, packing, quality, toxicity
+from . import bpe_count, chat, decontaminate, html_extract, neighbours, packing, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
@@ -79,7 +83,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op5_neighbours, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
