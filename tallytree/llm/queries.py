@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, html_extract, neighbours, packing, quality, toxicity
+from . import bpe_count, chat, decontaminate, html_extract, near_duplicates, neighbours, packing, quality, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.over_limit(bpe_count.token_counts(table(spark, sf_dir, "documents")), 1024)
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = quality.quality_scores(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -83,7 +87,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op4_quality, op5_neighbours, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
