@@ -3,20 +3,64 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallytree.llm import packing
+from tallytree.llm import decontaminate, near_duplicates, packing, quality, repeats
 from tallytree.llm.common import table, written
+from tallytree.llm.decontaminate import sized
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents whose quality score is under 0.3."""
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return quality.quality_scores(docs, model, keep=COLUMNS).where("score >= 0.3").select(*COLUMNS)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates (similarity 0.8, five
+    words), and one of rows that repeat a doc_id."""
+    docs = docs.select(*COLUMNS)
+    told = near_duplicates.near_duplicates(docs, percent=80)
+    gone = written(told.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct())
+    again = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")))
+    kept = docs.join(sized(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    once = kept.join(sized(again), F.col("doc_id") == F.col("again"), "left_anti")
+    return once.unionByName(kept.join(sized(again), F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"]))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out every passage of 400 bytes or more that occurs again; a document
+    of which nothing is left goes."""
+    found = repeats.remove_repeats(docs, keep=COLUMNS)
+    found = found.where("n_bytes = 0 OR text != ''").withColumn("n_chars", F.length("text").cast("long"))
+    return found.select(*COLUMNS)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents of which a twentieth or more stands in the benchmark."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = written(found.where(decontaminate.contaminated()).select(F.col("doc_id").alias("bad"), F.col("row").alias("bad_row")).distinct())
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.select(*COLUMNS).join(sized(bad), F.col("doc_id").eqNullSafe(F.col("bad")) & (text == F.col("bad_row")), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that were kept, packed into sequences."""
-    return packing.pack(docs)
+    """What was kept, packed into sequences of 4096 tokens along the curve."""
+    return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
 #: (name, function of (spark, docs, sf_dir)): each works on what the one before it kept.
-STAGES = [("packing", packed)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("MinHash near-dedup", one_of_each),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", uncontaminated),
+    ("packing", packed),
+]
 
-#: Learned and iterative stages are beyond SQL.
+#: Learned and iterative stages are beyond SQL; the tests hold them against brute force.
 ORACLE_SQL = None
 
 

@@ -51,7 +51,24 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    again = spark.read.schema(df.schema).parquet(path)
+    again.scratch_path = path
+    return again
+
+
+def discard(*scratch: DataFrame) -> None:
+    """Deletes what ``written`` wrote, once nothing still to run reads it."""
+    for df in scratch:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that what Python makes of one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

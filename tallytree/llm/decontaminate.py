@@ -52,6 +52,11 @@ def fingerprints(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.withColumn("g", grams("h", GRAM)).select(*keys, F.explode(kept).alias("f"))
 
 
+def contaminated() -> Column:
+    """A twentieth or more of a document's words are hit."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """Marked for broadcasting if it has few rows."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
@@ -63,7 +68,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
     A window is ``SPAN`` consecutive words of an item; an item of fewer words is
     one window. Columns: ``key``, ``n_words``, ``n_hit`` (words inside any
     occurrence of a window), ``items`` (ids whose windows occur, sorted as
-    strings).
+    strings), ``row`` (xxhash64 of the text).
 
     Null and empty texts have no words and no hits; an item without words never
     occurs. Repeated rows have equal results each, rows are told apart by key
@@ -110,4 +115,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         F.count_if(F.col("pos") == -1).cast("int").alias("times"),  # rows that repeat
     )
-    return totals.select(key, "n_words", "n_hit", "items", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_")).drop("_")
+    return totals.select(key, "n_words", "n_hit", "items", "row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_")).drop("_")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, steps, texts, written
+from .common import discard, mix, steps, texts, written
 from .decontaminate import sized
 from .wordhash import SPACED, span_hashes, sums, word_spans
 
@@ -144,7 +144,9 @@ def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFra
 
     full = written(needed.mapInArrow(sets, "id long, s binary").dropDuplicates(["id"]))
     both = pairs.join(full.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(full.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
-    return written(both.select("a", "b", "sa", "sb").mapInArrow(measure, "a long, b long"))
+    out = written(both.select("a", "b", "sa", "sb").mapInArrow(measure, "a long, b long"))
+    discard(pairs, asked, full)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -153,19 +155,21 @@ def components(edges: DataFrame) -> DataFrame:
     neighbour, jumps to the roots, and contracts the edges to what is left
     between roots; rounds and jumps grow with the logarithm of the nodes."""
     edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-    found = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("comp"))
+    found = written(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("comp")))
     while not edges.isEmpty():
-        parent = written(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")))
-        while True:
+        parent = written(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up")).withColumn("moved", F.lit(True)))
+        while not parent.where("moved").isEmpty():
             above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            jumped = written(parent.join(above, "up", "left").select("node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")))
-            parent = jumped.select("node", "up")
-            if jumped.where("moved").isEmpty():
-                break
+            jumped = written(parent.drop("moved").join(above, "up", "left").select("node", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")))
+            discard(parent)
+            parent = jumped
         root = lambda c, p=parent: p.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up"))
-        found = written(found.join(root("comp"), "comp", "left").select("node", F.coalesce("comp_up", "comp").alias("comp")))
-        edges = edges.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("a_up", "a").alias("x"), F.coalesce("b_up", "b").alias("y"))
-        edges = written(edges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct())
+        to = written(found.join(root("comp"), "comp", "left").select("node", F.coalesce("comp_up", "comp").alias("comp")))
+        left = edges.join(root("a"), "a", "left").join(root("b"), "b", "left").select(F.coalesce("a_up", "a").alias("x"), F.coalesce("b_up", "b").alias("y"))
+        left = written(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a < b").distinct())
+        discard(found, edges, parent)
+        found, edges = to, left
+    discard(edges)
     return found
 
 
@@ -215,8 +219,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     crowd = written(open_keys.where(F.col("times") > CROWD).select("id", "n", "comp").distinct())
     again = rows.join(sized(crowd.select(F.col("id").alias("at"))), F.col("id") == F.col("at"), "left_semi")
     sharper = signed(again, size, sharp).select("id", F.explode("keys").alias("key")).distinct()
-    pairs = pairs.unionByName(across(written(sharper.join(crowd, "id")), percent)).distinct()
-    final = components(first.unionByName(links(rows, pairs, size, percent)))
+    sharper = written(sharper.join(crowd, "id"))
+    pairs = pairs.unionByName(across(sharper, percent)).distinct()
+    second = links(rows, pairs, size, percent)
+    final = components(first.unionByName(second))
+    discard(first, second, joined, open_keys, crowd, sharper)
 
     comp = classes.select("digest", "n", F.col("id").alias("rep")).join(final, F.col("rep") == F.col("node"), "left")
     comp = comp.select(F.col("digest").alias("d"), F.col("n").alias("of"), F.coalesce("comp", "rep").alias("comp"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, html_extract, near_duplicates, neighbours, packing, quality, toxicity
+from . import bpe_count, chat, decontaminate, html_extract, near_duplicates, neighbours, packing, quality, repeats, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,13 +38,15 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def contaminated() -> F.Column:
-    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontaminate.contaminated().alias("contaminated"))
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +89,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
