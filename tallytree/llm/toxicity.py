@@ -14,8 +14,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import steps, texts
+from .common import steps, texts, written
 from .quality import labelled
 from .wordhash import LETTERS, byte_set, span_hashes, sums, word_spans
 
@@ -48,14 +49,18 @@ class Lexicon:
     bias: float
     sieve: np.ndarray
 
+    def places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are words of the lexicon, and the place there."""
+        hit = np.flatnonzero(self.sieve[h >> np.uint64(64 - SIEVE)])
+        at = np.minimum(np.searchsorted(self.words, h[hit]), max(len(self.words) - 1, 0))
+        same = self.words[at] == h[hit] if len(self.words) else np.zeros(0, bool)
+        return hit[same], at[same]
+
     def sentences(self, h: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
         """Each sentence's score."""
         z = np.full(n, self.bias)
-        if len(self.words):
-            hit = np.flatnonzero(self.sieve[h >> np.uint64(64 - SIEVE)])
-            at = np.minimum(np.searchsorted(self.words, h[hit]), len(self.words) - 1)
-            same = self.words[at] == h[hit]
-            np.add.at(z, sentence[hit[same]], self.weights[at[same]])
+        hit, at = self.places(h)
+        np.add.at(z, sentence[hit], self.weights[at])
         return 1 / (1 + np.exp(-z))
 
 
@@ -78,78 +83,85 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return a[new], b[new]
 
 
-def told_apart(words: np.ndarray, doc: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
-    """The ``most`` words whose documents' labels differ most from the others',
-    by the likelihood ratio, on either side; words of fewer than 3 documents don't count."""
-    words, doc = distinct_pairs(words, doc)
-    word, at = np.unique(words, return_inverse=True)
-    in_bad, in_all = np.bincount(at, y[doc]), np.bincount(at).astype(float)
-    bad, good = max(y.sum(), 1), max((1 - y).sum(), 1)
-    p, q = (in_bad + 0.5) / (bad + 1), (in_all - in_bad + 0.5) / (good + 1)
-    m = (in_all + 1) / (bad + good + 2)
-    ratio = in_bad * np.log(p / m) + (in_all - in_bad) * np.log(q / m)
-    ratio[in_all < 3] = 0
-    best = []
-    for side in (p > q, p <= q):
-        of = np.flatnonzero(side & (ratio > 3.0))
-        best.append(of[np.argsort(-ratio[of], kind="stable")][:most])
-    return np.sort(word[np.concatenate(best)])
-
-
-def train(words: np.ndarray, sentence: np.ndarray, text: np.ndarray, y: np.ndarray, rounds: int = 300, most: int = 1000, l1: float = 0.3, rate: float = 0.1) -> Lexicon:
-    """Fits bias and weights to labels ``y`` of texts: ``words`` have a
-    ``sentence`` each, sentences a ``text``. Adam over all rows at once, on the
-    likelihood of the noisy-or with a penalty on the weights' size."""
+def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each word of labelled texts: how many texts have it, and how many of
+    those are toxic; summed over the texts of a step."""
+    for b in batches:
+        y = b.column("y").to_numpy()
+        for at, to, raw, off in steps(b.column("text")):
+            _, _, text, h, sentence = sentence_words(raw, off)
+            h, doc = distinct_pairs(h, text[sentence] if len(sentence) else sentence)
+            word, place = np.unique(h, return_inverse=True)
+            bad = np.bincount(place, y[at:to][doc], len(word))
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(bad.astype(np.int64)), pa.array(np.bincount(place, minlength=len(word)))], names=["h", "bad", "n"])
+
+
+def told_apart(rows: DataFrame, bad: int, good: int, most: int) -> np.ndarray:
+    """The ``most`` words whose texts' labels differ most from the others', by
+    the likelihood ratio, on either side; words of fewer than 3 texts don't count."""
+    counts = rows.mapInArrow(word_counts, "h long, bad long, n long").groupBy("h").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).where("n >= 3")
+    p, q, m = (F.col("bad") + 0.5) / (bad + 1), (F.col("n") - F.col("bad") + 0.5) / (good + 1), (F.col("n") + 1) / (bad + good + 2)
+    ratio = F.col("bad") * F.log(p / m) + (F.col("n") - F.col("bad")) * F.log(q / m)
+    counts = written(counts.select("h", ratio.alias("ratio"), (p > q).alias("side")).where("ratio > 3"))
+    best = [counts.where(F.col("side") == side).orderBy(F.desc("ratio"), "h").limit(most).select("h").toArrow().column("h").to_numpy() for side in (True, False)]
+    return np.sort(np.concatenate(best).astype(np.int64).view(np.uint64))
+
+
+def train(words: np.ndarray, at: np.ndarray, sentence: np.ndarray, text: np.ndarray, sizes: np.ndarray, y: np.ndarray, rounds: int = 300, l1: float = 0.3, rate: float = 0.1) -> Lexicon:
+    """Fits bias and weights of ``words`` to labels ``y`` of texts of ``sizes``
+    sentences: place ``at`` in words, ``sentence`` and ``text`` of each
+    occurrence. Adam over all rows at once, on the likelihood of the noisy-or
+    with a penalty on the weights' size."""
     n = len(y)
-    if n == 0 or y.min() == y.max():
-        share = (y.sum() + 0.5) / (n + 1) if n else 0.5
-        return lexicon(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
-    kept = told_apart(words, text[sentence], y, most)
-    at = np.minimum(np.searchsorted(kept, words), max(len(kept) - 1, 0))
-    known = np.flatnonzero(kept[at] == words) if len(kept) else np.zeros(0, np.int64)
-    at, where = at[known], sentence[known]
     # only sentences with a known word differ from the others of their text
-    marked, row = np.unique(where, return_inverse=True)
-    owner, plain = text[marked], np.bincount(text, minlength=n) - np.bincount(text[marked], minlength=n)
-    w, mean, square = (np.zeros(len(kept) + 1) for _ in range(3))
-    w[-1] = np.log(y.mean() / max(1.0, len(text) / n))
+    order = np.lexsort((sentence, text))
+    at, sentence, text = at[order], sentence[order], text[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (text[1:] != text[:-1]) | (sentence[1:] != sentence[:-1])
+    row, owner = np.cumsum(new) - 1, text[new]
+    plain = sizes - np.bincount(owner, minlength=n)
+    w, mean, square = (np.zeros(len(words) + 1) for _ in range(3))
+    w[-1] = np.log(y.mean() / max(1.0, sizes.mean()))
     for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-(w[-1] + np.bincount(row, w[at], len(marked)))))
+        p = 1 / (1 + np.exp(-(w[-1] + np.bincount(row, w[at], len(owner)))))
         p0 = 1 / (1 + np.exp(-w[-1]))
         none = np.exp(np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), n) + plain * np.log1p(-p0))
         pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-9), 1.0)
         dz = pull[owner] * p
-        grad = np.append(np.bincount(at, dz[row], len(kept)) + l1 * np.sign(w[:-1]), dz.sum() + (pull * plain).sum() * p0)
+        grad = np.append(np.bincount(at, dz[row], len(words)) + l1 * np.sign(w[:-1]), dz.sum() + (pull * plain).sum() * p0)
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         w -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     some = np.abs(w[:-1]) > 0.1
-    return lexicon(kept[some], w[:-1][some], float(w[-1]))
+    return lexicon(words[some], w[:-1][some], float(w[-1]))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 10_000) -> Lexicon:
-    """Learns from ``label`` of at most ``most`` labelled rows, none held out.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 20_000, most_words: int = 1000) -> Lexicon:
+    """Learns from ``label`` of at most ``most`` labelled rows, none held out,
+    weights of at most ``most_words`` words for and as many against.
     No such rows, or one class only: a constant score for every sentence."""
+    rows = written(labelled(docs, labels, label, most))
+    bad, n = rows.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count("*")).first()
+    if bad in (0, n):
+        share = (bad + 0.5) / (n + 1)
+        return lexicon(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
+    known = lexicon(told_apart(rows, bad, n - bad, most_words), np.zeros(0), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words, places, sizes = [], [], []
+            found, sizes = [], []
             for _, _, raw, off in steps(b.column("text")):
                 first, _, text, h, sentence = sentence_words(raw, off)
-                sentence, h = distinct_pairs(sentence, h)
-                of = text[sentence] if len(sentence) else sentence
-                for d in range(len(off) - 1):
-                    mine = slice(*np.searchsorted(of, [d, d + 1]))
-                    lead, to = np.searchsorted(text, [d, d + 1])
-                    words.append(h[mine].tobytes()), places.append((sentence[mine] - lead).astype(np.int32).tobytes()), sizes.append(int(to - lead))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(words, pa.binary()), pa.array(places, pa.binary()), pa.array(sizes, pa.int32())], names=["doc_id", "y", "words", "places", "sentences"])
-
-    got = labelled(docs, labels, label, most).mapInArrow(run, "doc_id long, y int, words binary, places binary, sentences int").toArrow()
-    got = got.sort_by("doc_id").to_pylist()
-    sizes = np.array([r["sentences"] for r in got], np.int64)
-    lead = np.cumsum(sizes) - sizes
-    words = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in got] or [np.zeros(0, np.uint64)])
-    sentence = np.concatenate([np.frombuffer(r["places"], np.int32) + at for r, at in zip(got, lead, strict=True)] or [np.zeros(0, np.int64)])
-    return train(words, sentence, np.repeat(np.arange(len(got)), sizes), np.array([r["y"] for r in got], float))
+                hit, at = known.places(h)
+                of = text[sentence[hit]] if len(hit) else hit
+                sizes += np.bincount(text, minlength=len(off) - 1).tolist()
+                found += [np.stack([at[of == d], sentence[hit][of == d]]).astype(np.int32).tobytes() for d in range(len(off) - 1)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(found, pa.binary()), pa.array(sizes, pa.int32())], names=["doc_id", "y", "hits", "sentences"])
+
+    got = rows.mapInArrow(run, "doc_id long, y int, hits binary, sentences int").toArrow().sort_by([("doc_id", "ascending"), ("hits", "ascending")])
+    hits = [np.frombuffer(x, np.int32).reshape(2, -1) for x in got.column("hits").to_pylist()]
+    text = np.repeat(np.arange(len(hits)), [x.shape[1] for x in hits])
+    both = np.concatenate(hits, 1).astype(np.int64)
+    return train(known.words, both[0], both[1], text, got.column("sentences").to_numpy(), got.column("y").to_numpy().astype(float))
 
 
 def toxicity_scores(docs: DataFrame, model: Lexicon, offends: float = 0.5, key: str = "doc_id") -> DataFrame:
