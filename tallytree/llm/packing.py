@@ -10,41 +10,78 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, tokenizer_path, written
+from .bpe_count import byte_symbols
+from .common import slices, texts, tokenizer_path, written
 
 HASHED, DIMENSIONS, BITS = 1024, 4, 15
-#: Chunks of which a task keeps the identifiers.
-KEPT = 500_000
+#: Chunks, and words without marks and capitals, of which a worker keeps the identifiers.
+KEPT, KEPT_WORDS = 120_000, 350_000
 #: Characters at which str.split cuts, but which are no white space to the tokenizer.
 ODD = re.compile("[\x1c-\x1f]")
 
 
+#: What a chunk may end in and still share the identifiers of its word.
+MARKS = ".,!?;:"
+
+
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Chunks(dict):
     """Identifiers, as little-endian unsigned 32-bit numbers, of what stands
     between white space. The tokenizer drops white space and no token goes
-    across it, so a text's identifiers are those of its chunks."""
+    across it, so a text's identifiers are those of its chunks. It also cuts
+    letters from marks and lower-cases, so "Word," has those of "word" and ","."""
 
-    def __init__(self, name: str, kept: int = KEPT):
+    def __init__(self, name: str, kept: int = KEPT, words: int = KEPT_WORDS):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(tokenizer_path(name)), kept
+        self.tokenizer, self.most, self.most_words = Tokenizer.from_file(tokenizer_path(name)), kept, words
+        self.words: dict[str, bytes] = {}
+        self.model, self.byte = self.tokenizer.model, byte_symbols()
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, word: str, letters: bool) -> bytes:
+        """``letters``: lower-case Latin ones only, which the tokenizer hands to its model as one piece."""
+        ids = self.words.get(word)
+        if ids is None:
+            if letters:
+                shown = word if word.isascii() else "".join([self.byte[b] for b in word.encode()])
+                ids = packed([t.id for t in self.model.tokenize(shown)])
+            else:
+                ids = self.whole(word)
+            if len(self.words) >= self.most_words:
+                self.words.clear()
+            if len(word) < 60:
+                self.words[word] = ids
+        return ids
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.whole(chunk)
+        word = chunk.rstrip(MARKS)
+        folded = word.lower()
+        if folded.isalpha() and max(word) < "\u0250":
+            ids = self.word(folded, True)
+            if len(word) < len(chunk):
+                ids += self.word(chunk[len(word) :], False)
+        else:
+            ids = self.word(chunk, False)
         if len(self) >= self.most:
             self.clear()
-        if len(chunk) < 200:
+        if len(chunk) < 60:
             self[chunk] = ids
         return ids
 
@@ -54,6 +91,12 @@ class Chunks(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+@lru_cache(1)
+def chunks_of(name: str) -> Chunks:
+    """A worker's own, which its next task finds filled."""
+    return Chunks(name)
+
+
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     """The place on the Hilbert curve of each row of unsigned coordinates below
     2 ** bits (Skilling's transposed form, for all rows at once)."""
@@ -98,8 +141,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, key: str) -> DataFra
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = Chunks(tokenizer)
-        for b in batches:
+        chunks = chunks_of(tokenizer)
+        for b in slices(batches):
             ids = [chunks.text(t) for t in b.column("text").to_pylist()]
             keys = pa.array(curve_keys(ids), pa.int64())
             ids = [x + end for x in ids]
