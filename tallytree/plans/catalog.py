@@ -1,6 +1,347 @@
-"""Every registered query and its SQL twin."""
+"""Every registered query of the cohort engine and its SQL twin."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import robust
+from ..operators import aggregate, cohort, concordance, confidence, detect, ordination, taxonomy
+from ..sources import readers
+from . import tables as t
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, shared: bool = True) -> Callable[[Query], Query]:
+    """Registers a query, with its SQL after the shared tables."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = (t.SQL if shared else "") + sql
+        return f
+
+    return add
+
+
+def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """Last of all, so that two engines' sums can be compared."""
+    return df.withColumns({c: F.round(c, places) for c in columns})
+
+
+def cells(spark: SparkSession, d: str, value: str = "raw") -> DataFrame:
+    return t.measured(spark, d).select("sample_id", "tax_id", F.col(value).alias("value"))
+
+
+# detection
+
+FLAG_SQL = "SELECT sample_id, f.tax_id, coalesce(name, '') AS taxon_name, round(value, 6) AS value, round(population_median, 6) AS population_median, round(deviation, 6) AS deviation, '{}' AS method FROM {} f LEFT JOIN nodes ON f.tax_id = nodes.tax_id"
+
+
+def flagged(spark: SparkSession, d: str, value: str = "raw", **how: object) -> DataFrame:
+    c = cells(spark, d, value)
+    return detect.detect(c, t.sample_count(c), t.nodes(spark, d), **how)
+
+
+@query(FLAG_SQL.format("mad", "flags"))
+def detect_mad(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(flagged(spark, d, method="mad", mad_threshold=2.0), "value", "population_median", "deviation")
+
+
+@query(""", halves AS (SELECT tax_id, list_sort(list(v)) AS x, count(*) AS k FROM centred GROUP BY tax_id),
+q AS (SELECT tax_id, list_median(x[1:greatest(k // 2, 1)]) AS q1, list_median(x[k - greatest(k // 2, 1) + 1:k]) AS q3 FROM halves),
+iqr AS (SELECT sample_id, c.tax_id, v AS value, med AS population_median, v - (q3 + 1.5 * (q3 - q1)) AS deviation FROM centred c JOIN q ON c.tax_id = q.tax_id JOIN med ON c.tax_id = med.tax_id
+        WHERE q3 > q1 AND v > q3 + 1.5 * (q3 - q1) AND v > 0)
+""" + FLAG_SQL.format("iqr", "iqr"))
+def detect_iqr(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(flagged(spark, d, method="iqr"), "value", "population_median", "deviation")
+
+
+@query()
+def detect_gmm(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(flagged(spark, d, method="gmm"), "value", "population_median", "deviation")
+
+
+@query()
+def detect_all(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(flagged(spark, d, method="all"), "value", "population_median", "deviation")
+
+
+@query(""", kept AS (SELECT tax_id, sample_id, raw FROM grid WHERE tax_id NOT IN (0, 10001, 10002)), km AS (SELECT tax_id, median(raw) AS med FROM kept GROUP BY tax_id),
+kd AS (SELECT k.tax_id, any_value(med) AS med, median(abs(raw - med)) AS mad FROM kept k JOIN km ON k.tax_id = km.tax_id GROUP BY k.tax_id),
+plain AS (SELECT sample_id, k.tax_id, CAST(raw AS DOUBLE) AS value, med AS population_median, abs(raw - med) / (1.4826 * mad) AS deviation FROM kept k JOIN kd ON k.tax_id = kd.tax_id WHERE mad <> 0 AND raw > med AND abs(raw - med) / (1.4826 * mad) > 2.0)
+""" + FLAG_SQL.format("mad", "plain"))
+def detect_without_kitome(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(flagged(spark, d, method="mad", mad_threshold=2.0, kitome=(0, 10001, 10002), subtract=False), "value", "population_median", "deviation")
+
+
+@query("SELECT (SELECT samples FROM n) AS total_samples, (SELECT count(DISTINCT tax_id) FROM counts) AS total_taxa_analysed, count(*) AS flagged_count, coalesce(string_agg(DISTINCT sample_id, ',' ORDER BY sample_id), '') AS flagged_samples FROM flags")
+def detect_summary(spark: SparkSession, d: str) -> DataFrame:
+    c = cells(spark, d)
+    return detect.qc_summary(flagged(spark, d, method="mad", mad_threshold=2.0), c, t.sample_count(c))
+
+
+@query("SELECT tax_id, round(med, 6) AS med, round(mad, 6) AS mad FROM mad")
+def medians_and_mads(spark: SparkSession, d: str) -> DataFrame:
+    c = cells(spark, d)
+    return rounded(detect.medians(detect.centred(c, t.sample_count(c))), "med", "mad")
+
+
+# aggregation
+
+@query("SELECT tax_id, sample_id, CAST(raw AS BIGINT) AS raw FROM grid")
+def raw_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return aggregate.dense(t.counts(spark, d))
+
+
+@query("SELECT sample_id, tax_id, raw, round(cpm, 4) AS cpm, round(abs, 4) AS abs FROM measured")
+def measures(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(t.measured(spark, d), "cpm", "abs", places=4)
+
+
+@query("SELECT sample_id, tax_id, raw FROM counts WHERE raw >= 3")
+def min_reads(spark: SparkSession, d: str) -> DataFrame:
+    rows = t.counts(spark, d).select("sample_id", "tax_id", F.col("raw").alias("direct_reads"), F.lit(0).alias("line_ord"))
+    return aggregate.counts(rows, 3)
+
+
+@query("SELECT c.sample_id, l.ancestor_id AS tax_id, n.rank AS rank_scope, CAST(sum(raw) AS BIGINT) AS clade_reads FROM counts c JOIN lineage l ON c.tax_id = l.tax_id JOIN nodes n ON l.ancestor_id = n.tax_id WHERE n.rank IN ('S', 'G', 'F') GROUP BY ALL")
+def rank_matrices(spark: SparkSession, d: str) -> DataFrame:
+    direct = t.counts(spark, d).withColumnRenamed("raw", "direct_reads")
+    return aggregate.of_ranks(taxonomy.roll_up(direct, t.lineage(spark, d), "sample_id"), t.nodes(spark, d), ("S", "G", "F"))
+
+
+@query("SELECT tax_id, ancestor_id, CAST(depth AS INT) AS depth FROM lineage")
+def lineage_closure(spark: SparkSession, d: str) -> DataFrame:
+    return t.lineage(spark, d)
+
+
+@query("SELECT tax_id, domain FROM domains")
+def domain_assignment(spark: SparkSession, d: str) -> DataFrame:
+    return t.domains(spark, d)
+
+
+@query("SELECT sample_id FROM counts WHERE sample_id NOT IN (SELECT sample_id FROM totals) GROUP BY 1")
+def samples_without_totals(spark: SparkSession, d: str) -> DataFrame:
+    return aggregate.without_totals(t.counts(spark, d), t.read_totals(spark, d))
+
+
+@query("SELECT c_nationkey, c_custkey, c_name FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) = 1", shared=False)
+def last_wins(spark: SparkSession, d: str) -> DataFrame:
+    return readers.last_of(t.table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name"), ["c_nationkey"], "c_custkey")
+
+
+@query("SELECT p_partkey % 97 AS tax_id, arg_max(p_type, p_partkey) AS name, arg_max(p_brand, p_partkey) AS rank, min(p_type) <> max(p_type) OR min(p_brand) <> max(p_brand) AS inconsistent FROM part WHERE p_size >= 3 GROUP BY 1", shared=False)
+def label_names(spark: SparkSession, d: str) -> DataFrame:
+    rows = t.table(spark, d, "part").select((F.col("p_partkey") % 97).alias("tax_id"), F.col("p_type").alias("name"), F.col("p_brand").alias("rank"), F.col("p_size").alias("direct_reads"), F.lit("a").alias("source_path"), F.col("p_partkey").alias("line_ord"))
+    return aggregate.labels(rows, 3)
+
+
+# confidence
+
+KMERS_SQL = """, kmers AS (SELECT sample_id, l_orderkey, l_linenumber, tax_id, concat(CASE WHEN l_suppkey = 7 THEN 9606 ELSE 10000 + l_suppkey END, ':', CAST(l_quantity AS BIGINT), ' 0:', l_linenumber * 3, ' |:| ', 2000 + nation, ':', l_linenumber, ' A:9 junk x:y ', 10001, ':0') AS kmers FROM reads),
+tok AS (SELECT sample_id, l_orderkey, l_linenumber, tax_id, unnest(string_split(kmers, ' ')) AS t FROM kmers),
+parts AS (SELECT sample_id, l_orderkey, l_linenumber, tax_id, regexp_extract(t, '^(.*):([^:]*)$', 1) AS label, TRY_CAST(regexp_extract(t, '^(.*):([^:]*)$', 2) AS BIGINT) AS n FROM tok WHERE t <> '|:|')
+"""
+CONFIDENCE_SQL = KMERS_SQL + """, good AS (SELECT * FROM parts WHERE n > 0 AND label <> 'A'),
+conf AS (SELECT g.sample_id, g.l_orderkey, g.l_linenumber, g.tax_id, CASE WHEN g.tax_id > 0 THEN sum(CASE WHEN l.ancestor_id IS NOT NULL OR TRY_CAST(label AS BIGINT) = g.tax_id THEN n ELSE 0 END) / sum(n) ELSE 0 END AS confidence
+  FROM good g LEFT JOIN lineage l ON l.tax_id = TRY_CAST(g.label AS BIGINT) AND l.ancestor_id = g.tax_id GROUP BY g.sample_id, g.l_orderkey, g.l_linenumber, g.tax_id)
+"""
+
+
+def kmer_reads(spark: SparkSession, d: str) -> DataFrame:
+    parts = [t.species_id("l_suppkey"), F.lit(":"), F.col("l_quantity").cast("long"), F.lit(" 0:"), F.col("l_linenumber") * 3, F.lit(" |:| "), F.col("nation") + 2000, F.lit(":"), F.col("l_linenumber"), F.lit(" A:9 junk x:y 10001:0")]
+    return t.reads(spark, d).select("sample_id", "l_orderkey", "l_linenumber", "tax_id", F.concat(*(p.cast("string") for p in parts)).alias("kmers"))
+
+
+@query(KMERS_SQL + "SELECT sample_id, label, count(*) AS tokens, CAST(sum(n) AS BIGINT) AS kmers FROM parts WHERE n > 0 GROUP BY ALL")
+def kmer_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return confidence.tokens(kmer_reads(spark, d)).groupBy("sample_id", "label").agg(F.count("*").alias("tokens"), F.sum("n").alias("kmers"))
+
+
+def confident(spark: SparkSession, d: str) -> DataFrame:
+    """Line numbers repeat within an order: line items of one order, line and
+    label are one read with all their k-mers."""
+    keys = ("sample_id", "l_orderkey", "l_linenumber", "assigned")
+    rows = kmer_reads(spark, d).withColumn("assigned", F.col("tax_id"))
+    whole = rows.groupBy(*keys, "tax_id").agg(F.array_join(F.sort_array(F.collect_list("kmers")), " ").alias("kmers"))
+    return confidence.read_confidence(whole, t.lineage(spark, d), *keys)
+
+
+@query(CONFIDENCE_SQL + ", tiered AS (SELECT x.tier, sample_id, CASE WHEN confidence >= x.t THEN greatest(tax_id, 0) ELSE 0 END AS tax_id FROM conf, (VALUES ('conf0p10', 0.1), ('conf0p50', 0.5), ('conf0p80', 0.8)) x(tier, t)) SELECT tier, sample_id, tax_id, count(*) AS direct_reads FROM tiered GROUP BY ALL")
+def confidence_tiers(spark: SparkSession, d: str) -> DataFrame:
+    return confidence.tiers(confident(spark, d), [0.0, 0.1, 0.5, 0.8])
+
+
+@query(CONFIDENCE_SQL + """, d AS (SELECT sample_id, CASE WHEN confidence >= 0.5 THEN tax_id ELSE 0 END AS tax_id, count(*) AS direct_reads FROM conf GROUP BY ALL),
+c AS (SELECT sample_id, coalesce(l.ancestor_id, d.tax_id) AS tax_id, sum(direct_reads) AS clade_reads FROM d LEFT JOIN lineage l ON d.tax_id = l.tax_id GROUP BY ALL), s AS (SELECT sample_id, sum(direct_reads) AS total FROM d GROUP BY 1)
+SELECT 'conf0p50' AS tier, c.sample_id, c.tax_id, coalesce(direct_reads, 0) AS direct_reads, CAST(clade_reads AS BIGINT) AS clade_reads, round(clade_reads / total * 100, 6) AS percentage FROM c LEFT JOIN d ON c.sample_id = d.sample_id AND c.tax_id = d.tax_id JOIN s ON c.sample_id = s.sample_id""")
+def tier_records(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(confidence.tier_records(confidence.tiers(confident(spark, d), [0.5]), t.lineage(spark, d)), "percentage")
+
+
+@query(CONFIDENCE_SQL + "SELECT sample_id, count(*) AS total_reads, count(*) FILTER (tax_id <= 0) AS originally_unclassified, count(*) FILTER (tax_id > 0 AND confidence < 0.5) AS demoted_to_unclassified, count(*) FILTER (tax_id > 0 AND confidence >= 0.5) AS classified_after_filter FROM conf GROUP BY 1")
+def tier_counters(spark: SparkSession, d: str) -> DataFrame:
+    return confidence.tier_counters(confident(spark, d), 0.5)
+
+
+# sources
+
+@query("SELECT sample_id, CAST(12.5 AS DOUBLE) AS percentage, CAST(raw * 2 AS BIGINT) AS clade_reads, raw AS direct_reads, 'S' AS rank, tax_id, concat('taxon ', tax_id) AS name FROM counts WHERE raw <> 2")
+def parse_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Counts written as report lines, some of them spoilt, and parsed again."""
+    raw = F.when(F.col("raw") == 2, "two").otherwise(F.col("raw").cast("string"))
+    good = t.counts(spark, d).select("sample_id", F.concat_ws("\t", F.lit(" 12.50"), (F.col("raw") * 2).cast("string"), raw, F.lit("S"), F.col("tax_id").cast("string"), F.concat(F.lit("   taxon "), F.col("tax_id").cast("string"))).alias("value"))
+    bad = good.limit(3).select("sample_id", F.explode(F.array(F.lit("# note"), F.lit("  "), F.lit("1\t2\t3"))).alias("value"))
+    return readers.parse_report(good.unionByName(bad))
+
+
+@query("SELECT event_type, count(*) AS events, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1", shared=False)
+def parse_sidecars(spark: SparkSession, d: str) -> DataFrame:
+    doc = F.from_json("props", "k long")
+    return t.table(spark, d, "events").select("event_type", doc["k"].alias("k")).groupBy("event_type").agg(F.count("*").alias("events"), F.sum("k").alias("total"))
+
+
+@query("SELECT sample_id, CAST(sum(CASE WHEN l_returnflag <> 'N' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_mapped, CAST(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_unmapped, CAST(sum(l_quantity) AS BIGINT) AS total_reads FROM reads GROUP BY 1")
+def index_totals(spark: SparkSession, d: str) -> DataFrame:
+    n, none = F.col("l_quantity").cast("long").cast("string"), F.col("l_returnflag") == "N"
+    value = F.concat_ws("\t", F.lit("chr1"), F.lit("500"), F.when(none, "0").otherwise(n), F.when(none, n).otherwise("0"))
+    return readers.read_totals(readers.parse_idxstats(t.reads(spark, d).select("sample_id", value.alias("value"))))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey % 4096 AS flag, l_suppkey % 61 AS mapq FROM lineitem WHERE ((l_partkey % 4096) & 4 <> 0 OR l_suppkey % 61 < 10) AND (l_partkey % 4096) & 3328 = 0", shared=False)
+def extraction_predicate(spark: SparkSession, d: str) -> DataFrame:
+    rows = t.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 4096).alias("flag"), (F.col("l_suppkey") % 61).alias("mapq"))
+    return readers.extracted(rows, 10)
+
+
+# cohort
+
+@query("SELECT sample_id, classified, human, classified - human AS nonhuman, round((classified - human) / classified * 100, 6) AS pct_nonhuman, round(abs_ppm, 4) AS abs_ppm, richness, round(shannon, 6) AS shannon, round(simpson, 6) AS simpson FROM stats")
+def sample_stats(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(rounded(cohort.sample_stats(t.fact(spark, d)), "pct_nonhuman", "shannon", "simpson"), "abs_ppm", places=4)
+
+
+@query("SELECT tax_id, round(prevalence, 6) AS prevalence, round(prevalence_at_min, 6) AS prevalence_at_min, raw_total, round(burden, 4) AS burden, positives, round(cpm_median, 4) AS cpm_median, round(cpm_iqr, 4) AS cpm_iqr, round(cpm_p95, 4) AS cpm_p95, round(abs_median, 4) AS abs_median, round(cpm_max, 4) AS cpm_max, round(robust_cv, 6) AS robust_cv, band, (SELECT count(DISTINCT sample_id) FROM flags f WHERE f.tax_id = species.tax_id) AS flagged_samples FROM species")
+def species_summary(spark: SparkSession, d: str) -> DataFrame:
+    fact = t.fact(spark, d)
+    rows = cohort.species(fact, t.sample_count(fact), flagged(spark, d, method="mad", mad_threshold=2.0))
+    return rounded(rounded(rows, "prevalence", "prevalence_at_min", "robust_cv"), "burden", "cpm_median", "cpm_iqr", "cpm_p95", "abs_median", "cpm_max", places=4)
+
+
+def species_of(spark: SparkSession, d: str) -> DataFrame:
+    fact = t.fact(spark, d)
+    return cohort.species(fact, t.sample_count(fact))
+
+
+@query("SELECT band, tax_id, raw_total, rank FROM (SELECT band, tax_id, raw_total, CAST(row_number() OVER (PARTITION BY band ORDER BY burden DESC NULLS LAST, raw_total DESC, tax_id) AS INT) AS rank FROM species) WHERE rank <= 10")
+def prevalence_bands(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.top_of_bands(species_of(spark, d)).select("band", "tax_id", "raw_total", "rank")
+
+
+@query("SELECT tax_id, raw_total, CAST(row_number() OVER (ORDER BY raw_total DESC, tax_id) AS INT) AS rank FROM species ORDER BY raw_total DESC, tax_id LIMIT 200")
+def rank_abundance(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.rank_abundance(species_of(spark, d)).select("tax_id", "raw_total", "rank")
+
+
+@query("SELECT sample_id, tax_id, raw, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY raw DESC, tax_id) AS INT) AS rank FROM counts) WHERE rank <= 10")
+def top_taxa_of_samples(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.top_taxa(t.counts(spark, d))
+
+
+@query("SELECT sample_id, tax_id, raw, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY tax_id ORDER BY raw DESC, sample_id) AS INT) AS rank FROM counts) WHERE rank <= 10")
+def top_samples_of_taxa(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.top_samples(t.counts(spark, d))
+
+
+@query("SELECT sample_id, domain, CAST(sum(raw) AS BIGINT) AS reads, round(sum(raw) / sum(sum(raw)) OVER (PARTITION BY sample_id), 6) AS share FROM fact GROUP BY sample_id, domain")
+def domain_composition(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(cohort.composition(t.fact(spark, d)), "share")
+
+
+@query("SELECT sample_id, domain, round(sum(cpm), 4) AS cpm FROM fact WHERE tax_id <> 9606 GROUP BY ALL")
+def domain_cpm(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(cohort.domain_cpm(t.fact(spark, d)), "cpm", places=4)
+
+
+@query("SELECT sample_id, domain FROM (SELECT sample_id, domain, row_number() OVER (PARTITION BY sample_id ORDER BY round(sum(cpm), 6) DESC, domain) AS k FROM fact WHERE tax_id <> 9606 AND domain IN ('Bacteria', 'Archaea', 'Viruses', 'Fungi', 'Protists') GROUP BY sample_id, domain) WHERE k = 1")
+def dominant_domains(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.dominant_domain(t.fact(spark, d), ("Bacteria", "Archaea", "Viruses", "Fungi", "Protists"))
+
+
+@query("SELECT domain, round(sum(coalesce(burden, raw_total)), 3) AS burden FROM species s JOIN domains d ON s.tax_id = d.tax_id GROUP BY 1")
+def domain_burden(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(cohort.domain_burden(species_of(spark, d), t.domains(spark, d)), "burden", places=3)
+
+
+@query(", s AS (SELECT tax_id, sum(raw) AS reads FROM counts GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY reads DESC, tax_id) AS k FROM s) SELECT CASE WHEN k <= 10 THEN coalesce(name, '') ELSE 'other species' END AS label, CAST(sum(reads) AS BIGINT) AS reads FROM r LEFT JOIN nodes ON r.tax_id = nodes.tax_id GROUP BY 1")
+def attribution(spark: SparkSession, d: str) -> DataFrame:
+    return cohort.top_and_others(t.counts(spark, d), t.nodes(spark, d))
+
+
+@query("SELECT sample_id, round(abs_ppm, 4) AS abs_ppm FROM stats WHERE abs_ppm > 38500")
+def variant_impact(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(cohort.over_threshold(cohort.sample_stats(t.fact(spark, d)), 38500.0).select("sample_id", "abs_ppm"), "abs_ppm", places=4)
+
+
+@query("SELECT sample_id FROM (SELECT sample_id, row_number() OVER (ORDER BY sample_id) AS k FROM direct) WHERE (k - 1) % 3 = 0")
+def every_kth_sample(spark: SparkSession, d: str) -> DataFrame:
+    c = t.counts(spark, d)
+    return cohort.every_kth(c, t.sample_count(c), 9)
+
+
+@query("SELECT (SELECT count(*) FROM stats) AS samples, (SELECT CAST(sum(classified) AS BIGINT) FROM stats) AS classified, (SELECT CAST(sum(classified - human) AS BIGINT) FROM stats) AS nonhuman, (SELECT round(x[len(x) // 2 + 1], 6) FROM (SELECT list_sort(list((classified - human) / classified * 100)) AS x FROM stats)) AS median_pct_nonhuman, count(*) FILTER (band = 'core') AS core, count(*) FILTER (band = 'accessory') AS accessory, count(*) FILTER (band = 'rare') AS rare, (SELECT tax_id FROM species ORDER BY burden DESC NULLS LAST, raw_total DESC, tax_id LIMIT 1) AS top_by_burden FROM species")
+def executive_summary(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(cohort.executive(cohort.sample_stats(t.fact(spark, d)), species_of(spark, d)), "median_pct_nonhuman")
+
+
+@query("SELECT count(cpm) AS n, round(min(cpm), 4) AS min, round(quantile_cont(cpm, 0.05), 4) AS q05, round(quantile_cont(cpm, 0.25), 4) AS q25, round(median(cpm), 4) AS median, round(quantile_cont(cpm, 0.75), 4) AS q75, round(quantile_cont(cpm, 0.95), 4) AS q95, round(max(cpm), 4) AS max FROM measured")
+def cohort_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(t.measured(spark, d).agg(*robust.summary("cpm")), "min", "q05", "q25", "median", "q75", "q95", "max", places=4)
+
+
+@query(", x AS (SELECT l_quantity AS v FROM lineitem), e AS (SELECT min(v) AS lo, max(v) AS hi FROM x), h AS (SELECT CAST(least(floor((v - lo) / ((hi - lo) / 12)), 11) AS INT) AS bin, count(*) AS n FROM x, e GROUP BY 1) SELECT CAST(b AS INT) AS bin, coalesce(n, 0) AS n FROM range(12) r(b) LEFT JOIN h ON h.bin = r.b")
+def value_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return robust.histogram(t.table(spark, d, "lineitem"), "l_quantity", 12)
+
+
+# agreement and distances
+
+@query(", one AS (SELECT DISTINCT sample_id FROM flags), two AS (SELECT sample_id FROM stats WHERE abs_ppm > 38500) SELECT coalesce(one.sample_id, two.sample_id) AS sample_id, CASE WHEN one.sample_id IS NOT NULL AND two.sample_id IS NOT NULL THEN 'both' WHEN one.sample_id IS NOT NULL THEN 'first only' ELSE 'second only' END AS found_in FROM one FULL JOIN two ON one.sample_id = two.sample_id")
+def pass_agreement(spark: SparkSession, d: str) -> DataFrame:
+    over = cohort.over_threshold(cohort.sample_stats(t.fact(spark, d)), 38500.0)
+    return concordance.agreement(flagged(spark, d, method="mad", mad_threshold=2.0), over)
+
+
+@query("SELECT coalesce(name, '') AS taxon_name, count(*) AS flags FROM flags f LEFT JOIN nodes ON f.tax_id = nodes.tax_id GROUP BY 1 ORDER BY flags DESC, taxon_name LIMIT 5")
+def flags_per_label(spark: SparkSession, d: str) -> DataFrame:
+    return concordance.flags_per_label(flagged(spark, d, method="mad", mad_threshold=2.0))
+
+
+@query(", p AS (SELECT x.sample_id AS a, y.sample_id AS b, sum(abs(x.raw - y.raw)) / sum(x.raw + y.raw) AS bray_curtis, 1 - count(*) FILTER (x.raw > 0 AND y.raw > 0) / count(*) FILTER (x.raw > 0 OR y.raw > 0) AS jaccard FROM grid x JOIN grid y ON x.tax_id = y.tax_id AND x.sample_id < y.sample_id GROUP BY ALL) SELECT a, b, round(bray_curtis, 6) AS bray_curtis, round(jaccard, 6) AS jaccard FROM p")
+def sample_distances(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(ordination.pairwise(cells(spark, d)), "bray_curtis", "jaccard")
+
+
+def ordered_samples(spark: SparkSession, d: str, cap: int = 500) -> list[str]:
+    c = t.counts(spark, d)
+    return [r[0] for r in cohort.every_kth(c, t.sample_count(c), cap).orderBy("sample_id").collect()]  # cap + a step's at most
+
+
+@query()
+def sample_clusters(spark: SparkSession, d: str) -> DataFrame:
+    names = ordered_samples(spark, d)
+    order, _ = ordination.cluster(ordination.square(ordination.pairwise(cells(spark, d)), names))
+    return spark.createDataFrame([(i, names[k]) for i, k in enumerate(order)], "place int, sample_id string")
+
+
+@query()
+def sample_coordinates(spark: SparkSession, d: str) -> DataFrame:
+    names = ordered_samples(spark, d, 2000)
+    coords, _ = ordination.principal_coordinates(ordination.square(ordination.pairwise(cells(spark, d)), names))
+    return spark.createDataFrame([(s, float(x), float(y)) for s, (x, y) in zip(names, coords, strict=True)], "sample_id string, x double, y double")
