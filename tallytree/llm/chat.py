@@ -48,7 +48,7 @@ def render(messages: list[tuple[str, str]], learned: str = "assistant") -> tuple
     """The formatted conversation, and the spans (code points) that the loss covers."""
     out, spans, at = [], [], 0
     for role, text in messages:
-        head, body = f"{MARK}{escape_role(role.capitalize() if role.islower() else role)}: ", escape(text)
+        head, body = f"{MARK}{escape_role(role)}: ", escape(text)
         if role == learned:
             spans.append({"start": at + len(head), "end": at + len(head) + len(body)})
         out += [head, body, END, "\n"]
@@ -60,8 +60,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     """The messages that ``render`` was given."""
     turns = []
     for role, body in TURN.findall(formatted):
-        role = re.sub(r"\\(.)", r"\1", role, flags=re.S)
-        turns.append((role.lower() if role.lower().capitalize() == role else role, unescape(body)))
+        turns.append((re.sub(r"\\(.)", r"\1", role, flags=re.S), unescape(body)))
     return turns
 
 
