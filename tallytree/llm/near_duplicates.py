@@ -11,7 +11,8 @@ Within a key, texts are first linked with the key's centre (its smallest id).
 What is in one component needs no more comparing; of the rest, all pairs of
 different components are compared. A key with more than ``CROWD`` texts of
 several components is too blunt for them: they get a second index of longer
-chunks. No key, bucket or partner is dropped.
+chunks, and a signature of single bits on whose Hamming distance the join itself
+decides. No key, bucket or partner is dropped.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from .wordhash import SPACED, span_hashes, sums, word_spans
 #: Chance that an index misses a pair of exactly the linking similarity.
 MISS = 1e-6
 CROWD = 40
+#: Keys at most, and bits, of a crowded text's second signature.
+SHARP_KEYS, BITS = 56, 512
 
 
 @dataclass(frozen=True)
@@ -56,6 +59,20 @@ def index(similarity: float, symbols: int, errors: int, seed: int) -> Index:
     return Index(symbols, errors, math.ceil(math.log(MISS) / math.log(1 - good)), seed)
 
 
+def sharp_index(similarity: float, seed: int) -> Index:
+    """The longest chunks without errors that need ``SHARP_KEYS`` keys at most."""
+    n = 1
+    while index(similarity, n + 1, 0, seed).chunks <= SHARP_KEYS:
+        n += 1
+    return index(similarity, n, 0, seed)
+
+
+def bits_apart(similarity: float) -> int:
+    """Bits in which two texts of that similarity differ at most, six deviations above the mean."""
+    p = (1 - similarity) / 2
+    return math.ceil(BITS * p + 6 * math.sqrt(BITS * p * (1 - p)))
+
+
 def shingles(raw: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of the distinct shingles of each text, in that order. A text
     of fewer than ``size`` words has one shingle, the whole sequence."""
@@ -100,6 +117,33 @@ def keys_of(doc: np.ndarray, h: np.ndarray, n: int, idx: Index) -> np.ndarray:
     return out
 
 
+def bits_of(doc: np.ndarray, h: np.ndarray, n: int, seed: int = 19) -> np.ndarray:
+    """One bit of each of ``BITS`` min-hashes of each text, packed in 64-bit numbers."""
+    rng = np.random.default_rng(seed)
+    size = np.bincount(doc, minlength=n)
+    some = np.flatnonzero(size)
+    first = (np.cumsum(size) - size)[some]
+    out = np.zeros((n, BITS // 64), np.uint64)
+    for k in range(BITS if len(some) else 0):
+        a, b = rng.integers(0, 1 << 63, 2, dtype=np.int64).astype(np.uint64)
+        least = np.minimum.reduceat((h ^ b) * (a * np.uint64(2) + np.uint64(1)), first)
+        out[some, k // 64] |= (mix(least) & np.uint64(1)) << np.uint64(k % 64)
+    return out
+
+
+def sketched(rows: DataFrame, size: int, idx: Index) -> DataFrame:
+    """``id``, ``keys`` and ``bits`` of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64)))
+        for b in batches:
+            for at, to, raw, off in steps(b.column("text")):
+                doc, h = shingles(raw, off, size)
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), lists(keys_of(doc, h, to - at, idx)), lists(bits_of(doc, h, to - at))], names=["id", "keys", "bits"])
+
+    return rows.mapInArrow(run, "id long, keys array<long>, bits array<long>").dropDuplicates(["id"])
+
+
 def signed(rows: DataFrame, size: int, idx: Index) -> DataFrame:
     """``id``, ``n`` (shingles), ``digest`` of the set (128 bits), and ``keys``."""
 
@@ -178,10 +222,14 @@ def like_size(a: str, b: str, percent: int) -> F.Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (key, id, n, comp) of one key and different components."""
-    other = members.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    found = members.join(other, "key").where((F.col("comp") < F.col("comp_b")) & like_size("n", "n_b", percent))
+def across(members: DataFrame, percent: int, apart: int | None = None) -> DataFrame:
+    """Pairs of members (key, id, n, comp) of one key and different components;
+    with ``apart``, whose ``bits`` differ in so many at most."""
+    other = members.select(*(F.col(c).alias(c if c == "key" else f"{c}_b") for c in members.columns)).withColumnRenamed("id_b", "b")
+    near = (F.col("comp") < F.col("comp_b")) & like_size("n", "n_b", percent)
+    if apart is not None:
+        near &= sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)) <= apart
+    found = members.join(other, "key").where(near)
     return found.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
@@ -200,7 +248,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     one. Other columns are ignored.
     """
     rows = texts(docs, key).select(F.col(key).cast("long").alias("id"), "text")
-    blunt, sharp = index(percent / 100, 5, 1, 17), index(percent / 100, 12, 0, 18)
+    blunt, sharp = index(percent / 100, 5, 1, 17), sharp_index(percent / 100, 18)
     found = written(signed(rows, size, blunt))
     real = found.where("n > 0 AND id IS NOT NULL")
     classes = written(real.groupBy("digest", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys")))
@@ -214,13 +262,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     member = keyed.join(joined.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
     mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("times")).where("low < high").select("key", "times")
     open_keys = written(member.join(mixed, "key"))
-    pairs = across(open_keys.where(F.col("times") <= CROWD), percent)
+    pairs = across(open_keys.where(F.col("times") <= CROWD).drop("times"), percent)
 
     crowd = written(open_keys.where(F.col("times") > CROWD).select("id", "n", "comp").distinct())
     again = rows.join(sized(crowd.select(F.col("id").alias("at"))), F.col("id") == F.col("at"), "left_semi")
-    sharper = signed(again, size, sharp).select("id", F.explode("keys").alias("key")).distinct()
-    sharper = written(sharper.join(crowd, "id"))
-    pairs = pairs.unionByName(across(sharper, percent)).distinct()
+    sharper = sketched(again, size, sharp).join(crowd, "id").select("id", "n", "comp", "bits", F.explode("keys").alias("key"))
+    sharper = written(sharper)
+    pairs = pairs.unionByName(across(sharper, percent, bits_apart(percent / 100))).distinct()
     second = links(rows, pairs, size, percent)
     final = components(first.unionByName(second))
     discard(first, second, joined, open_keys, crowd, sharper)
