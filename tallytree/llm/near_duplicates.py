@@ -173,22 +173,14 @@ def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFra
         for b in batches:
             for at, to, raw, off in steps(b.column("text")):
                 doc, h = shingles(raw, off, size)
-                cut = np.searchsorted(doc, np.arange(to - at + 1))
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), pa.array([h[x:y].tobytes() for x, y in zip(cut, cut[1:], strict=False)], pa.binary())], names=["id", "s"])
+                cut = np.searchsorted(doc, np.arange(to - at + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), pa.ListArray.from_arrays(pa.array(cut), pa.array(h.view(np.int64)))], names=["id", "s"])
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column("sa"), b.column("sb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(both) - same))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    full = written(needed.mapInArrow(sets, "id long, s binary").dropDuplicates(["id"]))
+    full = written(needed.mapInArrow(sets, "id long, s array<long>").dropDuplicates(["id"]))
     both = pairs.join(full.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(full.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
-    out = written(both.select("a", "b", "sa", "sb").mapInArrow(measure, "a long, b long"))
+    # row by row in the JVM: a batch of pairs of whole sets would be hundreds of MB
+    same = F.size(F.array_intersect("sa", "sb"))
+    out = written(both.where(100 * same >= percent * (F.size("sa") + F.size("sb") - same)).select("a", "b"))
     discard(pairs, asked, full)
     return out
 
