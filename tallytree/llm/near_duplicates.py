@@ -7,9 +7,11 @@ chunks with at most ``e`` errors, so that one of the keys that leave out every
 choice of ``e`` symbols of that chunk is equal. That finds all pairs under the
 distance; every pair found is then measured on the full sets.
 
-Within a key, texts are first linked with the key's centre (its smallest id).
-What is in one component needs no more comparing; of the rest, all pairs of
-different components are compared. A key with more than ``CROWD`` texts of
+Within a key, texts are first linked with the key's centre, which its hash draws
+from the key's texts, so that a text's keys mostly have different centres; again
+with other centres where a key still has several components. What is in one
+component needs no more comparing; of the rest, all pairs of different
+components are compared. A key with more than ``CROWD`` texts of
 several components is too blunt for them: they get a second index of longer
 chunks, and a signature of single bits on whose Hamming distance the join itself
 decides. No key, bucket or partner is dropped.
@@ -34,6 +36,8 @@ from .wordhash import SPACED, span_hashes, sums, word_spans
 #: Chance that an index misses a pair of exactly the linking similarity.
 MISS = 1e-6
 CROWD = 40
+#: Rounds of linking with centres before all pairs of what is left are compared.
+ROUNDS = 3
 #: Keys at most, and bits, of a crowded text's second signature.
 SHARP_KEYS, BITS = 56, 512
 
@@ -214,6 +218,16 @@ def like_size(a: str, b: str, percent: int) -> F.Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
+def stars(members: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of each key's centre with its members (key, id, n, comp) of other
+    components. The centre is the member whose hash with the key and ``turn`` is smallest."""
+    drawn = F.xxhash64("id", "key", F.lit(turn))
+    centres = members.groupBy("key").agg(F.min(F.struct(drawn.alias("drawn"), "id", "n", "comp")).alias("c"), F.count("*").alias("times")).where("times > 1")
+    centres = centres.select("key", F.col("c.id").alias("a"), F.col("c.n").alias("n_a"), F.col("c.comp").alias("comp_a"))
+    met = members.join(centres, "key").where((F.col("comp") != F.col("comp_a")) & like_size("n", "n_a", percent))
+    return met.select(F.least("id", "a").alias("a"), F.greatest("id", "a").alias("b")).distinct()
+
+
 def across(members: DataFrame, percent: int, apart: int | None = None) -> DataFrame:
     """Pairs of members (key, id, n, comp) of one key and different components;
     with ``apart``, whose ``bits`` differ in so many at most."""
@@ -246,14 +260,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     classes = written(real.groupBy("digest", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys")))
     keyed = classes.select("id", "n", F.explode("keys").alias("key"))
 
-    centres = keyed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("c"), F.count("*").alias("times")).where("times > 1").select("key", F.col("c.id").alias("a"), F.col("c.n").alias("n_a"))
-    stars = keyed.join(centres, "key").where((F.col("id") != F.col("a")) & like_size("n", "n_a", percent))
-    first = links(rows, stars.select("a", F.col("id").alias("b")).distinct(), size, percent)
-    joined = components(first)
-
-    member = keyed.join(joined.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
-    mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("times")).where("low < high").select("key", "times")
-    open_keys = written(member.join(mixed, "key"))
+    members, linked, open_keys = keyed.withColumn("comp", F.col("id")), None, None
+    for n in range(ROUNDS):
+        met = links(rows, stars(members, percent, n), size, percent)
+        linked = met if linked is None else written(linked.unionByName(met))
+        joined = components(linked)
+        member = members.drop("comp", "times").join(joined.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
+        mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("times")).where("low < high").select("key", "times")
+        members = open_keys = written(member.join(mixed, "key"))
+    first = linked
     pairs = across(open_keys.where(F.col("times") <= CROWD).drop("times"), percent)
 
     crowd = written(open_keys.where(F.col("times") > CROWD).select("id", "n", "comp").distinct())
