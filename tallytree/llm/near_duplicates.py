@@ -7,9 +7,9 @@ chunks with at most ``e`` errors, so that one of the keys that leave out every
 choice of ``e`` symbols of that chunk is equal. That finds all pairs under the
 distance; every pair found is then measured on the full sets.
 
-Within a key, texts are first linked with the key's centre, which its hash draws
-from the key's texts, so that a text's keys mostly have different centres; again
-with other centres where a key still has several components. What is in one
+Within a key, texts are first linked with the key's centre (drawn by a hash of the
+id, so that neighbouring keys share it); again with several other centres where a
+key still has several components. What is in one
 component needs no more comparing; of the rest, all pairs of different
 components are compared. A key with more than ``CROWD`` texts of
 several components is too blunt for them: they get a second index of longer
@@ -36,10 +36,10 @@ from .wordhash import SPACED, span_hashes, sums, word_spans
 #: Chance that an index misses a pair of exactly the linking similarity.
 MISS = 1e-6
 CROWD = 40
-#: Rounds of linking with centres before all pairs of what is left are compared.
-ROUNDS = 3
+#: Centres of a key in each round of linking, before all pairs of what is left are compared.
+DRAWS = (1, 8, 8)
 #: Keys at most, and bits, of a crowded text's second signature.
-SHARP_KEYS, BITS = 56, 512
+SHARP_KEYS, BITS = 56, 1024
 
 
 @dataclass(frozen=True)
@@ -219,22 +219,25 @@ def like_size(a: str, b: str, percent: int) -> F.Column:
 
 
 def stars(members: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs of each key's centre with its members (key, id, n, comp) of other
-    components. The centre is the member whose hash with the key and ``turn`` is smallest."""
-    drawn = F.xxhash64("id", "key", F.lit(turn))
-    centres = members.groupBy("key").agg(F.min(F.struct(drawn.alias("drawn"), "id", "n", "comp")).alias("c"), F.count("*").alias("times")).where("times > 1")
-    centres = centres.select("key", F.col("c.id").alias("a"), F.col("c.n").alias("n_a"), F.col("c.comp").alias("comp_a"))
+    """Pairs of each key's centres with its members (key, id, n, comp) of other
+    components. A centre is the member whose hash with ``turn`` and a number
+    below ``DRAWS[turn]`` is smallest."""
+    least = [F.min(F.struct(F.xxhash64("id", F.lit(turn), F.lit(k)).alias("drawn"), "id", "n", "comp")) for k in range(DRAWS[turn])]
+    centres = members.groupBy("key").agg(F.array_distinct(F.transform(F.array(*least), lambda c: F.struct(c["id"].alias("id"), c["n"].alias("n"), c["comp"].alias("comp")))).alias("c"), F.count("*").alias("times"))
+    centres = centres.where("times > 1").select("key", F.explode("c").alias("c")).select("key", F.col("c.id").alias("a"), F.col("c.n").alias("n_a"), F.col("c.comp").alias("comp_a"))
     met = members.join(centres, "key").where((F.col("comp") != F.col("comp_a")) & like_size("n", "n_a", percent))
     return met.select(F.least("id", "a").alias("a"), F.greatest("id", "a").alias("b")).distinct()
 
 
 def across(members: DataFrame, percent: int, apart: int | None = None) -> DataFrame:
     """Pairs of members (key, id, n, comp) of one key and different components;
-    with ``apart``, whose ``bits`` differ in so many at most."""
+    with ``apart``, whose ``bits`` differ in so many at most, and only from the
+    first key that they share (``before`` has a member's keys before this one)."""
     other = members.select(*(F.col(c).alias(c if c == "key" else f"{c}_b") for c in members.columns)).withColumnRenamed("id_b", "b")
     near = (F.col("comp") < F.col("comp_b")) & like_size("n", "n_b", percent)
     if apart is not None:
         near &= sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)) <= apart
+        near &= ~F.arrays_overlap("before", "before_b")
     found = members.join(other, "key").where(near)
     return found.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
@@ -261,7 +264,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     keyed = classes.select("id", "n", F.explode("keys").alias("key"))
 
     members, linked, open_keys = keyed.withColumn("comp", F.col("id")), None, None
-    for n in range(ROUNDS):
+    for n in range(len(DRAWS)):
         met = links(rows, stars(members, percent, n), size, percent)
         linked = met if linked is None else written(linked.unionByName(met))
         joined = components(linked)
@@ -273,8 +276,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
 
     crowd = written(open_keys.where(F.col("times") > CROWD).select("id", "n", "comp").distinct())
     again = rows.join(sized(crowd.select(F.col("id").alias("at"))), F.col("id") == F.col("at"), "left_semi")
-    sharper = sketched(again, size, sharp).join(crowd, "id").select("id", "n", "comp", "bits", F.explode("keys").alias("key"))
-    sharper = written(sharper)
+    sharper = sketched(again, size, sharp).join(crowd, "id").select("id", "n", "comp", "bits", "keys", F.posexplode("keys").alias("at", "key"))
+    sharper = written(sharper.select("key", "id", "n", "comp", "bits", F.slice("keys", F.lit(1), F.col("at")).alias("before")))
     pairs = pairs.unionByName(across(sharper, percent, bits_apart(percent / 100))).distinct()
     second = links(rows, pairs, size, percent)
     final = components(first.unionByName(second))
