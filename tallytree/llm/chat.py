@@ -99,8 +99,10 @@ def events_of_rows(rows: DataFrame) -> DataFrame:
     message is opened empty and its text streamed. Rows that repeat a turn stay
     messages of their own, ordered by role and text; null turns come first."""
     sorted_key = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.select("conv_id", F.posexplode(F.array(F.lit("start"), F.lit("delta"))).alias("step", "op"), sorted_key.alias("order"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).select(
-        "conv_id", F.struct("order", "step").alias("seq"), "op", F.lit(None).cast("string").alias("message"), "role", F.when(F.col("op") == "delta", F.col("text")).otherwise("").alias("text")
+    # equal rows get numbers of their own before they become events, so that each one's delta follows its start
+    rows = rows.select("conv_id", "role", "text", sorted_key.alias("order"), F.monotonically_increasing_id().alias("row"))
+    return rows.select("conv_id", F.posexplode(F.array(F.lit("start"), F.lit("delta"))).alias("step", "op"), "order", "row", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).select(
+        "conv_id", F.struct("order", "row", "step").alias("seq"), "op", F.lit(None).cast("string").alias("message"), "role", F.when(F.col("op") == "delta", F.col("text")).otherwise("").alias("text")
     )
 
 

@@ -2,12 +2,13 @@
 
 import random
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallytree.llm import chat, html_blocks, html_extract
-from tallytree.llm.queries import op9_chat_formatting
+from tallytree.llm.queries import ORACLE_SQL, op9_chat_formatting
 
 PAGE = """<!DOCTYPE html><html><head><title>Head</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav><!-- ad --><div class="ad">Buy this now.</div>
@@ -76,3 +77,19 @@ def test_rows_become_conversations(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r["conv_id"]: r for r in op9_chat_formatting(spark, str(tmp_path)).collect()}
     assert {k: (v["n_turns"], v["loss_chars"]) for k, v in got.items()} == {1: (3, 1), 2: (2, 0), -7: (2, 26)}
+
+
+def test_rows_that_repeat_keep_their_texts(spark, tmp_path):
+    rows = [(2, 0, "user", "x")] * 2 + [(3, 1, "assistant", "yes")] * 3 + [(3, 0, "user", "y"), (3, 1, "assistant", "no"), (3, 1, None, None), (3, 1, "", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {r["conv_id"]: r for r in chat.formatted(chat.events_of_rows(df)).collect()}
+    assert {k: chat.parse(r["formatted"]) for k, r in got.items()} == {
+        2: [("user", "x")] * 2,
+        3: [("user", "y"), ("", ""), ("", ""), ("assistant", "no"), *[("assistant", "yes")] * 3],
+    }
+    assert [r["formatted"][s["start"] : s["end"]] for r in [got[3]] for s in r["loss"]] == ["no", "yes", "yes", "yes"]
+    df.write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(ORACLE_SQL["op9_chat_formatting"])
+    assert sorted(map(tuple, op9_chat_formatting(spark, str(tmp_path)).select(*want.columns).collect())) == sorted(want.fetchall())
