@@ -70,13 +70,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
     occurrence of a window), ``items`` (ids whose windows occur, sorted as
     strings), ``row`` (xxhash64 of the text).
 
+    Items with a null id are searched like any other; ``items`` then ends in one
+    null, which stands for all of them.
+
     Null and empty texts have no words and no hits; an item without words never
     occurs. Repeated rows have equal results each, rows are told apart by key
     and text; a null key is kept. Empty tables: no rows, or no hits. Other
     columns are ignored.
     """
     rows = texts(docs, key).withColumn("row", F.xxhash64("text"))
-    items = hashed(texts(benchmark.where(F.col(item).isNotNull()), item)).withColumn("n", F.size("h")).where("n > 0")
+    items = hashed(texts(benchmark, item)).withColumn("n", F.size("h")).where("n > 0")
     items = written(items)
     # the windows of every length that items have: SPAN, and those of shorter items
     short = sorted(r[0] for r in items.where(F.col("n") < SPAN).select("n").distinct().collect())  # at most SPAN - 1 numbers
@@ -85,7 +88,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
     for n in lengths:
         of = items.where(F.col("n") >= SPAN if n == SPAN else F.col("n") == n).select(F.col(item).cast("string").alias("item"), F.explode(grams("h", n)).alias("g")).distinct().withColumn("span", F.lit(n))
         windows = of if windows is None else windows.unionByName(of)
-    windows = sized(windows.groupBy("g", "span").agg(F.collect_set("item").alias("items")))
+    # ids in structs, as collect_set leaves out nulls
+    windows = sized(windows.groupBy("g", "span").agg(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"]).alias("items")))
 
     marks = sized(fingerprints(items.where(F.col("n") >= SPAN), item).select("f").distinct())
     found = hashed(rows)

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallytree.llm import decontaminate, near_duplicates, queries, repeats
 
 SCHEMA = "doc_id long, text string, id int, key string, n long, comp long"
@@ -144,3 +145,23 @@ def test_contamination_of_odd_tables(spark):
     assert {r["n_hit"] for r in decontaminate.contamination(docs, bench.limit(0)).collect()} == {0}
     twice = docs.unionByName(docs).withColumn("doc_id", F.lit(None).cast("long"))
     assert sorted(r["n_hit"] for r in decontaminate.contamination(twice, bench).collect()) == [0, 0, 2, 2]
+
+
+def test_items_without_ids_are_searched(spark, tmp_path):
+    rng = random.Random(7)
+    known, leaked = words(rng, 20), words(rng, 30)
+    texts = [" ".join([*words(rng, 30), *leaked[4:24]]), " ".join([*known, "and", *leaked]), " ".join(known), "tiny text", " ".join(words(rng, 40)), None]
+    docs = table(spark, texts)
+    bench = spark.createDataFrame([(None, " ".join(leaked)), (None, " ".join(leaked[:20])), (None, "tiny text"), (None, None), (7, " ".join(known)), (8, " ".join(leaked[:14]))], "item_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contamination(docs, bench).collect()}
+    assert {k: (r["n_hit"], r["items"]) for k, r in got.items()} == {0: (20, [None]), 1: (50, ["7", "8", None]), 2: (20, ["7"]), 3: (2, [None]), 4: (0, []), 5: (0, [])}
+    for name, df in (("documents", docs), ("benchmark", bench)):
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op7_decontamination"])
+    found = queries.op7_decontamination(spark, str(tmp_path)).select(*want.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(want.fetchall())
+    kept = corpus_pipeline.uncontaminated(spark, docs.withColumns({c: F.lit(None) for c in ("lang", "source", "n_chars")}), str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == {4, 5}
