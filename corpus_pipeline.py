@@ -20,14 +20,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (similarity 0.8, five
-    words), and one of rows that repeat a doc_id."""
-    docs = docs.select(*COLUMNS)
-    told = near_duplicates.near_duplicates(docs, percent=80)
-    gone = written(told.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct())
-    again = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")))
-    kept = docs.join(sized(gone), F.col("doc_id") == F.col("gone"), "left_anti")
-    once = kept.join(sized(again), F.col("doc_id") == F.col("again"), "left_anti")
-    return once.unionByName(kept.join(sized(again), F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"]))
+    words): the one of the smallest doc_id, a null one being last. Rows are told
+    apart by doc_id and text, so different texts of one doc_id, or without one,
+    are documents of their own; of rows that repeat both, one is kept."""
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row"))
+    again = written(keyed.groupBy("row").count().where("count > 1").select(F.col("row").alias("again")))
+    repeated = sized(again)
+    once = keyed.join(repeated, F.col("row") == F.col("again"), "left_anti")
+    docs = once.unionByName(written(keyed.join(repeated, F.col("row") == F.col("again"), "left_semi").dropDuplicates(["row"])))
+    told = near_duplicates.near_duplicates(docs, percent=80, key="row")
+    copies = written(told.where("NOT kept").select("row", F.col("component_id").alias("of")))
+    members = written(copies.unionByName(copies.select(F.col("of").alias("row"), "of").distinct()))
+    named = sized(members.withColumnRenamed("row", "at")).join(docs.select("row", "doc_id"), F.col("at") == F.col("row"))
+    best = named.groupBy("of").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("best"))
+    best = written(best.select(F.col("best.row").alias("best")))
+    gone = written(members.join(sized(best), F.col("row") == F.col("best"), "left_anti").select(F.col("row").alias("gone")))
+    return docs.join(sized(gone), F.col("row") == F.col("gone"), "left_anti").select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -40,3 +40,14 @@ def test_each_stage_takes_out_its_own(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, str(tmp_path))
     assert {r[0] for r in pieces.select("doc_id").distinct().collect()} == seen[3].keys()
     assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    rng = random.Random(12)
+    a, b, c, d, e, f = (" ".join(f"w{rng.randrange(4000)}" for _ in range(60)) for _ in range(6))
+    rows = [(1, a), (1, b), (2, b + " end"), (3, c), (3, c), (4, d), (4, c), (None, e), (None, e), (None, e + " end"), (None, a), (None, f), (9, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.one_of_each(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    kept = [(r["doc_id"], (r["text"] or "").removesuffix(" end")) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (3, c), (4, d), (None, e), (None, f), (9, ""), (8, "")], key=str)
