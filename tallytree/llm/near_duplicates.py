@@ -7,14 +7,13 @@ chunks with at most ``e`` errors, so that one of the keys that leave out every
 choice of ``e`` symbols of that chunk is equal. That finds all pairs under the
 distance; every pair found is then measured on the full sets.
 
-Within a key, texts are first linked with the key's centre (drawn by a hash of the
-id, so that neighbouring keys share it); again with several other centres where a
-key still has several components. What is in one
-component needs no more comparing; of the rest, all pairs of different
-components are compared. A key with more than ``CROWD`` texts of
-several components is too blunt for them: they get a second index of longer
-chunks, and a signature of single bits on whose Hamming distance the join itself
-decides. No key, bucket or partner is dropped.
+Within a key, texts are first measured against the key's centre (drawn by a hash of
+the id, so that neighbouring keys share it). Texts near the centre are in one
+component and need no more comparing with each other. What isn't near it is compared
+with the rest of the key: pair by pair in a key of ``CROWD`` texts at most; in a
+larger one through the elements in which each differs from the centre, where a
+prefix filter leaves the pairs that can be similar. No key, bucket or partner is
+dropped.
 """
 
 from __future__ import annotations
@@ -26,20 +25,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix, steps, texts, written
+from .common import discard, mix, slices, steps, texts, written
 from .decontaminate import sized
 from .wordhash import SPACED, span_hashes, sums, word_spans
 
 #: Chance that an index misses a pair of exactly the linking similarity.
 MISS = 1e-6
+#: Texts of a key up to which all its pairs are measured.
 CROWD = 40
-#: Centres of a key in each round of linking, before all pairs of what is left are compared.
-DRAWS = (1, 8, 8)
-#: Keys at most, and bits, of a crowded text's second signature.
-SHARP_KEYS, BITS = 56, 1024
 
 
 @dataclass(frozen=True)
@@ -63,20 +59,6 @@ def index(similarity: float, symbols: int, errors: int, seed: int) -> Index:
     return Index(symbols, errors, math.ceil(math.log(MISS) / math.log(1 - good)), seed)
 
 
-def sharp_index(similarity: float, seed: int) -> Index:
-    """The longest chunks without errors that need ``SHARP_KEYS`` keys at most."""
-    n = 1
-    while index(similarity, n + 1, 0, seed).chunks <= SHARP_KEYS:
-        n += 1
-    return index(similarity, n, 0, seed)
-
-
-def bits_apart(similarity: float) -> int:
-    """Bits in which two texts of that similarity differ at most, six deviations above the mean."""
-    p = (1 - similarity) / 2
-    return math.ceil(BITS * p + 6 * math.sqrt(BITS * p * (1 - p)))
-
-
 def shingles(raw: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of the distinct shingles of each text, in that order. A text
     of fewer than ``size`` words has one shingle, the whole sequence."""
@@ -111,7 +93,7 @@ def keys_of(doc: np.ndarray, h: np.ndarray, n: int, idx: Index) -> np.ndarray:
         for _ in range(idx.symbols):
             a, b = rng.integers(0, 1 << 63, 2, dtype=np.int64).astype(np.uint64)
             least = np.minimum.reduceat((h ^ b) * (a * np.uint64(2) + np.uint64(1)), first)
-            symbols.append(least >> np.uint64(48))
+            symbols.append(mix(least) >> np.uint64(48))  # the least of many is itself no even draw
         for k, gone in enumerate(left_out):
             key = np.full(len(some), c * len(left_out) + k + 1, np.uint64)
             for i in range(idx.symbols):
@@ -121,72 +103,52 @@ def keys_of(doc: np.ndarray, h: np.ndarray, n: int, idx: Index) -> np.ndarray:
     return out
 
 
-def bits_of(doc: np.ndarray, h: np.ndarray, n: int, seed: int = 19) -> np.ndarray:
-    """One bit of each of ``BITS`` min-hashes of each text, packed in 64-bit numbers."""
-    rng = np.random.default_rng(seed)
-    size = np.bincount(doc, minlength=n)
-    some = np.flatnonzero(size)
-    first = (np.cumsum(size) - size)[some]
-    out = np.zeros((n, BITS // 64), np.uint64)
-    for k in range(BITS if len(some) else 0):
-        a, b = rng.integers(0, 1 << 63, 2, dtype=np.int64).astype(np.uint64)
-        least = np.minimum.reduceat((h ^ b) * (a * np.uint64(2) + np.uint64(1)), first)
-        out[some, k // 64] |= (mix(least) & np.uint64(1)) << np.uint64(k % 64)
-    return out
-
-
-def sketched(rows: DataFrame, size: int, idx: Index) -> DataFrame:
-    """``id``, ``keys`` and ``bits`` of each text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel().view(np.int64)))
-        for b in batches:
-            for at, to, raw, off in steps(b.column("text")):
-                doc, h = shingles(raw, off, size)
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), lists(keys_of(doc, h, to - at, idx)), lists(bits_of(doc, h, to - at))], names=["id", "keys", "bits"])
-
-    return rows.mapInArrow(run, "id long, keys array<long>, bits array<long>").dropDuplicates(["id"])
-
-
 def signed(rows: DataFrame, size: int, idx: Index) -> DataFrame:
-    """``id``, ``n`` (shingles), ``digest`` of the set (128 bits), and ``keys``."""
+    """``key``, ``id``, ``n`` (shingles), ``digest`` of the set (128 bits), and ``keys``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for at, to, raw, off in steps(b.column("text")):
                 doc, h = shingles(raw, off, size)
                 n = to - at
                 count, keys = np.bincount(doc, minlength=n), keys_of(doc, h, n, idx)
-                digest = np.zeros((n, 2), np.uint64)
-                np.add.at(digest[:, 0], doc, h)
-                np.add.at(digest[:, 1], doc, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * keys.shape[1], pa.int32()), pa.array(keys.ravel().view(np.int64)))
-                raw16 = pa.array([d.tobytes() for d in digest], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, n), pa.array(count), raw16, flat], names=["id", "n", "digest", "keys"])
+                yield pa.RecordBatch.from_arrays([b.column("key").slice(at, n), b.column("id").slice(at, n), pa.array(count), digests(doc, h, n), flat], names=["key", "id", "n", "digest", "keys"])
 
-    return rows.mapInArrow(run, "id long, n long, digest binary, keys array<long>")
+    return rows.mapInArrow(run, "key long, id long, n long, digest binary, keys array<long>")
 
 
-def links(rows: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
-    pairs = written(pairs)
-    asked = written(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct())
-    needed = rows.join(sized(asked), F.col("id") == F.col("at"), "left_semi")
+def digests(doc: np.ndarray, h: np.ndarray, n: int) -> pa.Array:
+    """128 bits of each text's set."""
+    out = np.zeros((n, 2), np.uint64)
+    np.add.at(out[:, 0], doc, h)
+    np.add.at(out[:, 1], doc, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
+    return pa.array([d.tobytes() for d in out], pa.binary())
+
+
+def sets_of(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """``id``, ``u`` (a number of the set), ``s`` (the set) of the rows whose id is in ``ids``."""
+    needed = rows.join(sized(ids.select(F.col("id").alias("at"))), F.col("id") == F.col("at"), "left_semi")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
             for at, to, raw, off in steps(b.column("text")):
                 doc, h = shingles(raw, off, size)
                 cut = np.searchsorted(doc, np.arange(to - at + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), pa.ListArray.from_arrays(pa.array(cut), pa.array(h.view(np.int64)))], names=["id", "s"])
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), digests(doc, h, to - at), pa.ListArray.from_arrays(pa.array(cut), pa.array(h.view(np.int64)))], names=["id", "digest", "s"])
+
+    found = needed.select("id", "text").mapInArrow(run, "id long, digest binary, s array<long>").dropDuplicates(["id", "digest"])
+    return found.select("id", F.xxhash64("digest").alias("u"), "s")
 
-    full = written(needed.mapInArrow(sets, "id long, s array<long>").dropDuplicates(["id"]))
-    both = pairs.join(full.withColumnsRenamed({"id": "a", "s": "sa"}), "a").join(full.withColumnsRenamed({"id": "b", "s": "sb"}), "b")
+
+def links(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
+    one = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+    both = one.join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
     # row by row in the JVM: a batch of pairs of whole sets would be hundreds of MB
     same = F.size(F.array_intersect("sa", "sb"))
-    out = written(both.where(100 * same >= percent * (F.size("sa") + F.size("sb") - same)).select("a", "b"))
-    discard(pairs, asked, full)
-    return out
+    alike = 100 * F.least(F.size("sa"), F.size("sb")) >= percent * F.greatest(F.size("sa"), F.size("sb"))
+    return written(both.where(alike & (100 * same >= percent * (F.size("sa") + F.size("sb") - same))).select("a", "b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -218,28 +180,53 @@ def like_size(a: str, b: str, percent: int) -> F.Column:
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def stars(members: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs of each key's centres with its members (key, id, n, comp) of other
-    components. A centre is the member whose hash with ``turn`` and a number
-    below ``DRAWS[turn]`` is smallest."""
-    least = [F.min(F.struct(F.xxhash64("id", F.lit(turn), F.lit(k)).alias("drawn"), "id", "n", "comp")) for k in range(DRAWS[turn])]
-    centres = members.groupBy("key").agg(F.array_distinct(F.transform(F.array(*least), lambda c: F.struct(c["id"].alias("id"), c["n"].alias("n"), c["comp"].alias("comp")))).alias("c"), F.count("*").alias("times"))
-    centres = centres.where("times > 1").select("key", F.explode("c").alias("c")).select("key", F.col("c.id").alias("a"), F.col("c.n").alias("n_a"), F.col("c.comp").alias("comp_a"))
-    met = members.join(centres, "key").where((F.col("comp") != F.col("comp_a")) & like_size("n", "n_a", percent))
-    return met.select(F.least("id", "a").alias("a"), F.greatest("id", "a").alias("b")).distinct()
+def apart(n: F.Column, percent: int) -> F.Column:
+    """Elements in which two similar sets of ``n`` elements together differ at most."""
+    return F.floor(n * (100 - percent) / (100 + percent))
+
 
+def within(told: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members (key, id, n, near) of each key of which one at least isn't near the centre."""
+    other = told.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("near").alias("near_b"))
+    met = told.where("NOT near").join(other, "key").where((F.col("near_b") | (F.col("id") < F.col("b"))) & (F.col("id") != F.col("b")) & like_size("n", "n_b", percent))
+    return met.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
-def across(members: DataFrame, percent: int, apart: int | None = None) -> DataFrame:
-    """Pairs of members (key, id, n, comp) of one key and different components;
-    with ``apart``, whose ``bits`` differ in so many at most, and only from the
-    first key that they share (``before`` has a member's keys before this one)."""
-    other = members.select(*(F.col(c).alias(c if c == "key" else f"{c}_b") for c in members.columns)).withColumnRenamed("id_b", "b")
-    near = (F.col("comp") < F.col("comp_b")) & like_size("n", "n_b", percent)
-    if apart is not None:
-        near &= sum(F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)) <= apart
-        near &= ~F.arrays_overlap("before", "before_b")
-    found = members.join(other, "key").where(near)
-    return found.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+
+def around(full: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members (c, id, near) of one centre that can be similar, one of
+    them at least not near the centre. None is missed.
+
+    Sets x and y that differ from the centre's in dx and dy elements and from
+    each other in t at most have (dx + dy - t) / 2 of these differences in
+    common. If that is no more than none, both are near the centre; else, with
+    all differences in one order, rarest first, the first dx - common + 1 of x
+    and the first dy - common + 1 of y share one. A set that has less in common
+    with the centre than not is taken by its own elements instead (the centre is
+    then the empty set); one at the border, by both.
+    """
+    sets = full.select("id", "u", "s")
+    met = crowd.join(sets, "id").join(sets.select(F.col("id").alias("c"), F.col("u").alias("uc"), F.col("s").alias("sc")), "c")
+    n, more, less = F.size("s"), F.array_except("s", "sc"), F.array_except("sc", "s")
+    met = met.select("id", "near", "u", "uc", "s", n.alias("n"), F.concat(more, less).alias("off"))
+    most = apart(F.floor(F.col("n") * (100 + percent) / percent), percent)
+    d, none = F.size("off"), F.expr("cast(array() as array<bigint>)")
+    to_centre = F.when(d * percent <= F.col("n") * 100 + most * percent, F.col("off")).otherwise(none)
+    to_none = F.when(d >= F.col("n"), F.col("s")).otherwise(none)
+    parts = F.array(*(F.struct(F.lit(k).alias("part"), e.alias("of")) for k, e in enumerate((to_centre, to_none))))
+    parts = met.select("id", "near", "u", "uc", "n", most.alias("most"), F.explode(parts).alias("p"))
+    parts = parts.select("id", "near", "u", "uc", "n", "most", "p.part", F.size("p.of").alias("d"), F.explode("p.of").alias("e"))
+    parts = written(parts)
+    often = parts.groupBy("uc", "part", "e").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("uc", "part", "id", "u").orderBy("often", "e")
+    first = parts.join(often, ["uc", "part", "e"]).withColumn("at", F.row_number().over(rarest)).where(F.col("at") <= F.col("most") + 1)
+    first = written(first.where("often > 1").drop("often", "most"))
+    other = first.select("uc", "part", "e", *(F.col(c).alias(f"{c}_b") for c in ("id", "near", "n", "d", "at")))
+    common = F.greatest(F.lit(1), F.ceil((F.col("d") + F.col("d_b") - apart(F.col("n") + F.col("n_b"), percent)) / 2))
+    pair = (F.col("near_b") | (F.col("id") < F.col("id_b"))) & (F.col("id") != F.col("id_b")) & like_size("n", "n_b", percent)
+    pair &= (F.col("at") <= F.col("d") - common + 1) & (F.col("at_b") <= F.col("d_b") - common + 1)
+    out = written(first.where("NOT near").join(other, ["uc", "part", "e"]).where(pair).select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct())
+    discard(parts, first)
+    return out
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str = "doc_id") -> DataFrame:
@@ -252,39 +239,39 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
 
     Fewer than ``size`` words: the whole sequence is one shingle. Null or empty
     texts, or texts of white space, have empty sets, are linked with nothing
-    and kept; so are rows with a null key. The key has to be unique but for
-    repeated rows, which have equal results each. An empty table gives an empty
-    one. Other columns are ignored.
+    and kept; so are rows with a null key. Rows that repeat have equal results
+    each; rows of one key and different texts are one document, linked where any
+    of its texts is. An empty table gives an empty one. Other columns are ignored.
     """
-    rows = texts(docs, key).select(F.col(key).cast("long").alias("id"), "text")
-    blunt, sharp = index(percent / 100, 5, 1, 17), sharp_index(percent / 100, 18)
-    found = written(signed(rows, size, blunt))
-    real = found.where("n > 0 AND id IS NOT NULL")
-    classes = written(real.groupBy("digest", "n").agg(F.min("id").alias("id"), F.first("keys").alias("keys")))
-    keyed = classes.select("id", "n", F.explode("keys").alias("key"))
-
-    members, linked, open_keys = keyed.withColumn("comp", F.col("id")), None, None
-    for n in range(len(DRAWS)):
-        met = links(rows, stars(members, percent, n), size, percent)
-        linked = met if linked is None else written(linked.unionByName(met))
-        joined = components(linked)
-        member = members.drop("comp", "times").join(joined.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
-        mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("times")).where("low < high").select("key", "times")
-        members = open_keys = written(member.join(mixed, "key"))
-    first = linked
-    pairs = across(open_keys.where(F.col("times") <= CROWD).drop("times"), percent)
-
-    crowd = written(open_keys.where(F.col("times") > CROWD).select("id", "n", "comp").distinct())
-    again = rows.join(sized(crowd.select(F.col("id").alias("at"))), F.col("id") == F.col("at"), "left_semi")
-    sharper = sketched(again, size, sharp).join(crowd, "id").select("id", "n", "comp", "bits", "keys", F.posexplode("keys").alias("at", "key"))
-    sharper = written(sharper.select("key", "id", "n", "comp", "bits", F.slice("keys", F.lit(1), F.col("at")).alias("before")))
-    pairs = pairs.unionByName(across(sharper, percent, bits_apart(percent / 100))).distinct()
-    second = links(rows, pairs, size, percent)
-    final = components(first.unionByName(second))
-    discard(first, second, joined, open_keys, crowd, sharper)
-
-    comp = classes.select("digest", "n", F.col("id").alias("rep")).join(final, F.col("rep") == F.col("node"), "left")
-    comp = comp.select(F.col("digest").alias("d"), F.col("n").alias("of"), F.coalesce("comp", "rep").alias("comp"))
-    out = found.select("id", "n", "digest").join(comp, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("of")), "left")
-    own = F.when(F.col("id").isNotNull(), F.coalesce("comp", "id"))
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))
+    number = F.col(key).cast("long")
+    # ids are the keys, stirred (one to one), so that the least of a group is an even draw
+    rows = texts(docs, key).select(number.alias("key"), F.when(number.isNotNull(), F.xxhash64(number)).alias("id"), "text")
+    found = written(signed(rows, size, index(percent / 100, 5, 1, 17)))
+    real = found.where("n > 0 AND key IS NOT NULL")
+    classes = written(real.groupBy("digest", "n").agg(F.min("key").alias("low"), F.first("keys").alias("keys")).withColumn("id", F.xxhash64("low")))
+    keyed = classes.select("id", F.col("n").cast("int").alias("n"), F.explode(F.array_distinct("keys")).alias("key"))
+
+    shared = keyed.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("times")).where("times > 1")
+    members = written(keyed.join(shared.hint("shuffle_hash"), "key"))
+    full = written(sets_of(rows, written(members.select("id").distinct()), size))
+    stars = written(members.where("id != c").select(F.col("id").alias("a"), F.col("c").alias("b")).distinct())
+    first = links(full, stars, percent)
+    near = first.select(F.col("a").alias("id"), F.col("b").alias("c"), F.lit(True).alias("near"))
+    told = written(members.where("id != c").join(near, ["id", "c"], "left").select("key", "id", "c", "n", "times", F.coalesce("near", F.lit(False)).alias("near")))
+    crowded = told.where(F.col("times") > CROWD)
+    unsure = crowded.where("NOT near").select("key").distinct()
+    crowd = written(crowded.join(unsure, "key", "left_semi").groupBy("c", "id").agg(F.first("near").alias("near")))
+    pairs = written(within(told.where(F.col("times") <= CROWD), percent).unionByName(around(full, crowd, percent)).distinct())
+    second = links(full, pairs, percent)
+    linked = written(first.unionByName(second))
+    joined = components(linked)
+
+    named = classes.select("id", "low").join(joined, F.col("id") == F.col("node"))
+    lowest = written(named.groupBy("comp").agg(F.min("low").alias("least")))
+    comp = classes.select("digest", "n", "id", "low").join(joined, F.col("id") == F.col("node"), "left").join(lowest, "comp", "left")
+    comp = comp.select(F.col("digest").alias("d"), F.col("n").alias("of"), F.coalesce("least", "low").alias("comp"))
+    out = found.select("key", "n", "digest").join(comp, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("of")), "left")
+    own = F.when(F.col("key").isNotNull(), F.coalesce("comp", "key"))
+    out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("key").eqNullSafe(own).alias("kept"))
+    discard(members, full, stars, first, told, crowd, pairs, second, linked)
+    return out

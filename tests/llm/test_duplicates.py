@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,7 +77,28 @@ def test_long_chains_end_at_the_smallest(spark):
 
 def test_the_index_keeps_its_guarantee():
     assert near_duplicates.index(0.85, 5, 1, 1).distance == 2 * near_duplicates.index(0.85, 5, 1, 1).chunks - 1
-    assert near_duplicates.sharp_index(0.85, 1).chunks <= near_duplicates.SHARP_KEYS
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, 20_000).astype(np.uint64)) for _ in range(60)]
+    keys = near_duplicates.keys_of(np.repeat(np.arange(60), [len(s) for s in sets]), np.concatenate(sets), 60, near_duplicates.index(0.85, 5, 1, 17))
+    assert len(np.unique(keys)) == keys.size  # long texts that have nothing in common share no key
+
+
+def test_crowds_lose_no_pair(spark, monkeypatch):
+    """Families of hundreds around the threshold, some with a passage that all have and that dominates."""
+    monkeypatch.setattr(near_duplicates, "CROWD", 3)
+    rng = random.Random(8)
+    base, passage = words(rng, 120), words(rng, 60)
+    texts = [" ".join(w if rng.random() >= share else f"x{rng.randrange(9999)}" for w in base) for share in (0.002, 0.01, 0.02, 0.03, 0.05) * 50]
+    texts += [" ".join(passage + words(rng, rng.randint(0, 40), 9999)) for _ in range(60)]
+    texts += [" ".join(base[: rng.randint(60, 120)] + words(rng, 300, 9999)) for _ in range(10)]
+    for percent in (80, 85):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates.near_duplicates(table(spark, texts), percent).collect()}
+        assert [got[i] for i in range(len(texts))] == brute_components(texts, percent)
+
+
+def test_rows_of_one_key_are_one_document(spark):
+    rows = table(spark, ["a b c d e f"]).unionByName(table(spark, ["u v w x y z"])).unionByName(table(spark, ["u v w x y z"], 7))
+    assert sorted(tuple(r) for r in near_duplicates.near_duplicates(rows, 85).collect()) == [(0, 2, 0, True), (0, 2, 0, True), (7, 2, 0, False)]
 
 
 def brute_repeats(texts, length):
