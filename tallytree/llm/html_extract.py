@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from .html_blocks import WIDTH, blocks, features
 
 #: Containers of what isn't main text, and of main text (tag, names).
-ASIDE = [("nav", ""), ("nav", "menu"), ("header", ""), ("header", "site-header"), ("footer", ""), ("footer", "site-footer"), ("aside", ""), ("aside", "sidebar"), ("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "advertisement"), ("div", "sponsored"), ("div", "promo"), ("div", "banner"), ("div", "cookie"), ("div", "cookie-notice"), ("div", "consent"), ("div", "notice"), ("div", "gdpr"), ("div", "alert"), ("div", "popup"), ("div", "modal"), ("form", ""), ("form", "search"), ("form", "newsletter"), ("div", "subscribe"), ("div", "login"), ("div", "menu"), ("div", "navigation"), ("div", "navbar"), ("div", "breadcrumb"), ("div", "pagination"), ("div", "sidebar"), ("div", "widget"), ("div", "related"), ("div", "recommended"), ("div", "share"), ("div", "social"), ("div", "header"), ("div", "footer"), ("div", "copyright"), ("div", "comments"), ("section", "comments"), ("div", "comment"), ("ul", "comment-list"), ("ol", "comments"), ("div", "replies"), ("div", "disqus"), ("section", "reader-comments"), ("div", "toolbar"), ("div", "tags")]
-MAIN = [("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article"), ("div", "post"), ("div", "entry-content"), ("div", "story"), ("div", "article-body"), ("section", ""), ("div", "main"), ("div", "text"), ("div", "page")]
+ASIDE = [("nav", ""), ("nav", "menu"), ("header", ""), ("header", "site-header"), ("footer", ""), ("footer", "site-footer"), ("aside", ""), ("aside", "sidebar"), ("div", "ad"), ("div", "ads"), ("div", "advert"), ("div", "advertisement"), ("div", "sponsored"), ("div", "promo"), ("div", "banner"), ("div", "cookie"), ("div", "cookie-notice"), ("div", "consent"), ("div", "notice"), ("div", "gdpr"), ("div", "alert"), ("div", "popup"), ("div", "modal"), ("form", ""), ("form", "search"), ("form", "newsletter"), ("div", "subscribe"), ("div", "login"), ("div", "menu"), ("div", "navigation"), ("div", "navbar"), ("div", "breadcrumb"), ("div", "pagination"), ("div", "sidebar"), ("div", "widget"), ("div", "related"), ("div", "recommended"), ("div", "share"), ("div", "social"), ("div", "header"), ("div", "footer"), ("div", "copyright"), ("div", "comments"), ("section", "comments"), ("div", "comment"), ("ul", "comment-list"), ("ol", "comments"), ("div", "replies"), ("div", "disqus"), ("section", "reader-comments"), ("div", "toolbar"), ("div", "tags"), ("div", "masthead"), ("div", "topbar"), ("div", "legal"), ("div", "feedback"), ("div", "signup"), ("div", "promo-box"), ("aside", "related"), ("aside", "note"), ("ul", "nav"), ("ul", "breadcrumbs"), ("div", "comments-area"), ("div", "author-box"), ("table", "nav"), ("div", "warning")]
+MAIN = [("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article"), ("div", "post"), ("div", "entry-content"), ("div", "story"), ("div", "article-body"), ("section", ""), ("div", "main"), ("div", "text"), ("div", "page"), ("div", "entry"), ("div", "post-content"), ("div", "body-text"), ("td", "content"), ("section", "story"), ("main", "main"), ("div", "blog"), ("div", "single"), ("div", "news"), ("div", "item"), ("div", "article-text"), ("div", "main-content"), ("div", "storybody")]
+ROLES = {("nav", ""): "navigation", ("header", ""): "banner", ("footer", ""): "contentinfo", ("aside", ""): "complementary", ("main", ""): "main", ("article", ""): "article", ("form", ""): "search"}
 WRAPS = [("div", ""), ("div", "container"), ("div", "wrapper"), ("div", "row"), ("section", "")]
 HIDDEN, INNER = 16, 24
 
@@ -42,16 +43,42 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
         out.append(f"<{tag}>{text}" + rng.choice([f"</{tag}>", f"</{tag}>", f"</{tag}>", "<br>" if tag == "p" else f"</{tag}>"]))
         labels.append(label)
 
-    def opened(kind: tuple[str, str]) -> str:
-        tag, names = kind
-        out.append(f"<{tag}" + (f' {rng.choice(["class", "class", "id"])}="{names}"' if names else "") + ">")
+    def named(names: str, unknown: float) -> str:
+        """As sites write it: as it is, glued to something, or a name of their own."""
+        r = rng.random()
+        if r < unknown:
+            return "".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randint(1, 9)))
+        if r < 0.5 and names:
+            return rng.choice(["site", "left", "right", "top", "my", "js", "c", "box", "the", "inner", "x"]) + rng.choice(["", "", "-", "_"]) + names.replace("-", rng.choice(["", "-", "_"])) + rng.choice(["", "", "1", "-wrap", "area"])
+        return names
+
+    def opened(kind: tuple[str, str], unknown: float = 0.2) -> str:
+        tag, names = kind[0], named(kind[1], unknown if kind[0] in ("div", "section", "ul", "td", "table") else 0.1)
+        if rng.random() < 0.06 and kind in ROLES:
+            tag, names = "div", ""
+            out.append(f'<div role="{ROLES[kind]}">')
+        else:
+            out.append(f"<{tag}" + (f' {rng.choice(["class", "class", "id"])}="{names}"' if names else "") + ">")
         return f"</{tag}>"
 
     def other(kind: tuple[str, str] | None = None) -> None:
-        kind = kind or rng.choice(ASIDE)
-        end = opened(kind)
-        form = rng.random()
-        if kind[0] in ("ul", "ol") or (form < 0.35 and kind[0] != "form"):
+        kind, form = kind or rng.choice(ASIDE), rng.random()
+        links = rng.random() < 0.5 and "comment" not in kind[1]
+        end = opened(kind, 0.4 if links else 0.05)
+        if links and kind[0] in ("div", "nav", "aside", "header", "footer"):
+            if form < 0.6:
+                out.append("<ul>")
+                for _ in range(rng.randint(2, 9)):
+                    block("li", f"<a href='/x'>{say(1, 3)}</a>", 0)
+                out.append("</ul>")
+            else:
+                out.append(rng.choice([" | ", " ", "<br>"]).join(f"<a href='/x'>{say(1, 3)}</a>" for _ in range(rng.randint(2, 8)))), labels.append(0)
+        elif kind[0] == "table":
+            out.append("<tr>")
+            for _ in range(rng.randint(1, 6)):
+                block("td", say(1, 3), 0)
+            out.append("</tr>")
+        elif kind[0] in ("ul", "ol") or (form < 0.35 and kind[0] != "form"):
             inner = kind[0] not in ("ul", "ol")
             out.append("<ul>" * inner)
             for _ in range(rng.randint(1, 9)):
@@ -83,15 +110,49 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
                 end = opened(("blockquote", ""))
                 block("p", say(3, 30), 1)
                 out.append(end)
-            elif r < 0.24:
+            elif r < 0.21:
                 other()
+            elif r < 0.25:
+                other(rng.choice([("aside", ""), ("aside", "pullquote"), ("aside", "related"), ("aside", "note"), ("div", "ad"), ("div", "share"), ("div", "newsletter"), ("nav", "toc")]))
+            elif r < 0.3:
+                table()
+            elif r < 0.34:
+                end = opened(("figure", rng.choice(["", "image", "wp-caption"])))
+                out.append("<img src='/p.jpg' alt='x'>")
+                block(rng.choice(["figcaption", "p"]), say(1, 20), 1)
+                out.append(end)
+            elif r < 0.38:
+                block(rng.choice(["pre", "h4", "address", "div", "div"]), say(1, 30), 1)
+            elif r < 0.41:
+                out.append("<dl>")
+                for _ in range(rng.randint(1, 4)):
+                    block("dt", say(1, 4), 1), block("dd", say(1, 20), 1)
+                out.append("</dl>")
+            elif r < 0.45:
+                end = opened(rng.choice([("div", ""), ("section", ""), ("section", "chapter"), ("div", "paragraph"), ("div", "text-block")]))
+                for _ in range(rng.randint(1, 4)):
+                    block("p", say(1, 60), 1)
+                out.append(end)
             else:
                 block("p", say(1, rng.choice([3, 20, 60, 120])), 1)
 
+    def table() -> None:
+        """Data of the article: short cells in rows."""
+        out.append(rng.choice(["<table>", "<table class='data'>", "<table class='wikitable'>"]))
+        columns = rng.randint(1, 5)
+        if rng.random() < 0.3:
+            block("caption", say(1, 8), 1)
+        for row in range(rng.randint(1, 6)):
+            out.append("<tr>")
+            for _ in range(columns):
+                block("th" if row == 0 and rng.random() < 0.6 else "td", say(1, rng.choice([1, 3, 12])), 1)
+            out.append("</tr>")
+        out.append("</table>")
+
     out.append("<!DOCTYPE html><html><head>")
     block("title", say(1, 12), 0)
     out.append("<style>p{}</style><script>var t='</p>';</script></head><body>")
-    usual = rng.random() < 0.4
+    usual = rng.random() < 0.25  # the commonest order: menu, notice, article, footer
     for _ in range(rng.randint(0, 4)) if not usual else ():
         other()
     if usual:
@@ -101,7 +162,18 @@ def made_page(rng: random.Random) -> tuple[str, list[int]]:
         out.append("</ul></nav><!-- x -->")
         other(("div", rng.choice(["ad", "ad", "notice", "cookie", "sidebar"])))
     ends = [opened(rng.choice(WRAPS)) for _ in range(rng.choice([0, 0, 1, 2]))] if not usual else []
-    ends.append(opened(("article", "") if usual or rng.random() < 0.4 else rng.choice(MAIN)))
+    if not usual and rng.random() < 0.1:  # columns of a table
+        out.append("<table><tr>")
+        ends.append("</tr></table>")
+        if rng.random() < 0.6:
+            end = opened(("td", "sidebar"), 0.4)
+            out.append("<ul>")
+            for _ in range(rng.randint(2, 8)):
+                block("li", f"<a href='/x'>{say(1, 2)}</a>", 0)
+            out.append("</ul>" + end)
+        ends.append(opened(("td", "content"), 0.4))
+    else:
+        ends.append(opened(("article", "") if usual or rng.random() < 0.35 else rng.choice(MAIN), 0.3))
     if rng.random() < 0.15:
         out.append("<header>")
         block("h1", say(2, 12), 1)
@@ -218,7 +290,7 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(2)
-def trained(pages: int = 600, epochs: int = 10, seed: int = 11, rate: float = 0.01) -> Labeller:
+def trained(pages: int = 900, epochs: int = 10, seed: int = 11, rate: float = 0.01) -> Labeller:
     """A labeller trained on ``pages`` made pages. The same arguments give the same one."""
     rng, model = random.Random(seed), Labeller(seed)
     made = []

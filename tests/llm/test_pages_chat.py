@@ -1,12 +1,15 @@
 """HTML extraction on made pages, and chat formatting by exact round trip."""
 
 import random
+import time
+from collections import Counter
 
 import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import layouts
 from tallytree.llm import chat, html_blocks, html_extract
 from tallytree.llm.queries import ORACLE_SQL, op9_chat_formatting
 
@@ -18,13 +21,43 @@ PAGE = """<!DOCTYPE html><html><head><title>Head</title><style>p{}</style><scrip
 
 def test_blocks_of_a_page():
     found = html_blocks.blocks(PAGE)
-    assert [t for p, t, _ in found if "article" in p] == ["The title & more", "First line.", "Second é line goes on.", "Third."]
+    assert [t for p, t, _ in found if "article" in p.path()] == ["The title & more", "First line.", "Second é line goes on.", "Third."]
     assert found[1][2] == 3  # all of it is a link's
 
 
-@pytest.mark.parametrize("html", ["", "<", "<p", "a < b", "<!--", "<script>x", "</p></div>", "<p>a<p>b", "<ul><li>a<li>b</ul>", "<table><tr><td>a<td>b", "&#xD800; &bogus; &lt", "<a href='>'>x</a>"])
-def test_broken_pages_have_blocks(html):
-    assert isinstance(html_blocks.blocks(html), list)
+BROKEN = {
+    "": [], "<": ["<"], "<p": [], "a < b": ["a < b"], "<!--": [], "<script>x": [], "</p></div>": [], "<p>a<p>b": ["a", "b"],
+    "<ul><li>a<li>b</ul>": ["a", "b"], "<table><tr><td>a<td>b": ["a", "b"], "&bogus; &lt": ["&bogus; <"], "<a href='>'>x</a>": ["x"],
+    '<script src="a.js"/>var x=1;</script>y': ["y"], "<svg/>a<svg><p>b</p></svg>c": ["ac"], '<p title="it"s">one</p>': ["one"],
+    "<p title=it's>Two is here.</p><p>Three isn't <b>four</b>": ["Two is here.", "Three isn't four"], '<p class="a"">x</p>': ["x"],
+    "<title>a <b> c</title>d": ["a <b> c", "d"], '<p a=">">x': ["x"], '<p a="x': [], "<p>a</i>b</p>": ["ab"], "a<br>b</br>c": ["a b c"],
+}
+
+
+@pytest.mark.parametrize("html", BROKEN)
+def test_broken_pages_have_these_blocks(html):
+    assert [t for _, t, _ in html_blocks.blocks(html)] == BROKEN[html]
+
+
+@pytest.mark.parametrize("html", ["<div class=a>x" * 20_000, "<div>" * 4000 + "</x>" * 20_000 + "<li>q" * 5000, "<p a=\"" * 20_000, "<p" + " a=" * 200_000, "<p>" + "word &amp; " * 400_000])
+def test_deep_and_long_pages_take_no_square_of_time(html):
+    began = time.process_time()
+    html_blocks.features(html_blocks.blocks(html))
+    assert time.process_time() - began < 6
+
+
+def test_other_layouts_are_read():
+    model, right, total = html_extract.trained(), 0, 0
+    for shape in range(layouts.SHAPES):
+        rng = random.Random(shape)
+        for _ in range(30):
+            html, want = layouts.page(rng, shape)
+            found, want = html_blocks.blocks(html), Counter(want)
+            for (_, text, _), p in zip(found, model.scores([html_blocks.features(found)])[0], strict=True):
+                right += (p >= 0.5) == (want[text] > 0)
+                want[text] -= 1
+                total += 1
+    assert right / total > 0.95
 
 
 def test_the_labeller_knows_made_pages():
