@@ -5,7 +5,7 @@ each ``WINDOW`` consecutive grams the smallest hash is a fingerprint. Two texts
 that share ``GRAM + WINDOW - 1`` consecutive words share a fingerprint, so a join
 of fingerprints finds every document that can hold a window of the benchmark.
 Hits are then extended: the whole windows of those documents are joined with
-the benchmark's, which gives the exact words covered.
+the benchmark's by 128 bits of hashes, which gives the exact words covered.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import discard, texts, written
 
 SPAN, GRAM = 13, 8
 WINDOW = SPAN - GRAM + 1
@@ -35,21 +35,32 @@ def grams(column: str, n: int) -> Column:
     return F.expr(f"if(size({column}) < {n}, array(), transform(sequence(0, size({column}) - {n}), i -> xxhash64({parts})))")
 
 
-def placed(n: int) -> Column:
-    """Every window of n words with its place."""
-    return F.transform(grams("h", n), lambda g, i: F.struct(i.alias("pos"), F.lit(n).alias("span"), g.alias("g")))
-
-
 def hashed(rows: DataFrame) -> DataFrame:
     """Adds ``h``, the hashes of the text's words, and drops the text."""
     return rows.withColumn("w", words()).withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).drop("text", "w")
 
 
-def fingerprints(rows: DataFrame, *keys: str) -> DataFrame:
-    """``keys`` and ``f``: the winnowed hashes of each row's words ``h``."""
-    least = ", ".join(f"g[j + {k}]" for k in range(WINDOW))
-    kept = F.expr(f"if(size(g) < {WINDOW}, array(), array_distinct(transform(sequence(0, size(g) - {WINDOW}), j -> least({least}))))")
-    return rows.withColumn("g", grams("h", GRAM)).select(*keys, F.explode(kept).alias("f"))
+def winnowed(g: str = "g") -> Column:
+    """The smallest of each ``WINDOW`` consecutive hashes, each once."""
+    least = ", ".join(f"{g}[j + {k}]" for k in range(WINDOW))
+    return F.expr(f"if(size({g}) < {WINDOW}, array(), array_distinct(transform(sequence(0, size({g}) - {WINDOW}), j -> least({least}))))")
+
+
+def marked(hashes: Column, span: int) -> Column:
+    """Hashes as (span, f)."""
+    return F.transform(hashes, lambda f: F.struct(F.lit(span).alias("span"), f.alias("f")))
+
+
+def placed(n: int) -> Column:
+    """Every window of n words: pos, span, g, g2."""
+    pairs = F.arrays_zip(grams("h", n).alias("g"), grams("h2", n).alias("g2"))
+    return F.transform(pairs, lambda p, i: F.struct(i.alias("pos"), F.lit(n).alias("span"), p["g"].alias("g"), p["g2"].alias("g2")))
+
+
+def windows_of(rows: DataFrame, lengths: list[int], *keys: str) -> DataFrame:
+    """``keys``, ``pos``, ``span``, ``g`` and ``g2``: every window of so many words, with two hashes."""
+    both = rows.withColumn("w", words()).withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("h2", F.transform("w", lambda x: F.xxhash64(F.lit(2), x)))
+    return both.select(*keys, F.explode(F.concat(*map(placed, lengths))).alias("at")).select(*keys, "at.*")
 
 
 def contaminated() -> Column:
@@ -79,44 +90,39 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
     columns are ignored.
     """
     rows = texts(docs, key).withColumn("row", F.xxhash64("text"))
-    items = hashed(texts(benchmark, item)).withColumn("n", F.size("h")).where("n > 0")
+    items = texts(benchmark, item).withColumn("n", F.size(words())).where("n > 0").withColumn("item", F.col(item).cast("string")).select("item", "text", "n")
     items = written(items)
     # the windows of every length that items have: SPAN, and those of shorter items
     short = sorted(r[0] for r in items.where(F.col("n") < SPAN).select("n").distinct().collect())  # at most SPAN - 1 numbers
     lengths = [*short, SPAN]
-    windows = None
-    for n in lengths:
-        of = items.where(F.col("n") >= SPAN if n == SPAN else F.col("n") == n).select(F.col(item).cast("string").alias("item"), F.explode(grams("h", n)).alias("g")).distinct().withColumn("span", F.lit(n))
-        windows = of if windows is None else windows.unionByName(of)
-    # ids in structs, as collect_set leaves out nulls
-    windows = sized(windows.groupBy("g", "span").agg(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"]).alias("items")))
-
-    marks = sized(fingerprints(items.where(F.col("n") >= SPAN), item).select("f").distinct())
-    found = hashed(rows)
-    candidates = fingerprints(found, key, "row").join(marks, "f", "left_semi").select(key, "row")
-    for n in short:  # shorter than any winnowing guarantee: every gram of that length
-        of = windows.where(F.col("span") == n).select(F.col("g").alias("f"))
-        candidates = candidates.unionByName(found.select(key, "row", F.explode(grams("h", n)).alias("f")).join(of, "f", "left_semi").select(key, "row"))
-    candidates = written(candidates.distinct().withColumnsRenamed({key: "at_key", "row": "at_row"}))
-
-    told = rows.join(sized(candidates), F.col(key).eqNullSafe(F.col("at_key")) & (F.col("row") == F.col("at_row")), "left")
-    hashes = F.when(F.col("at_row").isNotNull(), F.transform("w", lambda x: F.xxhash64(x))).otherwise(F.expr("cast(array() as array<bigint>)"))
-    told = told.withColumn("w", words()).select(key, "row", F.size("w").alias("n_words"), hashes.alias("h"))
-    # one row for the text itself, at -1, and one for each of its windows
-    every = [placed(n) for n in lengths]
-    itself = F.expr("array(named_struct('pos', -1, 'span', 0, 'g', cast(null as bigint)))")
-    at = told.select(key, "row", "n_words", F.explode(F.concat(itself, *every)).alias("at")).select(key, "row", "n_words", "at.*")
-    at = at.join(windows, ["g", "span"], "left").where(F.col("items").isNotNull() | (F.col("pos") == -1))
-
+    windows = windows_of(items, lengths, "item", "n").where(F.col("span") == F.least("n", F.lit(SPAN)))
+    windows = written(windows.select("item", "span", "g", "g2").distinct())
+
+    # one pass: a row for each text itself (f is null), and for each fingerprint that an item has, too
+    some = hashed(items.where(F.col("n") >= SPAN)).withColumn("g", grams("h", GRAM)).select(F.explode(marked(winnowed(), 0)).alias("m")).select("m.*")
+    some = some.unionByName(windows.where(F.col("span") < SPAN).select("span", F.col("g").alias("f"))).distinct().withColumn("met", F.lit(True))
+    itself = F.expr("array(named_struct('span', -1, 'f', cast(null as bigint)))")
+    # shorter items are beyond any winnowing guarantee: every gram of their length
+    asked = F.concat(itself, marked(winnowed(), 0), *(marked(grams("h", n), n) for n in short))
+    found = hashed(rows).withColumn("g", grams("h", GRAM)).select(key, "row", F.size("h").alias("n_words"), F.explode(asked).alias("m")).select(key, "row", "n_words", "m.*")
+    found = found.join(sized(some), ["span", "f"], "left").where(F.col("met") | (F.col("span") == -1))
+    told = written(found.groupBy(key, "row").agg(F.max("n_words").cast("long").alias("n_words"), F.count_if(F.col("span") == -1).cast("int").alias("times"), F.coalesce(F.bool_or("met"), F.lit(False)).alias("met")))
+
+    candidates = written(told.where("met").select(F.col(key).alias("at_key"), F.col("row").alias("at_row")))
+    same = F.col(key).eqNullSafe(F.col("at_key")) & (F.col("row") == F.col("at_row"))
+    texts_ = rows.join(sized(candidates), same, "left_semi").dropDuplicates([key, "row"])
+    hits = written(windows_of(texts_, lengths, key, "row").join(sized(windows.select("span", "g", "g2").distinct()), ["span", "g", "g2"]))
     # words that a window covers beyond those before it
     earlier = Window.partitionBy(key, "row").orderBy("pos", "span").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.when(F.col("items").isNotNull(), F.col("pos"))
-    end = start + F.col("span")
-    at = at.withColumn("new", F.greatest(F.lit(0), end - F.greatest(start, F.coalesce(F.max(end).over(earlier), start))))
-    totals = at.groupBy(key, "row").agg(
-        F.max("n_words").cast("long").alias("n_words"),
-        F.coalesce(F.sum("new"), F.lit(0)).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        F.count_if(F.col("pos") == -1).cast("int").alias("times"),  # rows that repeat
-    )
-    return totals.select(key, "n_words", "n_hit", "items", "row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_")).drop("_")
+    end = F.col("pos") + F.col("span")
+    new = F.greatest(F.lit(0), end - F.greatest(F.col("pos"), F.coalesce(F.max(end).over(earlier), F.col("pos"))))
+    covered = hits.withColumn("new", new).groupBy(key, "row").agg(F.sum("new").cast("long").alias("n_hit"))
+    # ids in structs, as collect_set leaves out nulls
+    named = hits.select(key, "row", "span", "g", "g2").distinct().join(windows, ["span", "g", "g2"]).select(key, "row", "item").distinct()
+    named = named.groupBy(key, "row").agg(F.array_sort(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"])).alias("items"))
+    hit = covered.withColumnsRenamed({key: "at_key", "row": "at_row"}).join(named.withColumnsRenamed({key: "of_key", "row": "of_row"}), F.col("at_key").eqNullSafe(F.col("of_key")) & (F.col("at_row") == F.col("of_row")))
+    hit = written(hit.select("at_key", "at_row", "n_hit", "items"))
+    out = told.join(hit, same, "left").select(key, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"), "row", "times")
+    discard(items, windows, candidates, hits)
+    # rows that repeat
+    return out.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("_", "times")

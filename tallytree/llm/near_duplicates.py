@@ -7,13 +7,13 @@ chunks with at most ``e`` errors, so that one of the keys that leave out every
 choice of ``e`` symbols of that chunk is equal. That finds all pairs under the
 distance; every pair found is then measured on the full sets.
 
-Within a key, texts are first measured against the key's centre (drawn by a hash of
-the id, so that neighbouring keys share it). Texts near the centre are in one
-component and need no more comparing with each other. What isn't near it is compared
-with the rest of the key: pair by pair in a key of ``CROWD`` texts at most; in a
-larger one through the elements in which each differs from the centre, where a
-prefix filter leaves the pairs that can be similar. No key, bucket or partner is
-dropped.
+Within a key, texts are first measured against the key's centre, in a crowded key
+against several (drawn by hashes of the id, so that neighbouring keys share them).
+What that puts into one component needs no more comparing; of the rest of a key,
+pairs of different components are compared: all of them in a key of ``CROWD`` texts
+at most; in a larger one through the elements in which each text differs from the
+centre that has most texts near it, where a prefix filter leaves the pairs that can
+be similar. No key, bucket or partner is dropped.
 """
 
 from __future__ import annotations
@@ -36,6 +36,8 @@ from .wordhash import SPACED, span_hashes, sums, word_spans
 MISS = 1e-6
 #: Texts of a key up to which all its pairs are measured.
 CROWD = 40
+#: Centres of a larger one, beside the least id.
+DRAWS = 8
 
 
 @dataclass(frozen=True)
@@ -186,15 +188,15 @@ def apart(n: F.Column, percent: int) -> F.Column:
 
 
 def within(told: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (key, id, n, near) of each key of which one at least isn't near the centre."""
-    other = told.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("near").alias("near_b"))
-    met = told.where("NOT near").join(other, "key").where((F.col("near_b") | (F.col("id") < F.col("b"))) & (F.col("id") != F.col("b")) & like_size("n", "n_b", percent))
+    """Pairs of members (key, id, n, comp) of each key and different components."""
+    other = told.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    met = told.join(other, "key").where((F.col("comp") < F.col("comp_b")) & like_size("n", "n_b", percent))
     return met.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
 
 
 def around(full: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (c, id, near) of one centre that can be similar, one of
-    them at least not near the centre. None is missed.
+    """Pairs of members (c, id, near, comp) of one centre and different components
+    that can be similar. None is missed.
 
     Sets x and y that differ from the centre's in dx and dy elements and from
     each other in t at most have (dx + dy - t) / 2 of these differences in
@@ -207,22 +209,22 @@ def around(full: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
     sets = full.select("id", "u", "s")
     met = crowd.join(sets, "id").join(sets.select(F.col("id").alias("c"), F.col("u").alias("uc"), F.col("s").alias("sc")), "c")
     n, more, less = F.size("s"), F.array_except("s", "sc"), F.array_except("sc", "s")
-    met = met.select("id", "near", "u", "uc", "s", n.alias("n"), F.concat(more, less).alias("off"))
+    met = met.select("id", "near", "comp", "u", "uc", "s", n.alias("n"), F.concat(more, less).alias("off"))
     most = apart(F.floor(F.col("n") * (100 + percent) / percent), percent)
     d, none = F.size("off"), F.expr("cast(array() as array<bigint>)")
     to_centre = F.when(d * percent <= F.col("n") * 100 + most * percent, F.col("off")).otherwise(none)
     to_none = F.when(d >= F.col("n"), F.col("s")).otherwise(none)
     parts = F.array(*(F.struct(F.lit(k).alias("part"), e.alias("of")) for k, e in enumerate((to_centre, to_none))))
-    parts = met.select("id", "near", "u", "uc", "n", most.alias("most"), F.explode(parts).alias("p"))
-    parts = parts.select("id", "near", "u", "uc", "n", "most", "p.part", F.size("p.of").alias("d"), F.explode("p.of").alias("e"))
+    parts = met.select("id", "near", "comp", "u", "uc", "n", most.alias("most"), F.explode(parts).alias("p"))
+    parts = parts.select("id", "near", "comp", "u", "uc", "n", "most", "p.part", F.size("p.of").alias("d"), F.explode("p.of").alias("e"))
     parts = written(parts)
     often = parts.groupBy("uc", "part", "e").agg(F.count("*").alias("often"))
     rarest = Window.partitionBy("uc", "part", "id", "u").orderBy("often", "e")
     first = parts.join(often, ["uc", "part", "e"]).withColumn("at", F.row_number().over(rarest)).where(F.col("at") <= F.col("most") + 1)
     first = written(first.where("often > 1").drop("often", "most"))
-    other = first.select("uc", "part", "e", *(F.col(c).alias(f"{c}_b") for c in ("id", "near", "n", "d", "at")))
+    other = first.select("uc", "part", "e", *(F.col(c).alias(f"{c}_b") for c in ("id", "near", "comp", "n", "d", "at")))
     common = F.greatest(F.lit(1), F.ceil((F.col("d") + F.col("d_b") - apart(F.col("n") + F.col("n_b"), percent)) / 2))
-    pair = (F.col("near_b") | (F.col("id") < F.col("id_b"))) & (F.col("id") != F.col("id_b")) & like_size("n", "n_b", percent)
+    pair = (F.col("near_b") | (F.col("id") < F.col("id_b"))) & (F.col("comp") != F.col("comp_b")) & like_size("n", "n_b", percent)
     pair &= (F.col("at") <= F.col("d") - common + 1) & (F.col("at_b") <= F.col("d_b") - common + 1)
     out = written(first.where("NOT near").join(other, ["uc", "part", "e"]).where(pair).select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct())
     discard(parts, first)
@@ -254,13 +256,29 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     shared = keyed.groupBy("key").agg(F.min("id").alias("c"), F.count("*").alias("times")).where("times > 1")
     members = written(keyed.join(shared.hint("shuffle_hash"), "key"))
     full = written(sets_of(rows, written(members.select("id").distinct()), size))
-    stars = written(members.where("id != c").select(F.col("id").alias("a"), F.col("c").alias("b")).distinct())
+    few, many = members.where(F.col("times") <= CROWD), members.where(F.col("times") > CROWD)
+    drawn = [F.xxhash64("id", F.lit(k)) for k in range(DRAWS)]
+    least = written(many.groupBy("key").agg(*(F.min(d).alias(f"least{k}") for k, d in enumerate(drawn))))
+    is_centre = (F.col("id") == F.col("c")) | F.exists(F.array(*(d == F.col(f"least{k}") for k, d in enumerate(drawn))), lambda x: x)
+    centres = many.join(least, "key").where(is_centre).groupBy("key").agg(F.collect_set("id").alias("centres"))  # DRAWS + 1 at most
+    centres = written(centres)
+    # a text has the same centres under most of its keys: once each
+    met = many.select("key", "id").join(centres, "key").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("centres"))).alias("centres"))
+    met = met.select(F.col("id").alias("a"), F.explode("centres").alias("b")).where("a != b")
+    stars = written(few.where("id != c").select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(met).distinct())
     first = links(full, stars, percent)
-    near = first.select(F.col("a").alias("id"), F.col("b").alias("c"), F.lit(True).alias("near"))
-    told = written(members.where("id != c").join(near, ["id", "c"], "left").select("key", "id", "c", "n", "times", F.coalesce("near", F.lit(False)).alias("near")))
-    crowded = told.where(F.col("times") > CROWD)
-    unsure = crowded.where("NOT near").select("key").distinct()
-    crowd = written(crowded.join(unsure, "key", "left_semi").groupBy("c", "id").agg(F.first("near").alias("near")))
+    joined = components(first)
+
+    placed = written(members.join(joined.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "times", F.coalesce("comp", "id").alias("comp")))
+    mixed = written(placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"))
+    told = placed.join(mixed, "key", "left_semi")
+    near = first.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.lit(True).alias("near"))
+    # of a key's centres the one that most texts are near
+    popular = first.groupBy(F.col("b").alias("centre")).agg(F.count("*").alias("times"))
+    best = centres.select("key", F.explode("centres").alias("centre")).join(popular, "centre", "left")
+    best = written(best.groupBy("key").agg(F.max_by("centre", F.struct(F.coalesce("times", F.lit(0)), "centre")).alias("centre")))
+    crowd = told.where(F.col("times") > CROWD).join(best, "key").select("id", "centre", "comp").distinct().join(near, ["id", "centre"], "left")
+    crowd = written(crowd.select("id", F.col("centre").alias("c"), "comp", (F.coalesce("near", F.lit(False)) | (F.col("id") == F.col("centre"))).alias("near")))
     pairs = written(within(told.where(F.col("times") <= CROWD), percent).unionByName(around(full, crowd, percent)).distinct())
     second = links(full, pairs, percent)
     linked = written(first.unionByName(second))
@@ -273,5 +291,5 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     out = found.select("key", "n", "digest").join(comp, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("of")), "left")
     own = F.when(F.col("key").isNotNull(), F.coalesce("comp", "key"))
     out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("key").eqNullSafe(own).alias("kept"))
-    discard(members, full, stars, first, told, crowd, pairs, second, linked)
+    discard(members, full, least, centres, stars, first, placed, mixed, best, crowd, pairs, second, linked)
     return out

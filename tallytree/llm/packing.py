@@ -9,7 +9,6 @@ into sequences. A document is cut where a sequence is full.
 from __future__ import annotations
 
 import math
-import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,10 +22,12 @@ from .bpe_count import byte_symbols
 from .common import slices, texts, tokenizer_path, written
 
 HASHED, DIMENSIONS, BITS = 1024, 4, 15
+#: Bits of the key by which the curve's cells are weighed: so many of them at most that the driver deals out.
+CELL_BITS = 14
 #: Chunks, and words without marks and capitals, of which a worker keeps the identifiers.
 KEPT, KEPT_WORDS = 120_000, 350_000
 #: Characters at which str.split cuts, but which are no white space to the tokenizer.
-ODD = re.compile("[\x1c-\x1f]")
+ODD = "\x1c\x1d\x1e\x1f"
 
 
 #: What a chunk may end in and still share the identifiers of its word.
@@ -86,7 +87,7 @@ class Chunks(dict):
         return ids
 
     def text(self, text: str) -> bytes:
-        if ODD.search(text):
+        if any(map(text.__contains__, ODD)):
             return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 
@@ -126,12 +127,12 @@ def curve_keys(ids: list[bytes], seed: int = 7) -> np.ndarray:
     """The curve's key of each document, from the hashed square-root counts of its tokens."""
     signs = np.random.default_rng(seed).choice([-1.0, 1.0], (HASHED, DIMENSIONS))
     at = np.zeros((len(ids), DIMENSIONS))
-    for row, raw in enumerate(ids):
-        tokens = np.frombuffer(raw, "<u4")
-        if len(tokens):
-            hashed = (tokens * np.uint32(2654435761)) >> np.uint32(22)
-            v = np.sqrt(np.bincount(hashed, minlength=HASHED))
-            at[row] = (v / np.linalg.norm(v)) @ signs
+    for k in range(0, len(ids), 64):  # so many rows of counts as stay in a core's cache
+        some = ids[k : k + 64]
+        hashed = ((np.frombuffer(b"".join(some), "<u4") * np.uint32(2654435761)) >> np.uint32(22)).astype(np.int64)
+        hashed += np.repeat(np.arange(len(some)) * HASHED, [len(x) // 4 for x in some])
+        v = np.sqrt(np.bincount(hashed, minlength=len(some) * HASHED)).reshape(len(some), HASHED)
+        at[k : k + 64] = (v @ signs) / np.maximum(np.sqrt((v**2).sum(1)), 1)[:, None]
     side = 1 << BITS
     return hilbert(np.clip((at / 8 + 0.5) * side, 0, side - 1).astype(np.int64), BITS)
 
@@ -157,6 +158,26 @@ def cuts(length: int) -> list[int]:
     return [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
 
 
+def dealt(found: DataFrame, tasks: int, tokens_per_task: int) -> DataFrame:
+    """``found`` in partitions of about as many tokens each, which follow each
+    other on the curve. Weighed are cells of the curve; what is in a cell that is
+    too much for a task is dealt to several, row by row."""
+    cell = F.shiftright("curve", DIMENSIONS * BITS - CELL_BITS)
+    weights = sorted((r["cell"], r["n"]) for r in found.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n")).collect())  # 2 ** CELL_BITS rows at most
+    most = max(1, min(tokens_per_task, math.ceil(sum(n for _, n in weights) / tasks)))
+    rows, part, used = [], 0, 0
+    for at, n in weights:
+        if used and used + n > most:
+            part, used = part + 1, 0
+        slices_ = math.ceil(n / most)
+        rows.append((at, part, slices_))
+        part, used = (part + slices_, 0) if slices_ > 1 else (part, used + n)
+    places = found.sparkSession.createDataFrame(rows, "cell long, first int, slices int")
+    placed = found.withColumn("cell", cell).join(F.broadcast(places), "cell")
+    placed = placed.withColumn("part", (F.col("first") + F.floor(F.rand(7) * F.col("slices"))).cast("int"))
+    return placed.drop("cell", "first", "slices").repartitionById(part + 1, "part")
+
+
 def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2, length: int = 4096, key: str = "doc_id", tokens_per_task: int = 4_000_000) -> DataFrame:
     """Pieces of documents, and the sequence and offset that each has.
 
@@ -171,11 +192,9 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
     empty one. A null key is kept. Other columns are ignored.
     """
     found = written(tokenized(docs, tokenizer, end_id, key))
-    total = found.agg(F.sum("n")).first()[0] or 0
     kind = found.schema[key].dataType.simpleString()
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(total / tokens_per_task))
-    ordered = found.repartitionByRange(parts, "curve", key, "n").sortWithinPartitions("curve", key, "n", "ids")
-    ordered = ordered.withColumn("part", F.spark_partition_id().cast("long"))
+    ordered = dealt(found, docs.sparkSession.sparkContext.defaultParallelism, tokens_per_task).sortWithinPartitions("curve", key, "n", "ids")
+    ordered = ordered.withColumn("part", F.col("part").cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [key, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]

@@ -1,17 +1,25 @@
 """Removal of byte strings that occur more than once, by prefix-free parsing.
 
-A rolling hash triggers phrase ends, as in prefix-free parsing, so equal strings
-are cut into phrases alike wherever they stand. Every window of ``LENGTH`` bytes
-belongs to the first trigger inside it, and windows at like distances before a
-trigger are judged together, as one range:
-
-- its core (what all its windows share) occurs once: none of them is repeated;
-- its full extent (what they cover together) occurs twice: all of them are;
-- else the range is cut into shorter ones, in the end into single windows.
-
-Occurrences are counted by aggregations over hashes, which combine before they
-shuffle; no group of equal strings meets in one task. Of ranges with one full
-extent, a single one goes down to the next level, as what others may match.
+A rolling hash triggers phrase ends, so equal strings are cut into phrases alike
+wherever they stand. Every window of ``LENGTH`` bytes belongs to the first trigger
+inside it; the windows that start in one phrase (or in one block of ``WIDTH`` bytes
+of a long one) are judged together. They share their core, the right context that
+the phrase's end has in all of them, and they cover the phrase with its whole right
+context.
+
+- The dictionary has each distinct phrase with its right context once, with the
+  number of its places in the parse. What is there twice is repeated as a whole.
+- A phrase whose core no other entry has is not repeated at all.
+- The other entries are put into corpus order: sorted by the window at the
+  phrase's start and, among those equal in it, by the text that follows. The
+  longest common prefix with the neighbours in that order says how many of the
+  phrase's windows are repeated after the same beginning of the phrase.
+- Where phrases with different beginnings go on alike, suffixes of the phrases are
+  compared, too: a window there is repeated if it occurs twice among them.
+
+Copies are one entry of the dictionary, so no task meets all copies of a string,
+and what is sorted or compared grows with the ends of repeated strings, not with
+their copies.
 """
 
 from __future__ import annotations
@@ -23,133 +31,169 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, mix, steps, texts, written
+from .common import discard, mix, slices, steps, texts, written
 from .decontaminate import sized
 from .wordhash import span_hashes, sums
 
-LENGTH, ROLLING = 400, 8
-#: One position in so many triggers; the second where a window has none of the first.
-RATES = (128, 32)
-#: Windows in a range, level by level.
-WIDTHS = (128, 16, 1)
-ROW = "core long, full long, id long, lo int, hi int, anchor int, known boolean"
+LENGTH, ROLLING = 400, 16
+#: One position in so many triggers; a later one where a window has none of those before.
+RATES = (128, 32, 8, 2)
+#: Windows that are judged together at most.
+WIDTH = 128
+PARSE = "core long, full long, full2 long, head long, id long, lo int, hi int, anchor int"
+ENTRY = ("id", "lo", "hi", "anchor")
 
 
-def ranges(running: np.ndarray, off: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window, and anchor, of each range of every text of a step."""
+def phrases(running: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window, and trigger, of each phrase of every text of a step."""
     n = int(off[-1])
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none
-    at = np.arange(n - ROLLING + 1)
-    h = span_hashes(running, at, at + ROLLING)
+    rolling = min(ROLLING, length)
+    at = np.arange(n - rolling + 1)
+    h = span_hashes(running, at, at + rolling)
     start = np.concatenate([np.arange(a, b - length + 1) for a, b in zip(off, off[1:], strict=False) if b - a >= length] or [none])
     anchor = np.full(len(start), -1)
+    open_ = np.arange(len(start))
     for rate in RATES:
         triggers = np.append(np.flatnonzero(h % np.uint64(rate) == 0), np.int64(1) << 60)
-        after = triggers[np.searchsorted(triggers, start)]
-        anchor = np.where((anchor < 0) & (after <= start + length - ROLLING), after, anchor)
-    anchor = np.where(anchor < 0, start - 1, anchor)  # no trigger at all: a range of its own
-    return cut(start, anchor, width)
-
-
-def cut(start: np.ndarray, anchor: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor and one block of ``width`` distances to it."""
-    block = (anchor - start) // width
+        after = triggers[np.searchsorted(triggers, start[open_])]
+        has = after <= start[open_] + length - rolling
+        anchor[open_[has]] = after[has]
+        open_ = open_[~has]
+    anchor[open_] = start[open_] - 1  # no trigger at all: a phrase of its own
+    block = (anchor - start) // WIDTH
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)
     return start[first], start[np.append(first[1:], len(start)) - 1] if len(start) else start, anchor[first]
 
 
-def hashed(running: np.ndarray, lo: np.ndarray, hi: np.ndarray, anchor: np.ndarray, length: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the core and of the full extent of each range."""
-    near = anchor - (anchor - hi) // width * width  # the block's last window
-    core = span_hashes(running, near, near - width + 1 + length)
-    alone = anchor < lo  # no trigger: its core is the window itself
-    core = np.where(alone, span_hashes(running, lo, lo + length), core)
-    full = mix(span_hashes(running, lo, hi + length) + ((near - hi) * 1024 + (near - lo)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return core.view(np.int64), full.view(np.int64)
-
-
-def rows_of(batch_id: pa.Array, doc: np.ndarray, base: np.ndarray, core, full, lo, hi, anchor, known) -> pa.RecordBatch:  # noqa: ANN001
-    less = base[doc]
-    ints = lambda x: pa.array((x - less).astype(np.int32))
-    return pa.RecordBatch.from_arrays([pa.array(core), pa.array(full), batch_id.take(pa.array(doc)), ints(lo), ints(hi), ints(anchor), pa.array(known)], names=["core", "full", "id", "lo", "hi", "anchor", "known"])
-
+def parsed(rows: DataFrame, length: int) -> DataFrame:
+    """The parse: a row a phrase, with hashes of its core, of all that its windows
+    cover (128 bits), and of its first window."""
 
-def first_level(rows: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at, to, raw, off in steps(b.column("text"), 1_000_000):
-                running = sums(raw)
-                lo, hi, anchor = ranges(running, off, length, WIDTHS[0])
+        for b in slices(batches):
+            for at, to, raw, off in steps(b.column("text")):
+                one, two = sums(raw), sums(raw, which=1)
+                lo, hi, anchor = phrases(one, off, length)
                 doc = np.searchsorted(off, lo, "right") - 1
-                core, full = hashed(running, lo, hi, anchor, length, WIDTHS[0])
-                yield rows_of(b.column("id").slice(at, to - at), doc, off, core, full, lo, hi, anchor, np.zeros(len(lo), bool))
+                near = anchor - (anchor - hi) // WIDTH * WIDTH  # where the block's last window would be
+                alone = anchor < lo  # no trigger: its core is the window itself
+                core = span_hashes(one, np.where(alone, lo, near), np.where(alone, lo + length, near - WIDTH + 1 + length))
+                place = ((near - hi) * 1024 + (near - lo)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                full = mix(span_hashes(one, lo, hi + length) + place), mix(span_hashes(two, lo, hi + length, 1) ^ place)
+                ints = [pa.array((x - off[doc]).astype(np.int32)) for x in (lo, hi, anchor)]
+                hashes = [pa.array(x.view(np.int64)) for x in (core, *full, span_hashes(one, lo, lo + length))]
+                yield pa.RecordBatch.from_arrays([*hashes, b.column("id").slice(at, to - at).take(pa.array(doc)), *ints], names=[c.split()[0] for c in PARSE.split(", ")])
 
-    return rows.mapInArrow(run, ROW)
+    return rows.mapInArrow(run, PARSE)
 
 
-def next_level(rows: DataFrame, unsure: DataFrame, length: int, width: int) -> DataFrame:
-    """The ranges of ``unsure``, cut into ranges of ``width`` windows."""
+def compared(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
+    """What is compared of entries (id, lo, hi, lone, mixed): a row for each, with
+    the first window's hash (a, b) and the ``tail`` that follows it; for those that
+    are ``mixed`` also a row for each window, with its hash and no tail."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at, to, raw, off in steps(b.column("text"), 1_000_000):
-                parts = b.column("ranges").slice(at, to - at)
+        for batch in batches:
+            for at, to, raw, off in steps(batch.column("text")):
+                parts = batch.column("entries").slice(at, to - at)
                 flat, counts = parts.flatten(), parts.value_lengths().to_numpy(zero_copy_only=False)
-                doc = np.repeat(np.arange(to - at), counts)
-                lo, hi, anchor = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) + off[doc] for f in ("lo", "hi", "anchor"))
-                known = flat.field("known").to_numpy(zero_copy_only=False).astype(bool)
-                order = np.argsort(lo, kind="stable")
-                lo, hi, anchor, known = lo[order], hi[order], anchor[order], known[order]
-                n = hi - lo + 1
-                of = np.repeat(np.arange(len(lo)), n)
-                start = lo[of] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                sub_lo, sub_hi, sub_anchor = cut(start, anchor[of], width)
-                parent = np.searchsorted(lo, sub_lo, "right") - 1
-                running = sums(raw)
-                core, full = hashed(running, sub_lo, sub_hi, sub_anchor, length, width)
-                yield rows_of(b.column("id").slice(at, to - at), np.searchsorted(off, sub_lo, "right") - 1, off, core, full, sub_lo, sub_hi, sub_anchor, known[parent])
-
-    grouped = unsure.groupBy(F.col("id").alias("at")).agg(F.collect_set(F.struct("lo", "hi", "anchor", "known")).alias("ranges"))
-    some = rows.join(sized(unsure.select(F.col("id").alias("at")).distinct()), F.col("id") == F.col("at"), "left_semi")
-    return some.join(grouped, F.col("id") == F.col("at")).select("id", "text", "ranges").mapInArrow(run, ROW)
-
-
-def judged(level: DataFrame) -> DataFrame:
-    """``id``, ``lo``, ``hi``, ``anchor``, ``known``, ``repeated``, ``on`` of
-    ranges whose core occurs twice; of ranges known to be repeated, only those
-    that others may match."""
-    cores = level.groupBy("core").agg(F.count("*").alias("cores"), F.count_if(~F.col("known")).alias("open")).where("cores > 1 AND open > 0")
-    live = written(level.join(cores, "core"))
-    fulls = live.groupBy("full").agg(F.count("*").alias("fulls"), F.min("id").alias("least")).where("fulls > 1")
-    told = live.join(fulls, "full", "left").withColumn("repeated", F.col("fulls").isNotNull())
-    # what is repeated goes on only for others with the same core, one for all
-    on = ~F.col("repeated") | ((F.col("cores") > F.col("fulls")) & (F.col("id") == F.col("least")))
-    out = written(told.select("id", "lo", "hi", "anchor", "known", "repeated", on.alias("on")).where("on OR NOT known"))
-    discard(live)
-    return out
+                base = np.repeat(off[:-1], counts)
+                lo, hi = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) + base for f in ("lo", "hi"))
+                lone, mixed = (flat.field(f).to_numpy(zero_copy_only=False).astype(bool) for f in ("lone", "mixed"))
+                some = np.flatnonzero(mixed)
+                n = hi[some] - lo[some] + 1
+                of = np.concatenate([np.arange(len(lo)), np.repeat(some, n)])
+                start = np.concatenate([lo, np.repeat(lo[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
+                one, two = sums(raw), sums(raw, which=1)
+                a, b = (span_hashes(x, start, start + length, k).view(np.int64) for k, x in enumerate((one, two)))
+                text = raw.tobytes()
+                tails = [text[x + length : y + length] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
+                ids = batch.column("id").slice(at, to - at).take(pa.array(np.repeat(np.arange(to - at), counts)))
+                tail = pa.array([*tails, *[None] * (len(of) - len(lo))], pa.binary())
+                places = pa.array((start - base[of]).astype(np.int32))
+                for k in range(0, len(of), 50_000):
+                    columns = [pa.array(a), pa.array(b), tail, ids.take(pa.array(of)), places, pa.array(lone[of])]
+                    yield pa.RecordBatch.from_arrays([c.slice(k, 50_000) for c in columns], names=["a", "b", "tail", "id", "lo", "lone"])
+
+    grouped = entries.groupBy(F.col("id").alias("at")).agg(F.collect_set(F.struct("lo", "hi", "lone", "mixed")).alias("entries"))
+    return rows.join(grouped, F.col("id") == F.col("at")).select("id", "text", "entries").mapInArrow(run, "a long, b long, tail binary, id long, lo int, lone boolean")
+
+
+def common_prefix(x: bytes, y: bytes) -> int:
+    if x.startswith(y) or y.startswith(x):
+        return min(len(x), len(y))
+    n = min(len(x), len(y))
+    return int(np.argmin(np.frombuffer(x, np.uint8, n) == np.frombuffer(y, np.uint8, n)))
+
+
+def neighbours_in_order(rows: DataFrame) -> DataFrame:
+    """``id``, ``lo``, ``lone`` and ``more`` (bytes beyond the first window that a
+    neighbour has in common; null without one) of sorted rows (a, b, tail, id, lo,
+    lone), and whether a row is at the ``edge`` of its partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, before, open_row, first = ["a", "b", "tail", "id", "lo", "lone", "more", "edge"], None, None, True
+
+        def batch(rows_: list[tuple]) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_, strict=True), kinds, strict=True)], names=names)
+
+        for b in slices(batches, 5000):
+            done = []
+            for now in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                same = None
+                if before is not None and before[:2] == now[:2]:
+                    same = common_prefix(before[2], now[2])
+                if open_row is not None:
+                    done.append((*before, max((x for x in (open_row, same) if x is not None and x >= 0), default=None), first))
+                    first = False
+                open_row, before = -1 if same is None else same, now
+            if done:
+                yield batch(done)
+        if before is not None:
+            yield batch([(*before, open_row if open_row >= 0 else None, True)])
+
+    return rows.select("a", "b", "tail", "id", "lo", "lone").mapInArrow(run, "a long, b long, tail binary, id long, lo int, lone boolean, more int, edge boolean")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """``id`` and ``spans`` (first byte, byte after the last; they may touch or
     overlap) of texts (id, text) in which a string of ``length`` bytes starts
     that also starts elsewhere in the table."""
-    level, levels = first_level(rows, length), []
-    for n in range(len(WIDTHS)):
-        told = judged(level)
-        levels.append(told)
-        if n + 1 < len(WIDTHS):
-            unsure = told.where("on").select("id", "lo", "hi", "anchor", (F.col("known") | F.col("repeated")).alias("known"))
-            level = next_level(rows, unsure, length, WIDTHS[n + 1])
-    spans = None
-    for told in levels:
-        sure = told.where("repeated AND NOT known").select("id", "lo", (F.col("hi") + length).alias("end"))
-        spans = sure if spans is None else spans.unionByName(sure)
+    parse = written(parsed(rows, length))
+    cores = written(parse.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core"))
+    live = written(parse.join(cores, "core", "left_semi"))
+    # "first" takes all columns of an entry from one and the same row
+    entry = [F.first(c).alias(c) for c in ("core", "head", *ENTRY)]
+    dictionary = written(live.groupBy("full", "full2").agg(F.count("*").alias("times"), *entry))
+    discard(parse, cores)
+    sure = live.join(written(dictionary.where("times > 1").select("full", "full2")), ["full", "full2"], "left_semi")
+    sure = sure.select("id", "lo", (F.col("hi") + length).alias("end"))
+
+    kinds = dictionary.groupBy("core").agg(F.count("*").alias("entries"), F.count_if(F.col("times") == 1).alias("lone"), (F.min("head") != F.max("head")).alias("mixed"))
+    kinds = written(kinds.where("entries > 1 AND lone > 0").select("core", "mixed"))
+    doubtful = dictionary.join(kinds, "core").select("id", "lo", "hi", (F.col("times") == 1).alias("lone"), "mixed")
+    both = written(compared(rows, doubtful, length))
+    begun = both.where("tail IS NOT NULL")
+    # only where another entry begins with the same window
+    heads = written(begun.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
+    order = begun.join(heads, ["a", "b"], "left_semi").repartitionByRange("a", "b", "tail", "id", "lo").sortWithinPartitions("a", "b", "tail", "id", "lo")
+    order = written(neighbours_in_order(order))
+    edges = neighbours_in_order(order.where("edge").coalesce(1).sortWithinPartitions("a", "b", "tail", "id", "lo"))  # two rows a partition
+    follow = order.select("id", "lo", "lone", "more").unionByName(edges.select("id", "lo", "lone", "more")).where("lone AND more IS NOT NULL")
+    follow = follow.select("id", "lo", (F.col("lo") + F.col("more") + length).alias("end"))
+
+    inside = both.where("tail IS NULL")
+    twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
+    within = inside.where("lone").join(twice, ["a", "b"], "left_semi").select("id", "lo", (F.col("lo") + length).alias("end"))
+    spans = sure.unionByName(follow).unionByName(within)
     out = written(spans.groupBy("id").agg(F.collect_set(F.struct("lo", "end")).alias("spans")))
-    discard(*levels)
+    discard(live, dictionary, kinds, both, heads, order, twice)
     return out
 
 

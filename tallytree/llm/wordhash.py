@@ -6,9 +6,9 @@ import numpy as np
 
 from .common import mix
 
-BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
-_powers = np.empty((2, 0), np.uint64)
+#: Two bases, for hashes that are independent of each other, and their inverses modulo 2 ** 64.
+BASES = (0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95 | 1)
+_powers: dict[int, np.ndarray] = {}
 
 #: A-Z as a-z, every other byte as it is.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -30,25 +30,24 @@ SPACED = ~byte_set(0x20, (0x09, 0x0D))
 LETTERS = byte_set((48, 57), (65, 90), (97, 122), (128, 255))
 
 
-def powers(n: int) -> np.ndarray:
-    """The first n powers of BASE and of its inverse, modulo 2 ** 64."""
-    global _powers
-    if _powers.shape[1] < n:
+def powers(n: int, which: int = 0) -> np.ndarray:
+    """The first n powers of a base and of its inverse, modulo 2 ** 64."""
+    if which not in _powers or _powers[which].shape[1] < n:
         steps = np.empty((2, max(n, 1 << 16)), np.uint64)
-        steps[:, 0], steps[0, 1:], steps[1, 1:] = 1, BASE, INVERSE
-        _powers = np.cumprod(steps, axis=1)
-    return _powers[:, :n]
+        steps[:, 0], steps[0, 1:], steps[1, 1:] = 1, BASES[which], pow(BASES[which], -1, 1 << 64)
+        _powers[which] = np.cumprod(steps, axis=1)
+    return _powers[which][:, :n]
 
 
-def sums(raw: np.ndarray, lower: bool = False) -> np.ndarray:
+def sums(raw: np.ndarray, lower: bool = False, which: int = 0) -> np.ndarray:
     """Running polynomial sums: n + 1 numbers, from which span_hashes takes any span's."""
     out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(((LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)) * powers(len(raw) + 1)[0, : len(raw)], out=out[1:])
+    np.cumsum(((LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)) * powers(len(raw) + 1, which)[0, : len(raw)], out=out[1:])
     return out
 
 
-def span_hashes(running: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((running[end] - running[start]) * powers(len(running))[1][start])
+def span_hashes(running: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    return mix((running[end] - running[start]) * powers(len(running), which)[1][start])
 
 
 def word_spans(raw: np.ndarray, off: np.ndarray, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -126,6 +126,7 @@ def test_repeats_are_those_of_brute_force(spark, seed):
     passage, other = some(900), some(450)
     texts = [some(rng.randint(0, 1500)) for _ in range(12)]
     texts += [some(50) + passage + some(70), passage[3:] + some(30), some(9) + passage[100:700], passage[:399], passage[:401], other, other + other, "é" * 700, "=" * 1500, "=" * 1500, "ab" * 600, None, "", texts[0], texts[0]]
+    texts += ["=" * 900, "ab" * 600 + "x", "xy" * 900, some(30) + "line of text\n" * 60, "line of text\n" * 50 + some(20), passage[200:] + other, passage[:500] + some(600)]
     texts += [some(rng.randint(0, 40)) + passage[k : k + 400 + rng.randint(0, 99)] for k in range(0, 400, 37)]
     found = repeats.remove_repeats(table(spark, texts))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
