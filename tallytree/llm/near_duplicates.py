@@ -11,9 +11,10 @@ Within a key, texts are first measured against the key's centre, in a crowded ke
 against several (drawn by hashes of the id, so that neighbouring keys share them).
 What that puts into one component needs no more comparing; of the rest of a key,
 pairs of different components are compared: all of them in a key of ``CROWD`` texts
-at most; in a larger one through the elements in which each text differs from the
-centre that has most texts near it, where a prefix filter leaves the pairs that can
-be similar. No key, bucket or partner is dropped.
+at most. Texts of larger keys get a second index of longer chunks. Where that has
+crowded keys, too, texts are compared through the elements in which each differs
+from a centre: a prefix filter leaves the pairs that can be similar. No key, bucket
+or partner is dropped.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ MISS = 1e-6
 CROWD = 40
 #: Centres of a larger one, beside the least id.
 DRAWS = 8
+#: Keys of a crowded text's second index at most.
+SHARP_KEYS = 56
 
 
 @dataclass(frozen=True)
@@ -61,6 +64,14 @@ def index(similarity: float, symbols: int, errors: int, seed: int) -> Index:
     return Index(symbols, errors, math.ceil(math.log(MISS) / math.log(1 - good)), seed)
 
 
+def sharp_index(similarity: float, seed: int) -> Index:
+    """The longest chunks without errors that need ``SHARP_KEYS`` keys at most."""
+    n = 1
+    while index(similarity, n + 1, 0, seed).chunks <= SHARP_KEYS:
+        n += 1
+    return index(similarity, n, 0, seed)
+
+
 def shingles(raw: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of the distinct shingles of each text, in that order. A text
     of fewer than ``size`` words has one shingle, the whole sequence."""
@@ -143,6 +154,20 @@ def sets_of(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return found.select("id", F.xxhash64("digest").alias("u"), "s")
 
 
+def sharper(full: DataFrame, idx: Index) -> DataFrame:
+    """``id`` and ``key`` of the second index, of sets (id, s)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            sets = b.column("s")
+            sizes = sets.value_lengths().to_numpy(zero_copy_only=False)
+            h = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            keys = keys_of(np.repeat(np.arange(len(sizes)), sizes), h, len(sizes), idx)
+            yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(np.repeat(np.arange(len(sizes)), keys.shape[1]))), pa.array(keys.ravel().view(np.int64))], names=["id", "key"])
+
+    return full.select("id", "s").mapInArrow(run, "id long, key long")
+
+
 def links(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
     one = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
@@ -195,12 +220,12 @@ def within(told: DataFrame, percent: int) -> DataFrame:
 
 
 def around(full: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (c, id, near, comp) of one centre and different components
-    that can be similar. None is missed.
+    """Pairs of members (c, id, comp) of one centre and different components that
+    can be similar, and of members with the centre where they are. None is missed.
 
     Sets x and y that differ from the centre's in dx and dy elements and from
     each other in t at most have (dx + dy - t) / 2 of these differences in
-    common. If that is no more than none, both are near the centre; else, with
+    common. If that is no more than none, both are similar to the centre; else, with
     all differences in one order, rarest first, the first dx - common + 1 of x
     and the first dy - common + 1 of y share one. A set that has less in common
     with the centre than not is taken by its own elements instead (the centre is
@@ -208,26 +233,30 @@ def around(full: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
     """
     sets = full.select("id", "u", "s")
     met = crowd.join(sets, "id").join(sets.select(F.col("id").alias("c"), F.col("u").alias("uc"), F.col("s").alias("sc")), "c")
-    n, more, less = F.size("s"), F.array_except("s", "sc"), F.array_except("sc", "s")
-    met = met.select("id", "near", "comp", "u", "uc", "s", n.alias("n"), F.concat(more, less).alias("off"))
-    most = apart(F.floor(F.col("n") * (100 + percent) / percent), percent)
-    d, none = F.size("off"), F.expr("cast(array() as array<bigint>)")
+    n, off = F.size("s"), F.concat(F.array_except("s", "sc"), F.array_except("sc", "s"))
+    met = met.select("id", "c", "comp", "u", "uc", "s", n.alias("n"), F.size("sc").alias("nc"), off.alias("off"))
+    d, most = F.size("off"), apart(F.floor(F.col("n") * (100 + percent) / percent), percent)
+    none = F.expr("cast(array() as array<bigint>)")
     to_centre = F.when(d * percent <= F.col("n") * 100 + most * percent, F.col("off")).otherwise(none)
     to_none = F.when(d >= F.col("n"), F.col("s")).otherwise(none)
-    parts = F.array(*(F.struct(F.lit(k).alias("part"), e.alias("of")) for k, e in enumerate((to_centre, to_none))))
-    parts = met.select("id", "near", "comp", "u", "uc", "n", most.alias("most"), F.explode(parts).alias("p"))
-    parts = parts.select("id", "near", "comp", "u", "uc", "n", "most", "p.part", F.size("p.of").alias("d"), F.explode("p.of").alias("e"))
-    parts = written(parts)
-    often = parts.groupBy("uc", "part", "e").agg(F.count("*").alias("often"))
-    rarest = Window.partitionBy("uc", "part", "id", "u").orderBy("often", "e")
-    first = parts.join(often, ["uc", "part", "e"]).withColumn("at", F.row_number().over(rarest)).where(F.col("at") <= F.col("most") + 1)
-    first = written(first.where("often > 1").drop("often", "most"))
+    met = met.select("id", "c", "comp", "u", "uc", "n", most.alias("most"), (d <= apart(F.col("n") + F.col("nc"), percent)).alias("near"), to_centre.alias("p0"), to_none.alias("p1"))
+    met = written(met)
+    parts = met.select("id", "near", "comp", "u", "uc", "n", "most", F.explode(F.array(*(F.struct(F.lit(k).alias("part"), F.col(f"p{k}").alias("of")) for k in (0, 1)))).alias("p"))
+    parts = written(parts.select("id", "near", "comp", "u", "uc", "n", "most", "p.part", F.size("p.of").alias("d"), F.explode("p.of").alias("e")))
+    # what no other has comes first in the order and can't be shared
+    often = written(parts.groupBy("uc", "part", "e").agg(F.count("*").alias("often")).where("often > 1"))
+    own = Window.partitionBy("uc", "part", "id", "u")
+    first = parts.join(often, ["uc", "part", "e"])
+    first = first.withColumn("at", F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "e"))).where(F.col("at") <= F.col("most") + 1)
+    first = written(first.drop("often", "most"))
     other = first.select("uc", "part", "e", *(F.col(c).alias(f"{c}_b") for c in ("id", "near", "comp", "n", "d", "at")))
     common = F.greatest(F.lit(1), F.ceil((F.col("d") + F.col("d_b") - apart(F.col("n") + F.col("n_b"), percent)) / 2))
     pair = (F.col("near_b") | (F.col("id") < F.col("id_b"))) & (F.col("comp") != F.col("comp_b")) & like_size("n", "n_b", percent)
     pair &= (F.col("at") <= F.col("d") - common + 1) & (F.col("at_b") <= F.col("d_b") - common + 1)
-    out = written(first.where("NOT near").join(other, ["uc", "part", "e"]).where(pair).select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b")).distinct())
-    discard(parts, first)
+    found = first.where("NOT near").join(other, ["uc", "part", "e"]).where(pair).select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b"))
+    found = found.unionByName(met.where("near AND id != c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")))
+    out = written(found.distinct())
+    discard(met, parts, often, first)
     return out
 
 
@@ -272,14 +301,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     placed = written(members.join(joined.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "times", F.coalesce("comp", "id").alias("comp")))
     mixed = written(placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"))
     told = placed.join(mixed, "key", "left_semi")
-    near = first.select(F.col("a").alias("id"), F.col("b").alias("centre"), F.lit(True).alias("near"))
-    # of a key's centres the one that most texts are near
-    popular = first.groupBy(F.col("b").alias("centre")).agg(F.count("*").alias("times"))
+    # of a text's centres the one that most texts are near
+    popular = first.groupBy(F.col("b").alias("centre")).agg(F.count("*").alias("near"))
     best = centres.select("key", F.explode("centres").alias("centre")).join(popular, "centre", "left")
-    best = written(best.groupBy("key").agg(F.max_by("centre", F.struct(F.coalesce("times", F.lit(0)), "centre")).alias("centre")))
-    crowd = told.where(F.col("times") > CROWD).join(best, "key").select("id", "centre", "comp").distinct().join(near, ["id", "centre"], "left")
-    crowd = written(crowd.select("id", F.col("centre").alias("c"), "comp", (F.coalesce("near", F.lit(False)) | (F.col("id") == F.col("centre"))).alias("near")))
-    pairs = written(within(told.where(F.col("times") <= CROWD), percent).unionByName(around(full, crowd, percent)).distinct())
+    best = written(best.groupBy("key").agg(F.max(F.struct(F.coalesce("near", F.lit(0)).alias("near"), "centre")).alias("best")))
+    crowd = written(told.where(F.col("times") > CROWD).join(best, "key").groupBy("id", "n", "comp").agg(F.max("best").alias("best")))
+    again = written(sharper(full.join(sized(crowd.select("id")), "id", "left_semi"), sharp_index(percent / 100, 18)).distinct().join(crowd, "id"))
+    groups = again.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("times"), F.max("best")["centre"].alias("c")).where("low < high")
+    groups = written(groups.select("key", "times", "c"))
+    again = again.join(groups, "key")
+    pairs = within(told.where(F.col("times") <= CROWD), percent).unionByName(within(again.where(F.col("times") <= CROWD), percent))
+    pairs = written(pairs.unionByName(around(full, written(again.where(F.col("times") > CROWD).select("c", "id", "comp").distinct()), percent)).distinct())
     second = links(full, pairs, percent)
     linked = written(first.unionByName(second))
     joined = components(linked)
@@ -291,5 +323,5 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     out = found.select("key", "n", "digest").join(comp, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("of")), "left")
     own = F.when(F.col("key").isNotNull(), F.coalesce("comp", "key"))
     out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("key").eqNullSafe(own).alias("kept"))
-    discard(members, full, least, centres, stars, first, placed, mixed, best, crowd, pairs, second, linked)
+    discard(members, full, least, centres, stars, first, placed, mixed, best, crowd, groups, pairs, second, linked)
     return out
