@@ -9,10 +9,13 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import report
-from .operators import aggregate, confidence, detect, taxonomy
-from .schema import DEFAULT_RANKS, MATRIX_TYPES, METHODS
+from .operators import aggregate, cohort, confidence, detect, reporting, taxonomy
+from .schema import DEFAULT_RANKS, MATRIX_TYPES, METHODS, tier_suffix
 from .sources import readers, sinks
 
+#: The tier of all reads.
+SENSITIVE = "sensitive"
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tallytree", description=__doc__)
@@ -26,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--idxstats", nargs="*", default=[], help="read-total sidecars")
     a.add_argument("--outputs", nargs="*", default=[], help="per-read outputs, for tiers")
     a.add_argument("--confidence-threshold", nargs="*", type=float, default=[0.1])
+    a.add_argument("--no-confidence-tiers", action="store_true")
     a.add_argument("--wide", action="store_true", help="wide text matrices too")
     d = sub.add_parser("detect", help="cohort tables to flags")
     d.add_argument("cohort")
@@ -37,6 +41,9 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--gmm-threshold", type=float, default=detect.GMM_THRESHOLD)
     d.add_argument("--kitome-taxa", nargs="*", type=int, default=[])
     d.add_argument("--no-subtract-background", action="store_true")
+    d.add_argument("--rank-filter", nargs="*", default=list(DEFAULT_RANKS), help="ranks that are searched, too")
+    d.add_argument("--no-confidence-tiers", action="store_true")
+    d.add_argument("--no-abs-detection", action="store_true")
     r = sub.add_parser("report", help="cohort tables and flags to a report")
     r.add_argument("cohort")
     r.add_argument("flags")
@@ -47,52 +54,93 @@ def parser() -> argparse.ArgumentParser:
 
 def run_aggregate(spark: SparkSession, a: argparse.Namespace) -> None:
     rows = aggregate.latest_reports(readers.read_reports(spark, a.reports))
+    if rows.isEmpty():
+        raise ValueError("no report has a row that can be read")
     label = aggregate.labels(rows, a.min_reads)
-    totals = readers.read_summaries(spark, a.idxstats).select("sample_id", "total_reads") if a.idxstats else None
+    summaries = readers.read_summaries(spark, a.idxstats) if a.idxstats else None
+    totals = summaries.select("sample_id", "total_reads") if a.idxstats else None
     if a.nodes:
         lineage = taxonomy.closure(readers.read_nodes(spark, a.nodes)).cache()
         label = label.join(taxonomy.domains(label, lineage), "tax_id", "left")
+    every = aggregate.samples(rows, totals, a.min_reads)
+    told = every if summaries is None else reporting.provenance(every.drop("total_reads"), summaries)
+    told.write.mode("overwrite").parquet(f"{a.out}/samples")
     direct = aggregate.denominators(rows)
-    every = aggregate.measures(aggregate.counts(rows, a.min_reads), direct, totals).withColumn("rank_scope", F.lit("all"))
+    whole = aggregate.measures(aggregate.counts(rows, a.min_reads), direct, totals).withColumn("rank_scope", F.lit("all"))
     clades = aggregate.measures(aggregate.counts(rows, a.min_reads, "clade_reads"), direct, totals)
     of_rank = aggregate.of_ranks(clades, label, [x for x in a.rank_filter if x != "S"])
-    species = aggregate.of_ranks(every.drop("rank_scope"), label, [x for x in a.rank_filter if x == "S"])
-    cells = every.unionByName(of_rank).unionByName(species).withColumn("tier", F.lit("sensitive"))
-    if a.outputs and a.nodes:
-        reads = readers.read_outputs(spark, a.outputs)
+    species = aggregate.of_ranks(whole.drop("rank_scope"), label, [x for x in a.rank_filter if x == "S"])
+    cells = whole.unionByName(of_rank).unionByName(species).withColumn("tier", F.lit(SENSITIVE))
+    if a.outputs and a.nodes and not a.no_confidence_tiers:
+        reads = confidence.last_outputs(readers.read_outputs(spark, a.outputs))
         found = confidence.read_confidence(reads.withColumn("assigned", F.col("tax_id")), lineage, "sample_id", "read_id", "assigned")
+        # reports are the cohort: an output of a sample without one is not read
+        found = found.join(every.select("sample_id"), "sample_id", "left_semi").cache()
         for_tiers = confidence.tiers(found, a.confidence_threshold)
-        all_reads = for_tiers.groupBy("tier", "sample_id").agg(F.sum("direct_reads").alias("all"))
-        low = for_tiers.join(all_reads, ["tier", "sample_id"]).select("sample_id", "tax_id", F.col("direct_reads").alias("raw"), (F.col("direct_reads") / F.col("all") * 1e6).alias("cpm"), F.lit(None).cast("double").alias("abs"), F.lit("all").alias("rank_scope"), "tier")
+        names = [tier_suffix(x) for x in sorted(set(a.confidence_threshold) - {0.0})]
+        known = label.select("tax_id", "rank").unionByName(readers.read_nodes(spark, a.nodes).select("tax_id", "rank")).groupBy("tax_id").agg(F.first("rank").alias("rank"))
+        low = confidence.tier_cells(for_tiers, confidence.tier_samples(direct, for_tiers, names), lineage, known, a.rank_filter, a.min_reads, totals)
         cells = cells.unionByName(low)
+        confidence.demoted(found, a.confidence_threshold).write.mode("overwrite").parquet(f"{a.out}/demoted")
     sinks.write_long(cells, f"{a.out}/cells")
     label.write.mode("overwrite").parquet(f"{a.out}/labels")
+    written, kept = spark.read.parquet(f"{a.out}/cells"), spark.read.parquet(f"{a.out}/samples")
+    sinks.write_json(aggregate.metadata(kept, written.where(f"tier = '{SENSITIVE}' AND rank_scope = 'all'"), a.min_reads), f"{a.out}/aggregation_metadata.json")
     if a.wide:
-        whole = spark.read.parquet(f"{a.out}/cells").where("tier = 'sensitive' AND rank_scope = 'all'")
-        samples = [x[0] for x in whole.select("sample_id").distinct().orderBy("sample_id").collect()]  # the columns of a wide file
-        for kind in MATRIX_TYPES if totals is not None else MATRIX_TYPES[:2]:
-            sinks.write_matrix(whole, label, kind, samples, f"{a.out}/{sinks.matrix_name(kind)}")
+        samples = [x[0] for x in kept.select("sample_id").orderBy("sample_id").collect()]  # the columns of a wide file
+        known_totals = kept.select("sample_id", "total_reads")
+        for tier, scope in sorted(tuple(x) for x in written.select("tier", "rank_scope").distinct().collect()):  # one a file
+            part = written.where((F.col("tier") == tier) & (F.col("rank_scope") == scope))
+            for kind in MATRIX_TYPES if totals is not None else MATRIX_TYPES[:2]:
+                name = sinks.matrix_name(kind, "" if scope == "all" else scope, "" if tier == SENSITIVE else tier)
+                sinks.write_matrix(part, label, kind, samples, f"{a.out}/{name}", known_totals)
+
+
+def passes(spark: SparkSession, a: argparse.Namespace) -> list[tuple[str, str, str, str]]:
+    """(folder, tier, rank, measure) of each pass: the primary one, then its ranks,
+    tiers and, with totals, the abs sibling with its tiers."""
+    cells, samples = spark.read.parquet(f"{a.cohort}/cells"), spark.read.parquet(f"{a.cohort}/samples")
+    there = {(r["tier"], r["rank_scope"]) for r in cells.select("tier", "rank_scope").distinct().collect()}
+    tiers = [r["tier"] for r in readers.tiers_found(cells.where("rank_scope = 'all'")).collect()] if not a.no_confidence_tiers else []
+    out = [("", SENSITIVE, "all", a.matrix_type)] + [(r, SENSITIVE, r, a.matrix_type) for r in a.rank_filter if (SENSITIVE, r) in there] + [(x, x, "all", a.matrix_type) for x in tiers]
+    if a.matrix_type != "abs" and not a.no_abs_detection and not samples.where("total_reads IS NOT NULL").isEmpty():
+        out += [("abs", SENSITIVE, "all", "abs"), *((f"abs/{x}", x, "all", "abs") for x in tiers)]
+    return out
 
 
 def run_detect(spark: SparkSession, a: argparse.Namespace) -> None:
-    whole = spark.read.parquet(f"{a.cohort}/cells").where("tier = 'sensitive' AND rank_scope = 'all'")
-    value = F.col("raw").cast("double") if a.matrix_type == "raw" else F.round(F.coalesce(F.col(a.matrix_type), F.lit(0.0)), 4)
-    cells = whole.select("sample_id", "tax_id", value.alias("value"))
-    n = cells.select("sample_id").distinct().count()
-    flags = detect.detect(cells, n, spark.read.parquet(f"{a.cohort}/labels"), a.method, a.mad_threshold, a.iqr_multiplier, a.gmm_threshold, a.kitome_taxa, not a.no_subtract_background)
-    sinks.write_detection(flags, detect.qc_summary(flags, cells, n), a.out)
+    cells, labels = spark.read.parquet(f"{a.cohort}/cells"), spark.read.parquet(f"{a.cohort}/labels")
+    n = spark.read.parquet(f"{a.cohort}/samples").count()
+    for folder, tier, rank, measure in passes(spark, a):
+        whole = cells.where((F.col("tier") == tier) & (F.col("rank_scope") == rank))
+        value = F.col("raw").cast("double") if measure == "raw" else F.round(F.coalesce(F.col(measure), F.lit(0.0)), 4)
+        part = whole.select("sample_id", "tax_id", value.alias("value"))
+        flags = detect.detect(part, n, labels, a.method, a.mad_threshold, a.iqr_multiplier, a.gmm_threshold, a.kitome_taxa, not a.no_subtract_background)
+        summary = detect.qc_summary(flags, part, n).join(F.broadcast(detect.skipped(part, n, a.kitome_taxa, not a.no_subtract_background)))
+        sinks.write_detection(flags, summary, f"{a.out}/{folder}".rstrip("/"))
 
 
 def run_report(spark: SparkSession, a: argparse.Namespace) -> None:
-    label = spark.read.parquet(f"{a.cohort}/labels")
-    fact = spark.read.parquet(f"{a.cohort}/cells").where("tier = 'sensitive' AND rank_scope = 'all'").join(label.select("tax_id", *(["domain"] if "domain" in label.columns else [])), "tax_id", "left")
+    label, samples = spark.read.parquet(f"{a.cohort}/labels"), spark.read.parquet(f"{a.cohort}/samples")
+    cells = spark.read.parquet(f"{a.cohort}/cells")
+    named = label.select("tax_id", "name", *(["domain"] if "domain" in label.columns else []))
+    fact = cells.where(f"tier = '{SENSITIVE}' AND rank_scope = 'all'").join(named, "tax_id", "left")
     if "domain" not in fact.columns:
         fact = fact.withColumn("domain", F.lit(None).cast("string"))
-    flags = spark.read.csv(f"{a.flags}/flagged_samples.tsv", sep="\t", header=True).withColumn("tax_id", F.col("tax_id").cast("long"))
-    n = fact.select("sample_id").distinct().count()
-    pages = [report.render("Cohort report", report.sections(fact, n, flags, a.threshold_ppm)), report.manifest(report.cohort.species(fact, n, flags), flags, n)]
+    fact, n = fact.cache(), samples.count()
+    flags = readers.read_flags(spark, f"{a.flags}/flagged_samples.tsv")
+    tiers = [r["tier"] for r in readers.tiers_found(cells.where("rank_scope = 'all'")).collect()]
+    by_tier = None
+    for tier in tiers:  # as many as there were thresholds; a tier without flags is left out
+        part = readers.read_flags(spark, f"{a.flags}/{tier}/flagged_samples.tsv").select(F.lit(tier).alias("tier"), "sample_id")
+        by_tier = part if by_tier is None else by_tier.unionByName(part)
+    parts = report.sections(fact, n, flags, a.threshold_ppm, readers.read_flags(spark, f"{a.flags}/abs/flagged_samples.tsv"), by_tier, named)
+    species = cohort.species(fact, n, flags)
+    pages = [report.render("Cohort report", parts), report.manifest(species, flags, n, tiers)]
     for name, text in zip(("report_html", "manifest_json"), pages, strict=True):
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{a.out}/{name}")
+    sinks.write_table(species.join(named.select("tax_id", "name"), "tax_id", "left").orderBy(*cohort.by_burden()), f"{a.out}/species_summary.tsv")
+    sinks.write_table(cohort.sample_stats(fact).orderBy("sample_id"), f"{a.out}/per_sample_summary.tsv")
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -23,6 +23,11 @@ def weighted_median(value: str, weight: str = "weight") -> Column:
     return F.expr(f"percentile({value}, 0.5D, {weight})")
 
 
+def upper_median(value: str) -> Column:
+    """Of an even number of values the higher middle one; no list of them is made."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
+
+
 def quartiles(rows: DataFrame, *keys: str) -> DataFrame:
     """``keys``, ``q1``, ``q3``: medians of the lower and upper half, the middle
     value of an odd number left out (of one value, itself)."""

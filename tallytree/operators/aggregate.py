@@ -56,10 +56,29 @@ def of_ranks(cells: DataFrame, label: DataFrame, ranks: list[str] | tuple[str, .
 def dense(cells: DataFrame, value: str = "raw") -> DataFrame:
     """Every label with every sample, missing cells 0: for the wide files alone;
     statistics work on the sparse cells and a weighted zero."""
-    grid = cells.select("tax_id").distinct().join(F.broadcast(cells.agg(F.sort_array(F.collect_set("sample_id")).alias("all"))))
-    grid = grid.select("tax_id", F.explode("all").alias("sample_id"))
+    grid = cells.select("tax_id").distinct().crossJoin(cells.select("sample_id").distinct())  # the matrix itself
     return grid.join(cells.select("tax_id", "sample_id", value), ["tax_id", "sample_id"], "left").withColumn(value, F.coalesce(value, F.lit(0)))
 
 
+def samples(rows: DataFrame, read_totals: DataFrame | None = None, min_reads: int = 0) -> DataFrame:
+    """Every sample that was parsed, also one without a cell that is left:
+    ``sample_id``, ``direct_total``, ``cells`` (labels with ``min_reads`` or more)
+    and ``total_reads`` (null where not known)."""
+    kept = counts(rows, min_reads).groupBy("sample_id").agg(F.count("*").alias("cells"))
+    out = denominators(rows).join(kept, "sample_id", "left").withColumn("cells", F.coalesce("cells", F.lit(0)))
+    if read_totals is None:
+        return out.withColumn("total_reads", F.lit(None).cast("long"))
+    return out.join(read_totals.select("sample_id", "total_reads"), "sample_id", "left")
+
+
+def metadata(every: DataFrame, cells: DataFrame, min_reads: int) -> DataFrame:
+    """One row that says what was aggregated: of samples (``samples``' result) how
+    many, those without read totals by name, of cells how many labels."""
+    names = F.array_join(F.sort_array(F.collect_list(F.when(F.col("total_reads").isNull(), F.col("sample_id")))), ",")
+    s = every.agg(F.count("*").alias("sample_count"), (F.count("total_reads") > 0).alias("absolute_burden_enabled"), names.alias("samples_without_totals"))
+    taxa = cells.agg(F.countDistinct("tax_id").alias("taxon_count"))
+    return s.join(F.broadcast(taxa)).select("sample_count", "taxon_count", F.lit(min_reads).alias("min_reads"), "absolute_burden_enabled", "samples_without_totals")
+
+
 def without_totals(samples: DataFrame, read_totals: DataFrame) -> DataFrame:
     return samples.select("sample_id").distinct().join(read_totals, "sample_id", "left_anti")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.robust import upper_median
 from ..schema import HUMAN
 
 #: Prevalence from which a label is core, or accessory.
@@ -125,7 +126,6 @@ def every_kth(samples: DataFrame, n: int, cap: int) -> DataFrame:
 
 def executive(stats: DataFrame, rows: DataFrame) -> DataFrame:
     """One row: totals, upper medians, and how many labels are in each band."""
-    upper = lambda c: F.element_at(F.sort_array(F.collect_list(c)), (F.floor(F.count(c) / 2) + 1).cast("int"))
-    a = stats.agg(F.count("*").alias("samples"), F.sum("classified").alias("classified"), F.sum("nonhuman").alias("nonhuman"), upper("pct_nonhuman").alias("median_pct_nonhuman"))
+    a = stats.agg(F.count("*").alias("samples"), F.sum("classified").alias("classified"), F.sum("nonhuman").alias("nonhuman"), upper_median("pct_nonhuman").alias("median_pct_nonhuman"))
     b = rows.agg(*(F.count_if(F.col("band") == x).alias(x) for x in ("core", "accessory", "rare")), F.min_by("tax_id", F.struct(-F.coalesce("burden", F.lit(-1.0)), -F.col("raw_total"), F.col("tax_id"))).alias("top_by_burden"))
     return a.join(F.broadcast(b))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import checked_threshold, tier_suffix
+from .aggregate import of_ranks
 from .taxonomy import roll_up
 
 
@@ -52,6 +53,45 @@ def tier_counters(confident: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def demoted(confident: DataFrame, thresholds: list[float]) -> DataFrame:
+    """``tier``, ``sample_id``, ``demoted``: reads that a tier takes for unclassified."""
+    kept = sorted({checked_threshold(t) for t in thresholds} - {0.0})
+    sums = [F.count_if((F.col("tax_id") > 0) & (F.col("confidence") < t)).alias(tier_suffix(t)) for t in kept]
+    return confident.groupBy("sample_id").agg(*sums).unpivot("sample_id", [tier_suffix(t) for t in kept], "tier", "demoted")
+
+
+def last_outputs(rows: DataFrame) -> DataFrame:
+    """Of samples with several per-read outputs, the lines of the one whose path sorts last."""
+    last = rows.groupBy("sample_id").agg(F.max("source_path").alias("source_path"))
+    return rows.join(last, ["sample_id", "source_path"], "left_semi")
+
+
+def tier_samples(samples: DataFrame, direct: DataFrame, tiers_: list[str]) -> DataFrame:
+    """``tier``, ``sample_id``, ``direct_total`` of every sample (sample_id,
+    direct_total) in every tier: of a sample without output the sensitive tier's
+    total, and no cells; it stays in all means and medians as zeros."""
+    own = direct.groupBy("tier", "sample_id").agg(F.sum("direct_reads").alias("own"))
+    every = samples.select("sample_id", "direct_total", F.explode(F.array(*map(F.lit, tiers_))).alias("tier"))
+    return every.join(own, ["tier", "sample_id"], "left").select("tier", "sample_id", F.coalesce("own", "direct_total").alias("direct_total"), F.col("own").isNotNull().alias("has_output"))
+
+
+def tier_cells(direct: DataFrame, samples: DataFrame, lineage: DataFrame, label: DataFrame, ranks: list[str] | tuple[str, ...], min_reads: int = 0, read_totals: DataFrame | None = None) -> DataFrame:
+    """``tier``, ``rank_scope``, ``sample_id``, ``tax_id``, ``raw``, ``cpm``, ``abs``: the
+    matrices of each tier, of all labels and of each rank. Ranks but species take
+    clade counts. ``samples`` is what ``tier_samples`` gives."""
+    totals = samples.select("tier", "sample_id", "direct_total")
+    named = lambda rows, column: rows.where(F.col(column) >= min_reads).select("tier", "sample_id", "tax_id", F.col(column).alias("raw"))
+    every, clades = named(direct, "direct_reads"), named(roll_up(direct, lineage, "tier", "sample_id"), "clade_reads")
+    scoped = every.withColumn("rank_scope", F.lit("all")).unionByName(of_ranks(clades, label, [r for r in ranks if r != "S"])).unionByName(of_ranks(every, label, [r for r in ranks if r == "S"]))
+    out = scoped.join(totals, ["tier", "sample_id"]).withColumn("cpm", F.when(F.col("direct_total") > 0, F.col("raw") / F.col("direct_total") * 1e6).otherwise(0.0))
+    if read_totals is None:
+        out = out.withColumn("abs", F.lit(None).cast("double"))
+    else:
+        known = read_totals.select("sample_id", F.when(F.col("total_reads") > 0, F.col("total_reads")).alias("all_reads"))
+        out = out.join(known, "sample_id", "left").withColumn("abs", F.col("raw") / F.col("all_reads") * 1e6)
+    return out.select("tier", "rank_scope", "sample_id", "tax_id", "raw", "cpm", "abs")
+
+
 def tier_records(direct: DataFrame, lineage: DataFrame) -> DataFrame:
     """Report rows of each tier and sample: direct and clade reads, and the
     clade's percentage of all reads, the unclassified ones included."""
@@ -59,3 +99,10 @@ def tier_records(direct: DataFrame, lineage: DataFrame) -> DataFrame:
     total = direct.groupBy("tier", "sample_id").agg(F.sum("direct_reads").alias("total"))
     rows = clades.join(direct, ["tier", "sample_id", "tax_id"], "left").join(total, ["tier", "sample_id"])
     return rows.select("tier", "sample_id", "tax_id", F.coalesce("direct_reads", F.lit(0)).alias("direct_reads"), "clade_reads", (F.col("clade_reads") / F.col("total") * 100).alias("percentage"))
+
+
+def without_reads(samples: DataFrame, direct: DataFrame, tiers_: list[str]) -> DataFrame:
+    """For outputs (sample_id) that hold no read: one unclassified row a tier, of 0 reads."""
+    empty = samples.select("sample_id").distinct().join(direct.select("sample_id").distinct(), "sample_id", "left_anti")
+    zero = F.lit(0).cast("long")
+    return empty.select(F.explode(F.array(*map(F.lit, tiers_))).alias("tier"), "sample_id", zero.alias("tax_id"), zero.alias("direct_reads"), zero.alias("clade_reads"), F.lit(0.0).alias("percentage"))

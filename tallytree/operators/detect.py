@@ -141,6 +141,14 @@ def detect(cells: DataFrame, n_samples: int, names: DataFrame, method: str = "al
     return out.join(names.select("tax_id", F.col("name").alias("taxon_name")), "tax_id", "left").withColumn("taxon_name", F.coalesce("taxon_name", F.lit(""))).select(*FLAGS)
 
 
+def skipped(cells: DataFrame, n_samples: int, kitome: Iterable[int] = (), subtract: bool = True) -> DataFrame:
+    """One row: labels without a median deviation, and without a spread of quartiles,
+    which the first two methods skip."""
+    rows = centred(without_labels(cells, kitome).where("value <> 0"), n_samples, subtract)
+    zeros = lambda df, test, name: df.agg(F.count_if(F.expr(test)).alias(name))
+    return zeros(medians(rows), "mad = 0", "taxa_skipped_mad_zero").join(F.broadcast(zeros(quartiles(rows, "tax_id"), "q3 = q1", "taxa_skipped_iqr_zero")))
+
+
 def qc_summary(flags: DataFrame, cells: DataFrame, n_samples: int) -> DataFrame:
     """One row: samples, labels, flags, and the flagged samples in order."""
     found = flags.agg(F.count("*").alias("flagged_count"), F.array_join(F.sort_array(F.collect_set("sample_id")), ",").alias("flagged_samples"))

@@ -61,6 +61,16 @@ def cluster(d: np.ndarray, method: str = "average") -> tuple[list[int], list[tup
     return (trees[ids[0]] if ids else []), merges
 
 
+def joining_heights(order: list[int], merges: list[tuple[int, int, float, int]]) -> list[float]:
+    """Of each leaf in order, the distance of the merge that joins it with the leaf before; of the first, 0."""
+    tree: dict[int, list[int]] = {k: [k] for k in order}
+    out = dict.fromkeys(order, 0.0)
+    for new, (a, b, at, _) in enumerate(merges, len(order)):
+        out[tree[b][0]] = at  # the later tree's first leaf stands next to the earlier tree's last
+        tree[new] = tree.pop(a) + tree.pop(b)
+    return [out[k] for k in order]
+
+
 def principal_coordinates(d: np.ndarray, axes: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """Coordinates and explained shares: eigenvectors of the centred squared distances."""
     n = len(d)

@@ -22,8 +22,9 @@ def closure(nodes: DataFrame, most: int = 64) -> DataFrame:
     while span < most:
         # out reaches depth span - 1; jump goes exactly span up
         further = out.alias("o").join(jump.alias("j"), F.col("o.ancestor_id") == F.col("j.tax_id")).select("o.tax_id", "j.ancestor_id", (F.col("o.depth") + span).alias("depth"))
-        out = out.unionByName(further).groupBy("tax_id", "ancestor_id").agg(F.min("depth").alias("depth"))
-        jump = jump.alias("a").join(jump.alias("b"), F.col("a.ancestor_id") == F.col("b.tax_id")).select("a.tax_id", "b.ancestor_id").distinct()
+        # kept, as each round reads the one before it three times
+        out = out.unionByName(further).groupBy("tax_id", "ancestor_id").agg(F.min("depth").alias("depth")).persist()
+        jump = jump.alias("a").join(jump.alias("b"), F.col("a.ancestor_id") == F.col("b.tax_id")).select("a.tax_id", "b.ancestor_id").distinct().persist()
         span *= 2
         if jump.isEmpty():
             break

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import robust
-from ..operators import aggregate, cohort, concordance, confidence, detect, ordination, taxonomy
+from ..operators import aggregate, cohort, concordance, confidence, detect, ordination, reporting, taxonomy
 from ..sources import readers
 from . import tables as t
 
@@ -201,10 +201,12 @@ def parse_reports(spark: SparkSession, d: str) -> DataFrame:
     return readers.parse_report(good.unionByName(bad))
 
 
-@query("SELECT event_type, count(*) AS events, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1", shared=False)
+@query("SELECT event_type AS sample_id, arg_max(CAST(json_extract(props, '$.k') AS BIGINT), event_id) AS total_reads FROM events GROUP BY 1", shared=False)
 def parse_sidecars(spark: SparkSession, d: str) -> DataFrame:
-    doc = F.from_json("props", "k long")
-    return t.table(spark, d, "events").select("event_type", doc["k"].alias("k")).groupBy("event_type").agg(F.count("*").alias("events"), F.sum("k").alias("total"))
+    """Read-total documents, several a sample: the last one counts."""
+    rows = t.table(spark, d, "events").select(F.col("event_id").alias("source_path"), F.to_json(F.struct(F.col("event_type").alias("sample_id"), F.from_json("props", "k long")["k"].alias("total_reads"))).alias("value"))
+    bad = rows.limit(2).select(F.col("source_path") + 1000000000, F.explode(F.array(F.lit("{"), F.lit('{"sample_id": "x"}'))).alias("value"))
+    return readers.last_summaries(readers.parse_summaries(rows.union(bad))).select("sample_id", "total_reads")
 
 
 @query("SELECT sample_id, CAST(sum(CASE WHEN l_returnflag <> 'N' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_mapped, CAST(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS BIGINT) AS total_unmapped, CAST(sum(l_quantity) AS BIGINT) AS total_reads FROM reads GROUP BY 1")
@@ -333,15 +335,26 @@ def ordered_samples(spark: SparkSession, d: str, cap: int = 500) -> list[str]:
     return [r[0] for r in cohort.every_kth(c, t.sample_count(c), cap).orderBy("sample_id").collect()]  # cap + a step's at most
 
 
+def informative_cells(spark: SparkSession, d: str) -> DataFrame:
+    return reporting.informative(cells(spark, d))
+
+
 @query()
 def sample_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Leaves in order, and the height of the merge that joins each with the one before it."""
     names = ordered_samples(spark, d)
-    order, _ = ordination.cluster(ordination.square(ordination.pairwise(cells(spark, d)), names))
-    return spark.createDataFrame([(i, names[k]) for i, k in enumerate(order)], "place int, sample_id string")
+    distances = ordination.square(ordination.pairwise(informative_cells(spark, d)), names)
+    order, merges = ordination.cluster(distances)
+    return spark.createDataFrame([(i, names[k], h) for (i, k), h in zip(enumerate(order), ordination.joining_heights(order, merges), strict=True)], "place int, sample_id string, height double")
 
 
 @query()
 def sample_coordinates(spark: SparkSession, d: str) -> DataFrame:
     names = ordered_samples(spark, d, 2000)
-    coords, _ = ordination.principal_coordinates(ordination.square(ordination.pairwise(cells(spark, d)), names))
+    if len(names) < 3:  # two points say nothing
+        return spark.createDataFrame([], "sample_id string, x double, y double")
+    coords, _ = ordination.principal_coordinates(ordination.square(ordination.pairwise(informative_cells(spark, d)), names))
     return spark.createDataFrame([(s, float(x), float(y)) for s, (x, y) in zip(names, coords, strict=True)], "sample_id string, x double, y double")
+
+
+from . import reports  # noqa: E402, F401  registers its queries here

@@ -40,7 +40,8 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads(spark, sf_dir).groupBy("sample_id", "tax_id").agg(F.count("*").alias("raw"))
+    """The cohort's cells, kept: statistics go over them several times, the reads are gone through once."""
+    return reads(spark, sf_dir).groupBy("sample_id", "tax_id").agg(F.count("*").alias("raw")).persist()
 
 
 def read_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from html import escape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import cohort
+from .operators import cohort, reporting
 
 #: Rows shown of each table.
 SHOWN = {"species": 200, "samples": 200, "bands": 10, "notable": 15, "flags": 200}
@@ -28,21 +28,33 @@ def section(number: str, title: str, rows: DataFrame, most: int) -> str:
     return f'<section id="s{number}"><h2>{number} {escape(title)}</h2><table><tr>{head}</tr>{body}</table></section>'
 
 
-def sections(fact: DataFrame, n_samples: int, flags: DataFrame, ppm: float = 1000.0) -> list[tuple[str, str, DataFrame, int]]:
+def sections(fact: DataFrame, n_samples: int, flags: DataFrame, ppm: float = 1000.0, abs_flags: DataFrame | None = None, tier_flags: DataFrame | None = None, names: DataFrame | None = None) -> list[tuple[str, str, DataFrame, int]]:
+    """Number, title, rows and how many are shown, of each section."""
     species, stats = cohort.species(fact, n_samples, flags), cohort.sample_stats(fact)
     informative = ("Bacteria", "Archaea", "Viruses", "Fungi", "Protists")
     by = stats.join(cohort.dominant_domain(fact, informative), "sample_id").groupBy("domain").agg(F.count("*").alias("samples"), *(F.percentile("pct_nonhuman", q).alias(f"q{int(q * 100):02d}") for q in (0.05, 0.25, 0.5, 0.75, 0.95)))
-    return [
+    either = flags.select("sample_id") if abs_flags is None else flags.select("sample_id").union(abs_flags.select("sample_id"))
+    out = [
         ("1", "Executive summary", cohort.executive(stats, species), 1),
         ("3.1", "Species summary", species.orderBy(*cohort.by_burden()), SHOWN["species"]),
+        ("3.2", "Prevalence and burden", reporting.quadrants(species, fact.where("abs IS NOT NULL").limit(1).count() > 0).orderBy("quadrant", F.desc("level"), "tax_id"), SHOWN["species"]),
         ("3.3", "Rank abundance", cohort.rank_abundance(species).select("rank", "tax_id", "raw_total"), SHOWN["species"]),
         ("3.4", "Core, accessory and rare", cohort.top_of_bands(species, SHOWN["bands"]).select("band", "rank", "tax_id", "prevalence", "burden").orderBy("band", "rank"), 3 * SHOWN["bands"]),
         ("3.5", "Distributions by dominant domain", by.orderBy("domain"), 20),
         ("3.6", "Domain composition", cohort.composition(fact).orderBy("sample_id", F.desc("reads")), SHOWN["samples"]),
+        ("3.6.2", "Prevalence and CPM", reporting.scatter(species, SHOWN["species"]), SHOWN["species"]),
+        ("3.6.3", "Burden by domain", reporting.burden_by_domain(fact).orderBy(F.desc("samples"), "domain"), 20),
+        ("3.6.4", "Diversity", reporting.diversity(stats).orderBy("measure", "bin"), 40),
+        ("3.9", "Labels of most reads", reporting.means(fact, n_samples), 10),
         ("4", "Variant impact", cohort.over_threshold(stats, ppm).orderBy(F.desc("abs_ppm"), "sample_id"), SHOWN["samples"]),
         ("5", "Detection", flags.orderBy("method", "tax_id", "sample_id"), SHOWN["flags"]),
-        ("6", "Notable samples", stats.orderBy(F.desc_nulls_last("abs_ppm"), "sample_id"), SHOWN["notable"]),
+        ("6", "Notable samples", reporting.notable(stats, either, SHOWN["notable"]).orderBy("list", "rank"), 4 * SHOWN["notable"]),
     ]
+    if tier_flags is not None:
+        out.insert(-1, ("5.1", "Agreement of tiers", reporting.flag_agreement(flags, tier_flags).orderBy("tier"), 100))
+    if names is not None:
+        out.append(("7", "Discussion", reporting.discussion(species, names).orderBy("band", "rank"), 6))
+    return out
 
 
 def render(title: str, parts: list[tuple[str, str, DataFrame, int]]) -> str:
@@ -50,7 +62,8 @@ def render(title: str, parts: list[tuple[str, str, DataFrame, int]]) -> str:
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{escape(title)}</title></head><body><h1>{escape(title)}</h1>{body}</body></html>"
 
 
-def manifest(species: DataFrame, flags: DataFrame, n_samples: int) -> str:
+def manifest(species: DataFrame, flags: DataFrame, n_samples: int, tiers: list[str] | tuple[str, ...] = ()) -> str:
     bands = {r["band"]: r["count"] for r in species.groupBy("band").count().collect()}  # three rows
     top = species.orderBy(*cohort.by_burden()).limit(SHOWN["species"]).select("tax_id", "prevalence", "raw_total", "burden", "band").toArrow().to_pylist()
-    return json.dumps({"schema_version": "2.2", "samples": n_samples, "bands": bands, "flagged": flags.select("sample_id").distinct().count(), "species": top}, indent=2)
+    flagged = [r[0] for r in flags.select("sample_id").distinct().orderBy("sample_id").limit(SHOWN["flags"]).collect()]
+    return json.dumps({"schema_version": "2.2", "samples": n_samples, "bands": bands, "flagged": flags.select("sample_id").distinct().count(), "flagged_samples": flagged, "tiers": list(tiers), "species": top}, indent=2)

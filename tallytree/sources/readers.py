@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,8 +88,17 @@ def read_names(spark: SparkSession, path: str) -> DataFrame:
 def read_summaries(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Read totals; documents without sample_id or total_reads go; of several
     for one sample the one whose path sorts last counts."""
-    rows = spark.read.schema(SUMMARY).option("multiLine", True).json(paths).withColumn("source_path", F.col("_metadata.file_path"))
-    return last_of(rows.where("sample_id IS NOT NULL AND total_reads IS NOT NULL"), ["sample_id"], "source_path")
+    return last_summaries(parse_summaries(spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("source_path"))))
+
+
+def parse_summaries(rows: DataFrame) -> DataFrame:
+    """Documents (``value``, one each) as typed rows; what is no such document goes."""
+    doc = rows.select("source_path", F.from_json("value", SUMMARY).alias("d")).select("source_path", "d.*")
+    return doc.where("sample_id IS NOT NULL AND total_reads IS NOT NULL")
+
+
+def last_summaries(rows: DataFrame) -> DataFrame:
+    return last_of(rows, ["sample_id"], "source_path")
 
 
 def parse_idxstats(rows: DataFrame) -> DataFrame:
@@ -99,6 +109,23 @@ def parse_idxstats(rows: DataFrame) -> DataFrame:
     return cut.select(*others, c[0].alias("chrom"), *(c[i].try_cast("long").alias(n) for i, n in ((1, "length"), (2, "mapped"), (3, "unmapped")))).dropna(subset=["mapped", "unmapped"])
 
 
+def fastq_counts(rows: DataFrame) -> DataFrame:
+    """``source_path``, ``reads``: four lines a read; what is left over is no read."""
+    return rows.groupBy("source_path").agg(F.floor(F.count("*") / 4).alias("reads"))
+
+
+#: A tier's suffix, with the two decimals of its threshold.
+TIER = r"conf(\d+)p(\d+)$"
+
+
+def tiers_found(cells: DataFrame) -> DataFrame:
+    """``tier``, ``threshold`` of the tiers that cells (tier, raw, cpm) hold in both
+    measures, in order of their thresholds; names of another form are no tiers."""
+    whole, part = F.regexp_extract("tier", TIER, 1), F.regexp_extract("tier", TIER, 2)
+    both = cells.groupBy("tier").agg(F.count("raw").alias("raw"), F.count("cpm").alias("cpm")).where("raw > 0 AND cpm > 0")
+    return both.where(whole != "").select("tier", F.concat_ws(".", whole, part).cast("double").alias("threshold")).orderBy("threshold", "tier")
+
+
 def read_totals(stats: DataFrame) -> DataFrame:
     sums = stats.groupBy("sample_id").agg(F.sum("mapped").alias("total_mapped"), F.sum("unmapped").alias("total_unmapped"))
     return sums.withColumn("total_reads", F.col("total_mapped") + F.col("total_unmapped"))
@@ -123,6 +150,19 @@ def last_of(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r")).select(*keys, *(F.col("r")[c].alias(c) for c in rest))
 
 
+FLAG_ROWS = "sample_id string, tax_id long, taxon_name string, value double, population_median double, deviation double, method string"
+
+
+def read_flags(spark: SparkSession, path: str) -> DataFrame:
+    """A detection's flags; no rows where the pass wasn't run."""
+    try:
+        return spark.read.schema(FLAG_ROWS).csv(path, sep="\t", header=True)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], FLAG_ROWS)
+
+
 def read_matrix(spark: SparkSession, path: str, missing: float | None = None) -> DataFrame:
     """A wide matrix file as long rows (tax_id, name, [domain], sample_id,
     value). ``missing`` replaces NA and bad cells: 0.0 for detection, null for reports."""

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,29 +18,38 @@ def write_long(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
-def wide(cells: DataFrame, labels: DataFrame, value: str, samples: list[str]) -> DataFrame:
+def wide(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], totals: DataFrame | None = None) -> DataFrame:
     """A row a label, a column a sample, as text: counts whole, others with four
-    decimals as Python prints them, unknown ones NA; missing cells are 0."""
-    known = cells.groupBy("tax_id").pivot("sample_id", samples).agg(F.struct(F.first(value).alias("v"), F.lit(True).alias("there")))
+    decimals, unknown ones NA. A missing cell is 0; of ``abs`` it is NA where the
+    sample (sample_id, total_reads) has no total to divide by."""
     whole = dict(cells.dtypes)[value] in ("bigint", "int")
-    named = known.join(labels.select("tax_id", *(c for c in ("name", "domain") if c in labels.columns)), "tax_id", "left")
-    heads = [c for c in named.columns if c not in samples]
-    flat = named.select(*heads, *(F.when(F.col(f"`{s}`").isNull(), F.lit(0).cast("double")).otherwise(F.col(f"`{s}`")["v"].cast("double")).alias(s) for s in samples))
+    text = F.col(value).cast("long").cast("string") if whole else F.format_string("%.4f", F.col(value).cast("double"))
+    place = {s: i for i, s in enumerate(samples)}  # names may hold dots and quotes: columns are numbered until the end
+    unknown: set[str] = set()
+    if value == "abs" and totals is not None:
+        unknown = {r[0] for r in totals.where("total_reads IS NULL OR total_reads <= 0").select("sample_id").collect()}  # of the columns' samples
+    at = F.element_at(F.create_map(*(F.lit(x) for s in samples for x in (s, place[s]))), F.col("sample_id")) if samples else F.lit(0)
+    known = cells.groupBy("tax_id").pivot(at, list(place.values())).agg(F.first(F.coalesce(F.when(F.col(value).isNotNull(), text), F.lit("NA"))))
+    heads = [c for c in ("name", "domain") if c in labels.columns]
+    named = known.join(labels.select("tax_id", *heads), "tax_id", "left")
+    empty = ["0" if whole else "NA" if s in unknown else "0.0000" for s in samples]
+    columns = [F.coalesce(F.col(str(i)), F.lit(e)) for i, e in enumerate(empty)]
+    return named.select("tax_id", *(F.coalesce(h, F.lit("")) for h in heads), *columns).toDF("tax_id", *heads, *samples)
+
+
+def write_matrix(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], path: str, totals: DataFrame | None = None) -> None:
+    """The wide matrix, in order of its labels, as tab-separated part files with headers."""
+    wide(cells, labels, value, sorted(samples), totals).orderBy("tax_id").write.mode("overwrite").csv(path, sep="\t", header=True)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for s in samples:
-                b[s] = ["NA" if pd.isna(v) else f"{int(v)}" if whole else f"{v:.4f}" for v in b[s]]
-            b[heads[1:]] = b[heads[1:]].fillna("")
-            yield b
 
-    schema = ", ".join(["tax_id long", *(f"`{c}` string" for c in [*heads[1:], *samples])])
-    return flat.mapInPandas(run, schema)
+def write_table(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="NA")
 
 
-def write_matrix(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], path: str) -> None:
-    """The wide matrix, in order of its labels, as tab-separated part files with headers."""
-    wide(cells, labels, value, sorted(samples)).orderBy("tax_id").write.mode("overwrite").csv(path, sep="\t", header=True)
+def write_json(rows: DataFrame, path: str) -> None:
+    """One row as a document with its schema's version."""
+    doc = rows.select(F.to_json(F.struct(F.lit("1.2").alias("schema_version"), *rows.columns)))
+    doc.coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_detection(flags: DataFrame, summary: DataFrame, path: str) -> None:
@@ -54,7 +59,3 @@ def write_detection(flags: DataFrame, summary: DataFrame, path: str) -> None:
     text.write.mode("overwrite").csv(f"{path}/flagged_samples.tsv", sep="\t", header=True)
     summary.write.mode("overwrite").json(f"{path}/qc_summary.json")
     flags.select("sample_id").distinct().orderBy("sample_id").write.mode("overwrite").text(f"{path}/quarantine_list.txt")
-
-
-def metadata(**facts: object) -> str:
-    return json.dumps({"schema_version": "1.2", **facts}, indent=2, sort_keys=True, default=str)

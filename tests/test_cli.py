@@ -29,6 +29,53 @@ def test_aggregate_detect_report(spark, tmp_path):
     assert "S5" in html
 
 
+def test_samples_stay_and_names_may_have_dots(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, reads in (("S.1", 50), ("S.2", 3), ("S0", 70)):
+        (folder / f"{name}.kraken2.report.txt").write_text(f"80\t4\t4\tU\t0\tunclassified\n20\t{reads}\t{reads}\tS\t562\tEscherichia coli\n")
+    for name in ("S.1", "S.2"):
+        (folder / f"{name}.json").write_text(json.dumps({"sample_id": name, "total_reads": 1000000}))
+    assert cli.main(["aggregate", f"{folder}/*.report.txt", "--idxstats", f"{folder}/*.json", "--out", f"{tmp_path}/cohort", "--wide", "--min-reads", "10"]) == 0
+    read = lambda kind: spark.read.csv(f"{tmp_path}/cohort/taxa_matrix_{kind}.tsv", sep="\t", header=True)
+    assert read("raw").columns == ["tax_id", "name", "S.1", "S.2", "S0"]
+    assert tuple(read("raw").first()) == ("562", "Escherichia coli", "50", "0", "70")
+    assert tuple(read("abs").first())[2:] == ("50.0000", "0.0000", "NA")
+    assert tuple(read("raw_S").first())[2:] == ("50", "0", "70")
+    meta = json.loads(spark.read.text(f"{tmp_path}/cohort/aggregation_metadata.json").first()[0])
+    assert (meta["sample_count"], meta["taxon_count"], meta["samples_without_totals"]) == (3, 1, "S0")
+    assert cli.main(["aggregate", f"{folder}/*.json", "--out", f"{tmp_path}/none"]) == 1
+
+
+def test_tiers_go_through_all_steps(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "nodes.dmp").write_text("".join(f"{a}\t|\t{b}\t|\t{r}\t|\n" for a, b, r in ((1, 1, "no rank"), (2, 1, "superkingdom"), (561, 2, "genus"), (562, 561, "species"))))
+    for i in range(6):
+        good = 400 if i == 5 else 20 + i % 3
+        (folder / f"S{i}.kraken2.report.txt").write_text(f"80\t9\t9\tU\t0\tunclassified\n20\t{good}\t0\tG\t561\tEscherichia\n20\t{good}\t{good}\tS\t562\tEscherichia coli\n")
+        (folder / f"S{i}.json").write_text(json.dumps({"sample_id": f"S{i}", "total_reads": 1000000}))
+        if i:  # one sample has no output
+            lines = [f"C\tr{k}\t562\t150\t562:{90 if k % 2 else 10} 0:{10 if k % 2 else 90}" for k in range(good)] + ["U\tu\t0\t150\t0:9"]
+            (folder / f"S{i}.kraken2.output.txt").write_text("\n".join(lines))
+    base = ["aggregate", f"{folder}/*.report.txt", "--idxstats", f"{folder}/*.json", "--nodes", f"{folder}/nodes.dmp", "--outputs", f"{folder}/*.output.txt", "--confidence-threshold", "0.5", "--out", f"{tmp_path}/cohort"]
+    assert cli.main(base) == 0
+    cells = spark.read.parquet(f"{tmp_path}/cohort/cells").where("tier = 'conf0p50'")
+    got = {(r["rank_scope"], r["sample_id"], r["tax_id"]): (r["raw"], round(r["cpm"]), round(r["abs"])) for r in cells.collect()}
+    assert got["all", "S5", 562] == (200, round(200 / 401 * 1e6), 200)
+    assert got["G", "S5", 561] == got["S", "S5", 562] == got["all", "S5", 562]
+    assert not [k for k in got if k[1] == "S0"]
+    assert {tuple(r) for r in spark.read.parquet(f"{tmp_path}/cohort/demoted").collect()} >= {("S5", "conf0p50", 200)}
+    assert cli.main(["detect", f"{tmp_path}/cohort", "--method", "mad", "--out", f"{tmp_path}/flags"]) == 0
+    for part in ("", "G/", "S/", "conf0p50/", "abs/", "abs/conf0p50/"):
+        assert "S5" in {r[0] for r in spark.read.text(f"{tmp_path}/flags/{part}quarantine_list.txt").collect()}, part
+    assert cli.main(["report", f"{tmp_path}/cohort", f"{tmp_path}/flags", "--out", f"{tmp_path}/report"]) == 0
+    html = spark.read.text(f"{tmp_path}/report/report_html", wholetext=True).first()[0]
+    for title in ("Agreement of tiers", "Prevalence and burden", "Diversity", "Notable samples", "Discussion"):
+        assert title in html
+    assert spark.read.csv(f"{tmp_path}/report/per_sample_summary.tsv", sep="\t", header=True).count() == 6
+
+
 def test_arriving_reports_are_taken_in_once(spark, tmp_path):
     reports(tmp_path / "in", 2)
     for name in (tmp_path / "in").glob("*.json"):
