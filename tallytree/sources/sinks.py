@@ -29,7 +29,7 @@ def wide(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], to
     if value == "abs" and totals is not None:
         unknown = {r[0] for r in totals.where("total_reads IS NULL OR total_reads <= 0").select("sample_id").collect()}  # of the columns' samples
     at = F.element_at(F.create_map(*(F.lit(x) for s in samples for x in (s, place[s]))), F.col("sample_id")) if samples else F.lit(0)
-    known = cells.groupBy("tax_id").pivot(at, list(place.values())).agg(F.first(F.coalesce(F.when(F.col(value).isNotNull(), text), F.lit("NA"))))
+    known = cells.withColumn("at", at).groupBy("tax_id").pivot("at", list(place.values())).agg(F.first(F.coalesce(F.when(F.col(value).isNotNull(), text), F.lit("NA"))))
     heads = [c for c in ("name", "domain") if c in labels.columns]
     named = known.join(labels.select("tax_id", *heads), "tax_id", "left")
     empty = ["0" if whole else "NA" if s in unknown else "0.0000" for s in samples]
