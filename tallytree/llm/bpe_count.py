@@ -46,7 +46,7 @@ class Merges:
         #: left << 20 | right -> rank << 20 | merged
         self.ranks = {vocab[a] << 20 | vocab[b]: rank << 20 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
         self.start = [vocab[c] for c in byte_symbols()]
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)  # the longest one counts
 
     def count(self, piece: bytes) -> int:
         """Symbols left when no adjacent pair has a rank."""

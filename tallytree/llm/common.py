@@ -37,9 +37,13 @@ def tokenizer_path(name: str) -> str:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is set."""
+    """The cluster's shared folder. One of our own only where none is set and all
+    of Spark is on this machine; executors elsewhere couldn't read it."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = os.path.join(tempfile.gettempdir(), "tallytree-checkpoints")
         spark.conf.set("spark.checkpoint.dir", at)
     return at

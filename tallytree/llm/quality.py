@@ -141,16 +141,19 @@ def held_out(key: str = "doc_id") -> F.Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int, key: str = "doc_id") -> DataFrame:
-    """Texts and labels (0 or 1) of at most ``most`` labelled rows that aren't
-    held out: those that come first in an order by the key's hash. The keys are
-    at most ``most`` and so may be broadcast."""
+    """``key``, ``y`` (0 or 1) and ``text`` of at most ``most`` labelled keys that
+    aren't held out: those that come first in an order by the key's hash. The keys
+    are at most ``most`` and so may be broadcast. One row a key: of rows that share
+    it the text that sorts first, of labels that differ the 1."""
     rows = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).select(key, F.col(label).cast("int").alias("y"))
     rows = rows.groupBy(key).agg(F.max("y").alias("y")).orderBy(F.xxhash64(key), key).limit(most)
-    return texts(docs, key).join(F.broadcast(rows), key)
+    return texts(docs, key).join(F.broadcast(rows), key).groupBy(key, "y").agg(F.min("text").alias("text"))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 20_000) -> Trees:
-    """Trees fitted to ``label`` on at most ``most`` labelled rows.
+def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 20_000, key: str = "doc_id") -> Trees:
+    """Trees fitted to ``label`` on at most ``most`` labelled rows, one a key.
+
+    Null labels and keys are left out; null texts count as empty.
 
     No such rows, or one class only: a constant score.
     """
@@ -158,10 +161,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [statistics(raw, off) for _, _, raw, off in steps(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([r.tobytes() for x in found for r in x], pa.binary())], names=["doc_id", "y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column("y"), pa.array([r.tobytes() for x in found for r in x], pa.binary())], names=["k", "y", "x"])
 
-    got = labelled(docs, labels, label, most).mapInArrow(run, "doc_id long, y int, x binary").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["doc_id"], r["x"]))
+    rows = labelled(docs, labels, label, most, key)
+    got = rows.mapInArrow(run, f"k {rows.schema[key].dataType.simpleString()}, y int, x binary").toArrow().to_pylist()
+    got.sort(key=lambda r: (r["k"], r["x"]))
     x = np.frombuffer(b"".join(r["x"] for r in got)).reshape(-1, WIDTH)
     return fit_trees(x, np.array([r["y"] for r in got], float))
 

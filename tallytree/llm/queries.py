@@ -41,7 +41,7 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("removed") > 0).alias("repeated"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,11 +135,11 @@ def train(words: np.ndarray, at: np.ndarray, sentence: np.ndarray, text: np.ndar
     return lexicon(words[some], w[:-1][some], float(w[-1]))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 20_000, most_words: int = 1000) -> Lexicon:
-    """Learns from ``label`` of at most ``most`` labelled rows, none held out,
-    weights of at most ``most_words`` words for and as many against.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = 20_000, most_words: int = 1000, key: str = "doc_id") -> Lexicon:
+    """Learns from ``label`` of at most ``most`` labelled rows, one a key, none
+    held out (null labels and keys left out, null texts empty), weights of at most ``most_words`` words for and as many against.
     No such rows, or one class only: a constant score for every sentence."""
-    rows = written(labelled(docs, labels, label, most))
+    rows = written(labelled(docs, labels, label, most, key))
     bad, n = rows.agg(F.coalesce(F.sum("y"), F.lit(0)), F.count("*")).first()
     if bad in (0, n):
         share = (bad + 0.5) / (n + 1)
@@ -155,9 +155,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most:
                 of = text[sentence[hit]] if len(hit) else hit
                 sizes += np.bincount(text, minlength=len(off) - 1).tolist()
                 found += [np.stack([at[of == d], sentence[hit][of == d]]).astype(np.int32).tobytes() for d in range(len(off) - 1)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(found, pa.binary()), pa.array(sizes, pa.int32())], names=["doc_id", "y", "hits", "sentences"])
+            yield pa.RecordBatch.from_arrays([b.column(key), b.column("y"), pa.array(found, pa.binary()), pa.array(sizes, pa.int32())], names=["k", "y", "hits", "sentences"])
 
-    got = rows.mapInArrow(run, "doc_id long, y int, hits binary, sentences int").toArrow().sort_by([("doc_id", "ascending"), ("hits", "ascending")])
+    got = rows.mapInArrow(run, f"k {rows.schema[key].dataType.simpleString()}, y int, hits binary, sentences int").toArrow().sort_by([("k", "ascending"), ("hits", "ascending")])
     hits = [np.frombuffer(x, np.int32).reshape(2, -1) for x in got.column("hits").to_pylist()]
     text = np.repeat(np.arange(len(hits)), [x.shape[1] for x in hits])
     both = np.concatenate(hits, 1).astype(np.int64)

@@ -51,3 +51,30 @@ def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
     assert got.columns == docs.columns
     kept = [(r["doc_id"], (r["text"] or "").removesuffix(" end")) for r in got.collect()]
     assert sorted(kept, key=str) == sorted([(1, a), (1, b), (3, c), (4, d), (None, e), (None, f), (9, ""), (8, "")], key=str)
+
+
+def test_stages_of_odd_rows_and_empty_tables(spark, tmp_path):
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice(WORDS) + str(rng.randrange(900)) for _ in range(n))
+    long, passage = say(40_000), say(90)
+    rows = [(1, None), (2, ""), (None, say(50)), (None, None), (3, long), (4, say(30) + " " + passage), (5, passage + " " + say(30)), (6, say(40)), (6, say(40)), (7, "  \n")]
+    rows = [*rows, rows[7], rows[2]]
+    names = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], names)
+    clashing = docs.withColumns({c: F.lit(7) for c in ("score", "row", "n_bytes", "removed", "id", "n", "item", "part")})
+    spark.createDataFrame([(i, i % 2, 0) for i in range(1, 7)] + [(None, 1, 0), (1, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(None, None), (1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        got = stage(spark, clashing, str(tmp_path)).collect()
+        ids = {r["doc_id"] for r in got}
+        assert ids == {1, 2, 3, 4, 5, 6, 7, None}, name
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.count() == 0, name
+        assert stage is corpus_pipeline.packed or empty.columns == docs.columns
+    kept = corpus_pipeline.good_quality(spark, clashing, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert kept.count() <= len(rows)
+    texts = [r["text"] for r in corpus_pipeline.without_repeats(spark, clashing, str(tmp_path)).collect()]
+    assert long in texts
+    assert not any(passage[20:-20] in (t or "") for t in texts)
