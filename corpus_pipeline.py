@@ -1,4 +1,9 @@
-"""Filters a corpus in stages, each of which is one of the corpus operators."""
+"""Filters a corpus in stages, each of which is one of the corpus operators.
+
+Of every stage: it takes the columns of ``documents`` (``COLUMNS``) and returns them
+but for the last one; other columns, also such as are called like one that an
+operator adds, are left out. An empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +18,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose quality score is under 0.3."""
+    """Rejects documents whose quality score is under 0.3.
+
+    A null or empty text is scored as an empty one and goes or stays by that; equal
+    texts share one score; a null doc_id is scored and kept like any other. Without
+    labels all have one score, the labels' share."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     return quality.quality_scores(docs, model, keep=COLUMNS).where("score >= 0.3").select(*COLUMNS)
 
@@ -40,14 +49,22 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes out every passage of 400 bytes or more that occurs again; a document
-    of which nothing is left goes."""
+    of which nothing is left goes.
+
+    A null or empty text stays, as an empty one. Rows that repeat lose what they
+    share, so texts of 400 bytes or more go with their copies (the stage before
+    leaves one of each). Rows without a doc_id are told apart by text."""
     found = repeats.remove_repeats(docs, keep=COLUMNS)
     found = found.where("n_bytes = 0 OR text != ''").withColumn("n_chars", F.length("text").cast("long"))
     return found.select(*COLUMNS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents of which a twentieth or more stands in the benchmark."""
+    """Rejects documents of which a twentieth or more stands in the benchmark.
+
+    A null or empty text has no words and stays. Rows are told apart by doc_id
+    (null, too) and text; those that repeat share one fate. An empty benchmark
+    rejects nothing."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
     bad = written(found.where(decontaminate.contaminated()).select(F.col("doc_id").alias("bad"), F.col("row").alias("bad_row")).distinct())
     text = F.xxhash64(F.coalesce("text", F.lit("")))
@@ -55,7 +72,11 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What was kept, packed into sequences of 4096 tokens along the curve."""
+    """What was kept, packed into sequences of 4096 tokens along the curve: a row a
+    piece, with a checksum of its ids.
+
+    A null or empty text is the end's id alone; rows that repeat are packed each;
+    a null doc_id stays one."""
     return packing.pack(docs).withColumn("ids_crc32", F.crc32("ids"))
 
 
