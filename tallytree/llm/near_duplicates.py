@@ -38,7 +38,7 @@ MISS = 1e-6
 #: Texts of a key up to which all its pairs are measured.
 CROWD = 40
 #: Centres of a larger one, beside the least id.
-DRAWS = 8
+DRAWS = 5
 #: Keys of a crowded text's second index at most.
 SHARP_KEYS = 56
 
@@ -289,11 +289,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     drawn = [F.xxhash64("id", F.lit(k)) for k in range(DRAWS)]
     least = written(many.groupBy("key").agg(*(F.min(d).alias(f"least{k}") for k, d in enumerate(drawn))))
     is_centre = (F.col("id") == F.col("c")) | F.exists(F.array(*(d == F.col(f"least{k}") for k, d in enumerate(drawn))), lambda x: x)
-    centres = many.join(least, "key").where(is_centre).groupBy("key").agg(F.collect_set("id").alias("centres"))  # DRAWS + 1 at most
+    centres = many.join(least, "key").where(is_centre).groupBy("key").agg(F.collect_set(F.struct("id", "n")).alias("centres"))  # DRAWS + 1 at most
     centres = written(centres)
     # a text has the same centres under most of its keys: once each
-    met = many.select("key", "id").join(centres, "key").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_set("centres"))).alias("centres"))
-    met = met.select(F.col("id").alias("a"), F.explode("centres").alias("b")).where("a != b")
+    met = many.select("key", "id", "n").join(centres, "key").groupBy("id", "n").agg(F.array_distinct(F.flatten(F.collect_set("centres"))).alias("centres"))
+    met = met.select(F.col("id").alias("a"), "n", F.explode("centres").alias("c")).select("a", "n", F.col("c.id").alias("b"), F.col("c.n").alias("n_b"))
+    met = met.where((F.col("a") != F.col("b")) & like_size("n", "n_b", percent)).select("a", "b")
     stars = written(few.where("id != c").select(F.col("id").alias("a"), F.col("c").alias("b")).unionByName(met).distinct())
     first = links(full, stars, percent)
     joined = components(first)
@@ -303,7 +304,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5, key: str
     told = placed.join(mixed, "key", "left_semi")
     # of a text's centres the one that most texts are near
     popular = first.groupBy(F.col("b").alias("centre")).agg(F.count("*").alias("near"))
-    best = centres.select("key", F.explode("centres").alias("centre")).join(popular, "centre", "left")
+    best = centres.select("key", F.explode("centres.id").alias("centre")).join(popular, "centre", "left")
     best = written(best.groupBy("key").agg(F.max(F.struct(F.coalesce("near", F.lit(0)).alias("near"), "centre")).alias("best")))
     crowd = written(told.where(F.col("times") > CROWD).join(best, "key").groupBy("id", "n", "comp").agg(F.max("best").alias("best")))
     again = written(sharper(full.join(sized(crowd.select("id")), "id", "left_semi"), sharp_index(percent / 100, 18)).distinct().join(crowd, "id"))
