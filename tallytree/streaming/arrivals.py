@@ -22,8 +22,3 @@ def keep_counts(spark: SparkSession, folder: str, table_path: str, checkpoint: s
     needs the whole cohort runs over the table."""
     rows = arriving_reports(spark, folder)
     return rows.writeStream.format("parquet").option("path", table_path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-
-
-def totals_of(rows: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Running totals of samples; a sample's late rows count for ``delay``."""
-    return rows.withWatermark("arrived", delay).groupBy("sample_id").agg(F.sum("direct_reads").alias("direct_total"))
