@@ -40,6 +40,8 @@ LENGTH, ROLLING = 400, 16
 RATES = (128, 32, 8, 2)
 #: Windows that are judged together at most.
 WIDTH = 128
+#: Bytes of text that one vectorised step handles here, where each byte may be a window with hashes of its own.
+STEP = 200_000
 PARSE = "core long, full long, full2 long, head long, id long, lo int, hi int, anchor int"
 ENTRY = ("id", "lo", "hi", "anchor")
 
@@ -76,7 +78,7 @@ def parsed(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            for at, to, raw, off in steps(b.column("text")):
+            for at, to, raw, off in steps(b.column("text"), STEP):
                 one, two = sums(raw), sums(raw, which=1)
                 lo, hi, anchor = phrases(one, off, length)
                 doc = np.searchsorted(off, lo, "right") - 1
@@ -98,8 +100,8 @@ def compared(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
     are ``mixed`` also a row for each window, with its hash and no tail."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, to, raw, off in steps(batch.column("text")):
+        for batch in slices(batches, 200):
+            for at, to, raw, off in steps(batch.column("text"), STEP):
                 parts = batch.column("entries").slice(at, to - at)
                 flat, counts = parts.flatten(), parts.value_lengths().to_numpy(zero_copy_only=False)
                 base = np.repeat(off[:-1], counts)
@@ -116,9 +118,8 @@ def compared(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
                 ids = batch.column("id").slice(at, to - at).take(pa.array(np.repeat(np.arange(to - at), counts)))
                 tail = pa.array([*tails, *[None] * (len(of) - len(lo))], pa.binary())
                 places = pa.array((start - base[of]).astype(np.int32))
-                for k in range(0, len(of), 50_000):
-                    columns = [pa.array(a), pa.array(b), tail, ids.take(pa.array(of)), places, pa.array(lone[of])]
-                    yield pa.RecordBatch.from_arrays([c.slice(k, 50_000) for c in columns], names=["a", "b", "tail", "id", "lo", "lone"])
+                whole = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), tail, ids.take(pa.array(of)), places, pa.array(lone[of])], names=["a", "b", "tail", "id", "lo", "lone"])
+                yield from slices(iter([whole]), 50_000)
 
     grouped = entries.groupBy(F.col("id").alias("at")).agg(F.collect_set(F.struct("lo", "hi", "lone", "mixed")).alias("entries"))
     return rows.join(grouped, F.col("id") == F.col("at")).select("id", "text", "entries").mapInArrow(run, "a long, b long, tail binary, id long, lo int, lone boolean")
