@@ -6,6 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Blocks of samples in which a label's pairs are made.
+BLOCKS = 8
+
 
 def pairwise(cells: DataFrame) -> DataFrame:
     """``a``, ``b`` (a < b), ``bray_curtis``, ``jaccard`` of all pairs of samples
@@ -13,7 +16,11 @@ def pairwise(cells: DataFrame) -> DataFrame:
     label: sum|x - y| = sum x + sum y - 2 sum min(x, y)."""
     v = cells.where("value > 0").select("sample_id", "tax_id", F.col("value").cast("double").alias("value"))
     size = v.groupBy("sample_id").agg(F.sum("value").alias("total"), F.count("*").alias("present"))
-    pairs = v.alias("x").join(v.alias("y"), (F.col("x.tax_id") == F.col("y.tax_id")) & (F.col("x.sample_id") < F.col("y.sample_id")))
+    # a label that all samples have is dealt to BLOCKS * BLOCKS tasks
+    block, every = F.pmod(F.xxhash64("sample_id"), F.lit(BLOCKS)), F.sequence(F.lit(0).cast("long"), F.lit(BLOCKS - 1).cast("long"))
+    one, other = v.withColumn("i", block).withColumn("j", F.explode(every)), v.withColumn("j", block).withColumn("i", F.explode(every))
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("tax_id", "i", "j")]
+    pairs = one.alias("x").join(other.alias("y"), same[0] & same[1] & same[2] & (F.col("x.sample_id") < F.col("y.sample_id")))
     shared = pairs.groupBy(F.col("x.sample_id").alias("a"), F.col("y.sample_id").alias("b")).agg(F.sum(F.least("x.value", "y.value")).alias("least"), F.count("*").alias("both"))
     out = shared.join(size.select(F.col("sample_id").alias("a"), F.col("total").alias("ta"), F.col("present").alias("pa")), "a").join(size.select(F.col("sample_id").alias("b"), F.col("total").alias("tb"), F.col("present").alias("pb")), "b")
     total = F.col("ta") + F.col("tb")
