@@ -24,6 +24,8 @@ from .common import slices, texts, tokenizer_path, written
 HASHED, DIMENSIONS, BITS = 1024, 4, 15
 #: Bits of the key by which the curve's cells are weighed: so many of them at most that the driver deals out.
 CELL_BITS = 14
+#: Tasks at most; beyond it they grow, as each only streams what it sorted.
+MOST_TASKS = 50_000
 #: Chunks, and words without marks and capitals, of which a worker keeps the identifiers.
 KEPT, KEPT_WORDS = 120_000, 350_000
 #: Characters at which str.split cuts, but which are no white space to the tokenizer.
@@ -164,7 +166,8 @@ def dealt(found: DataFrame, tasks: int, tokens_per_task: int) -> DataFrame:
     too much for a task is dealt to several, row by row."""
     cell = F.shiftright("curve", DIMENSIONS * BITS - CELL_BITS)
     weights = sorted((r["cell"], r["n"]) for r in found.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n")).collect())  # 2 ** CELL_BITS rows at most
-    most = max(1, min(tokens_per_task, math.ceil(sum(n for _, n in weights) / tasks)))
+    total = sum(n for _, n in weights)
+    most = max(1, min(tokens_per_task, math.ceil(total / tasks)), math.ceil(total / MOST_TASKS))
     rows, part, used = [], 0, 0
     for at, n in weights:
         if used and used + n > most:
