@@ -21,12 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch, where the session has Spark's own number, which is ten times as
+#: many: whole texts are long, and a batch is held by Spark and by Python at once.
+BATCH_ROWS, SPARKS_OWN = 1000, 10_000
+
+
+def modest_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == SPARKS_OWN:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def texts(docs: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     """The named columns and ``text``, a null text being an empty one.
 
     Any other column is left out, so that extra columns can't clash with what
     an operator adds.
     """
+    modest_batches(docs.sparkSession)
     return docs.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 

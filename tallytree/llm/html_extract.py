@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import modest_batches
 from .html_blocks import WIDTH, blocks, features
 
 #: Containers of what isn't main text, and of main text (tag, names).
@@ -328,6 +329,7 @@ def main_text(pages: DataFrame, model: Labeller | None = None, key: str = "page_
     kept; other columns are ignored.
     """
     model = model or trained()
+    modest_batches(pages.sparkSession)
     rows = pages.select(key, *keep, F.coalesce("html", F.lit("")).alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

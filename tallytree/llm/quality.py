@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, steps, texts
+from .common import modest_batches, mix, steps, texts
 from .wordhash import SPACED, span_hashes, sums, word_spans
 
 #: Classes of bytes whose shares are statistics.
@@ -177,6 +177,7 @@ def quality_scores(docs: DataFrame, model: Trees, key: str = "doc_id", keep: tup
     are all 0; equal texts have equal scores; an empty table gives an empty one;
     other columns are ignored and a null key is kept.
     """
+    modest_batches(docs.sparkSession)
     rows = texts(docs, key).select(key, "text") if not keep else docs.select(key, *(c for c in keep if c != key))
     at = "text"
 
