@@ -39,7 +39,7 @@ LENGTH, ROLLING = 400, 16
 #: One position in so many triggers; a later one where a window has none of those before.
 RATES = (128, 32, 8, 2)
 #: Windows that are judged together at most.
-WIDTH = 128
+WIDTH = 256
 #: Bytes of text that one vectorised step handles here, where each byte may be a window with hashes of its own.
 STEP = 200_000
 PARSE = "core long, full long, full2 long, head long, id long, lo int, hi int, anchor int"
