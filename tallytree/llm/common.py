@@ -80,6 +80,21 @@ def discard(*scratch: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Keys that may be hot at most: each of them has more than one row in so many.
+HOT_KEYS = 10_000
+
+
+def matched(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """``rows`` (written) joined with ``keys`` (``on``, ``times``: rows of the key in
+    ``rows`` at least), so that no key's rows meet in one task: the keys that have more
+    than one row in ``HOT_KEYS`` are that many at most and are broadcast, the others'
+    rows are shuffled. ``how`` is "left_semi" or "inner"; ``times`` goes."""
+    hot = F.col("times") > max(1, rows.count() // HOT_KEYS)
+    few = F.broadcast(keys.where(hot).drop("times"))
+    rest = rows.join(few.select(*on), on, "left_anti").join(keys.where(~hot).drop("times"), on, how)
+    return rows.join(few, on, how).unionByName(rest)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Batches of fewer rows, so that what Python makes of one stays small."""
     for b in batches:

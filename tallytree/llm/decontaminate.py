@@ -73,6 +73,16 @@ def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def asked_of(rows: DataFrame, key: str, short: list[int]) -> DataFrame:
+    """``key``, ``row``, ``n_words``, ``span`` and ``f``: each text's fingerprints (span
+    0), every gram of the lengths of shorter items, which are beyond any winnowing
+    guarantee, and a row for the text itself (span -1, met by nothing). That one has
+    the text's hash, so that a join that shuffles deals these rows evenly."""
+    itself = F.array(F.struct(F.lit(-1).alias("span"), F.col("row").alias("f")))
+    asked = F.concat(itself, marked(winnowed(), 0), *(marked(grams("h", n), n) for n in short))
+    return hashed(rows).withColumn("g", grams("h", GRAM)).select(key, "row", F.size("h").alias("n_words"), F.explode(asked).alias("m")).select(key, "row", "n_words", "m.*")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item: str = "item_id") -> DataFrame:
     """Which words of each document stand in a benchmark window.
 
@@ -98,13 +108,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", it
     windows = windows_of(items, lengths, "item", "n").where(F.col("span") == F.least("n", F.lit(SPAN)))
     windows = written(windows.select("item", "span", "g", "g2").distinct())
 
-    # one pass: a row for each text itself (f is null), and for each fingerprint that an item has, too
+    # one pass: a row for each text itself (span -1), and for each fingerprint that an item has, too
     some = hashed(items.where(F.col("n") >= SPAN)).withColumn("g", grams("h", GRAM)).select(F.explode(marked(winnowed(), 0)).alias("m")).select("m.*")
     some = some.unionByName(windows.where(F.col("span") < SPAN).select("span", F.col("g").alias("f"))).distinct().withColumn("met", F.lit(True))
-    itself = F.expr("array(named_struct('span', -1, 'f', cast(null as bigint)))")
-    # shorter items are beyond any winnowing guarantee: every gram of their length
-    asked = F.concat(itself, marked(winnowed(), 0), *(marked(grams("h", n), n) for n in short))
-    found = hashed(rows).withColumn("g", grams("h", GRAM)).select(key, "row", F.size("h").alias("n_words"), F.explode(asked).alias("m")).select(key, "row", "n_words", "m.*")
+    found = asked_of(rows, key, short)
     found = found.join(sized(some), ["span", "f"], "left").where(F.col("met") | (F.col("span") == -1))
     told = written(found.groupBy(key, "row").agg(F.max("n_words").cast("long").alias("n_words"), F.count_if(F.col("span") == -1).cast("int").alias("times"), F.coalesce(F.bool_or("met"), F.lit(False)).alias("met")))
 

@@ -29,7 +29,7 @@ from .common import slices, written
 SAMPLE, CALIBRATION, RECALL = 20_000, 200, 0.97
 #: Rows of a bin that isn't split again, children of one that is at most, rows that a split is fitted on, levels.
 LEAF_ROWS, CHILDREN, FIT, LEVELS = 512, 32, 2048, 6
-#: Open bins of a query at each level while visits are calibrated.
+#: Open bins of a query at each level at first; more where calibration needs them.
 BEAM = 1024
 #: Rows, and queries, of a bin that one task takes: a bin of equal vectors, which can't be split, has several pages.
 PAGE, QUERY_PAGE = 4096, 2048
@@ -234,7 +234,7 @@ def index(vectors: DataFrame, queries: Column, k: int, key: str, vector: str, sa
     rows = vectors.where(F.col(key).isNotNull() & usable(vector)).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(queries, F.lit(False)).alias("asks"))
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     width = common["n"] if common else 1
-    rows = rows.where(F.size("v") == width).dropDuplicates(["id"])
+    rows = rows.where(F.size("v") == width).groupBy("id").agg(F.min("v").alias("v"), F.bool_or("asks").alias("asks"))
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "v").toArrow()
     known = matrix(drawn.column("v").combine_chunks()) if drawn.num_rows else np.zeros((0, width))
     tree = fit_tree(known)
@@ -278,16 +278,24 @@ def index(vectors: DataFrame, queries: Column, k: int, key: str, vector: str, sa
     truth = true_neighbours(placed, ids, known[:n], k)
     order = [{leaf: r for r, leaf in enumerate(x for x, _ in tree.best_first(q) if x in filled)} for q in known[:n]]
     leaf_visits = widened([order[i][int(name.partition(".")[0])] for i, name in truth], 1 - (1 - recall) / 2, len(filled) or 1)
-    bin_visits = leaf_visits
+    bin_visits, beam = leaf_visits, BEAM
     if levels:
         calibrating = placed.join(F.broadcast(placed.sparkSession.createDataFrame([(int(i),) for i in ids], "id long")), "id", "left_semi")
-        open_ = visited(calibrating, leaf_visits, BEAM).withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "bin")) - 1)
         wanted = placed.sparkSession.createDataFrame([(int(ids[i]), name) for i, name in truth], "q long, bin string")
-        met = [r["rank"] for r in wanted.join(open_, ["q", "bin"], "left").select("rank").collect()]  # CALIBRATION * k rows
-        bin_visits = widened([math.inf if r is None else r for r in met], recall, BEAM)
+        n_bins = sizes.count()
+        while True:  # until enough of the true neighbours are within the beam; with all leaves and all bins, all are
+            open_ = visited(calibrating, leaf_visits, beam).withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "bin")) - 1)
+            met = [r["rank"] for r in wanted.join(open_, ["q", "bin"], "left").select("rank").collect()]  # CALIBRATION * k rows
+            if sum(r is not None for r in met) >= recall * len(met) or (beam >= n_bins and leaf_visits >= len(filled)):
+                break
+            if beam < n_bins:
+                beam = min(4 * beam, n_bins)
+            else:
+                leaf_visits = min(2 * leaf_visits, len(filled))
+        bin_visits = widened([math.inf if r is None else r for r in met], recall, beam)
     # nearest first; more than the calibrated visits while they hold fewer than k others
     nearest = Window.partitionBy("q").orderBy("d", "bin")
-    asked = visited(placed.where("asks"), leaf_visits, max(BEAM, bin_visits)).join(sizes, "bin").withColumn("rank", F.row_number().over(nearest)).withColumn("before", F.coalesce(F.sum("n").over(nearest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    asked = visited(placed.where("asks"), leaf_visits, max(beam, bin_visits)).join(sizes, "bin").withColumn("rank", F.row_number().over(nearest)).withColumn("before", F.coalesce(F.sum("n").over(nearest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     short = asked.where((F.col("rank") <= bin_visits) | (F.col("before") <= k)).select("q", "qv", "bin", "n")
     return placed, short, width, leaf_visits, bin_visits
 
@@ -301,7 +309,7 @@ def neighbours(vectors: DataFrame, queries: Column, k: int = 10, key: str = "vec
     take no part, nor do those whose length isn't the commonest one (of equally
     common ones the longest), nor rows with a null key. Fewer than ``k``
     candidates: all of them. Equal vectors are candidates each. A repeated key
-    is taken as one row. Empty table: empty result. Other columns are ignored.
+    is taken as one row, with the vector that sorts first. Empty table: empty result. Other columns are ignored.
     """
     placed, asked, _, _, _ = index(vectors, queries, k, key, vector, sample, recall)
     pages = F.greatest(F.lit(1), F.ceil(F.col("n") / PAGE)).cast("int")

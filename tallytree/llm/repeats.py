@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, mix, slices, steps, texts, written
+from .common import discard, matched, mix, slices, steps, texts, written
 from .decontaminate import sized
 from .wordhash import span_hashes, sums
 
@@ -42,8 +42,12 @@ RATES = (128, 32, 8, 2)
 WIDTH = 256
 #: Bytes of text that one vectorised step handles here, where each byte may be a window with hashes of its own.
 STEP = 200_000
-PARSE = "core long, full long, full2 long, head long, id long, lo int, hi int, anchor int"
-ENTRY = ("id", "lo", "hi", "anchor")
+#: Windows whose hashes are held at once where phrases are compared window by window.
+WINDOWS = 100_000
+#: A text is told by its key and a hash of itself, as unlike texts may share a key.
+ID = ("id", "row")
+PARSE = "core long, full long, full2 long, head long, id long, row long, lo int, hi int, anchor int"
+ENTRY = (*ID, "lo", "hi", "anchor")
 
 
 def phrases(running: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,13 +93,18 @@ def parsed(rows: DataFrame, length: int) -> DataFrame:
                 full = mix(span_hashes(one, lo, hi + length) + place), mix(span_hashes(two, lo, hi + length, 1) ^ place)
                 ints = [pa.array((x - off[doc]).astype(np.int32)) for x in (lo, hi, anchor)]
                 hashes = [pa.array(x.view(np.int64)) for x in (core, *full, span_hashes(one, lo, lo + length))]
-                yield pa.RecordBatch.from_arrays([*hashes, b.column("id").slice(at, to - at).take(pa.array(doc)), *ints], names=[c.split()[0] for c in PARSE.split(", ")])
+                ids = [b.column(c).slice(at, to - at).take(pa.array(doc)) for c in ID]
+                yield pa.RecordBatch.from_arrays([*hashes, *ids, *ints], names=[c.split()[0] for c in PARSE.split(", ")])
 
     return rows.mapInArrow(run, PARSE)
 
 
+COMPARED = "a long, b long, tail binary, id long, row long, lo int, lone boolean"
+COMPARED_NAMES = [c.split()[0] for c in COMPARED.split(", ")]
+
+
 def compared(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
-    """What is compared of entries (id, lo, hi, lone, mixed): a row for each, with
+    """What is compared of entries (id, row, lo, hi, lone, mixed): a row for each, with
     the first window's hash (a, b) and the ``tail`` that follows it; for those that
     are ``mixed`` also a row for each window, with its hash and no tail."""
 
@@ -107,22 +116,27 @@ def compared(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
                 base = np.repeat(off[:-1], counts)
                 lo, hi = (flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) + base for f in ("lo", "hi"))
                 lone, mixed = (flat.field(f).to_numpy(zero_copy_only=False).astype(bool) for f in ("lone", "mixed"))
+                one, two, text = sums(raw), sums(raw, which=1), raw.tobytes()
+                ids = [batch.column(c).slice(at, to - at).take(pa.array(np.repeat(np.arange(to - at), counts))) for c in ID]
+
+                def windows(of: np.ndarray, start: np.ndarray, tails: list[bytes | None]) -> pa.RecordBatch:
+                    a, b = (pa.array(span_hashes(x, start, start + length, k).view(np.int64)) for k, x in enumerate((one, two)))
+                    return pa.RecordBatch.from_arrays([a, b, pa.array(tails, pa.binary()), *(i.take(pa.array(of)) for i in ids), pa.array((start - base[of]).astype(np.int32)), pa.array(lone[of])], names=COMPARED_NAMES)
+
+                yield from slices(iter([windows(np.arange(len(lo)), lo, [text[x + length : y + length] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)])]), 50_000)
                 some = np.flatnonzero(mixed)
                 n = hi[some] - lo[some] + 1
-                of = np.concatenate([np.arange(len(lo)), np.repeat(some, n)])
-                start = np.concatenate([lo, np.repeat(lo[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
-                one, two = sums(raw), sums(raw, which=1)
-                a, b = (span_hashes(x, start, start + length, k).view(np.int64) for k, x in enumerate((one, two)))
-                text = raw.tobytes()
-                tails = [text[x + length : y + length] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
-                ids = batch.column("id").slice(at, to - at).take(pa.array(np.repeat(np.arange(to - at), counts)))
-                tail = pa.array([*tails, *[None] * (len(of) - len(lo))], pa.binary())
-                places = pa.array((start - base[of]).astype(np.int32))
-                whole = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), tail, ids.take(pa.array(of)), places, pa.array(lone[of])], names=["a", "b", "tail", "id", "lo", "lone"])
-                yield from slices(iter([whole]), 50_000)
+                upto = np.cumsum(n)
+                first = 0
+                while first < len(some):  # so many phrases at a time that their windows' hashes stay few
+                    last = max(first + 1, int(np.searchsorted(upto, (upto[first - 1] if first else 0) + WINDOWS, "right")))
+                    mine, k = some[first:last], n[first:last]
+                    start = np.repeat(lo[mine], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+                    yield windows(np.repeat(mine, k), start, [None] * len(start))
+                    first = last
 
-    grouped = entries.groupBy(F.col("id").alias("at")).agg(F.collect_set(F.struct("lo", "hi", "lone", "mixed")).alias("entries"))
-    return rows.join(grouped, F.col("id") == F.col("at")).select("id", "text", "entries").mapInArrow(run, "a long, b long, tail binary, id long, lo int, lone boolean")
+    grouped = entries.groupBy(*ID).agg(F.collect_set(F.struct("lo", "hi", "lone", "mixed")).alias("entries"))
+    return rows.join(grouped, list(ID)).select(*ID, "text", "entries").mapInArrow(run, COMPARED)
 
 
 def common_prefix(x: bytes, y: bytes) -> int:
@@ -133,15 +147,15 @@ def common_prefix(x: bytes, y: bytes) -> int:
 
 
 def neighbours_in_order(rows: DataFrame) -> DataFrame:
-    """``id``, ``lo``, ``lone`` and ``more`` (bytes beyond the first window that a
-    neighbour has in common; null without one) of sorted rows (a, b, tail, id, lo,
-    lone), and whether a row is at the ``edge`` of its partition."""
+    """``id``, ``row``, ``lo``, ``lone`` and ``more`` (bytes beyond the first window that a
+    neighbour has in common; null without one) of sorted rows (a, b, tail, id, row,
+    lo, lone), and whether a row is at the ``edge`` of its partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, before, open_row, first = ["a", "b", "tail", "id", "lo", "lone", "more", "edge"], None, None, True
+        names, before, open_row, first = [*COMPARED_NAMES, "more", "edge"], None, None, True
 
         def batch(rows_: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_()]
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.bool_()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_, strict=True), kinds, strict=True)], names=names)
 
         for b in slices(batches, 5000):
@@ -159,41 +173,43 @@ def neighbours_in_order(rows: DataFrame) -> DataFrame:
         if before is not None:
             yield batch([(*before, open_row if open_row >= 0 else None, True)])
 
-    return rows.select("a", "b", "tail", "id", "lo", "lone").mapInArrow(run, "a long, b long, tail binary, id long, lo int, lone boolean, more int, edge boolean")
+    return rows.select(*COMPARED_NAMES).mapInArrow(run, f"{COMPARED}, more int, edge boolean")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``id`` and ``spans`` (first byte, byte after the last; they may touch or
-    overlap) of texts (id, text) in which a string of ``length`` bytes starts
+    """``id``, ``row`` and ``spans`` (first byte, byte after the last; they may touch
+    or overlap) of texts (id, row, text) in which a string of ``length`` bytes starts
     that also starts elsewhere in the table."""
     parse = written(parsed(rows, length))
-    cores = written(parse.groupBy("core").agg(F.count("*").alias("times")).where("times > 1").select("core"))
-    live = written(parse.join(cores, "core", "left_semi"))
+    cores = written(parse.groupBy("core").agg(F.count("*").alias("times")).where("times > 1"))
+    live = written(matched(parse, cores, ["core"]))
     # "first" takes all columns of an entry from one and the same row
     entry = [F.first(c).alias(c) for c in ("core", "head", *ENTRY)]
     dictionary = written(live.groupBy("full", "full2").agg(F.count("*").alias("times"), *entry))
     discard(parse, cores)
-    sure = live.join(written(dictionary.where("times > 1").select("full", "full2")), ["full", "full2"], "left_semi")
-    sure = sure.select("id", "lo", (F.col("hi") + length).alias("end"))
+    sure = matched(live, dictionary.where("times > 1").select("full", "full2", "times"), ["full", "full2"])
+    sure = sure.select(*ID, "lo", (F.col("hi") + length).alias("end"))
 
     kinds = dictionary.groupBy("core").agg(F.count("*").alias("entries"), F.count_if(F.col("times") == 1).alias("lone"), (F.min("head") != F.max("head")).alias("mixed"))
-    kinds = written(kinds.where("entries > 1 AND lone > 0").select("core", "mixed"))
-    doubtful = dictionary.join(kinds, "core").select("id", "lo", "hi", (F.col("times") == 1).alias("lone"), "mixed")
+    kinds = written(kinds.where("entries > 1 AND lone > 0").select("core", "mixed", F.col("entries").alias("times")))
+    doubtful = matched(dictionary.withColumn("lone", F.col("times") == 1).drop("times"), kinds, ["core"], "inner").select(*ID, "lo", "hi", "lone", "mixed")
     both = written(compared(rows, doubtful, length))
     begun = both.where("tail IS NOT NULL")
     # only where another entry begins with the same window
-    heads = written(begun.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
-    order = begun.join(heads, ["a", "b"], "left_semi").repartitionByRange("a", "b", "tail", "id", "lo").sortWithinPartitions("a", "b", "tail", "id", "lo")
+    heads = written(begun.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b", "times"))
+    by = ("a", "b", "tail", *ID, "lo")
+    order = matched(begun, heads, ["a", "b"]).repartitionByRange(*by).sortWithinPartitions(*by)
     order = written(neighbours_in_order(order))
-    edges = neighbours_in_order(order.where("edge").coalesce(1).sortWithinPartitions("a", "b", "tail", "id", "lo"))  # two rows a partition
-    follow = order.select("id", "lo", "lone", "more").unionByName(edges.select("id", "lo", "lone", "more")).where("lone AND more IS NOT NULL")
-    follow = follow.select("id", "lo", (F.col("lo") + F.col("more") + length).alias("end"))
+    edges = neighbours_in_order(order.where("edge").coalesce(1).sortWithinPartitions(*by))  # two rows a partition
+    told = (*ID, "lo", "lone", "more")
+    follow = order.select(*told).unionByName(edges.select(*told)).where("lone AND more IS NOT NULL")
+    follow = follow.select(*ID, "lo", (F.col("lo") + F.col("more") + length).alias("end"))
 
     inside = both.where("tail IS NULL")
-    twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
-    within = inside.where("lone").join(twice, ["a", "b"], "left_semi").select("id", "lo", (F.col("lo") + length).alias("end"))
+    twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b", "times"))
+    within = matched(inside.where("lone"), twice, ["a", "b"]).select(*ID, "lo", (F.col("lo") + length).alias("end"))
     spans = sure.unionByName(follow).unionByName(within)
-    out = written(spans.groupBy("id").agg(F.collect_set(F.struct("lo", "end")).alias("spans")))
+    out = written(spans.groupBy(*ID).agg(F.collect_set(F.struct("lo", "end")).alias("spans")))
     discard(live, dictionary, kinds, both, heads, order, twice)
     return out
 
@@ -209,6 +225,12 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def identity(key: str, text: str) -> tuple[Column, Column]:
+    """``id`` and ``row`` of a row; neither is null."""
+    row = F.xxhash64(text)
+    return F.coalesce(F.col(key).cast("long"), row).alias("id"), row.alias("row")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """``key``, the columns ``keep``, ``n_bytes``, ``removed`` (maximal runs of
     removed bytes: start, end), ``kept`` (binary: the rest, concatenated) and
@@ -219,21 +241,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", k
     never cross texts, and strings are judged on the input. So all copies go.
 
     Null or empty texts, and those shorter than ``length``, lose nothing.
-    Repeated rows are copies of each other. The key has to be unique but for
-    repeated rows; rows with a null key are told apart by text. An empty table
-    gives an empty one. Other columns are ignored.
+    Repeated rows are copies of each other. Rows are told apart by key (null,
+    too) and text, so unlike texts that share a key are judged each. An empty
+    table gives an empty one. Other columns are ignored.
     """
-    identity = F.coalesce(F.col(key).cast("long"), F.xxhash64("text"))
-    rows = texts(docs, key).select(identity.alias("id"), "text")
+    rows = texts(docs, key).select(*identity(key, "text"), "text")
     spans = repeated_spans(rows, length)
     whole = docs.select(key, *(c for c in keep if c not in (key, "text")), F.coalesce("text", F.lit("")).alias("_text"))
-    whole = whole.withColumn("_id", F.coalesce(F.col(key).cast("long"), F.xxhash64("_text")))
-    ids = sized(spans.select(F.col("id").alias("_at")))
-    names = [c for c in whole.columns if c not in ("_text", "_id")]
-    clean = whole.join(ids, F.col("_id") == F.col("_at"), "left_anti")
+    names = [c for c in whole.columns if c != "_text"]
+    whole = whole.select("*", *(c.alias(f"_{n}") for c, n in zip(identity(key, "_text"), ID, strict=True)))
+    spans = spans.withColumnsRenamed({c: f"_at_{c}" for c in ID})
+    ids = sized(spans.drop("spans"))
+    same = (F.col("_id") == F.col("_at_id")) & (F.col("_row") == F.col("_at_row"))
+    clean = whole.join(ids, same, "left_anti")
     runs = "array<struct<start:long,end:long>>"
     clean = clean.select(*names, F.octet_length("_text").cast("long").alias("n_bytes"), F.expr(f"cast(array() as {runs})").alias("removed"), F.encode("_text", "UTF-8").alias("kept"), F.col("_text").alias("text"))
-    hit = whole.join(ids, F.col("_id") == F.col("_at"), "left_semi").join(spans, F.col("_id") == F.col("id")).select(*names, "_text", "spans")
+    hit = whole.join(ids, same, "left_semi").join(spans, same).select(*names, "_text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallytree.llm import decontaminate, near_duplicates, queries, repeats
+from tallytree.llm import common, decontaminate, near_duplicates, queries, repeats
 
 SCHEMA = "doc_id long, text string, id int, key string, n long, comp long"
 
@@ -144,6 +144,22 @@ def test_repeats_of_odd_tables(spark):
     assert [r["text"] for r in repeats.remove_repeats(nameless).collect()] == ["", ""]
 
 
+def test_repeats_of_unlike_texts_that_share_a_key(spark, monkeypatch):
+    rng = random.Random(11)
+    some = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage = some(600)
+    texts = [some(1500) + passage + some(900), some(60) + passage[10:520], some(700), passage[3:] + some(20), some(200), "tie" * 300, passage + some(5), passage[:450] + some(90)]
+    keys = [1, 1, 1, 2, 2, None, None, 1]
+    rows = spark.createDataFrame(list(zip(keys, texts, strict=True)), "doc_id long, text string")
+    for windows, hot in ((repeats.WINDOWS, common.HOT_KEYS), (50, 3)):
+        monkeypatch.setattr(repeats, "WINDOWS", windows)
+        monkeypatch.setattr(common, "HOT_KEYS", hot)
+        removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+        got = repeats.remove_repeats(rows).select("doc_id", "n_bytes", removed, F.size("removed"), F.sha2("kept", 256)).collect()
+        want = [(k, *r) for k, r in zip(keys, brute_repeats(texts, 400), strict=True)]
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def test_contamination_is_that_of_sql(spark, tmp_path):
     rng = random.Random(6)
     item = words(rng, 30)
@@ -172,6 +188,24 @@ def test_contamination_of_odd_tables(spark):
     assert sorted(r["n_hit"] for r in decontaminate.contamination(twice, bench).collect()) == [0, 0, 2, 2]
 
 
+def test_a_shuffled_join_deals_texts_evenly(spark, monkeypatch):
+    """Where the benchmark's hashes are too many to broadcast, no task gets a row of every text."""
+    monkeypatch.setattr(decontaminate, "sized", lambda df, most=0: df.hint("merge"))
+    rng = random.Random(8)
+    docs = table(spark, [" ".join(words(rng, 20)) for _ in range(400)])
+    item = " ".join(words(rng, 30))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = docs.unionByName(table(spark, [item + " end"], 1000))
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in decontaminate.contamination(docs, bench).collect()}
+    assert len(got) == 401
+    assert got.pop(1000) == (31, 30)
+    assert set(got.values()) == {(20, 0)}
+    asked = decontaminate.asked_of(docs.withColumn("row", F.xxhash64("text")).drop("doc_id").withColumn("doc_id", F.lit(1)), "doc_id", [])
+    tasks = asked.where("span = -1").repartition(8, "span", "f").withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert len(tasks) == 8
+    assert max(r["count"] for r in tasks) < 100
+
+
 def test_items_without_ids_are_searched(spark, tmp_path):
     rng = random.Random(7)
     known, leaked = words(rng, 20), words(rng, 30)
