@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, html_extract, near_duplicates, neighbours, packing, quality, repeats, toxicity
+from . import bpe_count, chat, decontaminate, html_extract, merkle, near_duplicates, neighbours, packing, quality, repeats, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,7 +89,17 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity)}
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", decontaminate.UPPER, decontaminate.LOWER)
+    fields = [merkle.encoded(lowered if f == "text" else F.col(f)) for f in ("doc_id", "source", "lang", "n_chars", "text")]
+    third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    m = merkle.manifest(table(spark, sf_dir, "documents"), tampered=F.when(third, merkle.digest(*fields)))
+    root = F.lit(m.root).cast("string")
+    proof = merkle.proofs(m).withColumn("folded_root", merkle.folded(F.coalesce("tampered", "digest"), F.col("steps")))
+    return proof.select(F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"), F.sha2(merkle.told(F.col("steps")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == root).alias("verified"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity, op12_manifest)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
@@ -111,6 +121,23 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(4 + length(replace(replace(role, '\', '\\'), ':', '\:')) + 2 + length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) + 8) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id""",
+    "op12_manifest": r"""
+WITH RECURSIVE d AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+  coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+  list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) END) AS crc FROM documents),
+l AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM
+  (SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, CASE WHEN doc_id IS NOT NULL AND xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS tampered FROM d)),
+t AS (SELECT g, 0 AS h, i, leaf AS x, n FROM l UNION ALL SELECT g, h + 1, i // 8, sha256(string_agg(x, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM t WHERE n > 1 GROUP BY g, h, i // 8),
+s AS MATERIALIZED (SELECT g, x AS subroot, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS h, g AS i, subroot AS x, n FROM s UNION ALL SELECT h + 1, i // 8, sha256(string_agg(x, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM u WHERE n > 1 GROUP BY h, i // 8),
+f AS (SELECT g, i AS leaf, 0 AS h, i, coalesce(tampered, leaf) AS x, '' AS proof, n FROM l
+  UNION ALL SELECT f.g, leaf, f.h + 1, f.i // 8, sha256(string_agg(CASE WHEN t.i = f.i THEN f.x ELSE t.x END, '' ORDER BY t.i)), any_value(proof) || coalesce(string_agg(t.x, '' ORDER BY t.i) FILTER (t.i <> f.i), ''), (any_value(f.n) + 7) // 8
+  FROM f JOIN t ON t.g = f.g AND t.h = f.h AND t.i // 8 = f.i // 8 WHERE f.n > 1 GROUP BY f.g, leaf, f.h, f.i),
+v AS (SELECT f.g, leaf, 0 AS h, f.g AS i, x, proof, s.n FROM f JOIN s ON s.g = f.g WHERE f.n = 1
+  UNION ALL SELECT v.g, leaf, v.h + 1, v.i // 8, sha256(string_agg(CASE WHEN u.i = v.i THEN v.x ELSE u.x END, '' ORDER BY u.i)), any_value(proof) || coalesce(string_agg(u.x, '' ORDER BY u.i) FILTER (u.i <> v.i), ''), (any_value(v.n) + 7) // 8
+  FROM v JOIN u ON u.h = v.h AND u.i // 8 = v.i // 8 WHERE v.n > 1 GROUP BY v.g, leaf, v.h, v.i)
+SELECT doc_id, l.leaf, subroot, root, sha256(proof) AS proof_sha256, v.x AS folded_root, v.x = root AS verified
+FROM l JOIN s ON s.g = l.g JOIN v ON v.g = l.g AND v.leaf = l.i AND v.n = 1, (SELECT x AS root FROM u WHERE n = 1)""",
     "op7_decontamination": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
