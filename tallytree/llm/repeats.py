@@ -46,8 +46,11 @@ STEP = 200_000
 WINDOWS = 100_000
 #: A text is told by its key and a hash of itself, as unlike texts may share a key.
 ID = ("id", "row")
-PARSE = "core long, full long, full2 long, head long, id long, row long, lo int, hi int, anchor int"
-ENTRY = (*ID, "lo", "hi", "anchor")
+PARSE = "core long, full long, full2 long, head long, id long, row long, at long"
+ENTRY = (*ID, "at")
+#: A phrase's first window ``lo`` and last one ``hi`` are kept as one number ``at``, as ``hi - lo`` is under ``WIDTH``.
+BITS = 9
+LO, HI = f"cast(shiftright(at, {BITS}) as int)", f"cast(shiftright(at, {BITS}) + (at & {(1 << BITS) - 1}) as int)"
 
 
 def phrases(running: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,10 +94,10 @@ def parsed(rows: DataFrame, length: int) -> DataFrame:
                 core = span_hashes(one, np.where(alone, lo, near), np.where(alone, lo + length, near - WIDTH + 1 + length))
                 place = ((near - hi) * 1024 + (near - lo)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 full = mix(span_hashes(one, lo, hi + length) + place), mix(span_hashes(two, lo, hi + length, 1) ^ place)
-                ints = [pa.array((x - off[doc]).astype(np.int32)) for x in (lo, hi, anchor)]
+                at_ = pa.array((lo - off[doc]) << BITS | (hi - lo))
                 hashes = [pa.array(x.view(np.int64)) for x in (core, *full, span_hashes(one, lo, lo + length))]
                 ids = [b.column(c).slice(at, to - at).take(pa.array(doc)) for c in ID]
-                yield pa.RecordBatch.from_arrays([*hashes, *ids, *ints], names=[c.split()[0] for c in PARSE.split(", ")])
+                yield pa.RecordBatch.from_arrays([*hashes, *ids, at_], names=[c.split()[0] for c in PARSE.split(", ")])
 
     return rows.mapInArrow(run, PARSE)
 
@@ -188,11 +191,11 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     dictionary = written(live.groupBy("full", "full2").agg(F.count("*").alias("times"), *entry))
     discard(parse, cores)
     sure = matched(live, dictionary.where("times > 1").select("full", "full2", "times"), ["full", "full2"])
-    sure = sure.select(*ID, "lo", (F.col("hi") + length).alias("end"))
+    sure = sure.select(*ID, F.expr(LO).alias("lo"), (F.expr(HI) + length).alias("end"))
 
     kinds = dictionary.groupBy("core").agg(F.count("*").alias("entries"), F.count_if(F.col("times") == 1).alias("lone"), (F.min("head") != F.max("head")).alias("mixed"))
     kinds = written(kinds.where("entries > 1 AND lone > 0").select("core", "mixed", F.col("entries").alias("times")))
-    doubtful = matched(dictionary.withColumn("lone", F.col("times") == 1).drop("times"), kinds, ["core"], "inner").select(*ID, "lo", "hi", "lone", "mixed")
+    doubtful = matched(dictionary.withColumn("lone", F.col("times") == 1).drop("times"), kinds, ["core"], "inner").select(*ID, F.expr(LO).alias("lo"), F.expr(HI).alias("hi"), "lone", "mixed")
     both = written(compared(rows, doubtful, length))
     begun = both.where("tail IS NOT NULL")
     # only where another entry begins with the same window
@@ -206,8 +209,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     follow = follow.select(*ID, "lo", (F.col("lo") + F.col("more") + length).alias("end"))
 
     inside = both.where("tail IS NULL")
-    twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b", "times"))
-    within = matched(inside.where("lone"), twice, ["a", "b"]).select(*ID, "lo", (F.col("lo") + length).alias("end"))
+    twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
+    within = inside.where("lone").join(twice, ["a", "b"], "left_semi").select(*ID, "lo", (F.col("lo") + length).alias("end"))
     spans = sure.unionByName(follow).unionByName(within)
     out = written(spans.groupBy(*ID).agg(F.collect_set(F.struct("lo", "end")).alias("spans")))
     discard(live, dictionary, kinds, both, heads, order, twice)
