@@ -256,12 +256,11 @@ def hard_negatives(
     n = asking.count()
     free = window(F.lit(0), F.lit(NONE), F.lit(-NONE))
     near = written(top(asking.select("id", "label", "v", F.array(free).alias("windows")), pages, n_pages, n, positives, True, 1))
-    # 100 * s >= low * p and 100 * s <= high * p, in whole numbers
-    p = F.col("score")
-    mine = window(F.col("other"), -F.floor(-p * low / 100), F.floor(p * high / 100))
-    exact = window(F.col("other"), F.expr(f"-(-score * {low} div 100) + if(pmod(score * {low}, 100) > 0 and score * {low} > 0, 1, 0)"), F.expr(f"(score * {high} - pmod(score * {high}, 100)) div 100"))
-    del mine
-    windows = near.groupBy(F.col("id").alias("of")).agg(F.collect_list(exact).alias("windows"))  # as many as positives
+    # low * p <= 100 * s <= high * p, in whole numbers
+    least = F.expr(f"(score * {low} + pmod(-score * {low}, 100)) div 100")
+    most = F.expr(f"(score * {high} - pmod(score * {high}, 100)) div 100")
+    mine = window(F.col("other"), least, most)
+    windows = near.groupBy(F.col("id").alias("of")).agg(F.collect_list(mine).alias("windows"))  # as many as positives
     asked = written(asking.join(windows, F.col("id") == F.col("of")).select("id", "label", "v", "windows"))
     found = top(asked, pages, n_pages, n, negatives, False, positives)
     scores = near.select(F.col("id").alias("anchor"), F.col("other").alias("positive_id"), F.col("score").alias("positive_score"))

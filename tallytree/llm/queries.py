@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, html_extract, merkle, near_duplicates, neighbours, packing, quality, repeats, toxicity
+from . import bpe_count, chat, decontaminate, hard_negatives, html_extract, merkle, near_duplicates, neighbours, packing, quality, repeats, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, shifted)
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lowered = F.translate("text", decontaminate.UPPER, decontaminate.LOWER)
     fields = [merkle.encoded(lowered if f == "text" else F.col(f)) for f in ("doc_id", "source", "lang", "n_chars", "text")]
@@ -99,7 +104,7 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proof.select(F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"), F.sha2(merkle.told(F.col("steps")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == root).alias("verified"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity, op12_manifest)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity, op11_hard_negatives, op12_manifest)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
@@ -121,6 +126,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(4 + length(replace(replace(role, '\', '\\'), ':', '\:')) + 2 + length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) + 8) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id""",
+    "op11_hard_negatives": r"""
+WITH e AS MATERIALIZED (SELECT vec_id AS k, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.k AS anchor, b.k AS other, a.l = b.l AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM e a JOIN e b ON a.k <> b.k WHERE a.k % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.other) AS INT) AS rank, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor WHERE NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score QUALIFY rank <= 10""",
     "op12_manifest": r"""
 WITH RECURSIVE d AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
