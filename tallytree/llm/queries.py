@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, decontaminate, hard_negatives, html_extract, merkle, near_duplicates, neighbours, packing, quality, repeats, toxicity
+from . import bpe_count, chat, decontaminate, hard_negatives, html_extract, merkle, near_duplicates, neighbours, packing, personal_data, quality, repeats, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,7 +104,15 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proof.select(F.col("key").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", root.alias("root"), F.sha2(merkle.told(F.col("steps")), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == root).alias("verified"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity, op11_hard_negatives, op12_manifest)}
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, sf_dir, "documents"))
+    told = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    base = F.filter("spans", lambda x: x["base"])
+    counts = [F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in personal_data.KINDS]  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_near_duplicates, op4_quality, op5_neighbours, op6_repeats, op7_decontamination, op8_html_extraction, op9_chat_formatting, op10_toxicity, op11_hard_negatives, op12_manifest, op13_personal_data)}
 
 #: DuckDB's SQL of those that SQL can express.
 ORACLE_SQL: dict[str, str] = {
