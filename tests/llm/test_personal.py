@@ -53,7 +53,8 @@ def test_base_spans_stay_and_hidden_ones_are_added(spark, tmp_path):
     glued = f"{say(4)} +1 (578) 555-6437 4539578763621486 {say(3)}"
     two = f"{say(4)} 4539578763621486 4716108999716531 {say(3)}"
     hidden = f"{say(2)} mail anna (at) mail3.example.com {say(2)}"
-    texts += [glued, two, hidden, None, "", " ", "9" * 50_000, "a" * 50_000 + "@", texts[0], texts[1] * 3000]
+    next_to_ip = f"{say(4)} +1 (826) 555-4081 190.137.223.204 {say(3)}"
+    texts += [glued, two, hidden, next_to_ip, None, "", " ", "9" * 50_000, "a" * 50_000 + "@", texts[0], texts[1] * 3000]
     rows = [(i, t, "x", 7) for i, t in enumerate(texts)] + [(None, texts[2], "x", 7), (5, texts[5], "x", 7)]
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     got = queries.op13_personal_data(spark, str(tmp_path)).collect()
@@ -71,6 +72,7 @@ def test_base_spans_stay_and_hidden_ones_are_added(spark, tmp_path):
     assert spans[340] == [at("card", glued, "4539578763621486"), at("phone", glued, "+1 (578) 555-6437")]
     assert spans[341] == [at("card", two, "4539578763621486"), at("card", two, "4716108999716531")]
     assert spans[342] == [at("email", hidden, "anna (at) mail3.example.com")]
+    assert spans[343] == [at("ip", next_to_ip, "190.137.223.204"), at("phone", next_to_ip, "+1 (826) 555-4081")]
     assert queries.op13_personal_data(spark, str(tmp_path)).limit(0).count() == 0
 
 
