@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.robust import quartiles, weighted_median, with_zeros
+from ..functions.robust import with_zeros
 from ..schema import FLAGS, METHODS
 
 #: Thresholds and what the mixture model stops at.
@@ -24,40 +24,57 @@ def without_labels(cells: DataFrame, tax_ids: Iterable[int]) -> DataFrame:
     return cells.where(~F.col("tax_id").isin(ids)) if ids else cells
 
 
-def centred(cells: DataFrame, n_samples: int, subtract: bool = True) -> DataFrame:
-    """tax_id, sample_id, value, weight: with weighted zeros, less the label's
-    mean over all samples."""
-    rows = with_zeros(cells, n_samples, "tax_id")
+def centred(cells: DataFrame, n_samples: int, subtract: bool = True, by: Iterable[str] = ()) -> DataFrame:
+    """``by``, tax_id, sample_id, value, weight: with weighted zeros, less the label's
+    mean over all samples. Columns ``by`` tell passes apart: a label of one is a label of
+    its own."""
+    keys = (*by, "tax_id")
+    rows = with_zeros(cells, n_samples, *keys)
     if not subtract:
         return rows
-    means = cells.groupBy("tax_id").agg((F.sum(F.col("value").cast("double")) / n_samples).alias("mean"))
-    return rows.join(means, "tax_id").withColumn("value", F.col("value") - F.col("mean")).drop("mean")
+    return rows.withColumn("value", F.col("value") - F.sum("value").over(Window.partitionBy(*keys)) / n_samples)
 
 
-def medians(rows: DataFrame) -> DataFrame:
-    """tax_id, med, mad (not scaled)."""
-    med = rows.groupBy("tax_id").agg(weighted_median("value").alias("med"))
-    away = rows.join(med, "tax_id").withColumn("away", F.abs(F.col("value") - F.col("med")))
-    return away.groupBy("tax_id").agg(F.first("med").alias("med"), weighted_median("away").alias("mad"))
+def profiled(rows: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """``rows`` (``by``, tax_id, value, weight) with the statistics of their label beside
+    them: ``med``, ``mad`` (not scaled), ``q1``, ``q3``. All are read off the rows in order
+    of their values and of their distances to the median: one shuffle by label, no join,
+    and a label of many samples is sorted on disk, not held in memory."""
+    keys = (*by, "tax_id")
+    whole = Window.partitionBy(*keys)
+    upto = lambda order: F.sum("weight").over(whole.orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+    at = lambda place, value: F.min(F.when(F.col("upto") > place, F.col(value))).over(whole)
+    middle = lambda value: (at(F.expr("(n - 1) div 2"), value) + at(F.expr("n div 2"), value)) / 2
+    half, even = "greatest(n div 2, 1)", F.expr("n div 2") % 2 == 0
+    first, second = F.expr(f"({half} - 1) div 2"), F.when(even, F.expr(f"{half} div 2")).otherwise(F.expr(f"({half} - 1) div 2"))
+    above = F.expr(f"n - {half}")
+    told = rows.withColumn("n", F.sum("weight").over(whole)).withColumn("upto", upto("value"))
+    told = told.withColumns({"med": middle("value"), "q1": (at(first, "value") + at(second, "value")) / 2, "q3": (at(above + first, "value") + at(above + second, "value")) / 2})
+    told = told.withColumn("away", F.abs(F.col("value") - F.col("med"))).withColumn("upto", upto("away"))
+    return told.withColumn("mad", middle("away")).drop("n", "upto", "away")
 
 
-def flag(rows: DataFrame, method: str, deviation: F.Column) -> DataFrame:
-    return rows.select("sample_id", "tax_id", "value", F.col("med").alias("population_median"), deviation.alias("deviation"), F.lit(method).alias("method"))
+def medians(rows: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """``by``, tax_id, med, mad (not scaled): a row a label."""
+    told = profiled(rows, by)
+    return told.groupBy(*by, "tax_id").agg(F.first("med").alias("med"), F.first("mad").alias("mad"))
 
 
-def by_mad(rows: DataFrame, threshold: float = MAD_THRESHOLD) -> DataFrame:
-    """Values over the median by ``threshold`` scaled deviations. A label whose
+def scaled_away() -> F.Column:
+    """How many scaled deviations a value is off its label's median; null where that is 0."""
+    return F.abs(F.col("value") - F.col("med")) / F.nullif(MAD_SCALE * F.col("mad"), F.lit(0.0))
+
+
+def over_mad(threshold: float = MAD_THRESHOLD) -> F.Column:
+    """Of values over the median by ``threshold`` scaled deviations: how many. A label whose
     median deviation is 0 is skipped; a weighted zero is never over the median."""
-    z = F.abs(F.col("value") - F.col("med")) / (MAD_SCALE * F.col("mad"))
-    told = rows.where("sample_id IS NOT NULL").join(medians(rows).where("mad <> 0"), "tax_id")
-    return flag(told.where((z > threshold) & (F.col("value") > F.col("med"))), "mad", z)
+    return F.when((scaled_away() > threshold) & (F.col("value") > F.col("med")), scaled_away())
 
 
-def by_iqr(rows: DataFrame, multiplier: float = IQR_MULTIPLIER) -> DataFrame:
-    """Values over 0 and over the upper fence; a label whose quartiles are equal is skipped."""
+def over_iqr(multiplier: float = IQR_MULTIPLIER) -> F.Column:
+    """Of values over 0 and over the upper fence: by how much; a label whose quartiles are equal is skipped."""
     fence = F.col("q3") + multiplier * (F.col("q3") - F.col("q1"))
-    told = rows.where("sample_id IS NOT NULL").join(quartiles(rows, "tax_id").where("q3 > q1"), "tax_id").join(medians(rows), "tax_id")
-    return flag(told.where((F.col("value") > fence) & (F.col("value") > 0)), "iqr", F.col("value") - fence)
+    return F.when((F.col("q3") > F.col("q1")) & (F.col("value") > fence) & (F.col("value") > 0), F.col("value") - fence)
 
 
 def density(x: np.ndarray, mu: float, sigma: float) -> np.ndarray:
@@ -66,87 +83,175 @@ def density(x: np.ndarray, mu: float, sigma: float) -> np.ndarray:
     return np.exp(-0.5 * ((x - mu) / sigma) ** 2) / (sigma * math.sqrt(2 * math.pi))
 
 
-def mixture(x: np.ndarray) -> tuple[np.ndarray, float, float, float, float, float] | None:
+def mixture(x: np.ndarray, w: np.ndarray | None = None) -> tuple[np.ndarray, float, float, float, float, float] | None:
     """Posteriors of the higher component, log likelihood, its mean and spread
-    and the other's; None where two components can't be fitted."""
-    n, width = len(x), float(np.ptp(x)) if len(x) else 0.0
+    and the other's; None where two components can't be fitted. ``w`` says how often
+    each value is there; nothing is repeated for it."""
+    found = fitted(x, np.ones(len(x)) if w is None else w)
+    return None if found is None else found[:6]
+
+
+def fitted(x: np.ndarray, w: np.ndarray) -> tuple | None:
+    """``mixture``, and (weight, mean, spread) of the higher component and of the other, as the posteriors have them."""
+    n, width = int(w.sum()), float(np.ptp(x)) if len(x) else 0.0
     if n < 2 or width < LEAST_SIGMA:
         return None
-    s = np.sort(x)
-    halves = s[: n // 2], s[n // 2 :]
-    mu = [float(h.mean()) for h in halves]
-    var = [float(((h - m) ** 2).mean()) if len(h) > 1 else width**2 / 4 for h, m in zip(halves, mu, strict=True)]
+    order = np.argsort(x, kind="stable")
+    s, ws = x[order], w[order]
+    lower = np.clip(n // 2 - (np.cumsum(ws) - ws), 0, ws)  # the first n // 2 values
+    halves = lower, ws - lower
+    mu = [float(h @ s / h.sum()) for h in halves]
+    var = [float(h @ (s - m) ** 2 / h.sum()) if h.sum() > 1 else width**2 / 4 for h, m in zip(halves, mu, strict=True)]
     sigma, weight, last = [max(math.sqrt(v), LEAST_SIGMA) for v in var], [0.5, 0.5], -math.inf
     for _ in range(ROUNDS):
+        of = list(zip(weight, mu, sigma, strict=True))
         a, b = (weight[k] * density(x, mu[k], sigma[k]) for k in (0, 1))
         total = np.maximum(a + b, LEAST_DENSITY)
-        post, likelihood = np.stack([a, b]) / total, float(np.log(total).sum())
+        post, likelihood = np.stack([a, b]) / total, float(w @ np.log(total))
         if abs(likelihood - last) < TOLERANCE:
             break
         last = likelihood
-        mass = post.sum(1)
+        mass = post @ w
         if mass.min() < LEAST_MASS:
             return None
-        mu = [float((post[k] @ x) / mass[k]) for k in (0, 1)]
-        sigma = [max(math.sqrt(float(post[k] @ (x - mu[k]) ** 2 / mass[k])), LEAST_SIGMA) for k in (0, 1)]
+        mu = [float((post[k] * w) @ x / mass[k]) for k in (0, 1)]
+        sigma = [max(math.sqrt(float((post[k] * w) @ (x - mu[k]) ** 2 / mass[k])), LEAST_SIGMA) for k in (0, 1)]
         weight = [float(m / n) for m in mass]
     high = 0 if mu[0] > mu[1] else 1
-    return post[high], likelihood, mu[high], sigma[high], mu[1 - high], sigma[1 - high]
+    return post[high], likelihood, mu[high], sigma[high], mu[1 - high], sigma[1 - high], of[high], of[1 - high]
 
 
-def two_groups(x: np.ndarray) -> np.ndarray | None:
-    """Posteriors of the higher group, where two groups explain the values better
-    than one, the higher one holds two values at least, and they stand apart."""
-    found = mixture(x)
+def groups_apart(x: np.ndarray, w: np.ndarray) -> tuple | None:
+    """``fitted``, where two groups explain the values better than one, the higher one
+    holds two values at least, and they stand apart."""
+    found = fitted(x, w)
     if found is None:
         return None
-    post, likelihood, high, high_sigma, low, low_sigma = found
-    n, mean = len(x), float(x.mean())
-    one = float(np.log(np.maximum(density(x, mean, max(float(x.std()), LEAST_SIGMA)), LEAST_DENSITY)).sum())
+    post, likelihood, high, high_sigma, low, low_sigma = found[:6]
+    n, mean = w.sum(), float(w @ x / w.sum())
+    sigma = math.sqrt(float(w @ (x - mean) ** 2 / n))
+    one = float(w @ np.log(np.maximum(density(x, mean, max(sigma, LEAST_SIGMA)), LEAST_DENSITY)))
     if not -2 * likelihood + 5 * math.log(n) < -2 * one + 2 * math.log(n):
         return None
-    if post.sum() < 2 or high - low < SEPARATION * max(high_sigma, low_sigma):
+    if post @ w < 2 or high - low < SEPARATION * max(high_sigma, low_sigma):
         return None
-    return post
-
-
-def by_gmm(rows: DataFrame, threshold: float = GMM_THRESHOLD) -> DataFrame:
-    """Values that a two-component mixture puts in the higher group. A label's
-    group holds one number a sample."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        stored = pdf[pdf["sample_id"].notna()].sort_values("sample_id")
-        zeros = pdf[pdf["sample_id"].isna()]
-        x = np.concatenate([stored["value"].to_numpy(), np.repeat(zeros["value"].to_numpy(), zeros["weight"].to_numpy())])
-        post = two_groups(x)
-        hit = post[: len(stored)] > threshold if post is not None else np.zeros(len(stored), bool)
-        out = stored.loc[hit, ["sample_id", "tax_id", "value"]].copy()
-        out["population_median"], out["deviation"], out["method"] = float(np.median(x)), post[: len(stored)][hit] if post is not None else [], "gmm"
-        return out
-
-    return rows.groupBy("tax_id").applyInPandas(run, "sample_id string, tax_id long, value double, population_median double, deviation double, method string")
+    return found
+
+
+def two_groups(x: np.ndarray, w: np.ndarray | None = None) -> np.ndarray | None:
+    """Posteriors of the higher group of ``groups_apart``."""
+    found = groups_apart(x, np.ones(len(x)) if w is None else w)
+    return None if found is None else found[0]
+
+
+PARTS = ("high_weight", "high_mean", "high_sigma", "low_weight", "low_mean", "low_sigma")
+
+
+def mixtures(rows: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """``by``, tax_id, and the two components (``PARTS``) of each label that has two groups.
+    Equal values are counted first; a task goes through its labels in order, and holds the
+    different values of one."""
+    keys = (*by, "tax_id")
+    counted = rows.groupBy(*keys, "value").agg(F.sum("weight").cast("double").alias("weight"))
+    kinds = {f.name: f.dataType.simpleString() for f in counted.schema}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fit(columns: list, key: tuple) -> None:
+            found = groups_apart(np.concatenate([c[0] for c in columns]), np.concatenate([c[1] for c in columns]))
+            if found is not None:
+                out.append((*key, *found[6], *found[7]))
+
+        out: list[tuple] = []
+        open_, last = [], None
+        for b in batches:
+            names = list(zip(*(b.column(k).to_pylist() for k in keys), strict=True))
+            value, weight = b.column("value").to_numpy(), b.column("weight").to_numpy()
+            cuts = [i for i in range(1, len(names)) if names[i] != names[i - 1]]
+            for lo, hi in zip([0, *cuts], [*cuts, len(names)], strict=True):
+                if lo == hi:
+                    continue
+                if open_ and names[lo] != last:
+                    fit(open_, last)
+                    open_ = []
+                last = names[lo]
+                open_.append((value[lo:hi], weight[lo:hi]))
+        if open_:
+            fit(open_, last)
+        if out:
+            yield pa.RecordBatch.from_pylist([dict(zip((*keys, *PARTS), r, strict=True)) for r in out], schema=pa.schema([*(b.schema.field(k) for k in keys), *((p, pa.float64()) for p in PARTS)]))
+
+    schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), *(f"{p} double" for p in PARTS)])
+    return counted.repartition(*keys).sortWithinPartitions(*keys, "value").mapInArrow(run, schema)
+
+
+def in_higher_group() -> F.Column:
+    """The chance that a value is of its label's higher group."""
+    normal = lambda g: F.col(f"{g}_weight") * F.exp(-0.5 * F.pow((F.col("value") - F.col(f"{g}_mean")) / F.col(f"{g}_sigma"), F.lit(2))) / (F.col(f"{g}_sigma") * math.sqrt(2 * math.pi))
+    return normal("high") / F.greatest(normal("high") + normal("low"), F.lit(LEAST_DENSITY))
+
+
+def search(
+    cells: DataFrame, n_samples: int, method: str | tuple[str, ...] = "all", mad_threshold: float = MAD_THRESHOLD, iqr_multiplier: float = IQR_MULTIPLIER, gmm_threshold: float = GMM_THRESHOLD, kitome: Iterable[int] = (), subtract: bool = True, by: Iterable[str] = ()
+) -> DataFrame:
+    """Everything that is found in one pass over ``cells`` (``by``, tax_id, sample_id,
+    value; sparse, null counts as 0), for all passes that ``by`` tells apart: ``by``,
+    tax_id, sample_id, value, ``population_median``, ``deviation``, ``method`` of each flag,
+    and a row without method and sample of each label, with its ``mad``, ``q1`` and ``q3``."""
+    wanted, by = METHODS if method == "all" else (method,) if isinstance(method, str) else method, tuple(by)
+    if not set(wanted) <= set(METHODS):
+        raise ValueError(f"unknown method {method}; known are {', '.join(METHODS)}, all")
+    keys = (*by, "tax_id")
+    rows = centred(without_labels(cells, kitome).where("value <> 0"), n_samples, subtract, by)
+    told = profiled(rows, by)
+    if "gmm" in wanted:
+        parts = mixtures(rows, by)
+        told = told.join(parts, list(keys), "left")
+    found = {"mad": over_mad(mad_threshold), "iqr": over_iqr(iqr_multiplier)}
+    if "gmm" in wanted:
+        found["gmm"] = F.when(in_higher_group() > gmm_threshold, in_higher_group())
+    stored, order = F.col("sample_id").isNotNull(), Window.partitionBy(*keys).orderBy(F.col("sample_id").asc_nulls_first())
+    of = lambda name, deviation: F.struct(F.lit(name).cast("string").alias("method"), deviation.cast("double").alias("deviation"))
+    hits = [F.when(stored & found[m].isNotNull(), of(m, found[m])) for m in wanted]
+    hits.append(F.when(F.col("place") == 1, of(None, F.lit(None))))
+    each = told.withColumn("place", F.row_number().over(order)).withColumn("hit", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())))
+    label = F.col("hit.method").isNull()
+    only = lambda c, of_label: F.when(label if of_label else ~label, F.col(c)).alias(c)
+    return each.select(*keys, only("sample_id", False), only("value", False), F.col("med").alias("population_median"), "hit.deviation", "hit.method", *(only(c, True) for c in ("mad", "q1", "q3")))
+
+
+def flags(found: DataFrame, names: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """The flags of ``search``'s rows, with names."""
+    hits = found.where("method IS NOT NULL").join(names.select("tax_id", F.col("name").alias("taxon_name")), "tax_id", "left")
+    return hits.withColumn("taxon_name", F.coalesce("taxon_name", F.lit(""))).select(*by, *FLAGS)
+
+
+def statistics(found: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """The labels' rows of ``search``'s: ``by``, tax_id, med, mad, q1, q3."""
+    return found.where("method IS NULL").select(*by, "tax_id", F.col("population_median").alias("med"), "mad", "q1", "q3")
+
+
+def summaries(found: DataFrame, n_samples: int, by: Iterable[str] = ()) -> DataFrame:
+    """A row a pass of ``search``'s rows: samples, labels, flags, flagged samples in order,
+    and labels without a median deviation and without a spread of quartiles, which the
+    first two methods skip."""
+    label = F.col("method").isNull()
+    return found.groupBy(*by).agg(
+        F.lit(n_samples).cast("long").alias("total_samples"), F.count_if(label).alias("total_taxa_analysed"), F.count_if(~label).alias("flagged_count"),
+        F.array_join(F.sort_array(F.collect_set("sample_id")), ",").alias("flagged_samples"),
+        F.count_if(label & (F.col("mad") == 0)).alias("taxa_skipped_mad_zero"), F.count_if(label & (F.col("q1") == F.col("q3"))).alias("taxa_skipped_iqr_zero"),
+    )
 
 
 def detect(cells: DataFrame, n_samples: int, names: DataFrame, method: str = "all", mad_threshold: float = MAD_THRESHOLD, iqr_multiplier: float = IQR_MULTIPLIER, gmm_threshold: float = GMM_THRESHOLD, kitome: Iterable[int] = (), subtract: bool = True) -> DataFrame:
     """Flags of one method, or of all one below the other. ``cells`` are sparse:
     tax_id, sample_id, value (null counts as 0)."""
-    if method not in (*METHODS, "all"):
-        raise ValueError(f"unknown method {method}; known are {', '.join(METHODS)}, all")
-    kept = without_labels(cells, kitome).where("value <> 0")
-    rows = centred(kept, n_samples, subtract)
-    run = {"mad": lambda: by_mad(rows, mad_threshold), "iqr": lambda: by_iqr(rows, iqr_multiplier), "gmm": lambda: by_gmm(rows, gmm_threshold)}
-    out = None
-    for m in METHODS if method == "all" else (method,):
-        out = run[m]() if out is None else out.unionByName(run[m]())
-    return out.join(names.select("tax_id", F.col("name").alias("taxon_name")), "tax_id", "left").withColumn("taxon_name", F.coalesce("taxon_name", F.lit(""))).select(*FLAGS)
+    return flags(search(cells, n_samples, method, mad_threshold, iqr_multiplier, gmm_threshold, kitome, subtract), names)
 
 
 def skipped(cells: DataFrame, n_samples: int, kitome: Iterable[int] = (), subtract: bool = True) -> DataFrame:
     """One row: labels without a median deviation, and without a spread of quartiles,
     which the first two methods skip."""
-    rows = centred(without_labels(cells, kitome).where("value <> 0"), n_samples, subtract)
-    zeros = lambda df, test, name: df.agg(F.count_if(F.expr(test)).alias(name))
-    return zeros(medians(rows), "mad = 0", "taxa_skipped_mad_zero").join(F.broadcast(zeros(quartiles(rows, "tax_id"), "q3 = q1", "taxa_skipped_iqr_zero")))
+    return summaries(search(cells, n_samples, "mad", kitome=kitome, subtract=subtract), n_samples).select("taxa_skipped_mad_zero", "taxa_skipped_iqr_zero")
 
 
 def qc_summary(flags: DataFrame, cells: DataFrame, n_samples: int) -> DataFrame:

@@ -43,6 +43,38 @@ def cells(spark: SparkSession, d: str, value: str = "raw") -> DataFrame:
 FLAG_SQL = "SELECT sample_id, f.tax_id, coalesce(name, '') AS taxon_name, round(value, 6) AS value, round(population_median, 6) AS population_median, round(deviation, 6) AS deviation, '{}' AS method FROM {} f LEFT JOIN nodes ON f.tax_id = nodes.tax_id"
 
 
+#: The mixture's steps, a row a label with all its values as a list.
+GMM_SQL = """, xs AS (SELECT tax_id, list(v ORDER BY v, sample_id) AS x, list(sample_id ORDER BY v, sample_id) AS who, CAST(count(*) AS DOUBLE) AS k, max(v) - min(v) AS width FROM centred GROUP BY tax_id HAVING count(*) >= 2 AND max(v) - min(v) >= 1e-8),
+parts AS (SELECT *, x[1:CAST(k // 2 AS BIGINT)] AS lo, x[CAST(k // 2 AS BIGINT) + 1:] AS hi FROM xs),
+start AS (SELECT tax_id, x, who, k, list_avg(lo) AS m0, list_avg(hi) AS m1,
+  greatest(sqrt(CASE WHEN len(lo) > 1 THEN list_avg(list_transform(lo, lambda y: (y - list_avg(lo)) ** 2)) ELSE width ** 2 / 4 END), 1e-8) AS s0,
+  greatest(sqrt(CASE WHEN len(hi) > 1 THEN list_avg(list_transform(hi, lambda y: (y - list_avg(hi)) ** 2)) ELSE width ** 2 / 4 END), 1e-8) AS s1 FROM parts),
+em AS (
+  SELECT tax_id, x, who, k, 0 AS it, m0, m1, s0, s1, CAST(0.5 AS DOUBLE) AS w0, CAST(0.5 AS DOUBLE) AS w1, CAST('-inf' AS DOUBLE) AS ll, CAST([] AS DOUBLE[]) AS p0, CAST([] AS DOUBLE[]) AS p1, false AS done FROM start
+  UNION ALL
+  SELECT tax_id, x, who, k, it + 1, CASE WHEN stop THEN m0 ELSE n0 END, CASE WHEN stop THEN m1 ELSE n1 END,
+    CASE WHEN stop THEN s0 ELSE greatest(sqrt(list_sum(list_transform(range(1, len(x) + 1), lambda i: q0[i] * (x[i] - n0) ** 2)) / c0), 1e-8) END, CASE WHEN stop THEN s1 ELSE greatest(sqrt(list_sum(list_transform(range(1, len(x) + 1), lambda i: q1[i] * (x[i] - n1) ** 2)) / c1), 1e-8) END,
+    CASE WHEN stop THEN w0 ELSE c0 / k END, CASE WHEN stop THEN w1 ELSE c1 / k END, now, q0, q1, stop
+  FROM (SELECT *, list_sum(list_transform(range(1, len(x) + 1), lambda i: q0[i] * x[i])) / c0 AS n0, list_sum(list_transform(range(1, len(x) + 1), lambda i: q1[i] * x[i])) / c1 AS n1
+    FROM (SELECT *, list_sum(q0) AS c0, list_sum(q1) AS c1, list_sum(list_transform(t, lambda y: ln(y))) AS now, abs(list_sum(list_transform(t, lambda y: ln(y))) - ll) < 1e-6 AS stop
+      FROM (SELECT *, list_transform(range(1, len(x) + 1), lambda i: a[i] / t[i]) AS q0, list_transform(range(1, len(x) + 1), lambda i: b[i] / t[i]) AS q1
+        FROM (SELECT *, list_transform(range(1, len(x) + 1), lambda i: greatest(a[i] + b[i], 1e-300)) AS t
+          FROM (SELECT *, list_transform(x, lambda y: w0 * exp(-0.5 * ((y - m0) / s0) ** 2) / (s0 * sqrt(2 * pi()))) AS a, list_transform(x, lambda y: w1 * exp(-0.5 * ((y - m1) / s1) ** 2) / (s1 * sqrt(2 * pi()))) AS b FROM em WHERE NOT done AND it < 200))))
+    ) WHERE stop OR least(c0, c1) >= 1e-10),
+told AS (SELECT *, CASE WHEN m0 > m1 THEN p0 ELSE p1 END AS post, list_avg(x) AS mean FROM em WHERE done OR it = 200),
+two AS (SELECT *, greatest(sqrt(list_avg(list_transform(x, lambda y: (y - mean) ** 2))), 1e-8) AS s FROM told),
+apart AS (SELECT * FROM two WHERE -2 * ll + 5 * ln(k) < -2 * list_sum(list_transform(x, lambda y: ln(greatest(exp(-0.5 * ((y - mean) / s) ** 2) / (s * sqrt(2 * pi())), 1e-300)))) + 2 * ln(k)
+  AND list_sum(post) >= 2 AND abs(m0 - m1) >= 3 * greatest(s0, s1)),
+gmm AS (SELECT a.sample_id, a.tax_id, v AS value, med AS population_median, deviation FROM (SELECT tax_id, unnest(who) AS sample_id, unnest(x) AS v, unnest(post) AS deviation FROM apart) a
+  JOIN counts c ON c.tax_id = a.tax_id AND c.sample_id = a.sample_id JOIN med ON med.tax_id = a.tax_id WHERE deviation > 0.5)
+"""
+IQR_SQL = """, halves AS (SELECT tax_id, list_sort(list(v)) AS x, count(*) AS k FROM centred GROUP BY tax_id),
+q AS (SELECT tax_id, list_median(x[1:greatest(k // 2, 1)]) AS q1, list_median(x[k - greatest(k // 2, 1) + 1:k]) AS q3 FROM halves),
+iqr AS (SELECT sample_id, c.tax_id, v AS value, med AS population_median, v - (q3 + 1.5 * (q3 - q1)) AS deviation FROM centred c JOIN q ON c.tax_id = q.tax_id JOIN med ON c.tax_id = med.tax_id
+        WHERE q3 > q1 AND v > q3 + 1.5 * (q3 - q1) AND v > 0)
+"""
+
+
 def flagged(spark: SparkSession, d: str, value: str = "raw", **how: object) -> DataFrame:
     c = cells(spark, d, value)
     return detect.detect(c, t.sample_count(c), t.nodes(spark, d), **how)
@@ -53,21 +85,17 @@ def detect_mad(spark: SparkSession, d: str) -> DataFrame:
     return rounded(flagged(spark, d, method="mad", mad_threshold=2.0), "value", "population_median", "deviation")
 
 
-@query(""", halves AS (SELECT tax_id, list_sort(list(v)) AS x, count(*) AS k FROM centred GROUP BY tax_id),
-q AS (SELECT tax_id, list_median(x[1:greatest(k // 2, 1)]) AS q1, list_median(x[k - greatest(k // 2, 1) + 1:k]) AS q3 FROM halves),
-iqr AS (SELECT sample_id, c.tax_id, v AS value, med AS population_median, v - (q3 + 1.5 * (q3 - q1)) AS deviation FROM centred c JOIN q ON c.tax_id = q.tax_id JOIN med ON c.tax_id = med.tax_id
-        WHERE q3 > q1 AND v > q3 + 1.5 * (q3 - q1) AND v > 0)
-""" + FLAG_SQL.format("iqr", "iqr"))
+@query(IQR_SQL + FLAG_SQL.format("iqr", "iqr"))
 def detect_iqr(spark: SparkSession, d: str) -> DataFrame:
     return rounded(flagged(spark, d, method="iqr"), "value", "population_median", "deviation")
 
 
-@query()
+@query(GMM_SQL + FLAG_SQL.format("gmm", "gmm"))
 def detect_gmm(spark: SparkSession, d: str) -> DataFrame:
     return rounded(flagged(spark, d, method="gmm"), "value", "population_median", "deviation")
 
 
-@query()
+@query(IQR_SQL + GMM_SQL + ", strict AS (SELECT * FROM flags WHERE deviation > 3.5) " + " UNION ALL ".join(FLAG_SQL.format(m, f) for m, f in (("mad", "strict"), ("iqr", "iqr"), ("gmm", "gmm"))))
 def detect_all(spark: SparkSession, d: str) -> DataFrame:
     return rounded(flagged(spark, d, method="all"), "value", "population_median", "deviation")
 
@@ -190,6 +218,61 @@ def tier_counters(spark: SparkSession, d: str) -> DataFrame:
     return confidence.tier_counters(confident(spark, d), 0.5)
 
 
+# passes: 3 tiers, 3 ranks and 2 measures at once
+
+PASSES_SQL = CONFIDENCE_SQL + """, dir AS (SELECT 'sensitive' AS tier, sample_id, tax_id, raw AS direct_reads FROM counts
+  UNION ALL SELECT x.tier, sample_id, CASE WHEN confidence >= x.t THEN greatest(tax_id, 0) ELSE 0 END AS tax_id, count(*) FROM conf, (VALUES ('conf0p10', 0.1), ('conf0p50', 0.5)) x(tier, t) GROUP BY ALL),
+tot AS (SELECT tier, sample_id, sum(direct_reads) AS total FROM dir GROUP BY ALL),
+scoped AS (SELECT tier, 'all' AS rank_scope, sample_id, tax_id, direct_reads AS raw FROM dir UNION ALL SELECT tier, 'S', sample_id, d.tax_id, direct_reads FROM dir d JOIN nodes n ON d.tax_id = n.tax_id WHERE n.rank = 'S'
+  UNION ALL SELECT tier, 'G', sample_id, l.ancestor_id, sum(direct_reads) FROM dir d JOIN lineage l ON d.tax_id = l.tax_id JOIN nodes n ON l.ancestor_id = n.tax_id WHERE n.rank = 'G' GROUP BY ALL),
+lng AS (SELECT tier, rank_scope, 'raw' AS measure, sample_id, tax_id, CAST(raw AS DOUBLE) AS v FROM scoped UNION ALL SELECT s.tier, rank_scope, 'cpm', s.sample_id, tax_id, round(raw / total * 1e6, 4) FROM scoped s JOIN tot t ON s.tier = t.tier AND s.sample_id = t.sample_id),
+pg AS (SELECT k.*, s.sample_id, coalesce(l.v, 0) AS v FROM (SELECT DISTINCT tier, rank_scope, measure, tax_id FROM lng) k CROSS JOIN (SELECT DISTINCT sample_id FROM counts) s LEFT JOIN lng l ON l.tier = k.tier AND l.rank_scope = k.rank_scope AND l.measure = k.measure AND l.tax_id = k.tax_id AND l.sample_id = s.sample_id),
+pc AS MATERIALIZED (SELECT tier, rank_scope, measure, tax_id, sample_id, v - avg(v) OVER (PARTITION BY tier, rank_scope, measure, tax_id) AS v FROM pg),
+pm AS (SELECT tier, rank_scope, measure, tax_id, median(v) AS med, list_sort(list(v)) AS x, count(*) AS k FROM pc GROUP BY ALL),
+ps AS MATERIALIZED (SELECT pm.tier, pm.rank_scope, pm.measure, pm.tax_id, any_value(med) AS med, median(abs(v - med)) AS mad, any_value(list_median(x[1:greatest(k // 2, 1)])) AS q1, any_value(list_median(x[k - greatest(k // 2, 1) + 1:k])) AS q3
+  FROM pm JOIN pc USING (tier, rank_scope, measure, tax_id) GROUP BY ALL)
+"""
+
+
+def pass_cells(spark: SparkSession, d: str) -> DataFrame:
+    """tier, rank_scope, measure, sample_id, tax_id, value: counts as they are, cpm with four decimals."""
+    cells_, names = t.counts(spark, d), t.nodes(spark, d)
+    sensitive = cells_.select(F.lit("sensitive").alias("tier"), "sample_id", "tax_id", F.col("raw").alias("direct_reads"))
+    direct = sensitive.unionByName(confidence.tiers(confident(spark, d), [0.1, 0.5]))
+    totals = direct.groupBy("tier", "sample_id").agg(F.sum("direct_reads").alias("direct_total"))
+    found = confidence.tier_cells(direct, totals, t.lineage(spark, d), names, ("S", "G"))
+    values = F.array(F.struct(F.lit("raw").alias("measure"), F.col("raw").cast("double").alias("value")), F.struct(F.lit("cpm").alias("measure"), F.round("cpm", 4).alias("value")))
+    return found.select("tier", "rank_scope", "sample_id", "tax_id", F.explode(values).alias("m")).select("tier", "rank_scope", "m.measure", "sample_id", "tax_id", "m.value")
+
+
+PASS = ("tier", "rank_scope", "measure")
+
+
+@query(PASSES_SQL + "SELECT tier, rank_scope, measure, tax_id, round(med, 6) AS med, round(mad, 6) AS mad, round(q1, 6) AS q1, round(q3, 6) AS q3 FROM ps")
+def pass_statistics(spark: SparkSession, d: str) -> DataFrame:
+    found = detect.search(pass_cells(spark, d), t.sample_count(t.counts(spark, d)), "mad", by=PASS)
+    return rounded(detect.statistics(found, PASS), "med", "mad", "q1", "q3")
+
+
+@query(PASSES_SQL + """, f AS (SELECT tier, rank_scope, measure, sample_id, tax_id, 'mad' AS method, v AS value, abs(v - med) / (1.4826 * mad) AS deviation FROM pc JOIN ps USING (tier, rank_scope, measure, tax_id) WHERE mad <> 0 AND v > med AND abs(v - med) / (1.4826 * mad) > 2.0
+  UNION ALL SELECT tier, rank_scope, measure, sample_id, tax_id, 'iqr', v, v - (q3 + 1.5 * (q3 - q1)) FROM pc JOIN ps USING (tier, rank_scope, measure, tax_id) WHERE q3 > q1 AND v > q3 + 1.5 * (q3 - q1) AND v > 0)
+SELECT tier, rank_scope, measure, sample_id, f.tax_id, coalesce(name, '') AS taxon_name, method, round(value, 6) AS value, round(deviation, 6) AS deviation FROM f LEFT JOIN nodes ON f.tax_id = nodes.tax_id""")
+def detect_passes(spark: SparkSession, d: str) -> DataFrame:
+    """All passes in one plan: the first two methods over every tier, rank and measure."""
+    cells_, n = pass_cells(spark, d), t.sample_count(t.counts(spark, d))
+    rows = detect.flags(detect.search(cells_, n, ("mad", "iqr"), mad_threshold=2.0, by=PASS), t.nodes(spark, d), PASS)
+    return rounded(rows.drop("population_median"), "value", "deviation")
+
+
+@query(PASSES_SQL + """, f AS (SELECT tier, rank_scope, measure, sample_id, tax_id FROM pc JOIN ps USING (tier, rank_scope, measure, tax_id) WHERE mad <> 0 AND v > med AND abs(v - med) / (1.4826 * mad) > 2.0)
+SELECT tier, rank_scope, measure, any_value(samples) AS total_samples, count(*) AS total_taxa_analysed, any_value(coalesce(flagged, 0)) AS flagged_count, any_value(coalesce(who, '')) AS flagged_samples,
+  count(*) FILTER (mad = 0) AS taxa_skipped_mad_zero, count(*) FILTER (q1 = q3) AS taxa_skipped_iqr_zero
+FROM ps LEFT JOIN (SELECT tier, rank_scope, measure, count(*) AS flagged, string_agg(DISTINCT sample_id, ',' ORDER BY sample_id) AS who FROM f GROUP BY ALL) USING (tier, rank_scope, measure), n GROUP BY tier, rank_scope, measure""")
+def pass_summaries(spark: SparkSession, d: str) -> DataFrame:
+    n = t.sample_count(t.counts(spark, d))
+    return detect.summaries(detect.search(pass_cells(spark, d), n, "mad", mad_threshold=2.0, by=PASS), n, PASS)
+
+
 # sources
 
 @query("SELECT sample_id, CAST(12.5 AS DOUBLE) AS percentage, CAST(raw * 2 AS BIGINT) AS clade_reads, raw AS direct_reads, 'S' AS rank, tax_id, concat('taxon ', tax_id) AS name FROM counts WHERE raw <> 2")

@@ -29,10 +29,13 @@ def cohort_samples(spark: SparkSession, d: str) -> DataFrame:
     return aggregate.samples(rows, t.read_totals(spark, d), 30)
 
 
-@query("SELECT sample_id, total_reads, CAST(NULL AS VARCHAR) AS input FROM (SELECT DISTINCT sample_id FROM counts) LEFT JOIN totals USING (sample_id)")
+@query("SELECT sample_id, total_reads, total_mapped, 'lines of ' || sample_id AS input FROM (SELECT DISTINCT sample_id FROM counts) LEFT JOIN (SELECT sample_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_reads, count(*) FILTER (l_returnflag <> 'N') AS total_mapped FROM reads WHERE sample_id <> 'Brand#1' GROUP BY 1) s USING (sample_id)".replace("'lines of ' || sample_id", "CASE WHEN total_reads IS NOT NULL THEN 'lines of ' || sample_id END"))
 def sample_provenance(spark: SparkSession, d: str) -> DataFrame:
-    said = t.read_totals(spark, d).withColumn("input", F.lit(None).cast("string"))
-    return reporting.provenance(t.counts(spark, d).select("sample_id").distinct(), said)
+    """Documents written from the line items and parsed again, of all samples but one."""
+    sums = t.reads(spark, d).where(F.col("sample_id") != t.UNTOLD).groupBy("sample_id").agg(F.sum(F.col("l_quantity").cast("long")).alias("total_reads"), F.count_if(F.col("l_returnflag") != "N").alias("total_mapped"))
+    document = F.to_json(F.struct("sample_id", F.concat(F.lit("lines of "), "sample_id").alias("input"), "total_reads", "total_mapped"))
+    said = readers.parse_summaries(sums.select(F.col("sample_id").alias("source_path"), document.alias("value")))
+    return reporting.provenance(t.counts(spark, d).select("sample_id").distinct(), said).select("sample_id", "total_reads", "total_mapped", "input")
 
 
 @query("SELECT sample_id, CASE WHEN total_reads IS NULL THEN 'FAILED' ELSE 'OK' END AS status, coalesce(total_reads * 2, 0) AS read_count, total_reads FROM (SELECT DISTINCT sample_id FROM counts) LEFT JOIN totals USING (sample_id)")
@@ -88,11 +91,15 @@ def tier_matrices(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rows, "cpm", "abs", places=4)
 
 
-@query(TIER_SQL + "SELECT tier, CAST(regexp_extract(tier, 'conf(\\d+)p(\\d+)$', 1) || '.' || regexp_extract(tier, 'conf(\\d+)p(\\d+)$', 2) AS DOUBLE) AS threshold FROM (SELECT DISTINCT tier FROM tcounts)")
+@query(TIER_SQL + """, c AS (SELECT tc.tier, raw, CASE WHEN raw % 2 = 0 THEN raw / direct_total * 1e6 END AS cpm FROM tcounts tc JOIN tsamples s ON tc.tier = s.tier AND tc.sample_id = s.sample_id WHERE tc.tier <> 'conf0p50' OR raw % 2 = 1)
+SELECT tier, CAST(regexp_extract(tier, 'conf(\\d+)p(\\d+)$', 1) || '.' || regexp_extract(tier, 'conf(\\d+)p(\\d+)$', 2) AS DOUBLE) AS threshold FROM c GROUP BY tier HAVING count(raw) > 0 AND count(cpm) > 0""")
 def tiers_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = tier_direct(spark, d).select("tier", F.col("direct_reads").alias("raw"), F.lit(1.0).alias("cpm"))
-    other = rows.limit(1).select(F.lit("sensitive").alias("tier"), "raw", "cpm").unionByName(rows.limit(1).select(F.lit("conf0p90").alias("tier"), "raw", F.lit(None).cast("double").alias("cpm")))
-    return readers.tiers_found(rows.unionByName(other))
+    """Tiers with both measures: odd counts have no CPM here, and one tier only odd counts."""
+    direct = tier_direct(spark, d)
+    found = direct.join(tier_samples_of(spark, d, direct), ["tier", "sample_id"])
+    rows = found.select("tier", F.col("direct_reads").alias("raw"), F.when(F.col("direct_reads") % 2 == 0, F.col("direct_reads") / F.col("direct_total") * 1e6).alias("cpm"))
+    sensitive = t.measured(spark, d).select(F.lit("sensitive").alias("tier"), "raw", "cpm")
+    return readers.tiers_found(rows.where("tier <> 'conf0p50' OR raw % 2 = 1").unionByName(sensitive))
 
 
 @query(TIER_SQL + """, tl AS (SELECT DISTINCT tier, tax_id FROM tcounts), tg AS (SELECT tl.tier, tl.tax_id, s.sample_id, coalesce(raw, 0) AS raw FROM tl CROSS JOIN (SELECT sample_id FROM direct) s LEFT JOIN tcounts c ON c.tier = tl.tier AND c.tax_id = tl.tax_id AND c.sample_id = s.sample_id),
@@ -101,12 +108,8 @@ tf AS (SELECT DISTINCT g.tier, sample_id FROM tg g JOIN td ON g.tier = td.tier A
 SELECT tier, count(*) AS flagged, count(b.sample_id) AS shared, (SELECT count(*) FROM base) - count(b.sample_id) AS sensitive_only, count(*) - count(b.sample_id) AS tier_only FROM tf LEFT JOIN base b ON tf.sample_id = b.sample_id GROUP BY 1""")
 def tier_concordance(spark: SparkSession, d: str) -> DataFrame:
     """Detection in each tier, held against detection on all reads."""
-    direct, n = tier_direct(spark, d), t.sample_count(t.counts(spark, d))
-    found = None
-    for name in TIERS:  # as many as the user gave thresholds
-        rows = direct.where(F.col("tier") == name).select("sample_id", "tax_id", F.col("direct_reads").alias("value"))
-        part = detect.detect(rows, n, t.nodes(spark, d), method="mad", mad_threshold=2.0).select(F.lit(name).alias("tier"), "sample_id")
-        found = part if found is None else found.unionByName(part)
+    rows = tier_direct(spark, d).select("tier", "sample_id", "tax_id", F.col("direct_reads").alias("value"))
+    found = detect.search(rows, t.sample_count(t.counts(spark, d)), "mad", mad_threshold=2.0, by=("tier",)).where("method IS NOT NULL")
     return reporting.flag_agreement(flagged(spark, d, method="mad", mad_threshold=2.0), found)
 
 
@@ -157,10 +160,10 @@ def richness_histogram(spark: SparkSession, d: str) -> DataFrame:
     return reporting.diversity(stats_of(spark, d)).where("measure = 'richness'")
 
 
-@query("SELECT m AS measure, (SELECT count(*) FROM stats) AS samples, CAST(20 AS BIGINT) AS bins FROM (VALUES ('shannon'), ('richness')) v(m)")
+@query(", x AS (SELECT 'richness' AS measure, CAST(richness AS DOUBLE) AS v FROM stats UNION ALL SELECT 'shannon', round(shannon, 9) FROM stats), e AS (SELECT measure, min(v) AS lo, CASE WHEN max(v) <= min(v) THEN min(v) + 1 ELSE max(v) END AS hi FROM x GROUP BY 1), h AS (SELECT x.measure, CAST(least(floor((v - lo) / ((hi - lo) / 20)), 19) AS INT) AS bin, count(*) AS n FROM x JOIN e ON x.measure = e.measure GROUP BY ALL) SELECT e.measure, CAST(b AS INT) AS bin, coalesce(n, 0) AS n FROM e, range(20) r(b) LEFT JOIN h ON h.bin = r.b AND h.measure = e.measure")
 def diversity_histograms(spark: SparkSession, d: str) -> DataFrame:
-    """All samples are in one of the bins (which bin a value on an edge takes may hang on its last digit)."""
-    return reporting.diversity(stats_of(spark, d)).groupBy("measure").agg(F.sum("n").alias("samples"), F.count("*").alias("bins"))
+    """Of values with nine digits, so that a value on an edge falls where it falls in SQL."""
+    return reporting.diversity(rounded(stats_of(spark, d), "shannon", places=9))
 
 
 @query(""", f AS (SELECT DISTINCT sample_id FROM flags), pct AS (SELECT *, (classified - human) / classified * 100 AS pct FROM stats),

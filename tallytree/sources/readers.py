@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 from ..schema import RANK_CODES, SUMMARY
 
 
+def line_order() -> Column:
+    """The place of a line in its file: the block's first byte, then the line's number. The
+    order holds within a file of one split; parsing itself never depends on it."""
+    return (F.col("_metadata.file_block_start") * 1000 + F.monotonically_increasing_id() % (1 << 33)).alias("line_ord")
+
+
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``value``, ``source_path``, ``line_ord`` of each line. The order holds
-    within a file of one split; parsing itself never depends on it."""
-    rows = spark.read.text(paths)
-    return rows.select("value", F.col("_metadata.file_path").alias("source_path"), (F.col("_metadata.file_block_start") * 1000 + F.monotonically_increasing_id() % (1 << 33)).alias("line_ord"))
+    """``value``, ``source_path``, ``line_ord`` of each line."""
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source_path"), line_order())
 
 
 def file_name(path: str = "source_path") -> Column:
@@ -28,22 +32,53 @@ def sample_of_output(name: Column) -> Column:
     return F.when(name.endswith(".kraken2.output.txt"), F.regexp_replace(name, r"\.kraken2\.output\.txt$", "")).otherwise(F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""))
 
 
+#: Why a line can't be read.
+FEW_FIELDS, BAD_NUMBER = "too few fields", "a number that can't be read"
+REPORT_FIELDS = (("percentage", "double"), ("clade_reads", "long"), ("direct_reads", "long"), ("rank", "string"), ("tax_id", "long"), ("name", "string"))
+
+
+def checked_report(rows: DataFrame) -> DataFrame:
+    """Report lines (``value`` and any other columns) as typed rows, each with its
+    ``problem``: null where it can be read, and ``value`` is then null, too. Blank
+    lines and comments are no lines."""
+    cells = rows.where((F.trim("value") != "") & ~F.ltrim("value").startswith("#")).withColumn("c", F.split(F.col("value"), "\t"))
+    others = [c for c in rows.columns if c != "value"]
+    field = lambda i, kind: F.trim(F.get("c", F.lit(i))) if kind == "string" else F.trim(F.get("c", F.lit(i))).try_cast(kind)
+    typed = cells.select(*others, "value", F.size("c").alias("fields"), *(field(i, kind).alias(name) for i, (name, kind) in enumerate(REPORT_FIELDS)))
+    bad = F.greatest(*(F.col(name).isNull() for name, kind in REPORT_FIELDS if kind != "string"))
+    problem = F.when(F.col("fields") < len(REPORT_FIELDS), FEW_FIELDS).when(bad, BAD_NUMBER)
+    told = typed.withColumn("problem", problem)
+    return told.withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value"))).select(*others, *(name for name, _ in REPORT_FIELDS), "problem", "value")
+
+
 def parse_report(rows: DataFrame) -> DataFrame:
     """Report lines (``value`` and any other columns) as typed rows. Blank
     lines, comments, lines of fewer than six fields or with bad numbers go."""
-    cells = F.split(F.col("value"), "\t")
-    named = rows.where((F.trim("value") != "") & ~F.ltrim("value").startswith("#")).withColumn("c", cells).where(F.size("c") >= 6)
-    others = [c for c in rows.columns if c != "value"]
-    typed = named.select(
-        *others,
-        F.trim(F.col("c")[0]).try_cast("double").alias("percentage"),
-        F.trim(F.col("c")[1]).try_cast("long").alias("clade_reads"),
-        F.trim(F.col("c")[2]).try_cast("long").alias("direct_reads"),
-        F.trim(F.col("c")[3]).alias("rank"),
-        F.trim(F.col("c")[4]).try_cast("long").alias("tax_id"),
-        F.trim(F.col("c")[5]).alias("name"),
-    )
-    return typed.dropna(subset=["percentage", "clade_reads", "direct_reads", "tax_id"])
+    return checked_report(rows).where("problem IS NULL").drop("problem", "value")
+
+
+def problems(checked: DataFrame) -> DataFrame:
+    """``source_path``, ``problem``, ``lines``, and the first such line (``first_line``, ``example``)."""
+    bad = checked.where("problem IS NOT NULL").groupBy("source_path", "problem")
+    return bad.agg(F.count("*").alias("lines"), F.min(F.struct("line_ord", "value")).alias("at")).select("source_path", "problem", "lines", F.col("at.line_ord").alias("first_line"), F.col("at.value").alias("example"))
+
+
+def files_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``source_path`` of every file, also of one without a line; nothing is read of them."""
+    return spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("source_path"))
+
+
+def failed_files(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """``file`` and ``error`` of files (source_path) of which no row (source_path) could be read."""
+    none = files.select("source_path").distinct().join(rows.select("source_path").distinct(), "source_path", "left_anti")
+    return none.select(F.col("source_path").alias("file"), F.lit("no row that can be read").alias("error"))
+
+
+def read_checked(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """All lines of reports with their problems; what of a file can't be decoded is no line."""
+    rows = spark.read.option("ignoreCorruptFiles", "true").text(paths)
+    checked = checked_report(rows.select("value", F.col("_metadata.file_path").alias("source_path"), line_order()))
+    return checked.select(sample_of_report(file_name()).alias("sample_id"), *checked.columns)
 
 
 def read_reports(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -77,6 +112,16 @@ def parse_names(rows: DataFrame) -> DataFrame:
     return cut.select(F.trim(c[0]).try_cast("long").alias("tax_id"), F.trim(c[1]).alias("name")).dropna(subset=["tax_id"])
 
 
+def tree_file(spark: SparkSession, database: str, name: str) -> str:
+    """Where a database folder has a file of the tree: in ``taxonomy``, else beside it."""
+    tried = [f"{database}/taxonomy/{name}", f"{database}/{name}"]
+    for path in tried:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            return path
+    raise FileNotFoundError(f"no {' and no '.join(tried)}")
+
+
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
     return parse_nodes(spark.read.text(path))
 

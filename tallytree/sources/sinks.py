@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,28 +22,71 @@ def write_long(cells: DataFrame, path: str) -> None:
     cells.write.mode("overwrite").partitionBy(*parts).parquet(path)
 
 
-def wide(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], totals: DataFrame | None = None) -> DataFrame:
-    """A row a label, a column a sample, as text: counts whole, others with four
-    decimals, unknown ones NA. A missing cell is 0; of ``abs`` it is NA where the
-    sample (sample_id, total_reads) has no total to divide by."""
-    whole = dict(cells.dtypes)[value] in ("bigint", "int")
+def quoted(text: str | None) -> str:
+    """A cell of a text file: quoted only where it would be read as something else."""
+    if not text:
+        return ""
+    return '"' + text.replace("\\", "\\\\").replace('"', '\\"') + '"' if any(c in text for c in '\t\n\r"') else text
+
+
+def wide_lines(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], totals: DataFrame | None = None) -> DataFrame:
+    """The wide matrix as lines of text (``value``): a line a label, a column a sample;
+    counts whole, others with four decimals, unknown ones NA. A missing cell is 0; of
+    ``abs`` it is NA where the sample (sample_id, total_reads) has no total to divide by.
+
+    Cells are sorted by label and by their sample's place, and each task writes its
+    labels' lines as it goes through them: it holds one line, however many samples there
+    are, and nothing is pivoted. Each partition begins with the heads.
+    """
+    spark, whole = cells.sparkSession, dict(cells.dtypes)[value] in ("bigint", "int")
     text = F.col(value).cast("long").cast("string") if whole else F.format_string("%.4f", F.col(value).cast("double"))
-    place = {s: i for i, s in enumerate(samples)}  # names may hold dots and quotes: columns are numbered until the end
     unknown: set[str] = set()
     if value == "abs" and totals is not None:
         unknown = {r[0] for r in totals.where("total_reads IS NULL OR total_reads <= 0").select("sample_id").collect()}  # of the columns' samples
-    at = F.element_at(F.create_map(*(F.lit(x) for s in samples for x in (s, place[s]))), F.col("sample_id")) if samples else F.lit(0)
-    known = cells.withColumn("at", at).groupBy("tax_id").pivot("at", list(place.values())).agg(F.first(F.coalesce(F.when(F.col(value).isNotNull(), text), F.lit("NA"))))
     heads = [c for c in ("name", "domain") if c in labels.columns]
-    named = known.join(labels.select("tax_id", *heads), "tax_id", "left")
     empty = ["0" if whole else "NA" if s in unknown else "0.0000" for s in samples]
-    columns = [F.coalesce(F.col(str(i)), F.lit(e)) for i, e in enumerate(empty)]
-    return named.select("tax_id", *(F.coalesce(h, F.lit("")) for h in heads), *columns).toDF("tax_id", *heads, *samples)
+    first = "\t".join(quoted(c) for c in ("tax_id", *heads, *samples))
+    places = spark.createDataFrame(pa.table({"sample_id": pa.array(samples, pa.string()), "at": pa.array(range(len(samples)), pa.int32())}))
+    filled = cells.join(places, "sample_id").select("tax_id", "at", F.coalesce(F.when(F.col(value).isNotNull(), text), F.lit("NA")).alias("text"))
+    names = labels.select("tax_id", F.lit(-1).alias("at"), F.to_json(F.array(*(F.coalesce(h, F.lit("")) for h in heads))).alias("text"))
+    merged = filled.unionByName(names).repartitionByRange("tax_id").sortWithinPartitions("tax_id", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tax_id, own, line, some, out, size = None, [""] * len(heads), [], False, [first], 0
+
+        def done() -> None:
+            nonlocal size
+            if some:
+                out.append("\t".join([str(tax_id), *map(quoted, own), *line]))
+                size += len(out[-1])
+
+        for b in batches:
+            for t, at, cell in zip(*(b.column(c).to_pylist() for c in ("tax_id", "at", "text")), strict=True):
+                if t != tax_id or not line:
+                    done()
+                    tax_id, own, line, some = t, [""] * len(heads), list(empty), False
+                if at < 0:
+                    own = json.loads(cell)
+                else:
+                    line[at], some = cell, True
+                if size > LINES_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+                    out.clear()
+                    size = 0
+        done()
+        if len(out) > 1 or (out and out[0] is not first):
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+
+    return merged.mapInArrow(run, "value string")
+
+
+#: Bytes of lines that are handed on at once.
+LINES_BYTES = 4_000_000
 
 
 def write_matrix(cells: DataFrame, labels: DataFrame, value: str, samples: list[str], path: str, totals: DataFrame | None = None) -> None:
     """The wide matrix, in order of its labels, as tab-separated part files with headers."""
-    wide(cells, labels, value, sorted(samples), totals).orderBy("tax_id").write.mode("overwrite").csv(path, sep="\t", header=True)
+    wide_lines(cells, labels, value, sorted(samples), totals).write.mode("overwrite").option("lineSep", "\n").text(path)
 
 
 def write_table(rows: DataFrame, path: str) -> None:
@@ -48,7 +95,7 @@ def write_table(rows: DataFrame, path: str) -> None:
 
 def write_json(rows: DataFrame, path: str) -> None:
     """One row as a document with its schema's version."""
-    doc = rows.select(F.to_json(F.struct(F.lit("1.2").alias("schema_version"), *rows.columns)))
+    doc = rows.select(F.to_json(F.struct(F.lit("1.2").alias("schema_version"), *rows.columns), {"ignoreNullFields": "false"}))
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
