@@ -84,15 +84,29 @@ def discard(*scratch: DataFrame) -> None:
 HOT_KEYS = 10_000
 
 
+def parted(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``keys`` (``times``: rows of the key) without their times: those with more than
+    one row in ``HOT_KEYS`` of all, which are that many at most and are broadcast, and
+    the others, whose rows may be shuffled."""
+    hot = F.col("times") > max(1, (keys.agg(F.sum("times")).first()[0] or 0) // HOT_KEYS)
+    return F.broadcast(keys.where(hot).drop("times")), keys.where(~hot).drop("times")
+
+
 def matched(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
-    """``rows`` (written) joined with ``keys`` (``on``, ``times``: rows of the key in
-    ``rows`` at least), so that no key's rows meet in one task: the keys that have more
-    than one row in ``HOT_KEYS`` are that many at most and are broadcast, the others'
-    rows are shuffled. ``how`` is "left_semi" or "inner"; ``times`` goes."""
-    hot = F.col("times") > max(1, rows.count() // HOT_KEYS)
-    few = F.broadcast(keys.where(hot).drop("times"))
-    rest = rows.join(few.select(*on), on, "left_anti").join(keys.where(~hot).drop("times"), on, how)
-    return rows.join(few, on, how).unionByName(rest)
+    """``rows`` joined with ``keys`` (``on``, ``times``), both written, so that no key's
+    rows meet in one task. ``how`` is "left_semi" or "inner"; ``times`` goes."""
+    few, rest = parted(keys)
+    return rows.join(few, on, how).unionByName(rows.join(few.select(*on), on, "left_anti").join(rest, on, how))
+
+
+def kept(rows: DataFrame, keys: DataFrame, on: str, *spread: str) -> DataFrame:
+    """``matched`` on one long key where ``rows`` are computed and to be gone through once:
+    rows of hot keys are dealt by a hash of ``spread`` instead."""
+    few, rest = parted(keys)
+    told = rows.join(few.select(F.col(on).alias("_few")), F.col(on) == F.col("_few"), "left")
+    told = told.withColumn("_by", F.when(F.col("_few").isNotNull(), F.xxhash64(*spread)).otherwise(F.col(on)))
+    met = told.join(rest.select(F.col(on).alias("_rest")), F.col("_by") == F.col("_rest"), "left")
+    return met.where("_few IS NOT NULL OR _rest IS NOT NULL").select(*rows.columns)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, matched, mix, slices, steps, texts, written
+from .common import discard, kept, matched, mix, slices, steps, texts, written
 from .decontaminate import sized
 from .wordhash import span_hashes, sums
 
@@ -79,19 +79,24 @@ def phrases(running: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarr
     return start[first], start[np.append(first[1:], len(start)) - 1] if len(start) else start, anchor[first]
 
 
-def parsed(rows: DataFrame, length: int) -> DataFrame:
+def parsed(rows: DataFrame, length: int, cores: bool = False) -> DataFrame:
     """The parse: a row a phrase, with hashes of its core, of all that its windows
-    cover (128 bits), and of its first window."""
+    cover (128 bits), and of its first window; or the ``cores`` alone."""
+    schema = "core long" if cores else PARSE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             for at, to, raw, off in steps(b.column("text"), STEP):
-                one, two = sums(raw), sums(raw, which=1)
+                one = sums(raw)
                 lo, hi, anchor = phrases(one, off, length)
                 doc = np.searchsorted(off, lo, "right") - 1
                 near = anchor - (anchor - hi) // WIDTH * WIDTH  # where the block's last window would be
                 alone = anchor < lo  # no trigger: its core is the window itself
                 core = span_hashes(one, np.where(alone, lo, near), np.where(alone, lo + length, near - WIDTH + 1 + length))
+                if cores:
+                    yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64))], names=["core"])
+                    continue
+                two = sums(raw, which=1)
                 place = ((near - hi) * 1024 + (near - lo)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 full = mix(span_hashes(one, lo, hi + length) + place), mix(span_hashes(two, lo, hi + length, 1) ^ place)
                 at_ = pa.array((lo - off[doc]) << BITS | (hi - lo))
@@ -99,7 +104,7 @@ def parsed(rows: DataFrame, length: int) -> DataFrame:
                 ids = [b.column(c).slice(at, to - at).take(pa.array(doc)) for c in ID]
                 yield pa.RecordBatch.from_arrays([*hashes, *ids, at_], names=[c.split()[0] for c in PARSE.split(", ")])
 
-    return rows.mapInArrow(run, PARSE)
+    return rows.mapInArrow(run, schema)
 
 
 COMPARED = "a long, b long, tail binary, id long, row long, lo int, lone boolean"
@@ -183,13 +188,13 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """``id``, ``row`` and ``spans`` (first byte, byte after the last; they may touch
     or overlap) of texts (id, row, text) in which a string of ``length`` bytes starts
     that also starts elsewhere in the table."""
-    parse = written(parsed(rows, length))
-    cores = written(parse.groupBy("core").agg(F.count("*").alias("times")).where("times > 1"))
-    live = written(matched(parse, cores, ["core"]))
+    # texts are parsed twice: the parse of all of them would be larger than they are
+    cores = written(parsed(rows, length, True).groupBy("core").agg(F.count("*").alias("times")).where("times > 1"))
+    live = written(kept(parsed(rows, length), cores, "core", *ENTRY))
+    discard(cores)
     # "first" takes all columns of an entry from one and the same row
     entry = [F.first(c).alias(c) for c in ("core", "head", *ENTRY)]
     dictionary = written(live.groupBy("full", "full2").agg(F.count("*").alias("times"), *entry))
-    discard(parse, cores)
     sure = matched(live, dictionary.where("times > 1").select("full", "full2", "times"), ["full", "full2"])
     sure = sure.select(*ID, F.expr(LO).alias("lo"), (F.expr(HI) + length).alias("end"))
 
