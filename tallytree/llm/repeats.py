@@ -196,12 +196,14 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     entry = [F.first(c).alias(c) for c in ("core", "head", *ENTRY)]
     dictionary = written(live.groupBy("full", "full2").agg(F.count("*").alias("times"), *entry))
     sure = matched(live, dictionary.where("times > 1").select("full", "full2", "times"), ["full", "full2"])
-    sure = sure.select(*ID, F.expr(LO).alias("lo"), (F.expr(HI) + length).alias("end"))
+    sure = written(sure.select(*ID, F.expr(LO).alias("lo"), (F.expr(HI) + length).alias("end")))
+    discard(live)
 
     kinds = dictionary.groupBy("core").agg(F.count("*").alias("entries"), F.count_if(F.col("times") == 1).alias("lone"), (F.min("head") != F.max("head")).alias("mixed"))
     kinds = written(kinds.where("entries > 1 AND lone > 0").select("core", "mixed", F.col("entries").alias("times")))
     doubtful = matched(dictionary.withColumn("lone", F.col("times") == 1).drop("times"), kinds, ["core"], "inner").select(*ID, F.expr(LO).alias("lo"), F.expr(HI).alias("hi"), "lone", "mixed")
     both = written(compared(rows, doubtful, length))
+    discard(dictionary, kinds)
     begun = both.where("tail IS NOT NULL")
     # only where another entry begins with the same window
     heads = written(begun.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b", "times"))
@@ -215,10 +217,11 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
 
     inside = both.where("tail IS NULL")
     twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
-    within = inside.where("lone").join(twice, ["a", "b"], "left_semi").select(*ID, "lo", (F.col("lo") + length).alias("end"))
+    within = written(inside.where("lone").join(twice, ["a", "b"], "left_semi").select(*ID, "lo", (F.col("lo") + length).alias("end")))
+    discard(both, heads, twice)
     spans = sure.unionByName(follow).unionByName(within)
     out = written(spans.groupBy(*ID).agg(F.collect_set(F.struct("lo", "end")).alias("spans")))
-    discard(live, dictionary, kinds, both, heads, order, twice)
+    discard(sure, order, within)
     return out
 
 
