@@ -1,11 +1,11 @@
-"""``python -m tallytree.cli aggregate|detect|report``: the engine from a shell."""
+"""``python -m tallytree.cli aggregate|detect|report|summary``: the engine from a shell."""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import report
@@ -26,6 +26,8 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--min-reads", type=int, default=0)
     a.add_argument("--rank-filter", nargs="*", default=list(DEFAULT_RANKS))
     a.add_argument("--nodes", help="nodes.dmp, for domains and tiers")
+    a.add_argument("--names", help="names.dmp, for labels that no report names")
+    a.add_argument("--db-path", help="folder with nodes.dmp and names.dmp, or with taxonomy/ that has them")
     a.add_argument("--idxstats", nargs="*", default=[], help="read-total sidecars")
     a.add_argument("--outputs", nargs="*", default=[], help="per-read outputs, for tiers")
     a.add_argument("--confidence-threshold", nargs="*", type=float, default=[0.1])
@@ -44,6 +46,10 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--rank-filter", nargs="*", default=list(DEFAULT_RANKS), help="ranks that are searched, too")
     d.add_argument("--no-confidence-tiers", action="store_true")
     d.add_argument("--no-abs-detection", action="store_true")
+    u = sub.add_parser("summary", help="counts of a whole run")
+    u.add_argument("cohort")
+    u.add_argument("flags")
+    u.add_argument("--out", required=True)
     r = sub.add_parser("report", help="cohort tables and flags to a report")
     r.add_argument("cohort")
     r.add_argument("flags")
@@ -52,48 +58,88 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def parsed_once(spark: SparkSession, paths: list[str], out: str) -> tuple[DataFrame, dict[str, int]]:
+    """All lines of the reports, written to ``lines`` once: those that can be read, and a
+    quarantine of the others with their problems. And how many of each there were."""
+    checked, seen = readers.read_checked(spark, paths), Observation("report lines")
+    bad = F.col("problem").isNotNull()
+    state = checked.withColumn("state", F.when(bad, "quarantine").otherwise("read"))
+    state.observe(seen, F.count("*").alias("lines"), F.count_if(bad).alias("quarantined")).write.mode("overwrite").partitionBy("state").parquet(f"{out}/lines")
+    return spark.read.schema(state.schema).parquet(f"{out}/lines"), {"lines_read": seen.get["lines"] - seen.get["quarantined"], "lines_quarantined": seen.get["quarantined"]}
+
+
+def matrices_of(rank: str = "", tier: str = "", with_abs: bool = True) -> dict[str, str]:
+    return {kind: sinks.matrix_name(kind, rank, tier) for kind in (MATRIX_TYPES if with_abs else MATRIX_TYPES[:2])}
+
+
 def run_aggregate(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = aggregate.latest_reports(readers.read_reports(spark, a.reports))
-    if rows.isEmpty():
+    lines, counted = parsed_once(spark, a.reports, a.out)
+    read = lines.where("state = 'read'").drop("state", "problem", "value")
+    rows = aggregate.latest_reports(read)
+    if not counted["lines_read"]:
         raise ValueError("no report has a row that can be read")
+    readers.problems(lines.where("state = 'quarantine'")).write.mode("overwrite").parquet(f"{a.out}/problems")
+    errors = readers.failed_files(readers.files_of(spark, a.reports), read)
     label = aggregate.labels(rows, a.min_reads)
     summaries = readers.read_summaries(spark, a.idxstats) if a.idxstats else None
     totals = summaries.select("sample_id", "total_reads") if a.idxstats else None
-    if a.nodes:
-        lineage = taxonomy.closure(readers.read_nodes(spark, a.nodes)).cache()
-        label = label.join(taxonomy.domains(label, lineage), "tax_id", "left")
+    nodes_at, names_at = a.nodes, a.names
+    if a.db_path:
+        nodes_at, names_at = nodes_at or readers.tree_file(spark, a.db_path, "nodes.dmp"), names_at or readers.tree_file(spark, a.db_path, "names.dmp")
+    nodes = readers.read_nodes(spark, nodes_at) if nodes_at else None
+    known = label
+    if nodes is not None:
+        lineage = taxonomy.closure(nodes).cache()
+        known = aggregate.known_labels(label, nodes, readers.read_names(spark, names_at) if names_at else None)
     every = aggregate.samples(rows, totals, a.min_reads)
     told = every if summaries is None else reporting.provenance(every.drop("total_reads"), summaries)
     told.write.mode("overwrite").parquet(f"{a.out}/samples")
-    direct = aggregate.denominators(rows)
+    kept = spark.read.parquet(f"{a.out}/samples")
+    direct = kept.select("sample_id", "direct_total")
     whole = aggregate.measures(aggregate.counts(rows, a.min_reads), direct, totals).withColumn("rank_scope", F.lit("all"))
     clades = aggregate.measures(aggregate.counts(rows, a.min_reads, "clade_reads"), direct, totals)
     of_rank = aggregate.of_ranks(clades, label, [x for x in a.rank_filter if x != "S"])
     species = aggregate.of_ranks(whole.drop("rank_scope"), label, [x for x in a.rank_filter if x == "S"])
     cells = whole.unionByName(of_rank).unionByName(species).withColumn("tier", F.lit(SENSITIVE))
-    if a.outputs and a.nodes and not a.no_confidence_tiers:
+    tiers: dict[str, float] = {}
+    if a.outputs and nodes is not None and not a.no_confidence_tiers:
         reads = confidence.last_outputs(readers.read_outputs(spark, a.outputs))
         found = confidence.read_confidence(reads.withColumn("assigned", F.col("tax_id")), lineage, "sample_id", "read_id", "assigned")
         # reports are the cohort: an output of a sample without one is not read
-        found = found.join(every.select("sample_id"), "sample_id", "left_semi").cache()
+        found = found.join(kept.select("sample_id"), "sample_id", "left_semi").cache()
         for_tiers = confidence.tiers(found, a.confidence_threshold)
-        names = [tier_suffix(x) for x in sorted(set(a.confidence_threshold) - {0.0})]
-        known = label.select("tax_id", "rank").unionByName(readers.read_nodes(spark, a.nodes).select("tax_id", "rank")).groupBy("tax_id").agg(F.first("rank").alias("rank"))
-        low = confidence.tier_cells(for_tiers, confidence.tier_samples(direct, for_tiers, names), lineage, known, a.rank_filter, a.min_reads, totals)
-        cells = cells.unionByName(low)
+        tiers = {tier_suffix(x): x for x in sorted(set(a.confidence_threshold) - {0.0})}
+        of_tiers = confidence.tier_samples(direct, for_tiers, list(tiers))
+        cells = cells.unionByName(confidence.tier_cells(for_tiers, of_tiers, lineage, known, a.rank_filter, a.min_reads, totals))
         confidence.demoted(found, a.confidence_threshold).write.mode("overwrite").parquet(f"{a.out}/demoted")
+        of_tiers.write.mode("overwrite").parquet(f"{a.out}/tier_samples")
+        # reports of each tier, as the classifier would have written them; outputs without a read are in them
+        records = confidence.tier_records(for_tiers, lineage)
+        empty = confidence.without_reads(readers.samples_of_outputs(spark, a.outputs).join(kept.select("sample_id"), "sample_id", "left_semi"), for_tiers, list(tiers))
+        records.unionByName(empty).write.mode("overwrite").partitionBy("tier").parquet(f"{a.out}/tier_reports")
     sinks.write_long(cells, f"{a.out}/cells")
-    label.write.mode("overwrite").parquet(f"{a.out}/labels")
-    written, kept = spark.read.parquet(f"{a.out}/cells"), spark.read.parquet(f"{a.out}/samples")
-    sinks.write_json(aggregate.metadata(kept, written.where(f"tier = '{SENSITIVE}' AND rank_scope = 'all'"), a.min_reads), f"{a.out}/aggregation_metadata.json")
+    written = spark.read.parquet(f"{a.out}/cells")
+    used = known.join(written.select("tax_id").unionByName(label.select("tax_id")).distinct(), "tax_id", "left_semi")
+    if nodes is not None:
+        used = used.join(taxonomy.domains(used, lineage), "tax_id", "left")
+    used.write.mode("overwrite").parquet(f"{a.out}/labels")
+    label, first = spark.read.parquet(f"{a.out}/labels"), written.where(f"tier = '{SENSITIVE}'")
+    with_abs = totals is not None
+    doc = aggregate.document(kept, first.where("rank_scope = 'all'"), errors, a.min_reads, a.rank_filter, matrices_of(with_abs=with_abs), nodes is not None, counted)
+    if tiers:
+        facts = aggregate.tier_facts(spark.read.parquet(f"{a.out}/tier_samples"), written, spark.read.parquet(f"{a.out}/demoted"), tiers, lambda x: matrices_of("", x, with_abs))
+        doc = doc.join(F.broadcast(facts))
+    sinks.write_json(doc, f"{a.out}/aggregation_metadata.json")
+    sinks.write_lines(aggregate.rank_facts(first, a.min_reads, a.rank_filter, lambda r: matrices_of(r, "", with_abs)), f"{a.out}/rank_filter_metadata.json")
     if a.wide:
         samples = [x[0] for x in kept.select("sample_id").orderBy("sample_id").collect()]  # the columns of a wide file
         known_totals = kept.select("sample_id", "total_reads")
         for tier, scope in sorted(tuple(x) for x in written.select("tier", "rank_scope").distinct().collect()):  # one a file
             part = written.where((F.col("tier") == tier) & (F.col("rank_scope") == scope))
-            for kind in MATRIX_TYPES if totals is not None else MATRIX_TYPES[:2]:
-                name = sinks.matrix_name(kind, "" if scope == "all" else scope, "" if tier == SENSITIVE else tier)
+            for kind, name in matrices_of("" if scope == "all" else scope, "" if tier == SENSITIVE else tier, with_abs).items():
                 sinks.write_matrix(part, label, kind, samples, f"{a.out}/{name}", known_totals)
+    if nodes is not None:
+        spark.catalog.clearCache()
 
 
 def passes(spark: SparkSession, a: argparse.Namespace) -> list[tuple[str, str, str, str]]:
@@ -108,16 +154,33 @@ def passes(spark: SparkSession, a: argparse.Namespace) -> list[tuple[str, str, s
     return out
 
 
+#: The pass whose files are in no folder of their own.
+PRIMARY = "primary"
+
+
 def run_detect(spark: SparkSession, a: argparse.Namespace) -> None:
     cells, labels = spark.read.parquet(f"{a.cohort}/cells"), spark.read.parquet(f"{a.cohort}/labels")
-    n = spark.read.parquet(f"{a.cohort}/samples").count()
-    for folder, tier, rank, measure in passes(spark, a):
-        whole = cells.where((F.col("tier") == tier) & (F.col("rank_scope") == rank))
-        value = F.col("raw").cast("double") if measure == "raw" else F.round(F.coalesce(F.col(measure), F.lit(0.0)), 4)
-        part = whole.select("sample_id", "tax_id", value.alias("value"))
-        flags = detect.detect(part, n, labels, a.method, a.mad_threshold, a.iqr_multiplier, a.gmm_threshold, a.kitome_taxa, not a.no_subtract_background)
-        summary = detect.qc_summary(flags, part, n).join(F.broadcast(detect.skipped(part, n, a.kitome_taxa, not a.no_subtract_background)))
-        sinks.write_detection(flags, summary, f"{a.out}/{folder}".rstrip("/"))
+    n, wanted = spark.read.parquet(f"{a.cohort}/samples").count(), passes(spark, a)
+    value = lambda m: F.col("raw").cast("double") if m == "raw" else F.round(F.coalesce(F.col(m), F.lit(0.0)), 4)
+    of = [F.when((F.col("tier") == tier) & (F.col("rank_scope") == rank), F.struct(F.lit(folder or PRIMARY).alias("pass"), value(measure).alias("value"))) for folder, tier, rank, measure in wanted]
+    rows = cells.select("sample_id", "tax_id", F.explode(F.filter(F.array(*of), lambda p: p.isNotNull())).alias("p")).select("p.pass", "sample_id", "tax_id", "p.value")
+    found = detect.search(rows, n, a.method, a.mad_threshold, a.iqr_multiplier, a.gmm_threshold, a.kitome_taxa, not a.no_subtract_background, by=("pass",))
+    found.write.mode("overwrite").partitionBy("pass").parquet(f"{a.out}/found")  # all passes, from one reading of the cells
+    found = spark.read.schema(found.schema).parquet(f"{a.out}/found").withColumn("method", F.col("method"))
+    counted = detect.summaries(found, n, ("pass",)).withColumn("method", F.lit(a.method)).cache()
+    for folder, _, _, measure in wanted:  # what people read of each pass, from its flags
+        part = found.where(F.col("pass") == (folder or PRIMARY))
+        summary = counted.where(F.col("pass") == (folder or PRIMARY)).drop("pass").withColumn("matrix_type", F.lit(measure))
+        sinks.write_detection(detect.flags(part, labels), summary, f"{a.out}/{folder}".rstrip("/"))
+    counted.unpersist()
+
+
+def run_summary(spark: SparkSession, a: argparse.Namespace) -> None:
+    meta = spark.read.json(f"{a.cohort}/aggregation_metadata.json").select("sample_count", "taxon_count")
+    found = reporting.pipeline_summary(meta, spark.read.json(f"{a.flags}/qc_summary.json"), readers.read_flags(spark, f"{a.flags}/flagged_samples.tsv"))
+    sinks.write_table(found, f"{a.out}/pipeline_summary.tsv")
+    document = report.multiqc(found.withColumn("timestamp", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).first().asDict())
+    sinks.write_text(spark, document, f"{a.out}/pipeline_mqc.yaml")
 
 
 def run_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -147,7 +210,7 @@ def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"tallytree {a.command}").getOrCreate()
     try:
-        {"aggregate": run_aggregate, "detect": run_detect, "report": run_report}[a.command](spark, a)
+        {"aggregate": run_aggregate, "detect": run_detect, "report": run_report, "summary": run_summary}[a.command](spark, a)
     except (ValueError, OSError) as e:
         print(f"tallytree: {e}", file=sys.stderr)
         return 1

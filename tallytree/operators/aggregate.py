@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,5 +82,47 @@ def metadata(every: DataFrame, cells: DataFrame, min_reads: int) -> DataFrame:
     return s.join(F.broadcast(taxa)).select("sample_count", "taxon_count", F.lit(min_reads).alias("min_reads"), "absolute_burden_enabled", "samples_without_totals")
 
 
+def known_labels(label: DataFrame, nodes: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """``tax_id``, ``name``, ``rank``, ``inconsistent`` of every label of the reports or of
+    the tree: what the reports say comes first, then what the tree and its names say. So
+    ancestors that no report has a row of are named, too."""
+    tree = nodes.select("tax_id", F.col("rank").alias("tree_rank"))
+    tree = tree.withColumn("tree_name", F.lit(None).cast("string")) if names is None else tree.join(names.groupBy("tax_id").agg(F.min("name").alias("tree_name")), "tax_id", "left")
+    both = label.join(tree.dropDuplicates(["tax_id"]), "tax_id", "full")
+    return both.select("tax_id", F.coalesce("name", "tree_name").alias("name"), F.coalesce("rank", "tree_rank").alias("rank"), F.coalesce("inconsistent", F.lit(False)).alias("inconsistent"))
+
+
+def tier_facts(samples: DataFrame, cells: DataFrame, demoted: DataFrame, thresholds: dict[str, float], matrices: Callable[[str], dict[str, str]]) -> DataFrame:
+    """One row, ``confidence_tiers``: of each tier its threshold, matrices, samples with
+    and without output (``samples``: what ``tier_samples`` gives), reads demoted in each
+    sample, and labels. Each is a list of samples, as is the document it goes into."""
+    outputs = samples.groupBy("tier").agg(F.sort_array(F.collect_list(F.when(F.col("has_output"), F.col("sample_id")))).alias("samples_with_output"), F.sort_array(F.collect_list(F.when(~F.col("has_output"), F.col("sample_id")))).alias("samples_without_output"))
+    low = demoted.groupBy("tier").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("sample_id", "demoted")))).alias("reads_demoted_to_unclassified"))
+    taxa = cells.where("rank_scope = 'all'").groupBy("tier").agg(F.countDistinct("tax_id").alias("taxon_count"))
+    rows = outputs.join(low, "tier", "left").join(taxa, "tier", "left")
+    of = lambda value: F.element_at(F.create_map(*(x for t in thresholds for x in (F.lit(t), value(t)))), F.col("tier"))
+    names = of(lambda t: F.create_map(*(F.lit(x) for kv in matrices(t).items() for x in kv)))
+    entry = F.struct(of(lambda t: F.lit(float(thresholds[t]))).alias("threshold"), names.alias("matrix_paths"), "samples_with_output", "samples_without_output", "reads_demoted_to_unclassified", F.coalesce("taxon_count", F.lit(0).cast("long")).alias("taxon_count"))
+    return rows.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("tier"), F.to_json(entry).alias("facts"))))).alias("confidence_tiers"))
+
+
+def document(every: DataFrame, cells: DataFrame, errors: DataFrame, min_reads: int, ranks: list[str], matrices: dict[str, str], with_domains: bool, lines: dict[str, int]) -> DataFrame:
+    """``metadata`` with samples, provenance, files that failed (``errors``), matrices and
+    how many lines were read and left out."""
+    said = [c for c in ("total_reads", "total_mapped", "total_unmapped", "input", "extraction_time") if c in every.columns]
+    names = F.sort_array(F.collect_list("sample_id")).alias("samples")
+    told = F.map_from_entries(F.sort_array(F.collect_list(F.struct("sample_id", F.to_json(F.struct(*said), {"ignoreNullFields": "false"}).alias("said"))))).alias("sample_provenance")
+    lists = every.agg(names, told).join(F.broadcast(errors.agg(F.sort_array(F.collect_list(F.struct("file", "error"))).alias("errors"))))
+    fixed = [F.array(*map(F.lit, ranks)).alias("rank_filter"), F.create_map(*(F.lit(x) for kv in matrices.items() for x in kv)).alias("matrix_paths"), F.lit(with_domains).alias("domain_annotated"), *(F.lit(n).cast("long").alias(c) for c, n in lines.items())]
+    return metadata(every, cells, min_reads).join(F.broadcast(lists)).select("*", *fixed)
+
+
+def rank_facts(cells: DataFrame, min_reads: int, ranks: list[str], matrices: Callable[[str], dict[str, str]]) -> DataFrame:
+    """``rank``, ``taxon_count`` and ``matrix_paths`` of each rank that was asked for."""
+    n = cells.where(F.col("rank_scope") != "all").groupBy(F.col("rank_scope").alias("rank")).agg(F.countDistinct("tax_id").alias("taxon_count"))
+    asked = cells.sparkSession.createDataFrame([(r, matrices(r)) for r in ranks], "rank string, matrix_paths map<string,string>")
+    return asked.join(n, "rank", "left").select("rank", F.coalesce("taxon_count", F.lit(0).cast("long")).alias("taxon_count"), F.lit(min_reads).alias("min_reads"), "matrix_paths")
+
+
 def without_totals(samples: DataFrame, read_totals: DataFrame) -> DataFrame:
     return samples.select("sample_id").distinct().join(read_totals, "sample_id", "left_anti")

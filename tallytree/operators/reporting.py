@@ -108,6 +108,15 @@ def provenance(samples: DataFrame, summaries: DataFrame) -> DataFrame:
     return samples.join(said, "sample_id", "left")
 
 
+def pipeline_summary(metadata: DataFrame, summary: DataFrame, flagged: DataFrame) -> DataFrame:
+    """One row: samples and labels of the cohort (sample_count, taxon_count), the method
+    and the flags of the primary pass (method, flagged_count; counted where it says
+    none), and how many samples are in quarantine."""
+    counted = flagged.agg(F.count("*").alias("rows"), F.countDistinct("sample_id").alias("quarantined_samples"))
+    both = metadata.join(F.broadcast(summary.select("method", "flagged_count"))).join(F.broadcast(counted))
+    return both.select(F.col("sample_count").alias("samples"), F.col("taxon_count").alias("taxa_in_matrix"), F.col("method").alias("detection_method"), F.coalesce("flagged_count", "rows").alias("flagged_pairs"), "quarantined_samples")
+
+
 def batch(expected: DataFrame, done: DataFrame) -> DataFrame:
     """``sample_id``, ``status`` and the read counts of each expected sample: OK
     where there is a result, else FAILED and 0."""

@@ -413,31 +413,63 @@ def sample_distances(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ordination.pairwise(cells(spark, d)), "bray_curtis", "jaccard")
 
 
-def ordered_samples(spark: SparkSession, d: str, cap: int = 500) -> list[str]:
-    c = t.counts(spark, d)
-    return [r[0] for r in cohort.every_kth(c, t.sample_count(c), cap).orderBy("sample_id").collect()]  # cap + a step's at most
-
-
 def informative_cells(spark: SparkSession, d: str) -> DataFrame:
     return reporting.informative(cells(spark, d))
 
 
-@query()
-def sample_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Leaves in order, and the height of the merge that joins each with the one before it."""
-    names = ordered_samples(spark, d)
-    distances = ordination.square(ordination.pairwise(informative_cells(spark, d)), names)
-    order, merges = ordination.cluster(distances)
-    return spark.createDataFrame([(i, names[k], h) for (i, k), h in zip(enumerate(order), ordination.joining_heights(order, merges), strict=True)], "place int, sample_id string, height double")
 
+def merge_sql(x: str) -> str:
+    """Merges and leaves (``{x}m``, ``{x}leaves``) of ``{x}0`` (a, b, d), which has all
+    pairs, one merge after the other: a cluster is called by its first item."""
+    return f""", {x} AS (SELECT 0 AS it, a, b, d AS s, CAST(1 AS BIGINT) AS n FROM {x}0
+  UNION ALL SELECT it + 1, least(x, y), greatest(x, y), sum(s), sum(n) FROM (SELECT it, CASE WHEN o.a = m.mb THEN m.ma ELSE o.a END AS x, CASE WHEN o.b = m.mb THEN m.ma ELSE o.b END AS y, s, n FROM {x} o, (SELECT a AS ma, b AS mb FROM {x} ORDER BY s / n, a, b LIMIT 1) m) WHERE x <> y GROUP BY it, 2, 3),
+{x}m AS MATERIALIZED (SELECT it, a, b, s / n AS height FROM {x} QUALIFY row_number() OVER (PARTITION BY it ORDER BY s / n, a, b) = 1),
+{x}l AS (SELECT 0 AS it, item, item AS c, CAST(0 AS BIGINT) AS place, CAST(1 AS BIGINT) AS size FROM (SELECT a AS item FROM {x}0 UNION SELECT b FROM {x}0)
+  UNION ALL SELECT it + 1, item, c, place, count(*) OVER (PARTITION BY c) FROM (SELECT l.it, item, CASE WHEN c = m.b THEN m.a ELSE c END AS c, CASE WHEN c = m.b THEN place + (SELECT max(k.size) FROM {x}l k WHERE k.c = m.a) ELSE place END AS place FROM {x}l l JOIN {x}m m ON m.it = l.it)),
+{x}leaves AS (SELECT item, place, coalesce(height, 0) AS height FROM {x}l l LEFT JOIN {x}m m ON m.b = item WHERE l.it = (SELECT count(*) FROM {x}m))
+"""
+
+
+#: Pairs of samples over the informative labels.
+SAMPLE_PAIRS_SQL = ", p0 AS MATERIALIZED (SELECT x.sample_id AS a, y.sample_id AS b, sum(abs(x.raw - y.raw)) / sum(x.raw + y.raw) AS d FROM grid x JOIN grid y ON x.tax_id = y.tax_id AND x.sample_id < y.sample_id WHERE x.tax_id NOT IN (0, 1) GROUP BY ALL)"
 
-@query()
+
+def sample_pairs(spark: SparkSession, d: str, cap: int) -> tuple[DataFrame, DataFrame]:
+    """Samples, every k-th where there are more than the cap, and the distances of their pairs."""
+    c = informative_cells(spark, d)
+    items = cohort.every_kth(c, t.sample_count(c), cap).select(F.col("sample_id").alias("item"))
+    return items, ordination.pairwise(c.join(items, F.col("sample_id") == F.col("item"), "left_semi")).select("a", "b", F.col("bray_curtis").alias("distance"))
+
+
+@query(SAMPLE_PAIRS_SQL + merge_sql("p") + "SELECT a, b, round(height, 6) AS height FROM pm")
+def sample_merges(spark: SparkSession, d: str) -> DataFrame:
+    merges, _ = ordination.linkage(*sample_pairs(spark, d, 500))
+    return rounded(merges.select("a", "b", "height"), "height")
+
+
+@query(SAMPLE_PAIRS_SQL + merge_sql("p") + "SELECT CAST(place AS INT) AS place, item AS sample_id, round(height, 6) AS height FROM pleaves")
+def sample_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Leaves in order, and the height of the merge that joins each with the one before it."""
+    _, leaves = ordination.linkage(*sample_pairs(spark, d, 500))
+    return rounded(leaves.select(F.col("place").cast("int").alias("place"), F.col("item").alias("sample_id"), "height"), "height")
+
+
+@query(SAMPLE_PAIRS_SQL + """, it AS (SELECT DISTINCT a AS item FROM p0 UNION SELECT b FROM p0), o AS (SELECT item, row_number() OVER (ORDER BY item) AS k, count(*) OVER () AS n FROM it),
+sq AS (SELECT x.k AS i, y.k AS j, x.n, CASE WHEN x.k = y.k THEN 0 ELSE coalesce(p.d, q.d) ** 2 END AS v FROM o x CROSS JOIN o y LEFT JOIN p0 p ON p.a = x.item AND p.b = y.item LEFT JOIN p0 q ON q.a = y.item AND q.b = x.item),
+bc AS (SELECT i, j, -0.5 * (v - avg(v) OVER (PARTITION BY i) - avg(v) OVER (PARTITION BY j) + avg(v) OVER ()) AS v FROM sq), c AS (SELECT max(s) AS c FROM (SELECT sum(abs(v)) AS s FROM bc GROUP BY i)),
+m AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(v + CASE WHEN i = j THEN c / 2 ELSE 0 END ORDER BY j) AS r FROM bc, c GROUP BY i)),
+u AS (SELECT 0 AS k, list_transform(range(1, len(m) + 1), lambda i: sin(CAST(i AS DOUBLE))) AS x FROM m
+  UNION ALL SELECT k + 1, list_transform(y, lambda z: z / sqrt(list_dot_product(y, y))) FROM (SELECT k, list_transform(m, lambda r: list_dot_product(r, x)) AS y FROM u, m WHERE k < 6000)),
+one AS (SELECT x, list_dot_product(x, list_transform(m, lambda r: list_dot_product(r, x))) AS lam FROM u, m WHERE k = 6000),
+m2 AS (SELECT list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1), lambda j: m[i][j] - lam * x[i] * x[j])) AS m FROM m, one),
+w AS (SELECT 0 AS k, list_transform(range(1, len(m) + 1), lambda i: cos(CAST(i AS DOUBLE))) AS x FROM m2
+  UNION ALL SELECT k + 1, list_transform(y, lambda z: z / sqrt(list_dot_product(y, y))) FROM (SELECT k, list_transform(m, lambda r: list_dot_product(r, x)) AS y FROM w, m2 WHERE k < 6000)),
+two AS (SELECT x, list_dot_product(x, list_transform(m, lambda r: list_dot_product(r, x))) AS lam FROM w, m2 WHERE k = 6000),
+g AS (SELECT item, one.x[k] * sqrt(greatest(one.lam - c / 2, 0)) AS x, two.x[k] * sqrt(greatest(two.lam - c / 2, 0)) AS y FROM o, one, two, c)
+SELECT item AS sample_id, round(x * (SELECT sign(arg_max(x, abs(x))) FROM g), 4) AS x, round(y * (SELECT sign(arg_max(y, abs(y))) FROM g), 4) AS y FROM g""")
 def sample_coordinates(spark: SparkSession, d: str) -> DataFrame:
-    names = ordered_samples(spark, d, 2000)
-    if len(names) < 3:  # two points say nothing
-        return spark.createDataFrame([], "sample_id string, x double, y double")
-    coords, _ = ordination.principal_coordinates(ordination.square(ordination.pairwise(informative_cells(spark, d)), names))
-    return spark.createDataFrame([(s, float(x), float(y)) for s, (x, y) in zip(names, coords, strict=True)], "sample_id string, x double, y double")
+    found, _ = ordination.coordinates(*sample_pairs(spark, d, 2000))
+    return rounded(found.select(F.col("item").alias("sample_id"), F.col("x0").alias("x"), F.col("x1").alias("y")), "x", "y", places=4)
 
 
 from . import reports  # noqa: E402, F401  registers its queries here

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import aggregate, cohort, confidence, detect, ordination, reporting
-from ..sources import readers
+from ..sources import readers, sinks
 from . import tables as t
-from .catalog import CONFIDENCE_SQL, cells, confident, flagged, query, rounded, species_of
+from .catalog import CONFIDENCE_SQL, cells, confident, flagged, merge_sql, query, rounded, species_of
 
 THRESHOLDS = [0.1, 0.5, 0.8]
 TIERS = ["conf0p10", "conf0p50", "conf0p80"]
@@ -55,6 +55,58 @@ def aggregation_metadata(spark: SparkSession, d: str) -> DataFrame:
     return aggregate.metadata(aggregate.samples(rows, t.read_totals(spark, d), 3), aggregate.counts(rows, 3), 3)
 
 
+# what can't be read, names, wide files, a run's counts
+
+SPOILT_SQL = """, said AS (SELECT sample_id, tax_id, raw, CASE WHEN sample_id = 'Brand#13' THEN '1\t2\t3' WHEN raw % 5 = 2 THEN concat('1.0\t', raw, '\ttwo\tS\t', tax_id, '\tx') WHEN raw % 5 = 3 THEN concat('1.0\t', raw, '\t', raw) END AS bad FROM counts)
+"""
+
+
+def spoilt_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Counts as report lines: a report without a good line, bad numbers, lines that end early, comments."""
+    raw, tax = F.col("raw").cast("string"), F.col("tax_id").cast("string")
+    line = lambda *cells_: F.concat_ws("\t", *(F.lit(c) if isinstance(c, str) else c for c in cells_))
+    value = F.when(F.col("sample_id") == "Brand#13", line("1", "2", "3")).when(F.col("raw") % 5 == 2, line("1.0", raw, "two", "S", tax, "x")).when(F.col("raw") % 5 == 3, line("1.0", raw, raw)).when(F.col("raw") % 5 == 4, line("  # note")).otherwise(line("1.0", raw, raw, "S", tax, "x"))
+    return readers.checked_report(t.counts(spark, d).select(F.col("sample_id").alias("source_path"), F.col("tax_id").alias("line_ord"), value.alias("value")))
+
+
+@query(SPOILT_SQL + "SELECT sample_id AS source_path, CASE WHEN sample_id = 'Brand#13' OR raw % 5 = 3 THEN 'too few fields' ELSE 'a number that can''t be read' END AS problem, count(*) AS lines, min(tax_id) AS first_line, arg_min(bad, tax_id) AS example FROM said WHERE bad IS NOT NULL GROUP BY ALL")
+def report_problems(spark: SparkSession, d: str) -> DataFrame:
+    return readers.problems(spoilt_reports(spark, d))
+
+
+@query("SELECT sample_id AS file, 'no row that can be read' AS error FROM counts GROUP BY 1 HAVING sample_id = 'Brand#13' OR count(*) FILTER (raw % 5 IN (0, 1)) = 0")
+def failed_reports(spark: SparkSession, d: str) -> DataFrame:
+    checked = spoilt_reports(spark, d)
+    return readers.failed_files(checked, checked.where("problem IS NULL"))
+
+
+@query(", l AS (SELECT tax_id, 'reported ' || tax_id AS name, 'S' AS rank FROM counts GROUP BY 1 HAVING tax_id % 2 = 0) SELECT coalesce(l.tax_id, n.tax_id) AS tax_id, coalesce(l.name, n.name) AS name, coalesce(l.rank, n.rank) AS rank, false AS inconsistent FROM l FULL JOIN nodes n ON l.tax_id = n.tax_id")
+def known_labels(spark: SparkSession, d: str) -> DataFrame:
+    """What reports say of labels comes first; the tree names the others, ancestors among them."""
+    label = t.counts(spark, d).where("tax_id % 2 = 0").select("tax_id").distinct().select("tax_id", F.concat(F.lit("reported "), F.col("tax_id").cast("string")).alias("name"), F.lit("S").alias("rank"), F.lit(False).alias("inconsistent"))
+    tree = t.nodes(spark, d)
+    return aggregate.known_labels(label, tree.select("tax_id", "parent_id", "rank"), tree.select("tax_id", "name"))
+
+
+@query("SELECT concat(g.tax_id, '\t', any_value(coalesce(name, '')), '\t', string_agg(CASE WHEN g.sample_id NOT IN (SELECT sample_id FROM totals) THEN 'NA' ELSE printf('%.4f', coalesce(abs, 0)) END, '\t' ORDER BY g.sample_id)) AS value FROM grid g LEFT JOIN measured m ON m.tax_id = g.tax_id AND m.sample_id = g.sample_id LEFT JOIN nodes ON nodes.tax_id = g.tax_id GROUP BY g.tax_id")
+def wide_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of the wide file of abs, without its heads."""
+    found = t.measured(spark, d)
+    samples = sorted(r[0] for r in found.select("sample_id").distinct().collect())  # the columns
+    totals = found.select("sample_id").distinct().join(t.read_totals(spark, d), "sample_id", "left")
+    return sinks.wide_lines(found, t.nodes(spark, d).select("tax_id", "name"), "abs", samples, totals).where("value NOT LIKE 'tax\\_id%'")
+
+
+@query("SELECT (SELECT samples FROM n) AS samples, (SELECT count(DISTINCT tax_id) FROM counts) AS taxa_in_matrix, 'mad' AS detection_method, (SELECT count(*) FROM flags) AS flagged_pairs, (SELECT count(DISTINCT sample_id) FROM flags) AS quarantined_samples")
+def pipeline_summary(spark: SparkSession, d: str) -> DataFrame:
+    rows = t.counts(spark, d).select("sample_id", "tax_id", F.col("raw").alias("direct_reads"), F.lit(0).alias("line_ord"))
+    meta = aggregate.metadata(aggregate.samples(rows, t.read_totals(spark, d)), aggregate.counts(rows), 0)
+    c = cells(spark, d)
+    n = t.sample_count(c)
+    found = detect.search(c, n, "mad", mad_threshold=2.0)
+    return reporting.pipeline_summary(meta, detect.summaries(found, n).withColumn("method", F.lit("mad")), detect.flags(found, t.nodes(spark, d)))
+
+
 # tiers
 
 TIER_SQL = CONFIDENCE_SQL + """, tcounts AS (SELECT x.tier, sample_id, CASE WHEN confidence >= x.t THEN greatest(tax_id, 0) ELSE 0 END AS tax_id, count(*) AS raw
@@ -214,3 +266,31 @@ def species_distances(spark: SparkSession, d: str) -> DataFrame:
 def heat_map_distances(spark: SparkSession, d: str) -> DataFrame:
     """Samples against each other, over the informative labels of most burden."""
     return rounded(ordination.pairwise(top_cells(spark, d)).select("a", "b", "bray_curtis"), "bray_curtis")
+
+
+SPECIES_PAIRS_SQL = TOP_SQL + ", p0 AS MATERIALIZED (SELECT x.tax_id AS a, y.tax_id AS b, sum(abs(x.raw - y.raw)) / sum(x.raw + y.raw) AS d FROM tg x JOIN tg y ON x.sample_id = y.sample_id AND x.tax_id < y.tax_id GROUP BY ALL)"
+
+
+def species_tree(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = top_cells(spark, d)
+    turned = rows.select(F.col("tax_id").alias("sample_id"), F.col("sample_id").alias("tax_id"), "value")
+    pairs = ordination.pairwise(turned).select("a", "b", F.col("bray_curtis").alias("distance"))
+    return ordination.linkage(rows.select(F.col("tax_id").alias("item")).distinct(), pairs)
+
+
+@query(SPECIES_PAIRS_SQL + merge_sql("p") + "SELECT CAST(place AS INT) AS place, item AS tax_id, round(height, 6) AS height FROM pleaves")
+def species_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """The labels of the heat map in the order of their tree."""
+    _, leaves = species_tree(spark, d)
+    return rounded(leaves.select(F.col("place").cast("int").alias("place"), F.col("item").alias("tax_id"), "height"), "height")
+
+
+@query(SPECIES_PAIRS_SQL + merge_sql("p") + ", q0 AS MATERIALIZED (SELECT x.sample_id AS a, y.sample_id AS b, sum(abs(x.raw - y.raw)) / sum(x.raw + y.raw) AS d FROM tg x JOIN tg y ON x.tax_id = y.tax_id AND x.sample_id < y.sample_id GROUP BY ALL)" + merge_sql("q") + "SELECT CAST(r.place AS INT) AS row, CAST(c.place AS INT) AS column, m.tax_id, m.sample_id, round(abs, 4) AS value FROM measured m JOIN pleaves r ON r.item = m.tax_id JOIN qleaves c ON c.item = m.sample_id WHERE abs > 0")
+def abs_heat_map(spark: SparkSession, d: str) -> DataFrame:
+    """Burden, rows in the order of the labels' tree and columns in that of the samples'."""
+    rows = top_cells(spark, d)
+    _, down = species_tree(spark, d)
+    pairs = ordination.pairwise(rows).select("a", "b", F.col("bray_curtis").alias("distance"))
+    _, across = ordination.linkage(rows.select(F.col("sample_id").alias("item")).distinct(), pairs)
+    burden = cells(spark, d, "abs").where("value > 0")
+    return rounded(ordination.heat_map(burden, down, across), "value", places=4)

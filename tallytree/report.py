@@ -57,6 +57,16 @@ def sections(fact: DataFrame, n_samples: int, flags: DataFrame, ppm: float = 100
     return out
 
 
+#: What a run's summary calls its counts.
+COUNTED = {"samples": "Samples", "taxa_in_matrix": "Taxa in Matrix", "detection_method": "Detection Method", "flagged_pairs": "Flagged (sample, taxon) Pairs", "quarantined_samples": "Quarantined Samples", "timestamp": "Timestamp (UTC)"}
+
+
+def multiqc(counted: dict) -> str:
+    """A run's counts as a custom table of MultiQC."""
+    table = {"id": "tallytree", "section_name": "Cohort run", "plot_type": "table", "pconfig": {"id": "tallytree_summary", "title": "Cohort run"}, "data": {"Pipeline Run": {name: counted[c] for c, name in COUNTED.items()}}}
+    return json.dumps({"custom_data": {"tallytree": table}}, indent=2)
+
+
 def render(title: str, parts: list[tuple[str, str, DataFrame, int]]) -> str:
     body = "".join(section(*p) for p in parts)
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{escape(title)}</title></head><body><h1>{escape(title)}</h1>{body}</body></html>"

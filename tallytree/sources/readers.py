@@ -100,6 +100,11 @@ def read_outputs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parsed.select(sample_of_output(file_name()).alias("sample_id"), "source_path", "status", "read_id", "tax_id", "length", "kmers")
 
 
+def samples_of_outputs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``sample_id`` of every per-read output, also of one without a line."""
+    return files_of(spark, paths).select(sample_of_output(file_name()).alias("sample_id")).distinct()
+
+
 def parse_nodes(rows: DataFrame) -> DataFrame:
     cells = F.split(F.col("value"), r"\t\|\t?")
     code = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in RANK_CODES.items() for x in pair)), F.trim(F.col("c")[2])), F.lit("-"))

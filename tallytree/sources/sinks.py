@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import FLAGS
@@ -99,6 +99,15 @@ def write_json(rows: DataFrame, path: str) -> None:
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_lines(rows: DataFrame, path: str) -> None:
+    """Rows as documents, one a line."""
+    rows.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(path)
+
+
 def write_detection(flags: DataFrame, summary: DataFrame, path: str) -> None:
     """``flagged_samples.tsv``, ``qc_summary.json`` and ``quarantine_list.txt``."""
     numbers = [F.format_string("%.4f", c).alias(c) for c in ("value", "population_median", "deviation")]
