@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import report
-from .operators import aggregate, cohort, confidence, detect, reporting, taxonomy
+from .operators import aggregate, cohort, confidence, detect, ordination, reporting, taxonomy
 from .schema import DEFAULT_RANKS, MATRIX_TYPES, METHODS, tier_suffix
 from .sources import readers, sinks
 
@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("flags")
     r.add_argument("--out", required=True)
     r.add_argument("--threshold-ppm", type=float, default=1000.0)
+    r.add_argument("--cluster-method", choices=[*ordination.LINKAGES, "none"], default="average", help="linkage of the heat maps' trees; none leaves out what stands on distances")
     return top
 
 
@@ -197,13 +198,20 @@ def run_report(spark: SparkSession, a: argparse.Namespace) -> None:
     for tier in tiers:  # as many as there were thresholds; a tier without flags is left out
         part = readers.read_flags(spark, f"{a.flags}/{tier}/flagged_samples.tsv").select(F.lit(tier).alias("tier"), "sample_id")
         by_tier = part if by_tier is None else by_tier.unionByName(part)
-    parts = report.sections(fact, n, flags, a.threshold_ppm, readers.read_flags(spark, f"{a.flags}/abs/flagged_samples.tsv"), by_tier, named)
+    parts = report.sections(fact, n, flags, a.threshold_ppm, readers.read_flags(spark, f"{a.flags}/abs/flagged_samples.tsv"), by_tier, named, a.cluster_method)
     species = cohort.species(fact, n, flags)
     pages = [report.render("Cohort report", parts), report.manifest(species, flags, n, tiers)]
     for name, text in zip(("report_html", "manifest_json"), pages, strict=True):
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{a.out}/{name}")
     sinks.write_table(species.join(named.select("tax_id", "name"), "tax_id", "left").orderBy(*cohort.by_burden()), f"{a.out}/species_summary.tsv")
-    sinks.write_table(cohort.sample_stats(fact).orderBy("sample_id"), f"{a.out}/per_sample_summary.tsv")
+    stats = cohort.sample_stats(fact)
+    sinks.write_table(stats.orderBy("sample_id"), f"{a.out}/per_sample_summary.tsv")
+    sinks.write_table(cohort.over_threshold(stats, a.threshold_ppm).orderBy(F.desc("abs_ppm"), "sample_id"), f"{a.out}/variant_impact_flagged.tsv")
+    for tier in tiers:  # a page for each tier, of that tier's cells and flags
+        part = cells.where((F.col("tier") == tier) & F.expr("rank_scope = 'all'")).join(named, "tax_id", "left")
+        part = part if "domain" in part.columns else part.withColumn("domain", F.lit(None).cast("string"))
+        mine = report.sections(part, n, readers.read_flags(spark, f"{a.flags}/{tier}/flagged_samples.tsv"), a.threshold_ppm, readers.read_flags(spark, f"{a.flags}/abs/{tier}/flagged_samples.tsv"), None, named)
+        sinks.write_text(spark, report.render(f"Cohort report, {tier}", mine), f"{a.out}/{tier}/report_html")
 
 
 def main(argv: list[str] | None = None) -> int:

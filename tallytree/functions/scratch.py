@@ -6,22 +6,26 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    """The folder that all executors share, ``spark.checkpoint.dir``; where none is set, and
+    Spark is all on this machine, one of our own."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if at:
+        return at
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "tallytree-tables")
 
 
 def kept(rows: DataFrame) -> DataFrame:
-    """``rows`` written to the folder that all executors share and read again, so that
-    plans don't grow from step to step and lost executors cost one step. The folder is
-    ``spark.checkpoint.dir``; where none is set, and Spark is all on this machine, one of
-    our own."""
+    """``rows`` written to the shared folder and read again, so that plans don't grow from
+    step to step and lost executors cost one step."""
     spark = rows.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = os.path.join(tempfile.gettempdir(), "tallytree-tables")
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = f"{folder(spark)}/{uuid.uuid4().hex}"
     rows.write.parquet(path)
     again = spark.read.schema(rows.schema).parquet(path)
     again.kept_at = path

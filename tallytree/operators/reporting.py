@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.robust import histogram, upper_median
-from ..schema import ROOT, UNCLASSIFIED
+from ..schema import HUMAN, ROOT, UNCLASSIFIED
 from .cohort import by_burden, domain_cpm, ranked
+from .concordance import agreement
 
 #: The order of domains in a legend; others follow by name.
 LEGEND = ("Bacteria", "Viruses", "Fungi", "Archaea", "Metazoa_other", "Viridiplantae", "Unannotated", "Other")
@@ -108,6 +109,37 @@ def provenance(samples: DataFrame, summaries: DataFrame) -> DataFrame:
     return samples.join(said, "sample_id", "left")
 
 
+def drill_down(fact: DataFrame, species: DataFrame, labels: int = 25, samples: int = 10) -> DataFrame:
+    """``place`` (by burden), ``tax_id``, ``rank``, ``sample_id``, ``raw``, ``cpm``, ``abs``: the
+    samples that have most of each of the first informative labels."""
+    first = ranked(leading(species, labels).withColumn("all", F.lit(1)), by_burden(), labels, "all", name="place").select("place", "tax_id")
+    cells = fact.join(F.broadcast(first), "tax_id").where("raw > 0")
+    return ranked(cells, [F.desc("raw"), F.asc("sample_id")], samples, "tax_id").select("place", "tax_id", "rank", "sample_id", "raw", "cpm", "abs")
+
+
+def burden_histogram(stats: DataFrame, bins: int = 30) -> DataFrame:
+    """``bin``, ``n``: samples by the logarithm of their burden, where it is over 0."""
+    return histogram(stats, "abs_ppm", bins, log=True)
+
+
+def detection_overview(flags: DataFrame, abs_flags: DataFrame | None) -> DataFrame:
+    """``what``, ``n``: flags and flagged samples of each method, and samples that the primary
+    and the abs pass flag both, or one of them alone."""
+    by = flags.groupBy("method").agg(F.count("*").alias("flags"), F.countDistinct("sample_id").alias("samples"))
+    out = by.select(F.explode(F.array(F.struct(F.concat(F.lit("flags, "), "method").alias("what"), F.col("flags").alias("n")), F.struct(F.concat(F.lit("samples, "), "method").alias("what"), F.col("samples").alias("n")))).alias("x")).select("x.*")
+    if abs_flags is None:
+        return out
+    names = {"both": "samples, both passes", "first only": "samples, primary pass alone", "second only": "samples, abs pass alone"}
+    told = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    return out.unionByName(agreement(flags, abs_flags).groupBy(told[F.col("found_in")].alias("what")).agg(F.count("*").alias("n")))
+
+
+def domain_mix(fact: DataFrame) -> DataFrame:
+    """``domain``, ``reads``, ``share`` of all samples' reads but the host's."""
+    rows = fact.where(F.col("tax_id") != HUMAN).groupBy(F.coalesce("domain", F.lit("Unannotated")).alias("domain")).agg(F.sum("raw").alias("reads"))
+    return rows.join(F.broadcast(rows.agg(F.sum("reads").alias("all")))).select("domain", "reads", (F.col("reads") / F.nullif("all", F.lit(0))).alias("share"))
+
+
 def pipeline_summary(metadata: DataFrame, summary: DataFrame, flagged: DataFrame) -> DataFrame:
     """One row: samples and labels of the cohort (sample_count, taxon_count), the method
     and the flags of the primary pass (method, flagged_count; counted where it says

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scratch
 from ..operators import aggregate, cohort, confidence, detect, ordination, reporting
 from ..sources import readers, sinks
+from ..streaming import arrivals
 from . import tables as t
 from .catalog import CONFIDENCE_SQL, cells, confident, flagged, merge_sql, query, rounded, species_of
 
@@ -107,6 +111,33 @@ def pipeline_summary(spark: SparkSession, d: str) -> DataFrame:
     return reporting.pipeline_summary(meta, detect.summaries(found, n).withColumn("method", F.lit("mad")), detect.flags(found, t.nodes(spark, d)))
 
 
+def arrived(spark: SparkSession, d: str) -> str:
+    """The counts as reports in three batches: all samples, then a third of them again with
+    later reports of two more reads a label, then a few with earlier ones, which don't count."""
+    folder = f"{scratch.folder(spark)}/{uuid.uuid4().hex}"
+    rows = t.counts(spark, d).select("sample_id", F.lit("b").alias("source_path"), F.lit(0).alias("line_ord"), "tax_id", F.col("raw").alias("direct_reads"))
+    later, early = rows.where("sample_id LIKE 'Brand#1%'"), rows.where("sample_id LIKE 'Brand#%2'")
+    arrivals.take_in(rows, 0, folder)
+    arrivals.take_in(later.withColumn("source_path", F.lit("c")).withColumn("direct_reads", F.col("direct_reads") + 2).where("tax_id % 3 > 0"), 1, folder)
+    arrivals.take_in(early.withColumn("source_path", F.lit("a")).withColumn("direct_reads", F.lit(99).cast("long")), 2, folder)
+    return folder
+
+
+ARRIVED_SQL = ", arrived AS (SELECT sample_id, tax_id, CASE WHEN sample_id LIKE 'Brand#1%' THEN raw + 2 ELSE raw END AS raw FROM counts WHERE sample_id NOT LIKE 'Brand#1%' OR tax_id % 3 > 0)"
+
+
+@query(ARRIVED_SQL + " SELECT tax_id, CAST(sum(raw) AS BIGINT) AS raw_total, count(*) AS positives FROM arrived GROUP BY 1")
+def incremental_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Sums of labels that followed batch by batch, replaced reports taken off."""
+    return arrivals.snapshot(spark, f"{arrived(spark, d)}/sums", arrivals.SUMS).drop("batch")
+
+
+@query(ARRIVED_SQL + " SELECT sample_id, CASE WHEN sample_id LIKE 'Brand#1%' THEN 'c' ELSE 'b' END AS source_path, CAST(sum(raw) AS BIGINT) AS direct_total, count(*) AS cells FROM arrived GROUP BY ALL")
+def incremental_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Which report of each sample counts after the last batch, and its sums."""
+    return arrivals.snapshot(spark, f"{arrived(spark, d)}/samples", arrivals.SAMPLES).drop("batch", "of_batch")
+
+
 # tiers
 
 TIER_SQL = CONFIDENCE_SQL + """, tcounts AS (SELECT x.tier, sample_id, CASE WHEN confidence >= x.t THEN greatest(tax_id, 0) ELSE 0 END AS tax_id, count(*) AS raw
@@ -268,6 +299,27 @@ def heat_map_distances(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ordination.pairwise(top_cells(spark, d)).select("a", "b", "bray_curtis"), "bray_curtis")
 
 
+@query(", f AS (SELECT tax_id, CAST(row_number() OVER (ORDER BY burden DESC NULLS LAST, raw_total DESC, tax_id) AS INT) AS place FROM species WHERE tax_id NOT IN (0, 1) QUALIFY place <= 25) SELECT place, m.tax_id, CAST(row_number() OVER (PARTITION BY m.tax_id ORDER BY raw DESC, sample_id) AS INT) AS rank, sample_id, raw, round(cpm, 4) AS cpm, round(abs, 4) AS abs FROM measured m JOIN f ON f.tax_id = m.tax_id QUALIFY rank <= 10")
+def drill_down(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(reporting.drill_down(t.fact(spark, d), species_of(spark, d)), "cpm", "abs", places=4)
+
+
+@query(", x AS (SELECT log10(round(abs_ppm, 6)) AS v FROM stats WHERE abs_ppm > 0), e AS (SELECT min(v) AS lo, CASE WHEN max(v) <= min(v) THEN min(v) + 1 ELSE max(v) END AS hi FROM x), h AS (SELECT CAST(least(floor((v - lo) / ((hi - lo) / 30)), 29) AS INT) AS bin, count(*) AS n FROM x, e GROUP BY 1) SELECT CAST(b AS INT) AS bin, coalesce(n, 0) AS n FROM range(30) r(b) LEFT JOIN h ON h.bin = r.b")
+def burden_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return reporting.burden_histogram(rounded(stats_of(spark, d), "abs_ppm"))
+
+
+@query(", g AS (SELECT domain, CAST(sum(raw) AS BIGINT) AS reads FROM fact WHERE tax_id <> 9606 GROUP BY 1) SELECT domain, reads, round(reads / (SELECT sum(reads) FROM g), 6) AS share FROM g")
+def domain_mix(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(reporting.domain_mix(t.fact(spark, d)), "share")
+
+
+@query(", one AS (SELECT DISTINCT sample_id FROM flags), two AS (SELECT sample_id FROM stats WHERE abs_ppm > 38500) SELECT 'flags, mad' AS what, count(*) AS n FROM flags HAVING count(*) > 0 UNION ALL SELECT 'samples, mad', count(*) FROM one HAVING count(*) > 0 UNION ALL SELECT CASE WHEN one.sample_id IS NOT NULL AND two.sample_id IS NOT NULL THEN 'samples, both passes' WHEN one.sample_id IS NOT NULL THEN 'samples, primary pass alone' ELSE 'samples, abs pass alone' END, count(*) FROM one FULL JOIN two ON one.sample_id = two.sample_id GROUP BY 1")
+def detection_overview(spark: SparkSession, d: str) -> DataFrame:
+    over = cohort.over_threshold(stats_of(spark, d), 38500.0)
+    return reporting.detection_overview(flagged(spark, d, method="mad", mad_threshold=2.0), over)
+
+
 SPECIES_PAIRS_SQL = TOP_SQL + ", p0 AS MATERIALIZED (SELECT x.tax_id AS a, y.tax_id AS b, sum(abs(x.raw - y.raw)) / sum(x.raw + y.raw) AS d FROM tg x JOIN tg y ON x.sample_id = y.sample_id AND x.tax_id < y.tax_id GROUP BY ALL)"
 
 

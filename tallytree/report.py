@@ -8,10 +8,10 @@ from html import escape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import cohort, reporting
+from .operators import cohort, ordination, reporting
 
 #: Rows shown of each table.
-SHOWN = {"species": 200, "samples": 200, "bands": 10, "notable": 15, "flags": 200}
+SHOWN = {"species": 200, "samples": 200, "bands": 10, "notable": 15, "flags": 200, "leading": 50, "clustered": 500, "ordinated": 2000, "cells": 25_000}
 
 
 def cell(value: object) -> str:
@@ -28,7 +28,28 @@ def section(number: str, title: str, rows: DataFrame, most: int) -> str:
     return f'<section id="s{number}"><h2>{number} {escape(title)}</h2><table><tr>{head}</tr>{body}</table></section>'
 
 
-def sections(fact: DataFrame, n_samples: int, flags: DataFrame, ppm: float = 1000.0, abs_flags: DataFrame | None = None, tier_flags: DataFrame | None = None, names: DataFrame | None = None) -> list[tuple[str, str, DataFrame, int]]:
+def ordered(fact: DataFrame, species: DataFrame, n_samples: int, cluster: str) -> list[tuple[str, str, DataFrame, int]]:
+    """The sections that stand on distances: both heat maps in the order of the labels' and
+    the samples' trees, and principal coordinates of three samples or more. Samples are
+    every k-th where there are more than the caps."""
+    top = reporting.leading(species, SHOWN["leading"]).select("tax_id")
+    cells = reporting.informative(fact).select("sample_id", "tax_id", F.col("cpm").alias("value"), "abs")
+    chosen = cohort.every_kth(cells, n_samples, SHOWN["clustered"])
+    drawn = cells.join(F.broadcast(top), "tax_id", "left_semi").join(chosen, "sample_id", "left_semi")
+    distance = F.col("bray_curtis").alias("distance")
+    turned = drawn.select(F.col("tax_id").alias("sample_id"), F.col("sample_id").alias("tax_id"), "value")
+    _, down = ordination.linkage(drawn.select(F.col("tax_id").alias("item")).distinct(), ordination.pairwise(turned).select("a", "b", distance), cluster)
+    _, across = ordination.linkage(drawn.select(F.col("sample_id").alias("item")).distinct(), ordination.pairwise(drawn).select("a", "b", distance), cluster)
+    maps = [("3.6.1", "Heat map of CPM", drawn), ("3.6.5", "Heat map of burden", drawn.select("sample_id", "tax_id", F.col("abs").alias("value")))]
+    out = [(number, title, ordination.heat_map(rows.where("value > 0"), down, across).orderBy("row", "column"), SHOWN["cells"]) for number, title, rows in maps]
+    points = cohort.every_kth(cells, n_samples, SHOWN["ordinated"]).select(F.col("sample_id").alias("item"))
+    near = ordination.pairwise(cells.join(points, F.col("sample_id") == F.col("item"), "left_semi")).select("a", "b", distance)
+    found, shares = ordination.coordinates(points, near)
+    title = f"Principal coordinates ({shares[0]:.1%} and {shares[1]:.1%})"
+    return [*out, ("3.7", title, found.orderBy("item"), SHOWN["ordinated"])]
+
+
+def sections(fact: DataFrame, n_samples: int, flags: DataFrame, ppm: float = 1000.0, abs_flags: DataFrame | None = None, tier_flags: DataFrame | None = None, names: DataFrame | None = None, cluster: str = "none") -> list[tuple[str, str, DataFrame, int]]:
     """Number, title, rows and how many are shown, of each section."""
     species, stats = cohort.species(fact, n_samples, flags), cohort.sample_stats(fact)
     informative = ("Bacteria", "Archaea", "Viruses", "Fungi", "Protists")
@@ -50,6 +71,17 @@ def sections(fact: DataFrame, n_samples: int, flags: DataFrame, ppm: float = 100
         ("5", "Detection", flags.orderBy("method", "tax_id", "sample_id"), SHOWN["flags"]),
         ("6", "Notable samples", reporting.notable(stats, either, SHOWN["notable"]).orderBy("list", "rank"), 4 * SHOWN["notable"]),
     ]
+    over = cohort.over_threshold(stats, ppm)
+    at = [n for n, *_ in out].index("5")
+    out[at:at] = [
+        ("3.8", "Drill-down", reporting.drill_down(fact, species).orderBy("place", "rank"), 250),
+        ("4.1", "Burden, logarithmic", reporting.burden_histogram(stats).orderBy("bin"), 30),
+        ("4.2", "Reads of those samples by label", cohort.top_and_others(fact.join(over.select("sample_id"), "sample_id", "left_semi"), fact.select("tax_id").distinct().withColumn("name", F.lit(None).cast("string")) if names is None else names).orderBy(F.desc("reads"), "label"), 11),
+    ]
+    out.insert(1, ("1.1", "Domains", reporting.domain_mix(fact).orderBy(F.desc("reads"), "domain"), 20))
+    out.insert(-1, ("5.2", "Detection, counts", reporting.detection_overview(flags, abs_flags).orderBy("what"), 20))
+    if cluster != "none":
+        out += ordered(fact, species, n_samples, cluster)
     if tier_flags is not None:
         out.insert(-1, ("5.1", "Agreement of tiers", reporting.flag_agreement(flags, tier_flags).orderBy("tier"), 100))
     if names is not None:

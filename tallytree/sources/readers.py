@@ -64,13 +64,16 @@ def problems(checked: DataFrame) -> DataFrame:
 
 
 def files_of(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``source_path`` of every file, also of one without a line; nothing is read of them."""
-    return spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("source_path"))
+    """``source_path`` of every file, also of one without a line; nothing is read of them.
+    The driver has this list whenever Spark reads the files."""
+    return spark.createDataFrame([(x,) for x in spark.read.text(paths).inputFiles()], "source_path string")
 
 
 def failed_files(files: DataFrame, rows: DataFrame) -> DataFrame:
     """``file`` and ``error`` of files (source_path) of which no row (source_path) could be read."""
-    none = files.select("source_path").distinct().join(rows.select("source_path").distinct(), "source_path", "left_anti")
+    # a file without a host is written with one slash or with three
+    alike = F.regexp_replace("source_path", "^([a-z0-9]+):///", "$1:/").alias("at")
+    none = files.select("source_path", alike).distinct().join(rows.select(alike).distinct(), "at", "left_anti")
     return none.select(F.col("source_path").alias("file"), F.lit("no row that can be read").alias("error"))
 
 
