@@ -1,4 +1,4 @@
-"""``python -m tallytree.cli aggregate|detect|report|summary``: the engine from a shell."""
+"""``python -m tallytree.cli aggregate|detect|report|summary|extraction``: the engine from a shell."""
 
 from __future__ import annotations
 
@@ -50,6 +50,10 @@ def parser() -> argparse.ArgumentParser:
     u.add_argument("cohort")
     u.add_argument("flags")
     u.add_argument("--out", required=True)
+    x = sub.add_parser("extraction", help="what was extracted of each sample")
+    x.add_argument("fastq", nargs="+")
+    x.add_argument("--idxstats", nargs="+", required=True, help="read-total sidecars of all samples")
+    x.add_argument("--out", required=True)
     r = sub.add_parser("report", help="cohort tables and flags to a report")
     r.add_argument("cohort")
     r.add_argument("flags")
@@ -184,6 +188,14 @@ def run_summary(spark: SparkSession, a: argparse.Namespace) -> None:
     sinks.write_text(spark, document, f"{a.out}/pipeline_mqc.yaml")
 
 
+def run_extraction(spark: SparkSession, a: argparse.Namespace) -> None:
+    summaries = readers.read_summaries(spark, a.idxstats)
+    found = reporting.extraction(summaries, readers.read_fastq_counts(spark, a.fastq), summaries)
+    sinks.write_table(found.orderBy("sample_id"), f"{a.out}/extraction_summary.tsv")
+    stats = summaries.select("sample_id", F.explode("per_chromosome").alias("c")).select("sample_id", "c.*")
+    sinks.write_table(stats.orderBy("sample_id", "chrom"), f"{a.out}/idxstats.tsv")
+
+
 def run_report(spark: SparkSession, a: argparse.Namespace) -> None:
     label, samples = spark.read.parquet(f"{a.cohort}/labels"), spark.read.parquet(f"{a.cohort}/samples")
     cells = spark.read.parquet(f"{a.cohort}/cells")
@@ -203,7 +215,8 @@ def run_report(spark: SparkSession, a: argparse.Namespace) -> None:
     pages = [report.render("Cohort report", parts), report.manifest(species, flags, n, tiers)]
     for name, text in zip(("report_html", "manifest_json"), pages, strict=True):
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").option("lineSep", "\n").text(f"{a.out}/{name}")
-    sinks.write_table(species.join(named.select("tax_id", "name"), "tax_id", "left").orderBy(*cohort.by_burden()), f"{a.out}/species_summary.tsv")
+    fields = cohort.species_fields(fact, n, named, flags, readers.read_flags(spark, f"{a.flags}/abs/flagged_samples.tsv"))
+    sinks.write_table(fields.orderBy(F.desc_nulls_last("cohort_burden_ppm"), F.desc("cohort_raw_total"), "tax_id"), f"{a.out}/species_summary.tsv")
     stats = cohort.sample_stats(fact)
     sinks.write_table(stats.orderBy("sample_id"), f"{a.out}/per_sample_summary.tsv")
     sinks.write_table(cohort.over_threshold(stats, a.threshold_ppm).orderBy(F.desc("abs_ppm"), "sample_id"), f"{a.out}/variant_impact_flagged.tsv")
@@ -218,7 +231,7 @@ def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"tallytree {a.command}").getOrCreate()
     try:
-        {"aggregate": run_aggregate, "detect": run_detect, "report": run_report, "summary": run_summary}[a.command](spark, a)
+        {"aggregate": run_aggregate, "detect": run_detect, "report": run_report, "summary": run_summary, "extraction": run_extraction}[a.command](spark, a)
     except (ValueError, OSError) as e:
         print(f"tallytree: {e}", file=sys.stderr)
         return 1

@@ -54,6 +54,18 @@ def histogram(rows: DataFrame, value: str, bins: int, log: bool = False) -> Data
     return every.join(placed.groupBy("bin").agg(F.count("*").alias("n")), "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def histograms(rows: DataFrame, key: str, value: str, bins: int) -> DataFrame:
+    """``key`` and ``counts``: how many of the key's values over 0 are in each of ``bins`` of
+    equal width on a logarithmic scale, from its least to its greatest value."""
+    x = rows.where(F.col(value) > 0).select(key, F.log10(F.col(value).cast("double")).alias("x"))
+    whole = Window.partitionBy(key)
+    ends = x.withColumn("lo", F.min("x").over(whole)).withColumn("hi", F.max("x").over(whole))
+    width = F.when(F.col("hi") <= F.col("lo"), F.lit(1.0)).otherwise(F.col("hi") - F.col("lo")) / bins
+    placed = ends.select(key, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)).cast("int").alias("bin"))
+    counted = placed.groupBy(key, "bin").agg(F.count("*").alias("n")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"))
+    return counted.select(key, F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.coalesce(F.col("m")[b], F.lit(0).cast("long"))).alias("counts"))
+
+
 def summary(value: str) -> list[Column]:
     """n, least, 5, 25, 50, 75, 95 % and greatest of what is neither null nor NaN."""
     x = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))

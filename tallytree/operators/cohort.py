@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.robust import upper_median
+from ..functions.robust import histograms, upper_median
 from ..schema import HUMAN
 
 #: Prevalence from which a label is core, or accessory.
@@ -52,6 +52,24 @@ def species(fact: DataFrame, n_samples: int, flags: DataFrame | None = None) ->
     return out.join(n, "tax_id", "left").withColumn("flagged_samples", F.coalesce("flagged_samples", F.lit(0)))
 
 
+def species_fields(fact: DataFrame, n_samples: int, labels: DataFrame, flags: DataFrame, abs_flags: DataFrame, bins: int = 12) -> DataFrame:
+    """All that a cohort's report says of a label: what ``species`` has, the label's name
+    (its number where it has none) and domain, the spread of its burden, the samples that
+    either pass flags for it, and a logarithmic histogram of its CPM."""
+    rows = species(fact, n_samples, flags)
+    positive = F.when(F.col("abs") > 0, F.col("abs").cast("double"))
+    burden = fact.where(F.col("tax_id") != HUMAN).groupBy("tax_id").agg((F.percentile(positive, 0.75) - F.percentile(positive, 0.25)).alias("abs_iqr_pos"), F.percentile(positive, 0.95).alias("abs_p95_pos"))
+    also = abs_flags.where("sample_id <> ''").groupBy("tax_id").agg(F.countDistinct("sample_id").alias("n_flagged_abs"))
+    said = labels.select("tax_id", "name", *(["domain"] if "domain" in labels.columns else [F.lit(None).cast("string").alias("domain")])).dropDuplicates(["tax_id"])
+    out = rows.join(burden, "tax_id").join(also, "tax_id", "left").join(said, "tax_id", "left").join(histograms(fact, "tax_id", "cpm", bins), "tax_id", "left")
+    return out.select(
+        "tax_id", F.coalesce("name", F.col("tax_id").cast("string")).alias("name"), F.coalesce("domain", F.lit("Unannotated")).alias("domain"), "prevalence", "prevalence_at_min", F.col("positives").alias("positives_n"),
+        F.lit(LEAST_READS).alias("min_reads_for_prevalence"), F.col("cpm_median").alias("cpm_median_pos"), F.col("cpm_iqr").alias("cpm_iqr_pos"), F.col("cpm_p95").alias("cpm_p95_pos"), F.col("abs_median").alias("abs_median_pos"), "abs_iqr_pos", "abs_p95_pos",
+        F.col("raw_total").alias("cohort_raw_total"), F.col("burden").alias("cohort_burden_ppm"), F.col("flagged_samples").alias("n_flagged_primary"), F.coalesce("n_flagged_abs", F.lit(0).cast("long")).alias("n_flagged_abs"), F.col("robust_cv").alias("cv_robust"),
+        F.array_join(F.coalesce("counts", F.array_repeat(F.lit(0).cast("long"), bins)), ",").alias("sparkline"),
+    )
+
+
 def ranked(rows: DataFrame, order: list[Column], most: int, *keys: str, name: str = "rank") -> DataFrame:
     """The first ``most`` rows of each key, numbered."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -109,6 +109,15 @@ def provenance(samples: DataFrame, summaries: DataFrame) -> DataFrame:
     return samples.join(said, "sample_id", "left")
 
 
+def extraction(expected: DataFrame, files: DataFrame, summaries: DataFrame) -> DataFrame:
+    """A row for each expected sample: ``sample_id``, ``input``, ``status`` (OK where it has
+    files of reads), ``read_count`` (over its files: sample_id, source_path, reads), the totals
+    of its document, and ``output_files``, in order."""
+    done = files.groupBy("sample_id").agg(F.sum("reads").alias("read_count"), F.array_join(F.sort_array(F.collect_set("source_path")), ";").alias("output_files"))
+    told = provenance(batch(expected, done.select("sample_id", "read_count", F.lit(None).cast("long").alias("total_reads"))).drop("total_reads"), summaries)
+    return told.join(done.select("sample_id", "output_files"), "sample_id", "left").select("sample_id", "input", "status", "read_count", "total_mapped", "total_unmapped", "total_reads", F.coalesce("output_files", F.lit("")).alias("output_files"))
+
+
 def drill_down(fact: DataFrame, species: DataFrame, labels: int = 25, samples: int = 10) -> DataFrame:
     """``place`` (by burden), ``tax_id``, ``rank``, ``sample_id``, ``raw``, ``cpm``, ``abs``: the
     samples that have most of each of the first informative labels."""

@@ -48,6 +48,16 @@ def extraction_batch(spark: SparkSession, d: str) -> DataFrame:
     return reporting.batch(t.counts(spark, d), done)
 
 
+@query(", f AS (SELECT sample_id, l_returnflag, count(*) // 4 AS reads FROM reads WHERE sample_id NOT LIKE 'Brand#2%' GROUP BY ALL), g AS (SELECT sample_id, CAST(sum(reads) AS BIGINT) AS n, string_agg(sample_id || '_' || l_returnflag, ';' ORDER BY l_returnflag) AS files FROM f GROUP BY 1) SELECT s.sample_id, CASE WHEN t.total_reads IS NOT NULL THEN 'lines of ' || s.sample_id END AS input, CASE WHEN g.n IS NULL THEN 'FAILED' ELSE 'OK' END AS status, coalesce(g.n, 0) AS read_count, m.total_mapped, CAST(t.total_reads - m.total_mapped AS BIGINT) AS total_unmapped, CAST(t.total_reads AS BIGINT) AS total_reads, coalesce(files, '') AS output_files FROM (SELECT DISTINCT sample_id FROM counts) s LEFT JOIN g ON g.sample_id = s.sample_id LEFT JOIN totals t ON t.sample_id = s.sample_id LEFT JOIN (SELECT sample_id, count(*) FILTER (l_returnflag <> 'N') AS total_mapped FROM reads WHERE sample_id <> 'Brand#1' GROUP BY 1) m ON m.sample_id = s.sample_id")
+def extraction_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as lines of FASTQ files, one a return flag; some samples have none."""
+    lines = t.reads(spark, d).where("sample_id NOT LIKE 'Brand#2%'").select("sample_id", F.concat_ws("_", "sample_id", "l_returnflag").alias("source_path"))
+    files = readers.fastq_counts(lines.select("source_path")).join(lines.distinct(), "source_path")
+    sums = t.reads(spark, d).where(F.col("sample_id") != t.UNTOLD).groupBy("sample_id").agg(F.sum(F.col("l_quantity").cast("long")).alias("total_reads"), F.count_if(F.col("l_returnflag") != "N").alias("total_mapped"))
+    said = sums.select("sample_id", F.concat(F.lit("lines of "), "sample_id").alias("input"), "total_reads", "total_mapped", (F.col("total_reads") - F.col("total_mapped")).alias("total_unmapped"), F.lit(None).cast("string").alias("extraction_time"))
+    return reporting.extraction(t.counts(spark, d).select("sample_id").distinct(), files, said)
+
+
 @query("SELECT l_linestatus AS source_path, count(*) // 4 AS reads FROM lineitem GROUP BY 1", shared=False)
 def fastq_counts(spark: SparkSession, d: str) -> DataFrame:
     return readers.fastq_counts(t.table(spark, d, "lineitem").select(F.col("l_linestatus").alias("source_path"), F.lit("line").alias("value")))
@@ -299,6 +309,24 @@ def heat_map_distances(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ordination.pairwise(top_cells(spark, d)).select("a", "b", "bray_curtis"), "bray_curtis")
 
 
+@query(""", q AS (SELECT tax_id, quantile_cont(abs, 0.75) - quantile_cont(abs, 0.25) AS iqr, quantile_cont(abs, 0.95) AS p95 FROM fact WHERE tax_id <> 9606 GROUP BY 1),
+lg AS (SELECT tax_id, log10(cpm) AS x FROM measured), e AS (SELECT tax_id, min(x) AS lo, CASE WHEN max(x) <= min(x) THEN 1 ELSE max(x) - min(x) END / 12 AS w FROM lg GROUP BY 1),
+h AS (SELECT lg.tax_id, CAST(least(floor((x - lo) / w), 11) AS INT) AS bin, count(*) AS n FROM lg JOIN e ON e.tax_id = lg.tax_id GROUP BY ALL), sp AS (SELECT s.tax_id, string_agg(coalesce(n, 0), ',' ORDER BY b) AS sparkline FROM species s CROSS JOIN range(12) r(b) LEFT JOIN h ON h.tax_id = s.tax_id AND h.bin = r.b GROUP BY 1),
+fp AS (SELECT tax_id, count(DISTINCT sample_id) AS n FROM flags GROUP BY 1), fa AS (SELECT tax_id, count(DISTINCT sample_id) AS n FROM flags WHERE deviation > 3 GROUP BY 1)
+SELECT s.tax_id, coalesce(name, CAST(s.tax_id AS VARCHAR)) AS name, coalesce(domain, 'Unannotated') AS domain, round(prevalence, 6) AS prevalence, round(prevalence_at_min, 6) AS prevalence_at_min, positives AS positives_n, 5 AS min_reads_for_prevalence,
+  round(cpm_median, 4) AS cpm_median_pos, round(cpm_iqr, 4) AS cpm_iqr_pos, round(cpm_p95, 4) AS cpm_p95_pos, round(abs_median, 4) AS abs_median_pos, round(iqr, 4) AS abs_iqr_pos, round(p95, 4) AS abs_p95_pos, raw_total AS cohort_raw_total, round(burden, 4) AS cohort_burden_ppm,
+  coalesce(fp.n, 0) AS n_flagged_primary, coalesce(fa.n, 0) AS n_flagged_abs, round(robust_cv, 6) AS cv_robust, sparkline
+FROM species s JOIN q ON q.tax_id = s.tax_id JOIN sp ON sp.tax_id = s.tax_id LEFT JOIN nodes ON nodes.tax_id = s.tax_id LEFT JOIN domains d ON d.tax_id = s.tax_id LEFT JOIN fp ON fp.tax_id = s.tax_id LEFT JOIN fa ON fa.tax_id = s.tax_id""")
+def species_table(spark: SparkSession, d: str) -> DataFrame:
+    """All nineteen fields of a label."""
+    fact = t.fact(spark, d)
+    labels = t.nodes(spark, d).select("tax_id", "name").join(t.domains(spark, d), "tax_id", "left")
+    unnamed = fact.select("tax_id", F.lit(None).cast("string").alias("name"), "domain").distinct().join(labels, "tax_id", "left_anti")
+    flags = flagged(spark, d, method="mad", mad_threshold=2.0)
+    rows = cohort.species_fields(fact, t.sample_count(fact), labels.unionByName(unnamed), flags, flags.where("deviation > 3"))
+    return rounded(rounded(rows, "prevalence", "prevalence_at_min", "cv_robust"), "cpm_median_pos", "cpm_iqr_pos", "cpm_p95_pos", "abs_median_pos", "abs_iqr_pos", "abs_p95_pos", "cohort_burden_ppm", places=4)
+
+
 @query(", f AS (SELECT tax_id, CAST(row_number() OVER (ORDER BY burden DESC NULLS LAST, raw_total DESC, tax_id) AS INT) AS place FROM species WHERE tax_id NOT IN (0, 1) QUALIFY place <= 25) SELECT place, m.tax_id, CAST(row_number() OVER (PARTITION BY m.tax_id ORDER BY raw DESC, sample_id) AS INT) AS rank, sample_id, raw, round(cpm, 4) AS cpm, round(abs, 4) AS abs FROM measured m JOIN f ON f.tax_id = m.tax_id QUALIFY rank <= 10")
 def drill_down(spark: SparkSession, d: str) -> DataFrame:
     return rounded(reporting.drill_down(t.fact(spark, d), species_of(spark, d)), "cpm", "abs", places=4)

@@ -167,6 +167,20 @@ def fastq_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source_path").agg(F.floor(F.count("*") / 4).alias("reads"))
 
 
+def read_fastq_counts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``sample_id``, ``source_path`` and ``reads`` of FASTQ files, packed ones too; what of
+    a file can't be unpacked isn't counted. One without a line has 0 reads."""
+    rows = spark.read.option("ignoreCorruptFiles", "true").text(paths).select(F.col("_metadata.file_path").alias("source_path"))
+    alike = lambda df: df.withColumn("source_path", F.regexp_replace("source_path", "^([a-z0-9]+):///", "$1:/"))
+    every = alike(files_of(spark, paths)).join(fastq_counts(alike(rows)), "source_path", "left")
+    return every.select(sample_of_fastq(file_name()).alias("sample_id"), "source_path", F.coalesce("reads", F.lit(0).cast("long")).alias("reads"))
+
+
+def sample_of_fastq(name: Column) -> Column:
+    """Up to the mate, or to the first dot."""
+    return F.regexp_extract(name, r"^(.+?)(?:[._](?:R?[12]|unmapped|singleton|other|interleaved|reads)\b.*|\..*)$", 1)
+
+
 #: A tier's suffix, with the two decimals of its threshold.
 TIER = r"conf(\d+)p(\d+)$"
 

@@ -1,5 +1,6 @@
 """From report files to flags and a report, through the shell's entry."""
 
+import gzip
 import json
 
 from pyspark.sql import functions as F
@@ -158,3 +159,17 @@ def test_batches_that_arrive_equal_one_run(spark, tmp_path):
     again = spark.read.schema(arrivals.ROWS).parquet(f"{tmp_path}/two/rows").where("batch = 1").selectExpr("sample_id", "source_path", "tax_id", "raw AS direct_reads", "0 AS line_ord")
     arrivals.take_in(spark.createDataFrame(again.collect(), again.schema), 1, f"{tmp_path}/two")
     assert state(f"{tmp_path}/two") == two
+
+
+def test_what_was_extracted(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, reads in (("A_R1.fastq.gz", 3), ("A_R2.fastq.gz", 2), ("B.unmapped.fastq.gz", 0)):
+        (folder / name).write_bytes(gzip.compress(b"@r\nACGT\n+\nIIII\n" * reads + b"@cut\n"))
+    for name in "ABC":
+        (folder / f"{name}.json").write_text(json.dumps({"sample_id": name, "input": f"{name}.bam", "total_reads": 10, "total_mapped": 7, "total_unmapped": 3, "per_chromosome": [{"chrom": "chr1", "length": 5, "mapped": 7, "unmapped": 3}]}))
+    assert cli.main(["extraction", f"{folder}/*.gz", "--idxstats", f"{folder}/*.json", "--out", f"{tmp_path}/out"]) == 0
+    rows = {r["sample_id"]: r for r in spark.read.csv(f"{tmp_path}/out/extraction_summary.tsv", sep="\t", header=True).collect()}
+    assert {k: (r["input"], r["status"], r["read_count"], r["total_mapped"]) for k, r in rows.items()} == {"A": ("A.bam", "OK", "5", "7"), "B": ("B.bam", "OK", "0", "7"), "C": ("C.bam", "FAILED", "0", "7")}
+    assert rows["A"]["output_files"].count(";") == 1
+    assert spark.read.csv(f"{tmp_path}/out/idxstats.tsv", sep="\t", header=True).count() == 3
