@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts, tokenizer_path
+from .common import held, lean, slices, texts, tokenizer_path
 
 #: White space as the tokenizer's pattern has it (Unicode's White_Space).
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -117,12 +117,6 @@ class Counter(dict):
         return self.plain(text)
 
 
-@lru_cache(1)
-def counter_of(name: str) -> Counter:
-    """A worker's own, which its next task finds filled."""
-    return Counter(tokenizer_path(name))
-
-
 def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", key: str = "doc_id") -> DataFrame:
     """``key``, ``n_bytes`` and ``n_tokens`` of each text.
 
@@ -132,7 +126,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", key: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter_of(tokenizer)
+        count = held(Counter, tokenizer_path(tokenizer))
         for b in slices(batches):
             found = b.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays(
@@ -141,7 +135,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", key: str
             )
 
     rows = texts(docs, key)
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, n_bytes long, n_tokens long")
+    return rows.mapInArrow(lean(run, keeps=True), f"`{key}` {rows.schema[key].dataType.simpleString()}, n_bytes long, n_tokens long")
 
 
 def over_limit(counts: DataFrame, limit: int) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -116,6 +118,49 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
+_held: dict[tuple, Any] = {}
+
+
+def held(make: Callable[..., Any], *of: Any) -> Any:
+    """``make(*of)``, which a worker keeps filled for its next task. It keeps one
+    such table at a time: another one takes its place."""
+    if (make, of) not in _held:
+        forget()
+        _held[make, of] = make(*of)
+    return _held[make, of]
+
+
+def forget() -> None:
+    _held.clear()
+
+
+def give_back() -> None:
+    """Returns to the system what the worker has freed, which the allocators would keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(run: Run, keeps: bool = False) -> Run:
+    """``run`` as a step of many on the same workers, which outlive their tasks: it
+    starts without a table of another step (unless it ``keeps`` one itself) and ends
+    without memory that it no longer uses."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            forget()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
+
+
 def steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """A string or binary column in runs of rows of about ``most`` bytes:
     first row, row after the last, the run's bytes, its offsets from 0 on."""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, mix, slices, steps, texts, written
+from .common import discard, lean, mix, slices, steps, texts, written
 from .decontaminate import sized
 from .wordhash import SPACED, span_hashes, sums, word_spans
 
@@ -128,7 +128,7 @@ def signed(rows: DataFrame, size: int, idx: Index) -> DataFrame:
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * keys.shape[1], pa.int32()), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([b.column("key").slice(at, n), b.column("id").slice(at, n), pa.array(count), digests(doc, h, n), flat], names=["key", "id", "n", "digest", "keys"])
 
-    return rows.mapInArrow(run, "key long, id long, n long, digest binary, keys array<long>")
+    return rows.mapInArrow(lean(run), "key long, id long, n long, digest binary, keys array<long>")
 
 
 def digests(doc: np.ndarray, h: np.ndarray, n: int) -> pa.Array:
@@ -150,7 +150,7 @@ def sets_of(rows: DataFrame, ids: DataFrame, size: int) -> DataFrame:
                 cut = np.searchsorted(doc, np.arange(to - at + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column("id").slice(at, to - at), digests(doc, h, to - at), pa.ListArray.from_arrays(pa.array(cut), pa.array(h.view(np.int64)))], names=["id", "digest", "s"])
 
-    found = needed.select("id", "text").mapInArrow(run, "id long, digest binary, s array<long>").dropDuplicates(["id", "digest"])
+    found = needed.select("id", "text").mapInArrow(lean(run), "id long, digest binary, s array<long>").dropDuplicates(["id", "digest"])
     return found.select("id", F.xxhash64("digest").alias("u"), "s")
 
 
@@ -165,7 +165,7 @@ def sharper(full: DataFrame, idx: Index) -> DataFrame:
             keys = keys_of(np.repeat(np.arange(len(sizes)), sizes), h, len(sizes), idx)
             yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(np.repeat(np.arange(len(sizes)), keys.shape[1]))), pa.array(keys.ravel().view(np.int64))], names=["id", "key"])
 
-    return full.select("id", "s").mapInArrow(run, "id long, key long")
+    return full.select("id", "s").mapInArrow(lean(run), "id long, key long")
 
 
 def links(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:

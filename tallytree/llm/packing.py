@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_count import byte_symbols
-from .common import slices, texts, tokenizer_path, written
+from .common import held, lean, slices, texts, tokenizer_path, written
 
 HASHED, DIMENSIONS, BITS = 1024, 4, 15
 #: Bits of the key by which the curve's cells are weighed: so many of them at most that the driver deals out.
@@ -94,12 +93,6 @@ class Chunks(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-@lru_cache(1)
-def chunks_of(name: str) -> Chunks:
-    """A worker's own, which its next task finds filled."""
-    return Chunks(name)
-
-
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     """The place on the Hilbert curve of each row of unsigned coordinates below
     2 ** bits (Skilling's transposed form, for all rows at once)."""
@@ -144,7 +137,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, key: str) -> DataFra
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = chunks_of(tokenizer)
+        chunks = held(Chunks, tokenizer)
         for b in slices(batches):
             ids = [chunks.text(t) for t in b.column("text").to_pylist()]
             keys = pa.array(curve_keys(ids), pa.int64())
@@ -152,7 +145,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, key: str) -> DataFra
             yield pa.RecordBatch.from_arrays([b.column(key), keys, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=[key, "curve", "n", "ids"])
 
     rows = texts(docs, key)
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, curve long, n long, ids binary")
+    return rows.mapInArrow(lean(run, keeps=True), f"`{key}` {rows.schema[key].dataType.simpleString()}, curve long, n long, ids binary")
 
 
 def cuts(length: int) -> list[int]:
@@ -251,4 +244,4 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
         if done:
             yield out()
 
-    return ordered.select(key, "ids", "part").mapInArrow(run, f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return ordered.select(key, "ids", "part").mapInArrow(lean(run), f"`{key}` {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

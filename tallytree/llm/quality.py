@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import modest_batches, mix, steps, texts
+from .common import lean, modest_batches, mix, steps, texts
 from .wordhash import SPACED, span_hashes, sums, word_spans
 
 #: Classes of bytes whose shares are statistics.
@@ -164,7 +164,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", most
             yield pa.RecordBatch.from_arrays([b.column(key), b.column("y"), pa.array([r.tobytes() for x in found for r in x], pa.binary())], names=["k", "y", "x"])
 
     rows = labelled(docs, labels, label, most, key)
-    got = rows.mapInArrow(run, f"k {rows.schema[key].dataType.simpleString()}, y int, x binary").toArrow().to_pylist()
+    got = rows.mapInArrow(lean(run), f"k {rows.schema[key].dataType.simpleString()}, y int, x binary").toArrow().to_pylist()
     got.sort(key=lambda r: (r["k"], r["x"]))
     x = np.frombuffer(b"".join(r["x"] for r in got)).reshape(-1, WIDTH)
     return fit_trees(x, np.array([r["y"] for r in got], float))
@@ -193,4 +193,4 @@ def quality_scores(docs: DataFrame, model: Trees, key: str = "doc_id", keep: tup
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     fields = [f for f in rows.schema if keep or f.name != at]
-    return rows.mapInArrow(run, StructType([*fields, StructField("score", DoubleType())]))
+    return rows.mapInArrow(lean(run), StructType([*fields, StructField("score", DoubleType())]))

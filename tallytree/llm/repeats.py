@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, kept, matched, mix, slices, steps, texts, written
+from .common import discard, kept, lean, matched, mix, slices, steps, texts, written
 from .decontaminate import sized
 from .wordhash import span_hashes, sums
 
@@ -104,7 +104,7 @@ def parsed(rows: DataFrame, length: int, cores: bool = False) -> DataFrame:
                 ids = [b.column(c).slice(at, to - at).take(pa.array(doc)) for c in ID]
                 yield pa.RecordBatch.from_arrays([*hashes, *ids, at_], names=[c.split()[0] for c in PARSE.split(", ")])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 COMPARED = "a long, b long, tail binary, id long, row long, lo int, lone boolean"
@@ -144,7 +144,7 @@ def compared(rows: DataFrame, entries: DataFrame, length: int) -> DataFrame:
                     first = last
 
     grouped = entries.groupBy(*ID).agg(F.collect_set(F.struct("lo", "hi", "lone", "mixed")).alias("entries"))
-    return rows.join(grouped, list(ID)).select(*ID, "text", "entries").mapInArrow(run, COMPARED)
+    return rows.join(grouped, list(ID)).select(*ID, "text", "entries").mapInArrow(lean(run), COMPARED)
 
 
 def common_prefix(x: bytes, y: bytes) -> int:
@@ -181,7 +181,7 @@ def neighbours_in_order(rows: DataFrame) -> DataFrame:
         if before is not None:
             yield batch([(*before, open_row if open_row >= 0 else None, True)])
 
-    return rows.select(*COMPARED_NAMES).mapInArrow(run, f"{COMPARED}, more int, edge boolean")
+    return rows.select(*COMPARED_NAMES).mapInArrow(lean(run), f"{COMPARED}, more int, edge boolean")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -281,4 +281,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", k
                 kept.append(b"".join([*parts, raw[at:]])), sizes.append(len(raw)), gone.append([{"start": x, "end": y} for x, y in runs_of])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(sizes, pa.int64()), pa.array(gone, kind), pa.array(kept, pa.binary()), pa.array([k.decode(errors="ignore") for k in kept], pa.string())], names=[*names, "n_bytes", "removed", "kept", "text"])
 
-    return clean.unionByName(hit.mapInArrow(run, clean.schema))
+    return clean.unionByName(hit.mapInArrow(lean(run), clean.schema))
