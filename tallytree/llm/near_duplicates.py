@@ -39,6 +39,8 @@ MISS = 1e-6
 CROWD = 40
 #: Centres of a larger one, beside the least id.
 DRAWS = 5
+#: Pairs of one text that a task takes; the text's set is copied for each such share.
+SHARE = 1000
 #: Keys of a crowded text's second index at most.
 SHARP_KEYS = 56
 
@@ -168,10 +170,22 @@ def sharper(full: DataFrame, idx: Index) -> DataFrame:
     return full.select("id", "s").mapInArrow(lean(run), "id long, key long")
 
 
+def dealt(rows: DataFrame, sets: DataFrame, on: str, pairs: DataFrame) -> DataFrame:
+    """``rows`` joined with ``sets`` (one row an id ``on``). The rows of an id that has
+    more than ``SHARE`` are dealt by hash to copies of its set, so that a centre's
+    members don't meet in one task. ``pairs`` are the rows' own ids, written."""
+    shares = F.ceil(F.count("*") / SHARE)
+    many = written(pairs.groupBy(F.col(on).alias("many")).agg(shares.alias("shares")).where("shares > 1"))
+    few = sized(many)
+    met = rows.join(few, F.col(on) == F.col("many"), "left").withColumn("share", F.pmod(F.xxhash64(*pairs.columns), F.coalesce("shares", F.lit(1)))).select(*rows.columns, "share")
+    copies = sets.join(few, F.col(on) == F.col("many"), "left").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("shares", F.lit(1)) - 1))).select(*sets.columns, "share")
+    return met.join(copies, [on, "share"]).drop("share")
+
+
 def links(full: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose full sets have 100 * intersection >= percent * union."""
-    one = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-    both = one.join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    one = dealt(pairs, full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a", pairs)
+    both = dealt(one, full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b", pairs)
     # row by row in the JVM: a batch of pairs of whole sets would be hundreds of MB
     same = F.size(F.array_intersect("sa", "sb"))
     alike = 100 * F.least(F.size("sa"), F.size("sb")) >= percent * F.greatest(F.size("sa"), F.size("sb"))
@@ -232,7 +246,7 @@ def around(full: DataFrame, crowd: DataFrame, percent: int) -> DataFrame:
     then the empty set); one at the border, by both.
     """
     sets = full.select("id", "u", "s")
-    met = crowd.join(sets, "id").join(sets.select(F.col("id").alias("c"), F.col("u").alias("uc"), F.col("s").alias("sc")), "c")
+    met = dealt(crowd.join(sets, "id"), sets.select(F.col("id").alias("c"), F.col("u").alias("uc"), F.col("s").alias("sc")), "c", crowd)
     n, off = F.size("s"), F.concat(F.array_except("s", "sc"), F.array_except("sc", "s"))
     met = met.select("id", "c", "comp", "u", "uc", "s", n.alias("n"), F.size("sc").alias("nc"), off.alias("off"))
     d, most = F.size("off"), apart(F.floor(F.col("n") * (100 + percent) / percent), percent)

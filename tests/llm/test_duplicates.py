@@ -56,6 +56,7 @@ def brute_components(texts, percent):
 @pytest.mark.parametrize(("percent", "crowd"), [(85, 40), (80, 3)])
 def test_near_duplicates_are_those_of_brute_force(spark, monkeypatch, percent, crowd):
     monkeypatch.setattr(near_duplicates, "CROWD", crowd)
+    monkeypatch.setattr(near_duplicates, "SHARE", 2)
     texts = near_texts()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates.near_duplicates(table(spark, texts), percent).collect()}
     assert [got[i] for i in range(len(texts))] == brute_components(texts, percent)
