@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import checked_threshold, tier_suffix
@@ -10,28 +10,73 @@ from .aggregate import of_ranks
 from .taxonomy import roll_up
 
 
+def cut(kmers: Column) -> Column:
+    """The tokens of a k-mer string. All white space is made a blank first: cutting at a blank needs no pattern."""
+    return F.split(F.translate(kmers, "\t\n\x0b\f\r", " " * 5), " ")
+
+
+def number(text: Column) -> Column:
+    """``text`` as a long, null if it isn't one. What has a letter or no digit is not tried: a
+    cast that fails costs as much as hundreds that don't."""
+    return F.when(text.rlike("^[^A-Za-z]*[0-9][^A-Za-z]*$"), text.try_cast("long"))
+
+
+def count_of(token: Column) -> Column:
+    """What follows a token's last colon, if that is a number; null in malformed tokens."""
+    return F.when(F.contains(token, F.lit(":")), number(F.substring_index(token, ":", -1)))
+
+
+def label_of(token: Column) -> Column:
+    """What comes before a token's last colon."""
+    return F.substring(token, F.lit(1), F.length(token) - F.length(F.substring_index(token, ":", -1)) - 1)
+
+
 def tokens(reads: DataFrame, kmers: str = "kmers") -> DataFrame:
     """``label`` and ``n`` of each k-mer token, beside the other columns. The
     count follows the last colon; pair marks, malformed tokens and counts under 1 go."""
     rest = [c for c in reads.columns if c != kmers]
-    cut = reads.select(*rest, F.explode(F.split(F.trim(F.col(kmers)), r"\s+")).alias("t")).where("t <> '|:|'")
-    parts = cut.select(*rest, F.regexp_extract("t", "^(.*):([^:]*)$", 1).alias("label"), F.regexp_extract("t", "^(.*):([^:]*)$", 2).try_cast("long").alias("n"))
-    return parts.where("n > 0")
+    each = reads.select(*rest, F.explode(cut(F.col(kmers))).alias("t")).where("t <> '|:|'")
+    return each.select(*rest, "t", count_of(F.col("t")).alias("n")).where("n > 0").select(*rest, label_of(F.col("t")).alias("label"), "n")
+
+
+def own_sums(reads: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, ``tax_id``, and of each row's k-mers, but for ambiguous ones, those of its
+    own label and all: summed within the row. An unassigned read's aren't parsed."""
+    parsed = F.transform(cut(F.when(F.col("tax_id") > 0, F.col("kmers"))), lambda t: F.struct(label_of(t).alias("label"), count_of(t).alias("n")))
+    counted = F.filter(parsed, lambda x: (x["n"] > 0) & (x["label"] != "A"))
+    zero = F.lit(0).cast("long")
+    summed = F.aggregate(counted, F.struct(zero.alias("inside"), zero.alias("total")), lambda s, x: F.struct((s["inside"] + F.when(number(x["label"]) == F.col("tax_id"), x["n"]).otherwise(zero)).alias("inside"), (s["total"] + x["n"]).alias("total")))
+    return reads.select(*keys, "tax_id", summed.alias("s")).select(*keys, "tax_id", F.lit(1).cast("long").alias("lines"), F.coalesce("s.inside", zero).alias("inside"), F.coalesce("s.total", zero).alias("total"))
+
+
+def kmer_sums(reads: DataFrame, lineage: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, ``tax_id``, ``lines`` (rows of ``reads``), ``inside`` (k-mers of the label or
+    one of its descendants), ``total`` (all but ambiguous ones). Only reads whose label has
+    others below it look their tokens up in the tree; of all others a row of numbers is
+    shuffled, and k-mer strings never are."""
+    keys = tuple(k for k in keys if k != "tax_id")
+    below = lineage.where("tax_id <> ancestor_id").select(F.col("tax_id").alias("label_id"), F.col("ancestor_id").alias("tax_id"))
+    inner = reads.select(*keys, "tax_id", "kmers").where("tax_id > 0").join(below.select("tax_id").distinct(), "tax_id", "left_semi")
+    hits = tokens(inner).where("label <> 'A'").withColumn("label_id", number(F.col("label")))
+    zero = F.lit(0).cast("long")
+    deeper = hits.join(below, ["tax_id", "label_id"]).select(*keys, "tax_id", zero.alias("lines"), F.col("n").alias("inside"), zero.alias("total"))
+    # dealt first: almost every read is one row, so that there is nothing to combine before
+    rows = own_sums(reads, *keys).unionByName(deeper).repartition(*keys, "tax_id")
+    return rows.groupBy(*keys, "tax_id").agg(*(F.sum(c).alias(c) for c in ("lines", "inside", "total")))
+
+
+def share() -> Column:
+    """The confidence of ``kmer_sums``' rows: 0 for an unassigned read and for one without k-mers that count."""
+    ratio = F.when((F.col("tax_id") > 0) & (F.col("total") > 0), F.col("inside") / F.col("total")).otherwise(0.0)
+    return F.coalesce(ratio, F.lit(0.0)).alias("confidence")
 
 
 def read_confidence(reads: DataFrame, lineage: DataFrame, *keys: str) -> DataFrame:
     """``keys``, ``tax_id``, ``confidence``: the share of a read's k-mers, but
     for ambiguous ones ("A"), whose label is its own or one of its descendants.
     0 for an unassigned read and for one without such k-mers."""
-    hits = tokens(reads.select(*keys, "tax_id", "kmers")).where("label <> 'A'")
-    # equal tokens of a read are one row from here on
-    hits = hits.groupBy(*keys, "tax_id", "label").agg(F.sum("n").alias("n")).withColumn("label_id", F.col("label").try_cast("long"))
-    under = lineage.select(F.col("tax_id").alias("label_id"), F.col("ancestor_id").alias("at"))
-    found = hits.join(under, (F.col("tax_id") == F.col("at")) & (hits["label_id"] == under["label_id"]), "left")
-    inside = F.col("at").isNotNull() | (F.col("tax_id") == hits["label_id"])
-    sums = found.groupBy(*keys).agg(F.sum(F.when(inside, F.col("n")).otherwise(0)).alias("inside"), F.sum("n").alias("total"))
-    ratio = F.when((F.col("tax_id") > 0) & (F.col("total") > 0), F.col("inside") / F.col("total")).otherwise(0.0)
-    return reads.select(*keys, "tax_id").join(sums, list(keys), "left").select(*keys, "tax_id", F.coalesce(ratio, F.lit(0.0)).alias("confidence"))
+    each = kmer_sums(reads, lineage, *keys)
+    return each.select("*", F.explode(F.array_repeat(F.lit(0), F.col("lines").cast("int"))).alias("line")).select(*keys, "tax_id", share())
 
 
 def tiers(confident: DataFrame, thresholds: list[float]) -> DataFrame:

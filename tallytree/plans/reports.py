@@ -12,7 +12,7 @@ from ..operators import aggregate, cohort, confidence, detect, ordination, repor
 from ..sources import readers, sinks
 from ..streaming import arrivals
 from . import tables as t
-from .catalog import CONFIDENCE_SQL, cells, confident, flagged, merge_sql, query, rounded, species_of
+from .catalog import CONFIDENCE_SQL, cells, confident, flagged, merge_sql, query, rounded, species_of, tiered
 
 THRESHOLDS = [0.1, 0.5, 0.8]
 TIERS = ["conf0p10", "conf0p50", "conf0p80"]
@@ -158,7 +158,7 @@ tsamples AS (SELECT x.tier, d.sample_id, coalesce(own, direct_total) AS direct_t
 
 
 def tier_direct(spark: SparkSession, d: str) -> DataFrame:
-    return confidence.tiers(confident(spark, d).where(F.col("sample_id") != LOST), THRESHOLDS)
+    return tiered(confident(spark, d).where(F.col("sample_id") != LOST), THRESHOLDS)
 
 
 def tier_samples_of(spark: SparkSession, d: str, direct: DataFrame) -> DataFrame:
