@@ -7,6 +7,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows up to which a side of a join is broadcast (a few numbers and names each); beyond it both are shuffled.
+BROADCAST_ROWS = 400_000
 
 
 def folder(spark: SparkSession) -> str:
@@ -38,3 +42,8 @@ def dropped(*tables: DataFrame) -> None:
         spark = t.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(t.kept_at)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def small(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcasting if it has few rows, so that the other side isn't shuffled."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows

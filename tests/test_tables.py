@@ -100,3 +100,22 @@ def test_cohort_small(spark):
     assert {(r["sample_id"], r["domain"], r["share"]) for r in cohort.composition(fact).collect()} == {("a", "Bacteria", 0.3), ("a", "Human", 0.7), ("b", "Unannotated", 1.0)}
     one = spark.createDataFrame([("a",), ("b",)], "sample_id string")
     assert {tuple(r) for r in concordance.agreement(one, one.limit(1)).collect()} == {("a", "both"), ("b", "first only")}
+
+
+def test_tokens_of_any_form(spark):
+    line = "1:2:3 x |:| A:5 :4 7: 8:y 9:+3\t5:1\n6:0  6:-1 12"
+    rows = confidence.tokens(spark.createDataFrame([(line,)], "kmers string")).collect()
+    assert [(r["label"], r["n"]) for r in rows] == [("1:2", 3), ("A", 5), ("", 4), ("9", 3), ("5", 1)]
+
+
+def test_lines_of_one_read_stay_lines(spark, lineage):
+    reads = spark.createDataFrame([("r", 469, "469:5 0:5"), ("r", 469, "1210098:5 junk x:y 0:5"), ("s", 0, "0:9"), ("t", 9606, None)], "read_id string, tax_id long, kmers string")
+    found = confidence.read_confidence(reads, lineage, "read_id").collect()
+    assert sorted((r["read_id"], r["confidence"]) for r in found) == [("r", 0.5), ("r", 0.5), ("s", 0.0), ("t", 0.0)]
+
+
+def test_strings_of_kmers_are_not_shuffled(spark, lineage):
+    reads = spark.range(20).selectExpr("'S' AS sample_id", "id AS read_id", "469L AS tax_id", "concat('469:', id, ' 1210098:2 0:3') AS kmers")
+    plan = confidence.read_confidence(reads, lineage.localCheckpoint(), "sample_id", "read_id")._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "kmers" in line and ("Sort" in line or "collect_list" in line)]
+    assert not sorts and plan.count("Exchange hashpartitioning(sample_id") == 1
