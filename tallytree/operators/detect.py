@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.robust import with_zeros
@@ -24,33 +24,44 @@ def without_labels(cells: DataFrame, tax_ids: Iterable[int]) -> DataFrame:
     return cells.where(~F.col("tax_id").isin(ids)) if ids else cells
 
 
+def by_label(by: Iterable[str]) -> WindowSpec:
+    """The rows of a label. Its number comes first, as sorts compare that without looking into the rows."""
+    return Window.partitionBy("tax_id", *by)
+
+
+def upto(by: Iterable[str], order: str) -> Column:
+    return F.sum("weight").over(by_label(by).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+
+
 def centred(cells: DataFrame, n_samples: int, subtract: bool = True, by: Iterable[str] = ()) -> DataFrame:
     """``by``, tax_id, sample_id, value, weight: with weighted zeros, less the label's
     mean over all samples. Columns ``by`` tell passes apart: a label of one is a label of
-    its own."""
+    its own. ``upto`` says how many values are not above a row's: taking a mean off leaves
+    the order as it is, so that one sort serves the mean and what ``profiled`` reads off."""
     keys = (*by, "tax_id")
     rows = with_zeros(cells, n_samples, *keys)
+    rows = rows.withColumn("upto", upto(by, "value"))
     if not subtract:
         return rows
-    return rows.withColumn("value", F.col("value") - F.sum("value").over(Window.partitionBy(*keys)) / n_samples)
+    return rows.withColumn("value", F.col("value") - F.sum("value").over(by_label(by)) / n_samples)
 
 
 def profiled(rows: DataFrame, by: Iterable[str] = ()) -> DataFrame:
-    """``rows`` (``by``, tax_id, value, weight) with the statistics of their label beside
-    them: ``med``, ``mad`` (not scaled), ``q1``, ``q3``. All are read off the rows in order
-    of their values and of their distances to the median: one shuffle by label, no join,
-    and a label of many samples is sorted on disk, not held in memory."""
-    keys = (*by, "tax_id")
-    whole = Window.partitionBy(*keys)
-    upto = lambda order: F.sum("weight").over(whole.orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+    """``centred``'s rows with the statistics of their label beside them: ``med``, ``mad`` (not
+    scaled), ``q1``, ``q3``, and ``place``, which is 1 in one row of each label. All are read
+    off the rows in order of their values and of their distances to the median: one shuffle
+    by label and two sorts, no join, and a label of many samples is sorted on disk, not held
+    in memory."""
+    whole = by_label(by)
+    rows = rows if "upto" in rows.columns else rows.withColumn("upto", upto(by, "value"))
     at = lambda place, value: F.min(F.when(F.col("upto") > place, F.col(value))).over(whole)
     middle = lambda value: (at(F.expr("(n - 1) div 2"), value) + at(F.expr("n div 2"), value)) / 2
     half, even = "greatest(n div 2, 1)", F.expr("n div 2") % 2 == 0
     first, second = F.expr(f"({half} - 1) div 2"), F.when(even, F.expr(f"{half} div 2")).otherwise(F.expr(f"({half} - 1) div 2"))
     above = F.expr(f"n - {half}")
-    told = rows.withColumn("n", F.sum("weight").over(whole)).withColumn("upto", upto("value"))
+    told = rows.withColumn("n", F.sum("weight").over(whole))
     told = told.withColumns({"med": middle("value"), "q1": (at(first, "value") + at(second, "value")) / 2, "q3": (at(above + first, "value") + at(above + second, "value")) / 2})
-    told = told.withColumn("away", F.abs(F.col("value") - F.col("med"))).withColumn("upto", upto("away"))
+    told = told.withColumn("away", F.abs(F.col("value") - F.col("med"))).withColumns({"upto": upto(by, "away"), "place": F.row_number().over(whole.orderBy("away"))})
     return told.withColumn("mad", middle("away")).drop("n", "upto", "away")
 
 
@@ -209,11 +220,11 @@ def search(
     found = {"mad": over_mad(mad_threshold), "iqr": over_iqr(iqr_multiplier)}
     if "gmm" in wanted:
         found["gmm"] = F.when(in_higher_group() > gmm_threshold, in_higher_group())
-    stored, order = F.col("sample_id").isNotNull(), Window.partitionBy(*keys).orderBy(F.col("sample_id").asc_nulls_first())
+    stored = F.col("sample_id").isNotNull()
     of = lambda name, deviation: F.struct(F.lit(name).cast("string").alias("method"), deviation.cast("double").alias("deviation"))
     hits = [F.when(stored & found[m].isNotNull(), of(m, found[m])) for m in wanted]
     hits.append(F.when(F.col("place") == 1, of(None, F.lit(None))))
-    each = told.withColumn("place", F.row_number().over(order)).withColumn("hit", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())))
+    each = told.withColumn("hit", F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())))
     label = F.col("hit.method").isNull()
     only = lambda c, of_label: F.when(label if of_label else ~label, F.col(c)).alias(c)
     return each.select(*keys, only("sample_id", False), only("value", False), F.col("med").alias("population_median"), "hit.deviation", "hit.method", *(only(c, True) for c in ("mad", "q1", "q3")))

@@ -91,3 +91,10 @@ def test_distances(spark):
     cells = spark.createDataFrame([("a", 1, 2.0), ("b", 1, 2.0), ("c", 2, 5.0), ("c", 1, 1.0)], "sample_id string, tax_id long, value double")
     got = {(r["a"], r["b"]): (r["bray_curtis"], r["jaccard"]) for r in ordination.pairwise(cells).collect()}
     assert got == {("a", "b"): (0.0, 0.0), ("a", "c"): (0.75, 0.5), ("b", "c"): (0.75, 0.5)}
+
+
+def test_detection_sorts_twice(spark):
+    """By value for mean, median and quartiles, by distance for the deviation."""
+    cells = spark.createDataFrame([("a", 1, "S1", 5.0), ("a", 1, "S2", 7.0)], "pass string, tax_id long, sample_id string, value double")
+    plan = detect.search(cells, 3, ("mad", "iqr"), by=("pass",))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(" Sort [") == 2
