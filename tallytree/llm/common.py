@@ -63,12 +63,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return at
 
 
+#: Spark's setting by which a write's shuffle files go when it ends, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: it survives lost
-    executors and no later step computes it twice."""
+    executors and no later step computes it twice. What was shuffled for it goes."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     again = spark.read.schema(df.schema).parquet(path)
     again.scratch_path = path
     return again

@@ -1,8 +1,10 @@
 """Near duplicates, repeated strings and contamination against brute force."""
 
+import glob
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -137,6 +139,17 @@ def test_repeats_are_those_of_brute_force(spark, seed):
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts, 400)
 
 
+def test_what_was_shuffled_for_a_scratch_table_goes(spark):
+    at = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    held = lambda: {f for d in at for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    before = held()
+    rows = common.written(spark.range(20_000).groupBy((F.col("id") % 500).alias("k")).count())
+    ends = time.time() + 10
+    while (left := held() - before) and time.time() < ends:  # files go in the background
+        time.sleep(0.1)
+    assert not left and rows.count() == 500
+
+
 def test_repeats_of_odd_tables(spark):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
     twice = table(spark, ["q" * 100 + "xyz" * 200]).unionByName(table(spark, ["q" * 100 + "xyz" * 200]))
