@@ -296,50 +296,84 @@ def index(vectors: DataFrame, queries: Column, k: int, key: str, vector: str, sa
     # nearest first; more than the calibrated visits while they hold fewer than k others
     nearest = Window.partitionBy("q").orderBy("d", "bin")
     asked = visited(placed.where("asks"), leaf_visits, max(beam, bin_visits)).join(sizes, "bin").withColumn("rank", F.row_number().over(nearest)).withColumn("before", F.coalesce(F.sum("n").over(nearest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    short = asked.where((F.col("rank") <= bin_visits) | (F.col("before") <= k)).select("q", "qv", "bin", "n")
+    short = asked.where((F.col("rank") <= bin_visits) | (F.col("before") <= k)).select("q", "qv", "bin", "n", "rank")
     return placed, short, width, leaf_visits, bin_visits
 
 
-def neighbours(vectors: DataFrame, queries: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
-    """The ``k`` nearest found of each row for which ``queries`` holds, itself
-    left out: ``query_id``, ``rank`` (from 1), ``key``, ``score`` (Euclidean
-    distance in double precision; ties go to the smaller key).
-
-    Vectors that are null, empty, zero, or hold null or non-finite components
-    take no part, nor do those whose length isn't the commonest one (of equally
-    common ones the longest), nor rows with a null key. Fewer than ``k``
-    candidates: all of them. Equal vectors are candidates each. A repeated key
-    is taken as one row, with the vector that sorts first. Empty table: empty result. Other columns are ignored.
-    """
+def candidates(vectors: DataFrame, queries: Column, k: int, key: str, vector: str, sample: int, recall: float) -> DataFrame:
+    """``query_id``, ``id``, ``score`` of all rows that may be among the ``k`` nearest found of
+    a query. Few more than those leave the tasks, however many bins a query visits."""
     placed, asked, _, _, _ = index(vectors, queries, k, key, vector, sample, recall)
-    pages = F.greatest(F.lit(1), F.ceil(F.col("n") / PAGE)).cast("int")
-    # a bin of equal vectors has pages; one that many queries visit is read by several tasks
-    asked = written(asked.withColumn("pages", pages).drop("n"))
-    dealt = written(asked.groupBy("bin", "pages").agg(F.ceil(F.count("*") / QUERY_PAGE).cast("int").alias("deals")))
-    stored = placed.select("id", "v", "bin").join(dealt, "bin").withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages")).cast("int"))
-    stored = stored.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).select("id", "v", "bin", "page", "deal")
-    asked = asked.join(dealt.select("bin", "deals"), "bin").withColumn("deal", F.pmod(F.xxhash64("q"), F.col("deals")).cast("int"))
-    asked = asked.withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1))).select("q", "qv", "bin", "page", "deal")
+    asked = written(asked)
+    # bins of neighbouring leaves lie on one page, so that a query's best leave a page and not a bin; a bin
+    # of equal vectors has pages of its own, and a page that many queries visit is read by several tasks
+    sizes = written(placed.groupBy("bin").agg(F.count("*").alias("n")).withColumn("leaf", F.substring_index("bin", ".", 1).cast("long")))
+    told = sizes.agg(F.sum("n").alias("n"), F.countDistinct("leaf").alias("leaves")).first()
+    group = F.expr(f"leaf div {max(1, PAGE * told['leaves'] // (told['n'] or 1))}")
+    grouped = sizes.withColumn("leaf", group)
+    parts = grouped.groupBy("leaf").agg(F.ceil(F.sum("n") / PAGE).alias("parts"))
+    lies = grouped.join(parts, "leaf").select("bin", F.concat_ws(".", "leaf", F.pmod(F.xxhash64("bin"), F.col("parts"))).alias("part"), F.greatest(F.lit(1), F.ceil(F.col("n") / PAGE)).cast("int").alias("pages"))
+    lies = written(lies)
+    asked = asked.join(lies, "bin").withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+    asked = written(asked.groupBy("q", "part", "page").agg(F.first("qv").alias("qv"), F.collect_set("bin").alias("bins"), F.min("rank").alias("rank")))
+    dealt = written(asked.groupBy("part", "page").agg(F.ceil(F.count("*") / QUERY_PAGE).cast("int").alias("deals")))
+    stored = placed.select("id", "v", "bin").join(lies, "bin").withColumn("page", F.pmod(F.xxhash64("id"), F.col("pages")).cast("int")).drop("pages")
+    stored = stored.join(dealt, ["part", "page"]).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    stored = written(stored.select("id", "v", "bin", "part", "page", "deal"))
+    asked = asked.join(dealt, ["part", "page"]).withColumn("deal", F.pmod(F.xxhash64("q"), F.col("deals")).cast("int")).drop("deals")
 
     def measure(left: pa.Table, right: pa.Table) -> pa.Table:
         out_q, out_id, out_d = [], [], []
         if left.num_rows and right.num_rows:
-            qs, ids = left.column("q").to_numpy(), right.column("id").to_numpy()
+            qs, ids, most_of = left.column("q").to_numpy(), right.column("id").to_numpy(), left.column("most").to_numpy()
             qv, v = matrix(left.column("qv").combine_chunks()), matrix(right.column("v").combine_chunks())
+            numbers: dict[str, int] = {}
+            bins = np.array([numbers.setdefault(name, len(numbers)) for name in right.column("bin").to_pylist()])
+            wanted = left.column("bins").to_pylist()
             for a in range(0, len(qs), 256):
-                near = distances(qv[a : a + 256], v)
-                most = np.partition(near, min(k, len(ids) - 1), axis=1)[:, min(k, len(ids) - 1)]
-                slack = 1e-9 * ((qv[a : a + 256] ** 2).sum(1) + (v**2).sum(1).max())
+                opened = np.zeros((len(qs[a : a + 256]), len(numbers)), bool)
+                for i, names in enumerate(wanted[a : a + 256]):
+                    opened[i, [numbers[x] for x in names if x in numbers]] = True
+                read = np.flatnonzero(opened.any(0)[bins])  # of bins that none of these queries visits nothing is measured
+                if not len(read):
+                    continue
+                near = np.where(opened[:, bins[read]], distances(qv[a : a + 256], v[read]), np.inf)
+                most = np.partition(near, min(k, len(read) - 1), axis=1)[:, min(k, len(read) - 1)]
+                slack = 1e-9 * ((qv[a : a + 256] ** 2).sum(1) + (v[read] ** 2).sum(1).max())
                 for i in range(len(near)):
-                    some = np.flatnonzero(near[i] <= most[i] + slack[i])
+                    some = read[np.flatnonzero((near[i] <= most[i] + slack[i]) & (near[i] < np.inf))]
                     some = some[ids[some] != qs[a + i]]
                     d = np.sqrt(((v[some] - qv[a + i]) ** 2).sum(1))
+                    some, d = some[d <= most_of[a + i]], d[d <= most_of[a + i]]
                     best = np.lexsort((ids[some], d))[:k]
                     out_q += [qs[a + i]] * len(best)
                     out_id += ids[some[best]].tolist()
                     out_d += d[best].tolist()
         return pa.table({"query_id": pa.array(out_q, pa.int64()), "id": pa.array(out_id, pa.int64()), "score": pa.array(out_d, pa.float64())})
 
-    found = asked.groupBy("bin", "page", "deal").cogroup(stored.groupBy("bin", "page", "deal")).applyInArrow(measure, "query_id long, id long, score double")
+    def met(some: DataFrame) -> DataFrame:
+        """The ``k`` nearest of each query on each of its pages, of those that are no farther than ``most``."""
+        by = ("part", "page", "deal")
+        return some.groupBy(*by).cogroup(stored.groupBy(*by)).applyInArrow(measure, "query_id long, id long, score double")
+
+    # the page of the nearest bin first: the last of the k that are found there says how far the others may be
+    home = written(met(asked.where("rank = 1").withColumn("most", F.lit(math.inf))))
+    far = home.groupBy("query_id").agg(F.when(F.count("*") >= k, F.max("score")).alias("most")).withColumnRenamed("query_id", "q")
+    further = asked.where("rank > 1").join(far, "q", "left").withColumn("most", F.coalesce("most", F.lit(math.inf)))
+    return home.unionByName(met(further))
+
+
+def neighbours(vectors: DataFrame, queries: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+    """The ``k`` nearest found of each row for which ``queries`` holds, itself
+    left out: ``query_id``, ``rank`` (from 1), ``key``, ``score`` (Euclidean
+    distance in double precision; ties go to the smaller key).
+
+    Vectors that are null, empty, zero, or hold null or non-finite components
+    take no part, nor do those whose length isn't the commonest one (of equally
+    common ones the longest), nor rows with a null key. Fewer than ``k``
+    candidates: all of them. Equal vectors are candidates each. A repeated key
+    is taken as one row, with the vector that sorts first. Empty table: empty result. Other columns are ignored.
+    """
     nearest = Window.partitionBy("query_id").orderBy("score", "id")
+    found = candidates(vectors, queries, k, key, vector, sample, recall)
     return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(key), "score")

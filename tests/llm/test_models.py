@@ -97,6 +97,26 @@ def brute(ids, x, k, step):
     return out
 
 
+def test_few_candidates_leave_the_bins_of_a_query(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LEAF_ROWS", 64)
+    monkeypatch.setattr(neighbours, "PAGE", 512)
+    x = np.random.default_rng(5).normal(size=(6000, 32))  # without clusters, so that a query visits most bins
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    args = frame, F.col("vec_id") % 100 == 0, 10, "vec_id", "embedding", 1500, 0.97
+    visits = neighbours.index(*args)[1].count()
+    found = neighbours.candidates(*args)
+    rows = found.collect()
+    assert visits > 60 * 40 and len(rows) < min(60 * 100, visits)  # before: ten of each bin visited
+    hit = 0
+    for q in range(0, 6000, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        near = sorted((r["score"], r["id"]) for r in rows if r["query_id"] == q)[:10]
+        assert len(near) == 10 and all(s == d[i] for s, i in near)
+        hit += len({i for _, i in near} & set(np.argsort(d)[:10].tolist()))
+    assert hit >= 0.9 * 600
+
+
 def test_neighbours_recall_and_ties(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(c, 1, (400, 16)) for c in rng.normal(0, 2, (5, 16))]).astype(np.float32).astype(float)
