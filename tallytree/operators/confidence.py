@@ -128,6 +128,9 @@ def tier_cells(direct: DataFrame, samples: DataFrame, lineage: DataFrame, label:
     clade counts. ``samples`` is what ``tier_samples`` gives."""
     totals = samples.select("tier", "sample_id", "direct_total")
     named = lambda rows, column: rows.where(F.col(column) >= min_reads).select("tier", "sample_id", "tax_id", F.col(column).alias("raw"))
+    # counts go up to labels of the wanted ranks alone; one without any counts for itself and has no such rank
+    upper = label.where(F.col("rank").isin([r for r in ranks if r != "S"])).select(F.col("tax_id").alias("ancestor_id")).distinct()
+    lineage = lineage.join(small(upper), "ancestor_id", "left_semi")
     every, clades = named(direct, "direct_reads"), named(roll_up(direct, lineage, "tier", "sample_id"), "clade_reads")
     scoped = every.withColumn("rank_scope", F.lit("all")).unionByName(of_ranks(clades, label, [r for r in ranks if r != "S"])).unionByName(of_ranks(every, label, [r for r in ranks if r == "S"]))
     out = scoped.join(small(totals), ["tier", "sample_id"]).withColumn("cpm", F.when(F.col("direct_total") > 0, F.col("raw") / F.col("direct_total") * 1e6).otherwise(0.0))
