@@ -19,7 +19,8 @@ context.
 
 Copies are one entry of the dictionary, so no task meets all copies of a string,
 and what is sorted or compared grows with the ends of repeated strings, not with
-their copies.
+their copies. A phrase that a text has many times (a line over and over) is one row
+of the text with all its places.
 """
 
 from __future__ import annotations
@@ -46,11 +47,19 @@ STEP = 200_000
 WINDOWS = 100_000
 #: A text is told by its key and a hash of itself, as unlike texts may share a key.
 ID = ("id", "row")
-PARSE = "core long, full long, full2 long, head long, id long, row long, at long"
+#: ``at`` is a phrase's first place in its text, ``more`` has the others (null without any).
+PARSE = "core long, full long, full2 long, head long, id long, row long, at long, more array<long>"
 ENTRY = (*ID, "at")
 #: A phrase's first window ``lo`` and last one ``hi`` are kept as one number ``at``, as ``hi - lo`` is under ``WIDTH``.
 BITS = 9
-LO, HI = f"cast(shiftright(at, {BITS}) as int)", f"cast(shiftright(at, {BITS}) + (at & {(1 << BITS) - 1}) as int)"
+
+
+def first_window(at: Column) -> Column:
+    return F.shiftright(at, BITS).cast("int")
+
+
+def last_window(at: Column) -> Column:
+    return (F.shiftright(at, BITS) + at.bitwiseAND((1 << BITS) - 1)).cast("int")
 
 
 def phrases(running: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,9 +88,26 @@ def phrases(running: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarr
     return start[first], start[np.append(first[1:], len(start)) - 1] if len(start) else start, anchor[first]
 
 
+def equal(doc: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first of each run of equal phrases of a text, in order of the text, all phrases run
+    by run, and how many each run has."""
+    n = len(doc)
+    order = np.argsort(mix(one + doc.astype(np.uint64)), kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in (doc, one, two)], axis=0)
+    if new.all():
+        return np.arange(n), np.arange(n), np.ones(n, np.int64)
+    run = np.empty(n, np.int64)
+    run[order] = order[new][np.cumsum(new) - 1]  # a run is called by its first phrase
+    by_run = np.argsort(run, kind="stable")
+    first, counts = np.unique(run, return_counts=True)
+    return first, by_run, counts
+
+
 def parsed(rows: DataFrame, length: int, cores: bool = False) -> DataFrame:
-    """The parse: a row a phrase, with hashes of its core, of all that its windows
-    cover (128 bits), and of its first window; or the ``cores`` alone."""
+    """The parse: a row for each phrase of a text, with hashes of its core, of all that its
+    windows cover (128 bits), and of its first window, and with its places; or the ``cores``
+    alone, a row a place."""
     schema = "core long" if cores else PARSE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,10 +125,15 @@ def parsed(rows: DataFrame, length: int, cores: bool = False) -> DataFrame:
                 two = sums(raw, which=1)
                 place = ((near - hi) * 1024 + (near - lo)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                 full = mix(span_hashes(one, lo, hi + length) + place), mix(span_hashes(two, lo, hi + length, 1) ^ place)
-                at_ = pa.array((lo - off[doc]) << BITS | (hi - lo))
-                hashes = [pa.array(x.view(np.int64)) for x in (core, *full, span_hashes(one, lo, lo + length))]
-                ids = [b.column(c).slice(at, to - at).take(pa.array(doc)) for c in ID]
-                yield pa.RecordBatch.from_arrays([*hashes, *ids, at_], names=[c.split()[0] for c in PARSE.split(", ")])
+                place = (lo - off[doc]) << BITS | (hi - lo)
+                first, by_run, counts = equal(doc, *full)
+                later = np.ones(len(doc), bool)
+                later[np.cumsum(counts) - counts] = False  # of a run all but the first
+                upto = np.append(0, np.cumsum(counts - 1)).astype(np.int32)
+                more = pa.ListArray.from_arrays(pa.array(upto), pa.array(place[by_run[later]]), mask=pa.array(counts == 1))
+                hashes = [pa.array(x[first].view(np.int64)) for x in (core, *full, span_hashes(one, lo, lo + length))]
+                ids = [b.column(c).slice(at, to - at).take(pa.array(doc[first])) for c in ID]
+                yield pa.RecordBatch.from_arrays([*hashes, *ids, pa.array(place[first]), more], names=[c.split()[0] for c in PARSE.split(", ")])
 
     return rows.mapInArrow(lean(run), schema)
 
@@ -194,14 +225,16 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     discard(cores)
     # "first" takes all columns of an entry from one and the same row
     entry = [F.first(c).alias(c) for c in ("core", "head", *ENTRY)]
-    dictionary = written(live.groupBy("full", "full2").agg(F.count("*").alias("times"), *entry))
-    sure = matched(live, dictionary.where("times > 1").select("full", "full2", "times"), ["full", "full2"])
-    sure = written(sure.select(*ID, F.expr(LO).alias("lo"), (F.expr(HI) + length).alias("end")))
+    places = F.sum(1 + F.coalesce(F.array_size("more"), F.lit(0)))
+    dictionary = written(live.groupBy("full", "full2").agg(places.alias("times"), F.count("*").alias("texts"), *entry))
+    sure = matched(live, dictionary.where("times > 1").select("full", "full2", F.col("texts").alias("times")), ["full", "full2"])
+    each = F.concat(F.array("at"), F.coalesce("more", F.expr("cast(array() as array<long>)")))
+    sure = written(sure.select(*ID, F.transform(each, lambda at: F.struct(first_window(at).alias("lo"), (last_window(at) + length).alias("end"))).alias("spans")))
     discard(live)
 
     kinds = dictionary.groupBy("core").agg(F.count("*").alias("entries"), F.count_if(F.col("times") == 1).alias("lone"), (F.min("head") != F.max("head")).alias("mixed"))
     kinds = written(kinds.where("entries > 1 AND lone > 0").select("core", "mixed", F.col("entries").alias("times")))
-    doubtful = matched(dictionary.withColumn("lone", F.col("times") == 1).drop("times"), kinds, ["core"], "inner").select(*ID, F.expr(LO).alias("lo"), F.expr(HI).alias("hi"), "lone", "mixed")
+    doubtful = matched(dictionary.withColumn("lone", F.col("times") == 1).drop("times"), kinds, ["core"], "inner").select(*ID, first_window(F.col("at")).alias("lo"), last_window(F.col("at")).alias("hi"), "lone", "mixed")
     both = written(compared(rows, doubtful, length))
     discard(dictionary, kinds)
     begun = both.where("tail IS NOT NULL")
@@ -219,8 +252,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     twice = written(inside.groupBy("a", "b").agg(F.count("*").alias("times"), F.count_if("lone").alias("open")).where("times > 1 AND open > 0").select("a", "b"))
     within = written(inside.where("lone").join(twice, ["a", "b"], "left_semi").select(*ID, "lo", (F.col("lo") + length).alias("end")))
     discard(both, heads, twice)
-    spans = sure.unionByName(follow).unionByName(within)
-    out = written(spans.groupBy(*ID).agg(F.collect_set(F.struct("lo", "end")).alias("spans")))
+    single = follow.unionByName(within).select(*ID, F.array(F.struct("lo", "end")).alias("spans"))
+    out = written(sure.unionByName(single).groupBy(*ID).agg(F.flatten(F.collect_list("spans")).alias("spans")))
     discard(sure, order, within)
     return out
 

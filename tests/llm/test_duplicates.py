@@ -139,6 +139,23 @@ def test_repeats_are_those_of_brute_force(spark, seed):
     assert [got[i] for i in range(len(texts))] == brute_repeats(texts, 400)
 
 
+def test_a_line_over_and_over_is_joined_once_a_text(spark, monkeypatch):
+    texts = [f"{k} " * 9 + "a very common line of the corpus\n" * (200 + k) for k in range(8)]
+    real, joined = repeats.matched, []
+
+    def counted(rows, keys, on, how="left_semi"):
+        out = real(rows, keys, on, how)
+        joined.append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "matched", counted)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    found = repeats.remove_repeats(table(spark, texts)).select("doc_id", "n_bytes", removed, F.size("removed"), F.sha2("kept", 256))
+    assert [tuple(r[1:]) for r in sorted(found.collect())] == brute_repeats(texts, 400)
+    distinct = len({t[i : i + 400] for t in texts for i in range(len(t) - 399)})
+    assert joined[0] < distinct // 2  # not a row for each of the line's 1,600 places
+
+
 def test_what_was_shuffled_for_a_scratch_table_goes(spark):
     at = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     held = lambda: {f for d in at for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
