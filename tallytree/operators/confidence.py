@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +46,52 @@ def tokens(reads: DataFrame, kmers: str = "kmers") -> DataFrame:
     return each.select(*rest, "t", count_of(F.col("t")).alias("n")).where("n > 0").select(*rest, label_of(F.col("t")).alias("label"), "n")
 
 
+#: What Spark trims before it casts, and what it then takes for a long.
+TRIMMED, WHOLE = "".join(map(chr, (*range(0x21), 0x7F))), re.compile("[+-]?[0-9]+")
+
+
+def numbers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What ``number`` gives, for a batch: the values (0 without one), and where there is one.
+    Signs, control characters and long rows of digits are rare and are looked at one by one."""
+    plain = pc.match_substring_regex(texts, "^[0-9]{1,18}$")
+    value = pc.if_else(plain, texts, "0").cast(pa.int64()).to_numpy(zero_copy_only=False).copy()
+    known = plain.to_numpy(zero_copy_only=False).copy()
+    odd = pc.and_not(pc.match_substring_regex(texts, r"^[\x00-\x20+\-0-9]"), plain)
+    for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+        text = texts[int(i)].as_py()
+        digits = text.strip(TRIMMED)
+        if text[-1] <= "9" and WHOLE.fullmatch(digits) and -(1 << 63) <= int(digits) < 1 << 63:
+            value[i], known[i] = int(digits), True
+    return value, known
+
+
+def sums_of_tokens(kmers: pa.Array, tax_id: pa.Array) -> pa.Array:
+    """``inside`` and ``total`` of each string of k-mers; 0 of a null one."""
+    cut_ = pc.ascii_split_whitespace(kmers)
+    size = pc.fill_null(pc.list_value_length(cut_), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    read = np.repeat(np.arange(len(kmers)), size)
+    parts = pc.extract_regex(cut_.flatten(), "(?s)^(?P<label>.*):(?P<n>[^:]*)$")
+    label, end = (pc.fill_null(pc.struct_field(parts, f), "") for f in ("label", "n"))
+    n, known = numbers(end)
+    n[~known | (n < 0) | pc.equal(label, "A").to_numpy(zero_copy_only=False)] = 0
+    own, is_number = numbers(label)
+    mine = is_number & (own == pc.fill_null(tax_id, 0).to_numpy(zero_copy_only=False)[read])
+    upto = np.append(0, np.cumsum(size))
+
+    def summed(x: np.ndarray) -> pa.Array:
+        each = np.append(0, np.cumsum(x))
+        return pa.array(each[upto[1:]] - each[upto[:-1]])
+
+    return pa.StructArray.from_arrays([summed(np.where(mine, n, 0)), summed(n)], names=["inside", "total"])
+
+
 def own_sums(reads: DataFrame, *keys: str) -> DataFrame:
     """``keys``, ``tax_id``, and of each row's k-mers, but for ambiguous ones, those of its
     own label and all: summed within the row. An unassigned read's aren't parsed."""
-    parsed = F.transform(cut(F.when(F.col("tax_id") > 0, F.col("kmers"))), lambda t: F.struct(label_of(t).alias("label"), count_of(t).alias("n")))
-    counted = F.filter(parsed, lambda x: (x["n"] > 0) & (x["label"] != "A"))
-    zero = F.lit(0).cast("long")
-    summed = F.aggregate(counted, F.struct(zero.alias("inside"), zero.alias("total")), lambda s, x: F.struct((s["inside"] + F.when(number(x["label"]) == F.col("tax_id"), x["n"]).otherwise(zero)).alias("inside"), (s["total"] + x["n"]).alias("total")))
-    return reads.select(*keys, "tax_id", summed.alias("s")).select(*keys, "tax_id", F.lit(1).cast("long").alias("lines"), F.coalesce("s.inside", zero).alias("inside"), F.coalesce("s.total", zero).alias("total"))
+    sums = F.arrow_udf(sums_of_tokens, "inside long, total long")
+    assigned = F.when(F.col("tax_id") > 0, F.col("kmers"))
+    each = reads.select(*keys, "tax_id", sums(assigned, F.col("tax_id")).alias("s"))
+    return each.select(*keys, "tax_id", F.lit(1).cast("long").alias("lines"), "s.inside", "s.total")
 
 
 def kmer_sums(reads: DataFrame, lineage: DataFrame, *keys: str) -> DataFrame:

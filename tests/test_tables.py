@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallytree.operators import aggregate, cohort, concordance, confidence, taxonomy
 from tallytree.schema import checked_ranks, checked_threshold, tier_suffix
@@ -119,3 +120,17 @@ def test_strings_of_kmers_are_not_shuffled(spark, lineage):
     plan = confidence.read_confidence(reads, lineage.localCheckpoint(), "sample_id", "read_id")._jdf.queryExecution().executedPlan().toString()
     sorts = [line for line in plan.splitlines() if "kmers" in line and ("Sort" in line or "collect_list" in line)]
     assert not sorts and plan.count("Exchange hashpartitioning(sample_id") == 1
+
+
+def test_sums_of_batches_are_those_of_the_tokens(spark):
+    odd = ["5:3 007:4 +5:2 -5:9 5:+3 5:-3 5.0:2 5:2.5 A:4 |:| :7 5: ::5 5:5:5 junk x:y", "5:3\t5:4\n0:1\x0b5:1\x0c5:2\r5:1", "5:99999999999999999999 5:1234567890123456789 5:\x013 \x015:2 5:3\x01 5\x7f:4 5:4\x7f 00000000000000000000005:2", "9223372036854775808:1 5:00000000000000000000002", "", None, " ", "é:5 ५:4 5:3é"]
+    reads = spark.createDataFrame([(i, label, x) for i, x in enumerate(odd) for label in (5, 7, 0, -1)], "id int, tax_id long, kmers string")
+    sums = confidence.own_sums(reads, "id")
+    own = confidence.number(F.col("label")) == F.col("tax_id")
+    each = confidence.tokens(reads.where("tax_id > 0")).where("label <> 'A'").groupBy("id", "tax_id").agg(F.sum(F.when(own, F.col("n")).otherwise(0)).alias("inside"), F.sum("n").alias("total"))
+    told = {(r["id"], r["tax_id"]): (r["inside"], r["total"]) for r in each.collect()}
+    assert len(told) == 10
+    got = sums.collect()
+    assert len(got) == len(odd) * 4 and all((r["lines"], r["inside"], r["total"]) == (1, *told.get((r["id"], r["tax_id"]), (0, 0))) for r in got)
+    # in batches, not token by token by functions that Spark interprets
+    assert "lambda" not in sums._jdf.queryExecution().executedPlan().toString()
