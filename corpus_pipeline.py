@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallytree.llm import decontaminate, near_duplicates, packing, quality, repeats
+from tallytree.llm import decontaminate, near_duplicates, packing, passages, quality, repeats
 from tallytree.llm.common import table, written
 from tallytree.llm.decontaminate import sized
 
@@ -48,13 +48,13 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out every passage of 400 bytes or more that occurs again; a document
-    of which nothing is left goes.
+    """Takes out every passage of 400 bytes or more that occurs again, and every one of
+    over 50 words that another document has; a document of which nothing is left goes.
 
     A null or empty text stays, as an empty one. Rows that repeat lose what they
     share, so texts of 400 bytes or more go with their copies (the stage before
     leaves one of each). Rows without a doc_id are told apart by text."""
-    found = repeats.remove_repeats(docs, keep=COLUMNS)
+    found = repeats.remove_repeats(docs, keep=COLUMNS, also=passages.repeated_passages)
     found = found.where("n_bytes = 0 OR text != ''").withColumn("n_chars", F.length("text").cast("long"))
     return found.select(*COLUMNS)
 

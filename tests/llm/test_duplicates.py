@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallytree.llm import common, decontaminate, near_duplicates, queries, repeats
+from tallytree.llm import common, decontaminate, near_duplicates, passages, queries, repeats
 
 SCHEMA = "doc_id long, text string, id int, key string, n long, comp long"
 
@@ -191,6 +191,34 @@ def test_repeats_of_unlike_texts_that_share_a_key(spark, monkeypatch):
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def brute_passages(texts, n):
+    found = [list(re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for t in texts]
+    of = [[tuple(w[0] for w in ws[i : i + n]) for i in range(len(ws) - n + 1)] for ws in found]
+    texts_of = Counter(window for windows in of for window in set(windows))
+    spans = [[(ws[i].start(), ws[i + n - 1].end()) for i, window in enumerate(windows) if texts_of[window] > 1] for ws, windows in zip(found, of, strict=True)]
+    return [repeats.merged([{"lo": a, "end": b} for a, b in s]) for s in spans]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_are_those_of_brute_force(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    say = lambda n: " ".join(words(rng, n))
+    line, passage, long = say(20), say(51), say(160).split()
+    texts = [say(rng.randint(0, 200)) for _ in range(12)]
+    texts += [f"{say(30)} {passage} {say(9)}", passage, f"{say(70)}\n{passage}", passage.replace(" ", "\n\t"), " ".join(passage.split()[:50]) + " x", passage.upper(), f"é{passage}"]
+    texts += [" ".join([*words(rng, 9), *long[a:b], *words(rng, rng.randint(0, 60))]) for a, b in [(0, 160), (3, 90), (60, 111), (60, 110), (80, 160), (20, 140), (0, 70)]]
+    texts += [" ".join(f"y{rng.randrange(9)}" if rng.random() < 0.02 else w for w in long) for _ in range(12)]
+    own = say(60)  # twice, but in one text
+    texts += [f"{own} {own}", "x " * 300, "x " * 200 + "y", "z " * 200, f"{line} " * 40, f"{say(5)} {line} {line} {line}", f"{say(8)} {line} {say(80)}", texts[3], None, ""]
+    brute = brute_passages(texts, 51)
+    assert any(brute) and not all(brute)
+    for held, hot in ((passages.WINDOWS, common.HOT_KEYS), (70, 3)):
+        monkeypatch.setattr(passages, "WINDOWS", held)
+        monkeypatch.setattr(common, "HOT_KEYS", hot)
+        found = repeats.remove_repeats(table(spark, texts), 100_000, also=passages.repeated_passages).select("doc_id", "removed").collect()
+        assert [[tuple(r) for r in d["removed"]] for d in sorted(found)] == brute
+
+
 def test_contamination_is_that_of_sql(spark, tmp_path):
     rng = random.Random(6)
     item = words(rng, 30)

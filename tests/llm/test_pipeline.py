@@ -78,3 +78,15 @@ def test_stages_of_odd_rows_and_empty_tables(spark, tmp_path):
     texts = [r["text"] for r in corpus_pipeline.without_repeats(spark, clashing, str(tmp_path)).collect()]
     assert long in texts
     assert not any(passage[20:-20] in (t or "") for t in texts)
+
+
+def test_passages_of_over_fifty_words_go_though_short(spark, tmp_path):
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(999)}" for _ in range(n))
+    passage, fifty = say(51), say(50)
+    assert len(passage) < 400
+    texts = [f"{say(60)} {passage} {say(20)}", f"{passage} {say(90)}", f"{say(40)} {fifty} {say(30)}", f"{fifty} {say(30)}", passage]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in corpus_pipeline.without_repeats(spark, docs, str(tmp_path)).collect()}
+    assert {i: r["text"] for i, r in got.items()} == {0: texts[0].replace(passage, ""), 1: texts[1].replace(passage, ""), 2: texts[2], 3: texts[3]}
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
