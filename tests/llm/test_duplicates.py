@@ -219,6 +219,20 @@ def test_passages_are_those_of_brute_force(spark, monkeypatch, seed):
         assert [[tuple(r) for r in d["removed"]] for d in sorted(found)] == brute
 
 
+def test_op6_tells_passages_and_removes_by_bytes(spark, tmp_path):
+    rng = random.Random(3)
+    say = lambda n: " ".join(words(rng, n))
+    short, long = say(51), say(120)
+    assert len(short) < 400 < len(long)
+    texts = [f"{say(40)} {short}", f"{short} {say(9)}", f"{say(40)} {long}", f"{long} {say(9)}", say(90), None, f"{say(3)} {short}", short + " " + "q" * 380, "q" * 390 + "!", "r" * 500, "r" * 500]
+    rows = table(spark, texts).withColumn("doc_id", F.when(F.col("doc_id") != 6, F.col("doc_id") % 10))  # 6 has none, 10 is another 0
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op6_repeats(spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "passage").collect()
+    brute = [(k if k != 6 else None, *r, bool(p)) for k, r, p in zip([*range(10), 0], brute_repeats(texts, 400), brute_passages(texts, 51), strict=True)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute))
+    assert any(r["passage"] and not r["n_removed"] for r in got) and any(r["n_removed"] and not r["passage"] for r in got)
+
+
 def test_contamination_is_that_of_sql(spark, tmp_path):
     rng = random.Random(6)
     item = words(rng, 30)
